@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import survey as sv
+from tessera.operators import terms as tm
 from tessera.plans import bindings as b
+from tessera.sources.markup import extract_marked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +80,62 @@ SELECT working, sex, age,
 FROM summary GROUP BY working, sex, age ORDER BY working, sex, age
 """
 
+
+# --------------------------------------------------------------------------- terms and pages
+
+def term_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.mention_count(b.docs_frame(spark, sf_dir), b.DOC_TERMS[0])
+
+
+def term_rank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.rank_terms(b.docs_frame(spark, sf_dir), b.DOC_TERMS, keep_zero=True)
+
+
+def term_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.build_index(b.docs_frame(spark, sf_dir), b.DOC_TERMS)
+
+
+def term_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.rank_from_index(term_index(spark, sf_dir))
+
+
+def term_rank_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.rank_terms(b.docs_frame(spark, sf_dir), b.DOC_TERMS, keep_zero=False)
+
+
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_marked(b.pages_frame(spark, sf_dir), "html", start_marker="<title>",
+                          marker="</title>", suffix_len=0, keep=("page_id",))
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+_TERMS_CTE = ("WITH terms(ord, term) AS (VALUES "
+              + ", ".join(f"({i}, {_sql_str(t)})" for i, t in enumerate(b.DOC_TERMS)) + "),\n"
+              "postings AS (SELECT t.term, d.doc_id FROM documents d JOIN terms t "
+              "ON list_contains(string_split(d.text, ' '), t.term))\n")
+
+_TERMS_RANK_SQL = _TERMS_CTE + "SELECT term, count(*) AS n_docs FROM postings GROUP BY term ORDER BY n_docs DESC, term"
+
+_TERMS_ORACLE = {
+    "term_mentions": f"SELECT {_sql_str(b.DOC_TERMS[0])} AS term, count(*) AS n_docs FROM documents "
+                     f"WHERE list_contains(string_split(text, ' '), {_sql_str(b.DOC_TERMS[0])})",
+    "term_rank_all": _TERMS_CTE + """
+SELECT t.term, coalesce(h.n, 0)::BIGINT AS n_docs
+FROM terms t LEFT JOIN (SELECT term, count(*) AS n FROM postings GROUP BY term) h USING (term)
+ORDER BY n_docs DESC, t.ord""",
+    "term_index": _TERMS_CTE + "SELECT term, doc_id FROM postings",
+    "term_rank_index": _TERMS_RANK_SQL,
+    "term_rank_fused": _TERMS_RANK_SQL,
+    "page_titles": """
+SELECT page_id,
+       substring(html, strpos(html, '<title>') + 7, strpos(html, '</title>') - (strpos(html, '<title>') + 7)) AS title,
+       substring(html, strpos(html, '</title>') + 8, length(html) - (strpos(html, '</title>') + 8) + 1) AS text
+FROM pages""",
+}
+
 ORACLE: dict[str, str] = {
     "survey_summary": _SURVEY_CTE + """
 SELECT working, sex, age, "primaryNeeds", work, other FROM summary
@@ -88,6 +146,7 @@ SELECT working, sex, age, "primaryNeeds", work, other FROM summary WHERE telfs <
     "survey_grouped": _SURVEY_GROUPED_SQL,
     "survey_grouped_sql": _SURVEY_GROUPED_SQL,
     "survey_grouped_typed": _SURVEY_GROUPED_SQL,
+    **_TERMS_ORACLE,
 }
 
 QUERIES: dict[str, Query] = {
@@ -96,4 +155,10 @@ QUERIES: dict[str, Query] = {
     "survey_grouped": survey_grouped,
     "survey_grouped_sql": survey_grouped_sql,
     "survey_grouped_typed": survey_grouped_typed,
+    "term_mentions": term_mentions,
+    "term_rank_all": term_rank_all,
+    "term_index": term_index,
+    "term_rank_index": term_rank_index,
+    "term_rank_fused": term_rank_fused,
+    "page_titles": page_titles,
 }
