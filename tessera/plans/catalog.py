@@ -9,7 +9,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.operators import clusters as cl
+from tessera.operators import lloyd as ll
+from tessera.operators import pairs as pr
 from tessera.operators import survey as sv
+from tessera.operators import vectors as vc
 from tessera.operators import terms as tm
 from tessera.plans import bindings as b
 from tessera.sources.markup import extract_marked
@@ -136,6 +140,152 @@ SELECT page_id,
 FROM pages""",
 }
 
+# --------------------------------------------------------------------------- Q/A clustering
+
+def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.pair_parent_child(b.posts_frame(spark, sf_dir))
+
+
+def qa_best_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.best_child_score(b.posts_frame(spark, sf_dir, score_shift=b.SCORE_SHIFT))
+
+
+def qa_best_score_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.best_child_score(b.posts_frame(spark, sf_dir, score_shift=b.SCORE_SHIFT), floor=0)
+
+
+def _qa_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pr.best_child_score(b.posts_frame(spark, sf_dir))
+    return vc.to_vectors(scored, b.ORDER_TAGS, spread=b.SPREAD)
+
+
+def qa_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _qa_vectors(spark, sf_dir)
+
+
+def qa_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vc.seed_centers(_qa_vectors(spark, sf_dir), b.PER_TAG, seed=b.SEED)
+
+
+def qa_plain_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vc.plain_sample(_qa_vectors(spark, sf_dir), b.PER_TAG * len(b.ORDER_TAGS), seed=b.SEED)
+
+
+def _seeded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[int, int]]]:
+    vectors = _qa_vectors(spark, sf_dir)
+    seeds = vc.seed_centers(vectors, b.PER_TAG, seed=b.SEED)
+    return vectors, ll.collect_centers(seeds, expected=b.PER_TAG * len(b.ORDER_TAGS))
+
+
+def lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, seeds = _seeded(spark, sf_dir)
+    return ll.centers_frame(spark, ll.lloyd_update(ll.point_histogram(vectors), seeds))
+
+
+def lloyd_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, seeds = _seeded(spark, sf_dir)
+    means, _ = ll.fit_lloyd(vectors, seeds, eta=0.0, max_iter=3)
+    return ll.centers_frame(spark, means)
+
+
+def lloyd_fit_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, seeds = _seeded(spark, sf_dir)
+    means, _ = ll.fit_lloyd(vectors, seeds, eta=ll.KMEANS_ETA, max_iter=ll.KMEANS_MAX_ITERATIONS)
+    return ll.centers_frame(spark, means)
+
+
+def lloyd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, seeds = _seeded(spark, sf_dir)
+    _, history = ll.fit_lloyd(vectors, seeds, eta=ll.KMEANS_ETA, max_iter=ll.KMEANS_MAX_ITERATIONS)
+    return ll.history_frame(spark, history)
+
+
+def _one_step_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, seeds = _seeded(spark, sf_dir)
+    hist = ll.point_histogram(vectors)
+    return cl.summarize_clusters(hist, ll.lloyd_update(hist, seeds), b.ORDER_TAGS, spread=b.SPREAD)
+
+
+def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_step_summary(spark, sf_dir)
+
+
+def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cl.cluster_report(_one_step_summary(spark, sf_dir))
+
+
+def _tags_sql() -> str:
+    return "[" + ", ".join(_sql_str(t) for t in b.ORDER_TAGS) + "]"
+
+
+def _posts_cte(shift: int = 0) -> str:
+    return f"""WITH q AS (SELECT o_orderkey AS id, o_orderpriority AS tag FROM orders),
+a AS (SELECT l_orderkey AS parent, l_orderkey * 10 + l_linenumber AS aid,
+             CAST(trunc(l_quantity) AS INTEGER) - {shift} AS score FROM lineitem),
+best AS (SELECT parent, max(score) AS score FROM a GROUP BY parent),
+vectors AS (SELECT q.id, CAST((list_position({_tags_sql()}, q.tag) - 1) * {b.SPREAD} AS INTEGER) AS x,
+                   best.score AS y
+            FROM q JOIN best ON q.id = best.parent),
+ranked AS (SELECT id, x, y, row_number() OVER (PARTITION BY x ORDER BY md5('{b.SEED}#' || CAST(id AS VARCHAR)), id) AS rn
+           FROM vectors),
+m0 AS (SELECT CAST(row_number() OVER (ORDER BY x, rn) - 1 AS INTEGER) AS cluster, id, x, y
+       FROM ranked WHERE rn <= {b.PER_TAG})"""
+
+
+def _step_sql(src: str, dst: str) -> str:
+    """CTEs assigning vectors to the centers of ``src`` and averaging into ``dst``."""
+    return f""",
+a_{src} AS (SELECT v.x, v.y, arg_min(c.cluster, (
+              (CAST(v.x AS DOUBLE) - c.x) * (CAST(v.x AS DOUBLE) - c.x)
+            + (CAST(v.y AS DOUBLE) - c.y) * (CAST(v.y AS DOUBLE) - c.y), c.cluster)) AS cluster
+          FROM vectors v, {src} c GROUP BY v.id, v.x, v.y),
+u_{src} AS (SELECT cluster, CAST(sum(CAST(x AS BIGINT)) // count(*) AS INTEGER) AS x,
+                   CAST(sum(CAST(y AS BIGINT)) // count(*) AS INTEGER) AS y
+          FROM a_{src} GROUP BY cluster),
+{dst} AS (SELECT c.cluster, coalesce(u.x, c.x) AS x, coalesce(u.y, c.y) AS y
+        FROM {src} c LEFT JOIN u_{src} u USING (cluster))"""
+
+
+def _summary_sql(means: str) -> str:
+    return f""",
+fin AS (SELECT v.x, v.y, arg_min(c.cluster, (
+              (CAST(v.x AS DOUBLE) - c.x) * (CAST(v.x AS DOUBLE) - c.x)
+            + (CAST(v.y AS DOUBLE) - c.y) * (CAST(v.y AS DOUBLE) - c.y), c.cluster)) AS cluster
+        FROM vectors v, {means} c GROUP BY v.id, v.x, v.y),
+per_x AS (SELECT cluster, x, count(*) AS n FROM fin GROUP BY cluster, x),
+top AS (SELECT cluster, arg_max(x, (n, -x)) AS top_x, max(n) AS top_n FROM per_x GROUP BY cluster),
+stats AS (SELECT cluster, count(*) AS size, CAST(trunc(quantile_cont(y, 0.5)) AS INTEGER) AS median
+          FROM fin GROUP BY cluster),
+summary AS (SELECT s.cluster, {_tags_sql()}[top_x // {b.SPREAD} + 1] AS label,
+                   CAST(top_n * 100 // size AS DOUBLE) AS pct, size, median
+            FROM stats s JOIN top t USING (cluster))
+"""
+
+
+_QA_ORACLE = {
+    "qa_pairs": """
+SELECT o.o_orderkey AS qid, o.o_orderpriority AS tag, l.l_orderkey * 10 + l.l_linenumber AS aid,
+       CAST(trunc(l.l_quantity) AS INTEGER) AS score
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+    "qa_best_score": _posts_cte(b.SCORE_SHIFT) + """
+SELECT q.id AS qid, q.tag, best.score FROM q JOIN best ON q.id = best.parent""",
+    "qa_best_score_floor": _posts_cte(b.SCORE_SHIFT) + """
+SELECT q.id AS qid, q.tag, greatest(0, best.score) AS score FROM q JOIN best ON q.id = best.parent""",
+    "qa_vectors": _posts_cte() + "\nSELECT id, x, y FROM vectors",
+    "qa_seed": _posts_cte() + "\nSELECT id, x, y, cluster FROM m0",
+    "qa_plain_sample": _posts_cte() + f"""
+SELECT id, x, y FROM vectors ORDER BY md5('{b.SEED}#' || CAST(id AS VARCHAR)), id
+LIMIT {b.PER_TAG * len(b.ORDER_TAGS)}""",
+    "lloyd_step": _posts_cte() + _step_sql("m0", "m1") + "\nSELECT cluster, x, y FROM m1",
+    "lloyd_fit": _posts_cte() + _step_sql("m0", "m1") + _step_sql("m1", "m2") + _step_sql("m2", "m3")
+                 + "\nSELECT cluster, x, y FROM m3",
+    "cluster_summary": _posts_cte() + _step_sql("m0", "m1") + _summary_sql("m1")
+                       + "SELECT cluster, label, pct, size, median FROM summary ORDER BY median, cluster",
+    "cluster_report": _posts_cte() + _step_sql("m0", "m1") + _summary_sql("m1")
+                      + f"SELECT cluster, printf('{cl.REPORT_FORMAT}', median, label, pct, size) AS line "
+                        "FROM summary ORDER BY median, cluster",
+}
+
 ORACLE: dict[str, str] = {
     "survey_summary": _SURVEY_CTE + """
 SELECT working, sex, age, "primaryNeeds", work, other FROM summary
@@ -147,6 +297,7 @@ SELECT working, sex, age, "primaryNeeds", work, other FROM summary WHERE telfs <
     "survey_grouped_sql": _SURVEY_GROUPED_SQL,
     "survey_grouped_typed": _SURVEY_GROUPED_SQL,
     **_TERMS_ORACLE,
+    **_QA_ORACLE,
 }
 
 QUERIES: dict[str, Query] = {
@@ -161,4 +312,16 @@ QUERIES: dict[str, Query] = {
     "term_rank_index": term_rank_index,
     "term_rank_fused": term_rank_fused,
     "page_titles": page_titles,
+    "qa_pairs": qa_pairs,
+    "qa_best_score": qa_best_score,
+    "qa_best_score_floor": qa_best_score_floor,
+    "qa_vectors": qa_vectors,
+    "qa_seed": qa_seed,
+    "qa_plain_sample": qa_plain_sample,
+    "lloyd_step": lloyd_step,
+    "lloyd_fit": lloyd_fit,
+    "lloyd_fit_converged": lloyd_fit_converged,
+    "lloyd_history": lloyd_history,
+    "cluster_summary": cluster_summary,
+    "cluster_report": cluster_report,
 }
