@@ -16,7 +16,10 @@ from tessera.operators import survey as sv
 from tessera.operators import vectors as vc
 from tessera.operators import terms as tm
 from tessera.plans import bindings as b
+from tessera.session import scratch_path
 from tessera.sources.markup import extract_marked
+from tessera.sources.text import format_posts, read_posts
+from tessera.sources.widecsv import read_wide_csv, write_wide_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -286,6 +289,44 @@ LIMIT {b.PER_TAG * len(b.ORDER_TAGS)}""",
                         "FROM summary ORDER BY median, cluster",
 }
 
+# --------------------------------------------------------------------------- file sources
+
+def posts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts written as header-less text lines to the shared scratch folder, parsed back."""
+    path = scratch_path(spark, "posts-text")
+    format_posts(b.posts_frame(spark, sf_dir)).write.text(path)
+    return read_posts(spark, path)
+
+
+def _survey_csv(spark: SparkSession, sf_dir: str) -> tuple[list[str], DataFrame]:
+    path = scratch_path(spark, "survey-csv")
+    write_wide_csv(b.survey_frame(spark, sf_dir), path)
+    return read_wide_csv(spark, path)
+
+
+def wide_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survey written as a wide CSV with header, read back with a header-derived schema."""
+    return _survey_csv(spark, sf_dir)[1]
+
+
+def wide_csv_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole time-use flow from a CSV file: header → classes → summary → grouped means."""
+    names, df = _survey_csv(spark, sf_dir)
+    p, w, o = sv.classify_columns(names)
+    return sv.average_by_group(sv.summarize_time(df, p, w, o))
+
+
+_SOURCES_ORACLE = {
+    "posts_roundtrip": """
+SELECT 1 AS ptype, o_orderkey AS id, CAST(NULL AS BIGINT) AS accepted, CAST(NULL AS BIGINT) AS parent,
+       0 AS score, o_orderpriority AS tag FROM orders
+UNION ALL
+SELECT 2, l_orderkey * 10 + l_linenumber, NULL, l_orderkey, CAST(trunc(l_quantity) AS INTEGER), NULL
+FROM lineitem""",
+    "wide_csv_roundtrip": _SURVEY_CTE + "\nSELECT * FROM survey",
+    "wide_csv_grouped": _SURVEY_GROUPED_SQL,
+}
+
 ORACLE: dict[str, str] = {
     "survey_summary": _SURVEY_CTE + """
 SELECT working, sex, age, "primaryNeeds", work, other FROM summary
@@ -298,6 +339,7 @@ SELECT working, sex, age, "primaryNeeds", work, other FROM summary WHERE telfs <
     "survey_grouped_typed": _SURVEY_GROUPED_SQL,
     **_TERMS_ORACLE,
     **_QA_ORACLE,
+    **_SOURCES_ORACLE,
 }
 
 QUERIES: dict[str, Query] = {
@@ -324,4 +366,7 @@ QUERIES: dict[str, Query] = {
     "lloyd_history": lloyd_history,
     "cluster_summary": cluster_summary,
     "cluster_report": cluster_report,
+    "posts_roundtrip": posts_roundtrip,
+    "wide_csv_roundtrip": wide_csv_roundtrip,
+    "wide_csv_grouped": wide_csv_grouped,
 }
