@@ -175,7 +175,9 @@ def qa_plain_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seeded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[int, int]]]:
-    vectors = _qa_vectors(spark, sf_dir)
+    # Seeding, the histogram and the summary all read the vectors: write them
+    # once to the shared folder instead of re-running scan + join + max each time.
+    vectors = ll.materialize(_qa_vectors(spark, sf_dir), "qa-vectors")
     seeds = vc.seed_centers(vectors, b.PER_TAG, seed=b.SEED)
     return vectors, ll.collect_centers(seeds, expected=b.PER_TAG * len(b.ORDER_TAGS))
 
