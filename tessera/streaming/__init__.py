@@ -1,0 +1,5 @@
+"""Streaming forms of the stateless operators (term counts, survey summary)."""
+
+from tessera.streaming.stream import read_stream, start, stream_survey_summary, stream_term_counts
+
+__all__ = ["read_stream", "start", "stream_survey_summary", "stream_term_counts"]
