@@ -219,12 +219,20 @@ def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.cluster_report(_one_step_summary(spark, sf_dir))
 
 
+def cluster_summary_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole clustering run: seeds → Lloyd until converged → cluster summary."""
+    vectors, seeds = _seeded(spark, sf_dir)
+    means, _ = ll.fit_lloyd(vectors, seeds, eta=ll.KMEANS_ETA, max_iter=ll.KMEANS_MAX_ITERATIONS)
+    return cl.summarize_clusters(ll.point_histogram(vectors), means, b.ORDER_TAGS, spread=b.SPREAD)
+
+
 def _tags_sql() -> str:
     return "[" + ", ".join(_sql_str(t) for t in b.ORDER_TAGS) + "]"
 
 
-def _posts_cte(shift: int = 0) -> str:
-    return f"""WITH q AS (SELECT o_orderkey AS id, o_orderpriority AS tag FROM orders),
+def _posts_cte(shift: int = 0, *, recursive: bool = False) -> str:
+    head = "WITH RECURSIVE" if recursive else "WITH"
+    return f"""{head} q AS (SELECT o_orderkey AS id, o_orderpriority AS tag FROM orders),
 a AS (SELECT l_orderkey AS parent, l_orderkey * 10 + l_linenumber AS aid,
              CAST(trunc(l_quantity) AS INTEGER) - {shift} AS score FROM lineitem),
 best AS (SELECT parent, max(score) AS score FROM a GROUP BY parent),
@@ -251,6 +259,44 @@ u_{src} AS (SELECT cluster, CAST(sum(CAST(x AS BIGINT)) // count(*) AS INTEGER)
         FROM {src} c LEFT JOIN u_{src} u USING (cluster))"""
 
 
+def _fit_sql(eta: float, max_iter: int) -> str:
+    """Recursive CTE ``fit``: one level per Lloyd pass, stopping like ``fit_lloyd``.
+
+    Pass k runs when k <= max_iter and pass k-1 moved the centers by at least
+    eta (level 0 holds the seeds with an infinite move). Each level keeps the
+    old and new center and the pass's total squared move; ``fit_final`` is the
+    last level.
+    """
+    return f""",
+fit(iter, cluster, x, y, old_x, old_y, total) AS (
+  SELECT 0, cluster, x, y, x, y, CAST('inf' AS DOUBLE) FROM m0
+  UNION ALL
+  SELECT iter + 1, cluster, nx, ny, x, y,
+         sum((CAST(nx AS DOUBLE) - x) * (nx - x) + (CAST(ny AS DOUBLE) - y) * (ny - y)) OVER ()
+  FROM (
+    SELECT iter, cluster, x, y,
+           CASE WHEN n > 0 THEN CAST(sx // n AS INTEGER) ELSE x END AS nx,
+           CASE WHEN n > 0 THEN CAST(sy // n AS INTEGER) ELSE y END AS ny
+    FROM (
+      SELECT iter, cluster, x, y,
+             count(*) FILTER (WHERE near = cluster) AS n,
+             sum(CAST(px AS BIGINT)) FILTER (WHERE near = cluster) AS sx,
+             sum(CAST(py AS BIGINT)) FILTER (WHERE near = cluster) AS sy
+      FROM (
+        SELECT c.iter, c.cluster, c.x, c.y, v.x AS px, v.y AS py,
+               arg_min(c.cluster, ((CAST(v.x AS DOUBLE) - c.x) * (CAST(v.x AS DOUBLE) - c.x)
+                                 + (CAST(v.y AS DOUBLE) - c.y) * (CAST(v.y AS DOUBLE) - c.y), c.cluster))
+                 OVER (PARTITION BY v.id) AS near
+        FROM fit c, vectors v
+        WHERE c.iter < {max_iter} AND c.total >= {float(eta)!r}
+      ) j
+      GROUP BY iter, cluster, x, y
+    ) g
+  ) u
+),
+fit_final AS (SELECT cluster, x, y FROM fit WHERE iter = (SELECT max(iter) FROM fit))"""
+
+
 def _summary_sql(means: str) -> str:
     return f""",
 fin AS (SELECT v.x, v.y, arg_min(c.cluster, (
@@ -284,6 +330,16 @@ LIMIT {b.PER_TAG * len(b.ORDER_TAGS)}""",
     "lloyd_step": _posts_cte() + _step_sql("m0", "m1") + "\nSELECT cluster, x, y FROM m1",
     "lloyd_fit": _posts_cte() + _step_sql("m0", "m1") + _step_sql("m1", "m2") + _step_sql("m2", "m3")
                  + "\nSELECT cluster, x, y FROM m3",
+    "lloyd_fit_converged": _posts_cte(recursive=True) + _fit_sql(ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS)
+                           + "\nSELECT cluster, x, y FROM fit_final",
+    "lloyd_history": _posts_cte(recursive=True) + _fit_sql(ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS) + """
+SELECT CAST(iter AS INTEGER) AS iteration, cluster, old_x, old_y, x AS new_x, y AS new_y,
+       (CAST(old_x AS DOUBLE) - x) * (old_x - x) + (CAST(old_y AS DOUBLE) - y) * (old_y - y) AS moved,
+       total AS total_moved
+FROM fit WHERE iter >= 1""",
+    "cluster_summary_converged": _posts_cte(recursive=True) + _fit_sql(ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS)
+                                 + _summary_sql("fit_final")
+                                 + "SELECT cluster, label, pct, size, median FROM summary ORDER BY median, cluster",
     "cluster_summary": _posts_cte() + _step_sql("m0", "m1") + _summary_sql("m1")
                        + "SELECT cluster, label, pct, size, median FROM summary ORDER BY median, cluster",
     "cluster_report": _posts_cte() + _step_sql("m0", "m1") + _summary_sql("m1")
@@ -368,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "lloyd_history": lloyd_history,
     "cluster_summary": cluster_summary,
     "cluster_report": cluster_report,
+    "cluster_summary_converged": cluster_summary_converged,
     "posts_roundtrip": posts_roundtrip,
     "wide_csv_roundtrip": wide_csv_roundtrip,
     "wide_csv_grouped": wide_csv_grouped,
