@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.lloyd import assign_nearest, point_histogram
+from tessera.operators.quantiles import exact_median
 from tessera.operators.vectors import LANG_SPREAD, LANGS
 
 # Fixed value: line layout of the printed cluster report.
@@ -27,7 +28,8 @@ def summarize_clusters(vectors: DataFrame, centers: Sequence[tuple[int, int]],
 
     Points are first folded into a weighted histogram, so every aggregate
     below runs on distinct (cluster, x, y) with partial aggregation; the
-    median is an exact ``percentile`` with the weights as frequencies.
+    median is an exact radix selection on the weighted scores, whose state
+    per task stays bounded however large one cluster is.
     """
     hist = vectors if "w" in vectors.columns else point_histogram(vectors)
     assigned = assign_nearest(hist, centers)
@@ -35,9 +37,7 @@ def summarize_clusters(vectors: DataFrame, centers: Sequence[tuple[int, int]],
             .groupBy("cluster")
             .agg(F.max_by("x", F.struct(F.col("n"), -F.col("x"))).alias("top_x"),
                  F.max("n").alias("top_n")))
-    stats = assigned.groupBy("cluster").agg(
-        F.sum("w").alias("size"),
-        F.percentile(F.col("y"), F.lit(0.5), F.col("w")).cast("int").alias("median"))
+    stats = exact_median(assigned, "cluster", "y", "w")
     tag_arr = F.array(*[F.lit(t) for t in tags])
     # Both sides have one row per non-empty cluster (at most k).
     return (stats.join(F.broadcast(by_x), "cluster")
