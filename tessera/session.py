@@ -13,6 +13,11 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
                   app_name: str = "tessera") -> SparkSession:
     """Session with AQE on, the UI off and UTC time.
 
+    Python call-site capture for DataFrame errors is off: with it on, every
+    ``pyspark.sql.functions`` call walks the Python stack and makes extra JVM
+    round trips, which made building a plan cost more than running it on
+    small inputs.
+
     On a cluster, pass no master and let spark-submit decide; shuffle partitions
     then default to Spark's value and AQE coalesces them at run time.
     """
@@ -27,6 +32,7 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
