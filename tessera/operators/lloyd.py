@@ -113,21 +113,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def fit_lloyd(vectors: DataFrame, centers: Sequence[tuple[int, int]], *, eta: float = KMEANS_ETA,
-              max_iter: int = KMEANS_MAX_ITERATIONS, weighted: bool = True
+              max_iter: int = KMEANS_MAX_ITERATIONS, weighted: bool = True, cut_lineage: bool = True
               ) -> tuple[Centers, list[dict]]:
     """Run Lloyd passes until the total squared move is below ``eta`` or ``max_iter`` passes.
 
     Returns the final centers (the means *after* the last pass) and a trace,
-    one dict per pass and cluster. ``weighted=False`` iterates on the raw
-    points instead of the histogram (same result, slower).
+    one dict per pass and cluster. ``vectors`` are points (x, y) or, with a
+    ``w`` column, a histogram already. ``weighted=False`` iterates on the raw
+    points instead of the histogram (same result, slower). The points are
+    written to the shared folder first unless ``cut_lineage=False`` (the
+    caller passes a table that is already written).
     """
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     means = [(int(a), int(b)) for a, b in centers]
     if not means:
         raise ValueError("no initial centers")
-    pts = vectors.select("x", "y")
-    pts = materialize(point_histogram(pts) if weighted else pts, "lloyd-points")
+    if "w" in vectors.columns:
+        pts = vectors.select("x", "y", "w")
+    else:
+        pts = vectors.select("x", "y")
+        pts = point_histogram(pts) if weighted else pts
+    if cut_lineage:
+        pts = materialize(pts, "lloyd-points")
     history: list[dict] = []
     for it in range(1, max_iter + 1):
         new = lloyd_update(pts, means)

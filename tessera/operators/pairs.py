@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Post type codes.
 QUESTION, ANSWER = 1, 2
 
 
-def _split(posts: DataFrame, type_col: str, question_code: int, answer_code: int,
-           parent_col: str, strict: bool) -> tuple[DataFrame, DataFrame, Column]:
-    questions = posts.where(F.col(type_col) == question_code)
-    answers = posts.where(F.col(type_col) == answer_code)
+def _split(posts: DataFrame, type_col: str, question_code: int,
+           answer_code: int) -> tuple[DataFrame, DataFrame]:
+    return posts.where(F.col(type_col) == question_code), posts.where(F.col(type_col) == answer_code)
+
+
+def _orphan_guard(answers: DataFrame, parent_col: str, like: DataFrame) -> DataFrame:
+    """No rows, or a failed job when some answer has no parent id.
+
+    The check is its own union branch, not part of the join key: Catalyst
+    copies join-key expressions into inferred filters on the other side and
+    may evaluate an added ``isnotnull`` first, which would either raise on
+    valid data or drop the orphan silently. Here the ``IsNull`` part reaches
+    the scan, so row groups whose statistics show no nulls are skipped.
+    """
     parent = F.col(parent_col)
-    if strict:
-        # An answer must name its question; fail loudly instead of dropping it.
-        parent = F.coalesce(parent, F.raise_error(F.lit("answer without parent id")))
-    return questions, answers, parent
+    fail = F.when(parent.isNull(), F.raise_error(F.lit("answer without parent id"))).otherwise(F.lit(False))
+    return answers.where(parent.isNull() & fail.cast("boolean")).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
 def pair_parent_child(posts: DataFrame, *, type_col: str = "ptype", id_col: str = "id",
@@ -26,14 +35,16 @@ def pair_parent_child(posts: DataFrame, *, type_col: str = "ptype", id_col: str
                       strict: bool = True) -> DataFrame:
     """(qid, tag, aid, score): one row per question and answer pair (inner join).
 
-    Questions without answers and answers without a question vanish. The
+    Questions without answers and answers whose question is absent vanish;
+    an answer with no parent id fails the job (``strict=False`` drops it). The
     answers stream through the join while the question side (one row per key)
     is buffered, and AQE splits a question with a huge answer list over tasks.
     """
-    questions, answers, parent = _split(posts, type_col, question_code, answer_code, parent_col, strict)
-    a = answers.select(parent.alias("qid"), F.col(id_col).alias("aid"), F.col(score_col).alias("score"))
+    questions, answers = _split(posts, type_col, question_code, answer_code)
+    a = answers.select(F.col(parent_col).alias("qid"), F.col(id_col).alias("aid"), F.col(score_col).alias("score"))
     q = questions.select(F.col(id_col).alias("qid"), F.col(tag_col).alias("tag"))
-    return a.join(q, "qid", "inner").select("qid", "tag", "aid", "score")
+    pairs = a.join(q, "qid", "inner").select("qid", "tag", "aid", "score")
+    return pairs.unionByName(_orphan_guard(answers, parent_col, pairs)) if strict else pairs
 
 
 def best_child_score(posts: DataFrame, *, floor: int | None = None, type_col: str = "ptype",
@@ -45,12 +56,14 @@ def best_child_score(posts: DataFrame, *, floor: int | None = None, type_col: st
     The answers are reduced to one row per parent *before* the join (partial
     max map-side, then a one-to-one join), so a question holding a third of
     all answers costs no more than any other. ``floor=0`` clamps the best
-    score at zero; the default keeps negative scores.
+    score at zero; the default keeps negative scores. An answer with no
+    parent id fails the job unless ``strict=False``.
     """
-    questions, answers, parent = _split(posts, type_col, question_code, answer_code, parent_col, strict)
-    best = (answers.select(parent.alias("qid"), F.col(score_col).alias("score"))
+    questions, answers = _split(posts, type_col, question_code, answer_code)
+    best = (answers.select(F.col(parent_col).alias("qid"), F.col(score_col).alias("score"))
             .groupBy("qid").agg(F.max("score").alias("score")))
     if floor is not None:
         best = best.select("qid", F.greatest(F.lit(floor), F.col("score")).alias("score"))
     q = questions.select(F.col(id_col).alias("qid"), F.col(tag_col).alias("tag"))
-    return q.join(best, "qid", "inner").select("qid", "tag", "score")
+    scored = q.join(best, "qid", "inner").select("qid", "tag", "score")
+    return scored.unionByName(_orphan_guard(answers, parent_col, scored)) if strict else scored

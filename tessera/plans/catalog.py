@@ -175,39 +175,48 @@ def qa_plain_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seeded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[int, int]]]:
-    # Seeding, the histogram and the summary all read the vectors: write them
-    # once to the shared folder instead of re-running scan + join + max each time.
+    """Vectors and the histogram of their points, both written once; seeds drawn from the vectors.
+
+    Seeding reads the vectors (it needs the ids); the passes and the summary
+    read the small histogram. Writing both to the shared folder means no job
+    re-runs scan + join + max, and a lost executor replays nothing upstream.
+    """
     vectors = ll.materialize(_qa_vectors(spark, sf_dir), "qa-vectors")
-    seeds = vc.seed_centers(vectors, b.PER_TAG, seed=b.SEED)
-    return vectors, ll.collect_centers(seeds, expected=b.PER_TAG * len(b.ORDER_TAGS))
+    hist = ll.materialize(ll.point_histogram(vectors), "qa-hist")
+    seeds = ll.collect_centers(vc.seed_centers(vectors, b.PER_TAG, seed=b.SEED),
+                               expected=b.PER_TAG * len(b.ORDER_TAGS))
+    return hist, seeds
+
+
+def _fit(hist: DataFrame, seeds: list[tuple[int, int]], eta: float, max_iter: int):
+    return ll.fit_lloyd(hist, seeds, eta=eta, max_iter=max_iter, cut_lineage=False)
 
 
 def lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, seeds = _seeded(spark, sf_dir)
-    return ll.centers_frame(spark, ll.lloyd_update(ll.point_histogram(vectors), seeds))
+    hist, seeds = _seeded(spark, sf_dir)
+    return ll.centers_frame(spark, ll.lloyd_update(hist, seeds))
 
 
 def lloyd_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, seeds = _seeded(spark, sf_dir)
-    means, _ = ll.fit_lloyd(vectors, seeds, eta=0.0, max_iter=3)
+    hist, seeds = _seeded(spark, sf_dir)
+    means, _ = _fit(hist, seeds, 0.0, 3)
     return ll.centers_frame(spark, means)
 
 
 def lloyd_fit_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, seeds = _seeded(spark, sf_dir)
-    means, _ = ll.fit_lloyd(vectors, seeds, eta=ll.KMEANS_ETA, max_iter=ll.KMEANS_MAX_ITERATIONS)
+    hist, seeds = _seeded(spark, sf_dir)
+    means, _ = _fit(hist, seeds, ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS)
     return ll.centers_frame(spark, means)
 
 
 def lloyd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, seeds = _seeded(spark, sf_dir)
-    _, history = ll.fit_lloyd(vectors, seeds, eta=ll.KMEANS_ETA, max_iter=ll.KMEANS_MAX_ITERATIONS)
+    hist, seeds = _seeded(spark, sf_dir)
+    _, history = _fit(hist, seeds, ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS)
     return ll.history_frame(spark, history)
 
 
 def _one_step_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, seeds = _seeded(spark, sf_dir)
-    hist = ll.point_histogram(vectors)
+    hist, seeds = _seeded(spark, sf_dir)
     return cl.summarize_clusters(hist, ll.lloyd_update(hist, seeds), b.ORDER_TAGS, spread=b.SPREAD)
 
 
@@ -221,9 +230,9 @@ def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cluster_summary_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole clustering run: seeds → Lloyd until converged → cluster summary."""
-    vectors, seeds = _seeded(spark, sf_dir)
-    means, _ = ll.fit_lloyd(vectors, seeds, eta=ll.KMEANS_ETA, max_iter=ll.KMEANS_MAX_ITERATIONS)
-    return cl.summarize_clusters(ll.point_histogram(vectors), means, b.ORDER_TAGS, spread=b.SPREAD)
+    hist, seeds = _seeded(spark, sf_dir)
+    means, _ = _fit(hist, seeds, ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS)
+    return cl.summarize_clusters(hist, means, b.ORDER_TAGS, spread=b.SPREAD)
 
 
 def _tags_sql() -> str:

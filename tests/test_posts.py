@@ -54,7 +54,19 @@ def test_answer_without_parent_fails(spark):
     posts = parse_posts(lines(spark, ["1,10,,,5,C#", "2,11,,,3"]))
     with pytest.raises(Exception, match="without parent"):
         pr.best_child_score(posts).collect()
+    with pytest.raises(Exception, match="without parent"):
+        pr.pair_parent_child(posts).count()
     assert rows(pr.best_child_score(posts, strict=False)) == []
+    assert rows(pr.pair_parent_child(posts, strict=False)) == []
+
+
+def test_strict_check_survives_downstream_filters(spark):
+    """Valid data never trips the check, whatever filter sits on top of the join."""
+    posts = parse_posts(lines(spark, FIX))
+    from pyspark.sql import functions as F
+    for cond in (F.col("qid") == 10, F.col("qid").isin(10, 13), F.col("tag") == "C#", F.col("score") > 0):
+        assert pr.pair_parent_child(posts).where(cond).count() >= 1
+        assert pr.best_child_score(posts).where(cond).count() >= 1
 
 
 def test_best_score_preaggregates_before_join(spark):
