@@ -13,9 +13,14 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+# Fixed value: an integer field is an optional sign and ASCII digits, nothing
+# else (Spark's cast would also accept surrounding blanks and control chars).
+INT_PATTERN = "^[+-]?[0-9]+$"
+
+
 def _strict_int(s: Column, what: str, dtype: str = "int") -> Column:
     """Cast a field, failing the job on a bad number whatever the ANSI setting."""
-    v = s.try_cast(dtype)
+    v = F.when(s.rlike(INT_PATTERN), s.try_cast(dtype))
     return F.when(v.isNull(), F.raise_error(F.concat(F.lit(f"bad {what}: '"), s, F.lit("'")))).otherwise(v)
 
 

@@ -15,7 +15,8 @@ def test_parse_lines(spark):
                    (2, 12, None, 10, 7, None), (1, 13, None, None, 2, "Java")]
 
 
-@pytest.mark.parametrize("bad", ["1,10", "1,x,,,5,C#", "1,10,,,five,C#", "1,10,z,,5,C#"])
+@pytest.mark.parametrize("bad", ["1,10", "1,x,,,5,C#", "1,10,,,five,C#", "1,10,z,,5,C#",
+                                 "1, 10,,,5,C#", "1,10,,,5 ,C#", "1,10,,,1.5,C#", "1,10,,,99999999999,C#"])
 def test_bad_lines_fail(spark, bad):
     with pytest.raises(Exception):
         parse_posts(lines(spark, [bad])).collect()
