@@ -19,6 +19,9 @@ from tessera.functions.text import DEFAULT_SEPARATOR, has_token, matching_terms,
 
 # Above this many terms the literal array is replaced by a join with a term table.
 LITERAL_TERM_LIMIT = 512
+# Up to this many terms (tens of MB) the term table is broadcast; above it the
+# join is left to the planner and AQE, which shuffle both sides by term.
+BROADCAST_TERM_LIMIT = 1_000_000
 
 
 def mention_count(docs: DataFrame, term: str, *, text_col: str = "text",
@@ -37,8 +40,10 @@ def _doc_terms(docs: DataFrame, terms: Sequence[str], text_col: str, sep: str,
     # table is the caller's list, so its size is known before broadcasting.
     spark = docs.sparkSession
     term_df = spark.createDataFrame([(t,) for t in terms], "term string")
+    if len(terms) <= BROADCAST_TERM_LIMIT:
+        term_df = F.broadcast(term_df)
     toks = docs.select(*keep, F.explode(F.array_distinct(tokens(text_col, sep))).alias("term"))
-    return toks.join(F.broadcast(term_df), "term").select(*keep, "term")
+    return toks.join(term_df, "term").select(*keep, "term")
 
 
 def _term_table(docs: DataFrame, terms: Sequence[str]) -> DataFrame:

@@ -68,6 +68,10 @@ def test_long_term_list_path(spark, monkeypatch):
     monkeypatch.setattr(tm, "LITERAL_TERM_LIMIT", 2)
     assert rows(tm.rank_terms(d, terms)) == expect
     assert sorted(rows(tm.build_index(d, terms))) == expect_idx
+    # past the broadcast bound the term table is joined without a hint
+    monkeypatch.setattr(tm, "BROADCAST_TERM_LIMIT", 3)
+    assert rows(tm.rank_terms(d, terms)) == expect
+    assert sorted(rows(tm.build_index(d, terms))) == expect_idx
 
 
 def test_duplicate_terms_rejected(spark):
