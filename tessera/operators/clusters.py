@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
+from typing import TextIO
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,3 +56,9 @@ def cluster_report(summary: DataFrame) -> DataFrame:
         "cluster", "median",
         F.format_string(REPORT_FORMAT, F.col("median"), F.col("label"), F.col("pct"), F.col("size")).alias("line"),
     ).orderBy("median", "cluster").drop("median")
+
+
+def print_report(summary: DataFrame, out: TextIO = sys.stdout) -> None:
+    """Print the header and one line per cluster (at most k rows reach the driver)."""
+    lines = [r["line"] for r in cluster_report(summary).select("line").collect()]
+    print("\n".join([*REPORT_HEADER, *lines]), file=out)

@@ -235,6 +235,11 @@ def cluster_summary_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.summarize_clusters(hist, means, b.ORDER_TAGS, spread=b.SPREAD)
 
 
+def cluster_report_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report lines of the whole clustering run."""
+    return cl.cluster_report(cluster_summary_converged(spark, sf_dir))
+
+
 def _tags_sql() -> str:
     return "[" + ", ".join(_sql_str(t) for t in b.ORDER_TAGS) + "]"
 
@@ -351,6 +356,10 @@ FROM fit WHERE iter >= 1""",
                                  + "SELECT cluster, label, pct, size, median FROM summary ORDER BY median, cluster",
     "cluster_summary": _posts_cte() + _step_sql("m0", "m1") + _summary_sql("m1")
                        + "SELECT cluster, label, pct, size, median FROM summary ORDER BY median, cluster",
+    "cluster_report_converged": _posts_cte(recursive=True) + _fit_sql(ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS)
+                                + _summary_sql("fit_final")
+                                + f"SELECT cluster, printf('{cl.REPORT_FORMAT}', median, label, pct, size) AS line "
+                                  "FROM summary ORDER BY median, cluster",
     "cluster_report": _posts_cte() + _step_sql("m0", "m1") + _summary_sql("m1")
                       + f"SELECT cluster, printf('{cl.REPORT_FORMAT}', median, label, pct, size) AS line "
                         "FROM summary ORDER BY median, cluster",
@@ -434,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "cluster_summary": cluster_summary,
     "cluster_report": cluster_report,
     "cluster_summary_converged": cluster_summary_converged,
+    "cluster_report_converged": cluster_report_converged,
     "posts_roundtrip": posts_roundtrip,
     "wide_csv_roundtrip": wide_csv_roundtrip,
     "wide_csv_grouped": wide_csv_grouped,

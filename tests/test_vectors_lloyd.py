@@ -159,3 +159,14 @@ def test_summary_order_and_report(spark):
     lines = [r[1] for r in rows(cl.cluster_report(summ))]
     assert lines[0] == "     -5  C                 (100.0%)            1"
     assert lines[1] == "     10  A                 (100.0%)            2"
+
+
+def test_print_report_header_and_lines(spark):
+    import io
+    xy = [(0, 10), (0, 11), (100000, -5)]
+    summ = cl.summarize_clusters(points(spark, xy), [(0, 10), (100000, -5)], ("A", "B", "C"), spread=50000)
+    buf = io.StringIO()
+    cl.print_report(summ, buf)
+    assert buf.getvalue().splitlines() == [*cl.REPORT_HEADER,
+                                           "     -5  C                 (100.0%)            1",
+                                           "     10  A                 (100.0%)            2"]
