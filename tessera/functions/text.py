@@ -45,4 +45,8 @@ def validate_terms(terms: Sequence[str]) -> list[str]:
         raise ValueError("term list has duplicates")
     if any(not isinstance(t, str) for t in terms):
         raise TypeError("terms must be strings")
+    if any(t == "" for t in terms):
+        # Java's split drops trailing empty tokens and Spark's keeps them, so
+        # an empty term would match differently; it is not a word anyway.
+        raise ValueError("term list has an empty term")
     return terms

@@ -79,6 +79,11 @@ def test_duplicate_terms_rejected(spark):
         tm.rank_terms(docs(spark, THREE), ["Java", "Java"])
 
 
+def test_empty_term_rejected(spark):
+    with pytest.raises(ValueError):
+        tm.rank_terms(docs(spark, THREE), ["Java", ""])
+
+
 def test_plan_one_scan_no_python(spark, tmp_path):
     p = str(tmp_path / "docs")
     docs(spark, FIVE).write.parquet(p)
