@@ -27,11 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def survey_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survey_from_lineitem(table(spark, sf_dir, "lineitem"))
+
+
+def survey_from_lineitem(li: DataFrame) -> DataFrame:
     """Wide survey: an id string, three respondent codes, eight activity columns (minutes).
 
-    Column order matters: sums run left to right in this order.
+    Column order matters: sums run left to right in this order. ``li`` may be
+    a batch or a streaming frame.
     """
-    li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tucaseid"),
         F.col("l_linenumber").cast("double").alias("telfs"),
@@ -74,7 +78,11 @@ def posts_frame(spark: SparkSession, sf_dir: str, *, score_shift: int = 0) -> Da
 
 
 def docs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs_from_documents(table(spark, sf_dir, "documents"))
+
+
+def docs_from_documents(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", "text")
 
 
 def pages_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from tessera.session import scratch_path
 from tessera.sources.markup import extract_marked
 from tessera.sources.text import format_posts, read_posts
 from tessera.sources.widecsv import read_wide_csv, write_wide_csv
+from tessera import streaming as st
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -403,6 +404,29 @@ FROM lineitem""",
     "wide_csv_grouped": _SURVEY_GROUPED_SQL,
 }
 
+# --------------------------------------------------------------------------- streams
+
+def stream_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running term counts over ``documents`` read as a file stream (state: one row per term)."""
+    docs = b.docs_from_documents(st.read_table_stream(spark, sf_dir, "documents"))
+    return st.run_to_table(st.stream_term_counts(docs, b.DOC_TERMS), output_mode="complete",
+                           name="stream-term-counts")
+
+
+def stream_survey_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-respondent summary of ``lineitem`` read as a file stream (stateless, append)."""
+    survey = b.survey_from_lineitem(st.read_table_stream(spark, sf_dir, "lineitem"))
+    return st.run_to_table(st.stream_survey_summary(survey), output_mode="append",
+                           name="stream-survey-summary")
+
+
+_STREAM_ORACLE = {
+    "stream_term_counts": _TERMS_RANK_SQL,
+    "stream_survey_summary": _SURVEY_CTE + """
+SELECT working, sex, age, "primaryNeeds", work, other FROM summary
+""",
+}
+
 ORACLE: dict[str, str] = {
     "survey_summary": _SURVEY_CTE + """
 SELECT working, sex, age, "primaryNeeds", work, other FROM summary
@@ -416,6 +440,7 @@ SELECT working, sex, age, "primaryNeeds", work, other FROM summary WHERE telfs <
     **_TERMS_ORACLE,
     **_QA_ORACLE,
     **_SOURCES_ORACLE,
+    **_STREAM_ORACLE,
 }
 
 QUERIES: dict[str, Query] = {
@@ -447,4 +472,6 @@ QUERIES: dict[str, Query] = {
     "posts_roundtrip": posts_roundtrip,
     "wide_csv_roundtrip": wide_csv_roundtrip,
     "wide_csv_grouped": wide_csv_grouped,
+    "stream_term_counts": stream_term_counts,
+    "stream_survey_summary": stream_survey_summary,
 }

@@ -1,5 +1,13 @@
 """Streaming forms of the stateless operators (term counts, survey summary)."""
 
-from tessera.streaming.stream import read_stream, start, stream_survey_summary, stream_term_counts
+from tessera.streaming.stream import (
+    read_stream,
+    read_table_stream,
+    run_to_table,
+    start,
+    stream_survey_summary,
+    stream_term_counts,
+)
 
-__all__ = ["read_stream", "start", "stream_survey_summary", "stream_term_counts"]
+__all__ = ["read_stream", "read_table_stream", "run_to_table", "start", "stream_survey_summary",
+           "stream_term_counts"]

@@ -20,15 +20,27 @@ from tessera.session import scratch_path
 
 
 def read_stream(spark: SparkSession, path: str, *, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the files of ``path``; the schema comes from the files already there."""
-    schema = spark.read.format(fmt).load(path).schema
-    reader = spark.readStream.format(fmt).schema(schema)
+                max_files_per_trigger: int | None = None, name_glob: str | None = None) -> DataFrame:
+    """Stream the files of folder ``path`` (only names matching ``name_glob`` if given).
+
+    The schema comes from the files already there.
+    """
+    batch = spark.read.format(fmt)
+    reader = spark.readStream.format(fmt)
+    if name_glob:
+        batch = batch.option("pathGlobFilter", name_glob)
+        reader = reader.option("pathGlobFilter", name_glob)
+    reader = reader.schema(batch.load(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
 
 
+def read_table_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Stream one ``<table>.parquet`` of a folder of tables (a file stream needs a folder)."""
+    return read_stream(spark, folder.rstrip("/"), name_glob=f"{table}.parquet")
+
+
 def stream_term_counts(docs: DataFrame, terms: Sequence[str], *, text_col: str = "text",
                        sep: str = DEFAULT_SEPARATOR) -> DataFrame:
     """Running (term, n_docs) over a document stream; state holds one row per listed term."""
@@ -43,6 +55,34 @@ def stream_survey_summary(survey: DataFrame, **kwargs) -> DataFrame:
     return sv.summarize_time(survey, p, w, o, **kwargs)
 
 
+def run_to_table(df: DataFrame, *, output_mode: str, name: str, timeout_s: float | None = None) -> DataFrame:
+    """Drain a stream of the files present now into a table in the shared folder; read it back.
+
+    ``append`` writes with the parquet file sink (exactly once through its log).
+    ``complete`` rewrites the table with each micro-batch, so it ends as the
+    whole result; use it only for results of bounded size (one row per
+    listed term, say).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    ckpt = scratch_path(spark, f"{name}-ckpt")
+    writer = (df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt)
+              .trigger(availableNow=True))
+    if output_mode == "append":
+        query = writer.format("parquet").start(path)
+    elif output_mode == "complete":
+        query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).start()
+    else:
+        raise ValueError("output_mode must be 'append' or 'complete'")
+    query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError(f"stream {name} did not finish")
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.parquet(path)
+
+
 def start(df: DataFrame, *, output_mode: str, sink: str = "parquet", path: str | None = None,
           query_name: str | None = None, checkpoint: str | None = None,
           trigger_once: bool = False) -> StreamingQuery:

@@ -36,3 +36,22 @@ def test_stream_survey_summary_equal_batch(spark, tmp_path):
     df = spark.read.parquet(src)
     p, w, o = sv.classify_columns(df.columns)
     assert got == sorted(rows(sv.summarize_time(df, p, w, o)))
+
+
+def test_run_to_table_complete_over_several_batches(spark, tmp_path):
+    from tessera.streaming import run_to_table
+    src = str(tmp_path / "docs3")
+    b.docs_frame(spark, SF).repartition(4).write.parquet(src)
+    stream = read_stream(spark, src, max_files_per_trigger=1)
+    got = sorted(rows(run_to_table(stream_term_counts(stream, b.DOC_TERMS), output_mode="complete",
+                                   name="t-complete")))
+    batch = sorted(rows(tm.rank_terms(spark.read.parquet(src), b.DOC_TERMS, keep_zero=False)))
+    assert got == batch and got
+
+
+def test_read_table_stream_reads_one_table(spark):
+    from tessera.streaming import read_table_stream, run_to_table
+    stream = read_table_stream(spark, SF, "documents")
+    assert stream.isStreaming
+    got = run_to_table(stream.select("doc_id"), output_mode="append", name="t-append")
+    assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
