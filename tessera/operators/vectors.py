@@ -15,6 +15,8 @@ LANGS = ("JavaScript", "Java", "PHP", "Python", "C#", "C++", "Ruby", "CSS",
 LANG_SPREAD = 50000
 KMEANS_KERNELS = 45
 SAMPLE_SEED = 42
+# Below this spread the tags are too close to stratify by; a plain sample is drawn.
+STRATIFY_MIN_SPREAD = 500
 
 
 def to_vectors(scored: DataFrame, tags: Sequence[str] = LANGS, *, spread: int = LANG_SPREAD,
@@ -74,3 +76,18 @@ def centers_per_stratum(k: int, n_strata: int) -> int:
     if n_strata <= 0 or k % n_strata != 0:
         raise ValueError(f"k={k} must be a positive multiple of the {n_strata} strata")
     return k // n_strata
+
+
+def initial_centers(vectors: DataFrame, k: int = KMEANS_KERNELS, tags: Sequence[str] = LANGS, *,
+                    spread: int = LANG_SPREAD, id_col: str = "id", seed: int = SAMPLE_SEED) -> DataFrame:
+    """(id, x, y, cluster): k starting centers.
+
+    With a spread of at least 500, k / len(tags) points per tag (the
+    stratum is x); below it, a plain seeded sample of k points.
+    """
+    if spread < STRATIFY_MIN_SPREAD:
+        drawn = plain_sample(vectors, k, id_col=id_col, seed=seed)
+        order = Window.orderBy(sample_key(id_col, seed), F.col(id_col))
+        # At most k rows: the numbering window is tiny.
+        return drawn.select(id_col, "x", "y", (F.row_number().over(order) - 1).cast("int").alias("cluster"))
+    return seed_centers(vectors, centers_per_stratum(k, len(tags)), id_col=id_col, seed=seed)

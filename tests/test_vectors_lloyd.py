@@ -170,3 +170,17 @@ def test_print_report_header_and_lines(spark):
     assert buf.getvalue().splitlines() == [*cl.REPORT_HEADER,
                                            "     -5  C                 (100.0%)            1",
                                            "     10  A                 (100.0%)            2"]
+
+
+def test_initial_centers_rule(spark):
+    xy = [(x, y) for x in (0, 50000, 100000) for y in range(10)]
+    strat = rows(vc.initial_centers(points(spark, xy), 6, ("A", "B", "C"), spread=50000))
+    assert sorted(r[3] for r in strat) == list(range(6))
+    assert sorted({r[1] for r in strat}) == [0, 50000, 100000]
+    small = [(x, y) for x in (0, 100, 200) for y in range(10)]
+    plain = rows(vc.initial_centers(points(spark, small), 4, ("A", "B", "C"), spread=100))
+    assert len(plain) == 4 and sorted(r[3] for r in plain) == [0, 1, 2, 3]
+    expect = [tuple(r)[:3] for r in vc.plain_sample(points(spark, small), 4).collect()]
+    assert sorted(r[:3] for r in plain) == sorted(expect)
+    with pytest.raises(ValueError):
+        vc.initial_centers(points(spark, xy), 7, ("A", "B", "C"), spread=50000)
