@@ -184,8 +184,9 @@ def _seeded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[int
     """
     vectors = ll.materialize(_qa_vectors(spark, sf_dir), "qa-vectors")
     hist = ll.materialize(ll.point_histogram(vectors), "qa-hist")
-    seeds = ll.collect_centers(vc.seed_centers(vectors, b.PER_TAG, seed=b.SEED),
-                               expected=b.PER_TAG * len(b.ORDER_TAGS))
+    k = b.PER_TAG * len(b.ORDER_TAGS)
+    seeds = ll.collect_centers(vc.initial_centers(vectors, k, b.ORDER_TAGS, spread=b.SPREAD, seed=b.SEED),
+                               expected=k)
     return hist, seeds
 
 
