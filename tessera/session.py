@@ -46,8 +46,9 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we create one
-    under the system temp folder and register it with the context.
+    A cluster names it. Only a local master with none set (tests, the bench)
+    gets a folder under the system temp folder; on a cluster a machine-local
+    folder would be invisible to the executors, so an unset setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
