@@ -6,8 +6,16 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
+# Shuffle sizing on a cluster (a join of the largest tables shuffles terabytes).
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
 
 def build_session(master: str | None = None, *, shuffle_partitions: int | None = None,
                   app_name: str = "tessera") -> SparkSession:
@@ -18,8 +26,10 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
     round trips, which made building a plan cost more than running it on
     small inputs.
 
-    On a cluster, pass no master and let spark-submit decide; shuffle partitions
-    then default to Spark's value and AQE coalesces them at run time.
+    On a cluster, pass no master and let spark-submit decide. Unless
+    spark-submit says otherwise, shuffles then start with 16,384 partitions
+    and AQE coalesces each to about 256 MB: enough partitions for a
+    multi-terabyte join shuffle, few tasks for a small one.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -36,6 +46,14 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    elif not master:
+        # Cluster: AQE can only merge shuffle partitions, never split them, so
+        # start with many and let it coalesce small shuffles to ~256 MB each.
+        # Settings given to spark-submit win.
+        submitted = SparkConf()
+        for key, value in CLUSTER_DEFAULTS.items():
+            if not submitted.contains(key):
+                builder = builder.config(key, value)
     if master and master.startswith("local"):
         builder = builder.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
