@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +34,15 @@ def _optional_int(s: Column, what: str, dtype: str = "bigint") -> Column:
 def parse_posts(lines: DataFrame, col: str = "value", *, sep: str = ",") -> DataFrame:
     """(ptype, id, accepted, parent, score, tag) from ``type,id,accepted,parent,score[,tag[,...]]``.
 
-    Empty accepted/parent → null; the tag is null when absent or empty; fields
-    past the sixth are ignored. Fewer than five fields or a bad number fails
-    the job (CSV readers would either reject the legal five-field line or null
-    the bad number silently).
+    Fields split like Java's ``String.split``: trailing empty fields are
+    dropped, so a line ending in separators has fewer fields, while an empty
+    field before a non-empty one stays an empty string. Empty accepted/parent
+    → null; the tag is null when absent; fields past the sixth are ignored.
+    Fewer than five fields or a bad number fails the job (CSV readers would
+    either reject the legal five-field line or null the bad number silently).
     """
-    a = F.split(F.col(col), sep)
+    s = re.escape(sep)
+    a = F.split(F.regexp_replace(F.col(col), f"(?:{s})+$", ""), s)
     n = F.size(a)
     short = F.raise_error(F.concat(F.lit("post line with fewer than 5 fields: "), F.col(col)))
     f = [F.when(n >= 5, a.getItem(i)).otherwise(short) for i in range(5)]
@@ -47,7 +52,7 @@ def parse_posts(lines: DataFrame, col: str = "value", *, sep: str = ",") -> Data
         _optional_int(f[2], "accepted answer id").alias("accepted"),
         _optional_int(f[3], "parent id").alias("parent"),
         _strict_int(f[4], "score").alias("score"),
-        F.nullif(F.get(a, F.lit(5)), F.lit("")).alias("tag"),
+        F.get(a, F.lit(5)).alias("tag"),
     )
 
 

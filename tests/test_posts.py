@@ -9,6 +9,13 @@ def lines(spark, values):
     return spark.createDataFrame([(v,) for v in values], "value string")
 
 
+def test_java_split_rules(spark):
+    got = rows(parse_posts(lines(spark, ["1,10,,,5,,C#", "1,11,,,5,,", "2,12,,10,7,,,"])))
+    assert got == [(1, 10, None, None, 5, ""), (1, 11, None, None, 5, None), (2, 12, None, 10, 7, None)]
+    with pytest.raises(Exception):
+        parse_posts(lines(spark, ["1,10,,,"])).collect()
+
+
 def test_parse_lines(spark):
     got = rows(parse_posts(lines(spark, ["1,10,11,,5,C#", "2,11,,10,-3,", "2,12,,10,7", "1,13,,,2,Java,extra"])))
     assert got == [(1, 10, 11, None, 5, "C#"), (2, 11, None, 10, -3, None),
