@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from conftest import rows
@@ -91,3 +93,25 @@ def test_plan_one_scan_no_python(spark, tmp_path):
     plan = tm.rank_terms(d, ["Scala", "Java"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert "Python" not in plan and "BatchEvalPython" not in plan
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_docs_match_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    vocab = ["Java", "java", "Java,", "JavaScript", "Scala", "", "C#", "the", "a"]
+    seps = [" ", " ", " ", "\t", "  "]
+    texts = []
+    for _ in range(300):
+        n = rnd.randint(0, 12)
+        toks = [rnd.choice(vocab) for _ in range(n)]
+        texts.append("".join(t + rnd.choice(seps) for t in toks).rstrip(rnd.choice(["", " "])))
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    terms = ["Java", "Scala", "C#", "the", "JavaScript", "zzz"]
+    hits = {t: sorted(i for i, x in enumerate(texts) if t in x.split(" ")) for t in terms}
+    expect = sorted(((t, len(ids)) for t, ids in hits.items()), key=lambda p: -p[1])
+    expect = sorted(expect, key=lambda p: (-p[1], terms.index(p[0])))
+    assert rows(tm.rank_terms(d, terms)) == expect
+    assert sorted(rows(tm.build_index(d, terms))) == sorted((t, i) for t, ids in hits.items() for i in ids)
+    fused = rows(tm.rank_terms(d, terms, keep_zero=False))
+    assert fused == sorted(((t, n) for t, n in expect if n), key=lambda p: (-p[1], p[0]))
+    assert rows(tm.mention_count(d, "Java")) == [("Java", len(hits["Java"]))]
