@@ -184,3 +184,31 @@ def test_initial_centers_rule(spark):
     assert sorted(r[:3] for r in plain) == sorted(expect)
     with pytest.raises(ValueError):
         vc.initial_centers(points(spark, xy), 7, ("A", "B", "C"), spread=50000)
+
+
+def brute_summary(xy, centers, tags, spread):
+    groups = {}
+    for x, y in xy:
+        d = [(float(x - cx) ** 2 + float(y - cy) ** 2, i) for i, (cx, cy) in enumerate(centers)]
+        groups.setdefault(min(d)[1], []).append((x, y))
+    out = []
+    for c, ps in groups.items():
+        counts = {}
+        for x, _ in ps:
+            counts[x] = counts.get(x, 0) + 1
+        top_x = min(counts, key=lambda x: (-counts[x], x))
+        ys = sorted(y for _, y in ps)
+        n = len(ys)
+        s = ys[(n - 1) // 2] + ys[n // 2]
+        med = abs(s) // 2 * (1 if s >= 0 else -1)
+        out.append((c, tags[top_x // spread], float(counts[top_x] * 100 // n), n, med))
+    return sorted(out, key=lambda r: (r[4], r[0]))
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_summary_matches_brute_force(spark, seed):
+    rng = np.random.default_rng(seed)
+    xy = [(int(x) * 50000, int(y)) for x, y in zip(rng.integers(0, 5, 700), rng.integers(-40, 60, 700))]
+    centers = [(int(x) * 50000, int(y)) for x, y in zip(rng.integers(0, 5, 8), rng.integers(-40, 60, 8))]
+    tags = ("A", "B", "C", "D", "E")
+    assert summary_of(spark, xy, centers, tags) == brute_summary(xy, centers, tags, 50000)
