@@ -1,6 +1,6 @@
 """Column-expression building blocks shared by the operators."""
 
-from tessera.functions.geometry import nearest_center, squared_distance
+from tessera.functions.geometry import nearest_center, nearest_center_array, squared_distance
 from tessera.functions.recode import (
     age_band,
     minutes_to_hours,
@@ -12,6 +12,6 @@ from tessera.functions.tags import tag_index
 from tessera.functions.text import has_token, matching_terms, tokens
 
 __all__ = [
-    "age_band", "has_token", "matching_terms", "minutes_to_hours", "nearest_center",
+    "age_band", "has_token", "matching_terms", "minutes_to_hours", "nearest_center", "nearest_center_array",
     "row_sum", "sex_band", "squared_distance", "tag_index", "tokens", "working_band",
 ]

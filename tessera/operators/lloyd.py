@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.geometry import nearest_center
+from tessera.functions.geometry import nearest_center, nearest_center_array
 from tessera.session import scratch_path
 
 # Convergence threshold and iteration cap of the reference run.
@@ -46,11 +46,18 @@ def _weight(df: DataFrame):
 
 def assign_nearest(points: DataFrame, centers: Sequence[tuple[int, int]], *,
                    out_col: str = "cluster") -> DataFrame:
-    """Add the index of the nearest center (ties → lowest index)."""
+    """Add the index of the nearest center (ties → lowest index).
+
+    A histogram (a ``w`` column: distinct points, few rows) gets the centers
+    as one array literal, so each Lloyd pass reuses the compiled stage. Raw
+    points get them as inlined literals: compiled anew, but the fastest per
+    row. Above ``LITERAL_CENTER_LIMIT`` centers an Arrow/numpy kernel runs.
+    """
     centers = [(int(a), int(b)) for a, b in centers]
-    if len(centers) <= LITERAL_CENTER_LIMIT:
-        return points.withColumn(out_col, nearest_center("x", "y", centers).cast("int"))
-    return _assign_arrow(points, centers, out_col)
+    if len(centers) > LITERAL_CENTER_LIMIT:
+        return _assign_arrow(points, centers, out_col)
+    expr = nearest_center_array if "w" in points.columns else nearest_center
+    return points.withColumn(out_col, expr("x", "y", centers).cast("int"))
 
 
 def _assign_arrow(points: DataFrame, centers: Centers, out_col: str) -> DataFrame:

@@ -212,3 +212,21 @@ def test_summary_matches_brute_force(spark, seed):
     centers = [(int(x) * 50000, int(y)) for x, y in zip(rng.integers(0, 5, 8), rng.integers(-40, 60, 8))]
     tags = ("A", "B", "C", "D", "E")
     assert summary_of(spark, xy, centers, tags) == brute_summary(xy, centers, tags, 50000)
+
+
+def test_array_form_matches_literal_form(spark):
+    from tessera.functions.geometry import nearest_center, nearest_center_array
+    rng = np.random.default_rng(5)
+    xy = [(int(x), int(y)) for x, y in zip(rng.integers(-500, 500, 400), rng.integers(-500, 500, 400))]
+    centers = [(int(a), int(b)) for a, b in zip(rng.integers(-500, 500, 12), rng.integers(-500, 500, 12))]
+    centers += [centers[3], (0, 0), (0, 0)]  # duplicates: ties go to the lower index
+    xy += [(0, 0), (5, 5)]
+    df = points(spark, xy)
+    lit = df.select("id", nearest_center("x", "y", centers).cast("int").alias("c"))
+    arr = df.select("id", nearest_center_array("x", "y", centers).cast("int").alias("c"))
+    assert sorted(rows(lit)) == sorted(rows(arr))
+    # a histogram input takes the array form inside assign_nearest
+    hist = ll.point_histogram(df)
+    got = {(r["x"], r["y"]): r["cluster"] for r in ll.assign_nearest(hist, centers).collect()}
+    want = {(r["x"], r["y"]): r["cluster"] for r in ll.assign_nearest(df, centers).collect()}
+    assert got == want
