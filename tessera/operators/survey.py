@@ -75,9 +75,9 @@ def summarize_time(df: DataFrame, primary: Sequence[str], work: Sequence[str], o
         working_band(telfs).alias("working"),
         sex_band(tesex).alias("sex"),
         age_band(teage).alias("age"),
-        minutes_to_hours(row_sum(primary)).alias("primaryNeeds"),
-        minutes_to_hours(row_sum(work)).alias("work"),
-        minutes_to_hours(row_sum(other)).alias("other"),
+        minutes_to_hours(row_sum(primary, as_double=True)).alias("primaryNeeds"),
+        minutes_to_hours(row_sum(work, as_double=True)).alias("work"),
+        minutes_to_hours(row_sum(other, as_double=True)).alias("other"),
     )
 
 

@@ -110,3 +110,30 @@ def test_header_skipped_per_file(spark, tmp_path):
     (d / "p2.csv").write_text("id,a\ny,2\n")
     names, df = read_wide_csv(spark, str(d))
     assert names == ["id", "a"] and sorted(rows(df)) == [("x", 1.0), ("y", 2.0)]
+
+
+def test_wide_row_sum_fold_equals_chain(spark):
+    """Hundreds of activity columns: the fold gives the left-to-right doubles.
+
+    (A chain of this many additions overflows the JVM stack while the column
+    is converted, which is one reason for the fold.)
+    """
+    from pyspark.sql import functions as F
+
+    from tessera.functions.recode import FOLD_MIN_COLUMNS, row_sum
+    n = FOLD_MIN_COLUMNS * 5
+    names = [f"t01{i:04d}" for i in range(n)]
+    df = spark.range(300).select(*[(F.rand(i) * 1000 / 7).alias(c) for i, c in enumerate(names)]).cache()
+    got = df.select(row_sum(names, as_double=True).alias("s"), *names).collect()
+    for r in got:
+        acc = r[names[0]]
+        for c in names[1:]:
+            acc = acc + r[c]
+        assert r["s"] == acc
+    p, w, o = sv.classify_columns(["tucaseid", "telfs", "tesex", "teage", *names])
+    assert len(p) == n
+    summary = sv.summarize_time(df.select(F.lit("x").alias("tucaseid"), F.lit(1.0).alias("telfs"),
+                                          F.lit(1.0).alias("tesex"), F.lit(30.0).alias("teage"),
+                                          F.lit(5.0).alias("t050101"), F.lit(7.0).alias("t020101"), *names),
+                                p, ["t050101"], ["t020101"])
+    assert summary.count() == 300
