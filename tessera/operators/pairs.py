@@ -60,10 +60,26 @@ def best_child_score(posts: DataFrame, *, floor: int | None = None, type_col: st
     parent id fails the job unless ``strict=False``.
     """
     questions, answers = _split(posts, type_col, question_code, answer_code)
-    best = (answers.select(F.col(parent_col).alias("qid"), F.col(score_col).alias("score"))
-            .groupBy("qid").agg(F.max("score").alias("score")))
-    if floor is not None:
-        best = best.select("qid", F.greatest(F.lit(floor), F.col("score")).alias("score"))
+    # The parent id is read back as an aggregate output (first of the group
+    # key), and both the join and the strict check use that column. A filter
+    # on it cannot move below the aggregate, so the check reads the same
+    # shuffle as the join (a reused exchange) instead of scanning the answers
+    # again; answers without a parent form the one group whose id is null.
+    best = (answers.select(F.col(parent_col).alias("_parent"), F.col(score_col).alias("score"))
+            .groupBy("_parent").agg(F.first("_parent").alias("qid"), F.max("score").alias("score"))
+            .select("qid", "score"))
     q = questions.select(F.col(id_col).alias("qid"), F.col(tag_col).alias("tag"))
-    scored = q.join(best, "qid", "inner").select("qid", "tag", "score")
-    return scored.unionByName(_orphan_guard(answers, parent_col, scored)) if strict else scored
+    top = best
+    if floor is not None:
+        top = best.select("qid", F.greatest(F.lit(floor), F.col("score")).alias("score"))
+    scored = q.join(top, "qid", "inner").select("qid", "tag", "score")
+    if not strict:
+        return scored
+    qid = F.col("qid")
+    fail = F.when(qid.isNull(), F.raise_error(F.lit("answer without parent id"))).otherwise(F.lit(False))
+    # The guard passes qid and score through (it never yields a row) so that
+    # column pruning leaves both branches the same aggregate.
+    guard = best.where(fail.cast("boolean")).select(
+        "qid", F.lit(None).cast(scored.schema["tag"].dataType).alias("tag"),
+        F.col("score").cast(scored.schema["score"].dataType).alias("score"))
+    return scored.unionByName(guard)

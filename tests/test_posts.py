@@ -82,3 +82,15 @@ def test_best_score_preaggregates_before_join(spark):
     plan = pr.best_child_score(posts)._jdf.queryExecution().optimizedPlan().toString()
     # the max runs below the join: Aggregate appears after (deeper than) the Join line
     assert plan.index("Join") < plan.index("Aggregate")
+
+
+def test_best_score_check_shares_the_shuffle(spark, tmp_path):
+    """The strict check reads the join's shuffle again instead of parsing the posts a third time."""
+    p = str(tmp_path / "posts")
+    lines(spark, FIX).write.text(p)
+    df = pr.best_child_score(read_posts(spark, p))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert "ReusedExchange" in final
+    assert final.count("FileScan text") == 2  # questions and answers; none for the check
