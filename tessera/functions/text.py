@@ -20,8 +20,14 @@ def tokens(text: Column | str, sep: str = DEFAULT_SEPARATOR) -> Column:
 
 
 def has_token(text: Column | str, term: str, sep: str = DEFAULT_SEPARATOR) -> Column:
-    """True when ``term`` is a whole token: case-sensitive, ``Java,`` is not ``Java``."""
-    return F.array_contains(tokens(text, sep), F.lit(term))
+    """True when ``term`` is a whole token: case-sensitive, ``Java,`` is not ``Java``.
+
+    A plain substring test runs first: a document without the characters of
+    the term at all is never split into tokens (for a rare term that is
+    nearly every document), and the reader may receive it as a pushed filter.
+    """
+    t = as_col(text)
+    return t.contains(F.lit(term)) & F.array_contains(tokens(t, sep), F.lit(term))
 
 
 def term_array(terms: Sequence[str]) -> Column:
