@@ -8,7 +8,8 @@ checkpoint lives in the shared folder so a restarted query resumes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,25 +56,48 @@ def stream_survey_summary(survey: DataFrame, **kwargs) -> DataFrame:
     return sv.summarize_time(survey, p, w, o, **kwargs)
 
 
-def run_to_table(df: DataFrame, *, output_mode: str, name: str, timeout_s: float | None = None) -> DataFrame:
+@contextlib.contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Set the shuffle partitions while a stream starts (it keeps them for its life).
+
+    Streams run without AQE, so nothing coalesces a cluster's large batch
+    default; a stateful stream would run that many state-store tasks per
+    micro-batch. The value is saved in the stream's checkpoint on first start.
+    """
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def run_to_table(df: DataFrame, *, output_mode: str, name: str, timeout_s: float | None = None,
+                 state_partitions: int | None = None) -> DataFrame:
     """Drain a stream of the files present now into a table in the shared folder; read it back.
 
     ``append`` writes with the parquet file sink (exactly once through its log).
     ``complete`` rewrites the table with each micro-batch, so it ends as the
     whole result; use it only for results of bounded size (one row per
-    listed term, say).
+    listed term, say). ``state_partitions`` sets the shuffle partitions of a
+    stateful stream.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     ckpt = scratch_path(spark, f"{name}-ckpt")
     writer = (df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt)
               .trigger(availableNow=True))
-    if output_mode == "append":
-        query = writer.format("parquet").start(path)
-    elif output_mode == "complete":
-        query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).start()
-    else:
+    if output_mode not in ("append", "complete"):
         raise ValueError("output_mode must be 'append' or 'complete'")
+    with _shuffle_partitions(spark, state_partitions):
+        if output_mode == "append":
+            query = writer.format("parquet").start(path)
+        else:
+            query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).start()
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
@@ -85,7 +109,7 @@ def run_to_table(df: DataFrame, *, output_mode: str, name: str, timeout_s: float
 
 def start(df: DataFrame, *, output_mode: str, sink: str = "parquet", path: str | None = None,
           query_name: str | None = None, checkpoint: str | None = None,
-          trigger_once: bool = False) -> StreamingQuery:
+          trigger_once: bool = False, state_partitions: int | None = None) -> StreamingQuery:
     """Start a stream with its checkpoint under the shared folder (unless one is given)."""
     spark = df.sparkSession
     writer = (df.writeStream.outputMode(output_mode).format(sink)
@@ -94,4 +118,5 @@ def start(df: DataFrame, *, output_mode: str, sink: str = "parquet", path: str |
         writer = writer.queryName(query_name)
     if trigger_once:
         writer = writer.trigger(availableNow=True)
-    return writer.start(path) if path else writer.start()
+    with _shuffle_partitions(spark, state_partitions):
+        return writer.start(path) if path else writer.start()

@@ -55,3 +55,15 @@ def test_read_table_stream_reads_one_table(spark):
     assert stream.isStreaming
     got = run_to_table(stream.select("doc_id"), output_mode="append", name="t-append")
     assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_state_partitions_apply_to_the_stream_only(spark, tmp_path):
+    from tessera.streaming import run_to_table
+    src = str(tmp_path / "docs4")
+    b.docs_frame(spark, SF).repartition(2).write.parquet(src)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = run_to_table(stream_term_counts(read_stream(spark, src), b.DOC_TERMS), output_mode="complete",
+                       name="t-state", state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    batch = sorted(rows(tm.rank_terms(spark.read.parquet(src), b.DOC_TERMS, keep_zero=False)))
+    assert sorted(rows(got)) == batch
