@@ -48,21 +48,34 @@ def sample_key(id_col: str = "id", seed: int = SAMPLE_SEED) -> Column:
 
 
 def seed_centers(vectors: DataFrame, per_stratum: int, *, stratum: str = "x", id_col: str = "id",
-                 seed: int = SAMPLE_SEED) -> DataFrame:
+                 seed: int = SAMPLE_SEED, strata: Sequence[int] | None = None) -> DataFrame:
     """(id, x, y, cluster): ``per_stratum`` points drawn without replacement from each stratum.
 
     ``row_number() <= n`` plans a WindowGroupLimit before and after the
     exchange, so each task ships at most n rows per stratum: a stratum holding
     a third of all points costs no more than a small one. Clusters are numbered
-    by (stratum, draw order).
+    by (stratum, draw order). With the list of ``strata`` known (the tag
+    positions of k-means) the number is computed per row, and points of
+    unlisted strata are not drawn; without it a window over the drawn rows
+    only (n per stratum) numbers them.
     """
     if per_stratum <= 0:
         raise ValueError("per_stratum must be positive")
     w = Window.partitionBy(stratum).orderBy(sample_key(id_col, seed), F.col(id_col))
     drawn = vectors.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_stratum)
-    # At most per_stratum * strata rows remain: the global numbering is tiny.
-    order = Window.orderBy(F.col(stratum), F.col("_rn"))
-    return drawn.select(id_col, "x", "y", (F.row_number().over(order) - 1).cast("int").alias("cluster"))
+    if strata is not None:
+        strata = sorted(int(v) for v in strata)
+        pos = F.array_position(F.array(*[F.lit(v) for v in strata]), F.col(stratum))
+        cluster = (pos - 1) * F.lit(per_stratum) + F.col("_rn") - 1
+        drawn = drawn.where(pos > 0)
+    else:
+        cluster = F.row_number().over(Window.orderBy(F.col(stratum), F.col("_rn"))) - 1
+    return drawn.select(id_col, "x", "y", cluster.cast("int").alias("cluster"))
+
+
+def tag_strata(tags: Sequence[str], spread: int) -> list[int]:
+    """The x value of every tag: its position times the spread."""
+    return [i * spread for i in range(len(tags))]
 
 
 def plain_sample(vectors: DataFrame, n: int, *, id_col: str = "id", seed: int = SAMPLE_SEED) -> DataFrame:
@@ -90,4 +103,5 @@ def initial_centers(vectors: DataFrame, k: int = KMEANS_KERNELS, tags: Sequence[
         order = Window.orderBy(sample_key(id_col, seed), F.col(id_col))
         # At most k rows: the numbering window is tiny.
         return drawn.select(id_col, "x", "y", (F.row_number().over(order) - 1).cast("int").alias("cluster"))
-    return seed_centers(vectors, centers_per_stratum(k, len(tags)), id_col=id_col, seed=seed)
+    return seed_centers(vectors, centers_per_stratum(k, len(tags)), id_col=id_col, seed=seed,
+                        strata=tag_strata(tags, spread))

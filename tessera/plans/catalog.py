@@ -168,7 +168,8 @@ def qa_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vc.seed_centers(_qa_vectors(spark, sf_dir), b.PER_TAG, seed=b.SEED)
+    return vc.seed_centers(_qa_vectors(spark, sf_dir), b.PER_TAG, seed=b.SEED,
+                           strata=vc.tag_strata(b.ORDER_TAGS, b.SPREAD))
 
 
 def qa_plain_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -230,3 +230,14 @@ def test_array_form_matches_literal_form(spark):
     got = {(r["x"], r["y"]): r["cluster"] for r in ll.assign_nearest(hist, centers).collect()}
     want = {(r["x"], r["y"]): r["cluster"] for r in ll.assign_nearest(df, centers).collect()}
     assert got == want
+
+
+def test_seed_numbering_with_known_strata_equals_window(spark):
+    xy = [(x, y) for x in (0, 50000, 100000) for y in range(15)]
+    by_window = sorted(rows(vc.seed_centers(points(spark, xy), 4)))
+    by_list = sorted(rows(vc.seed_centers(points(spark, xy), 4, strata=[0, 50000, 100000])))
+    assert by_window == by_list
+    plan = vc.seed_centers(points(spark, xy), 4, strata=[0, 50000, 100000])
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text
