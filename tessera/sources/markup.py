@@ -46,7 +46,9 @@ def extract_marked(df: DataFrame, col: str = "value", *, marker: str = ARTICLE_M
     text = s.substr(text_start, text_len)
 
     if on_error == "drop":
-        return df.where(~bad).select(*keep, title.alias(title_col), text.alias(text_col))
+        # The substring test is implied by ~bad; it is there to reach the reader.
+        return (df.where(s.contains(marker) & ~bad)
+                .select(*keep, title.alias(title_col), text.alias(text_col)))
     if on_error == "null":
         fail = F.lit(None)
     else:
