@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.text import DEFAULT_SEPARATOR, has_token, matching_terms, tokens, validate_terms
 
@@ -85,8 +86,36 @@ def build_index(docs: DataFrame, terms: Sequence[str], *, id_col: str = "doc_id"
     return _doc_terms(docs, terms, text_col, sep, keep=keep).select("term", *keep)
 
 
+# Ids per page of the nested index: no posting array grows beyond this.
+INDEX_PAGE_SIZE = 100_000
+
+
+def build_index_pages(docs: DataFrame, terms: Sequence[str], *, id_col: str = "doc_id",
+                      page_size: int = INDEX_PAGE_SIZE, text_col: str = "text",
+                      sep: str = DEFAULT_SEPARATOR) -> DataFrame:
+    """(term, page, doc_ids): the nested index, cut into pages of the id range.
+
+    Page p of a term holds its documents with ids in [p * page_size,
+    (p + 1) * page_size), sorted. One array per term would put a frequent
+    term's whole list in one task; a page never holds more than
+    ``page_size`` ids, and a hot term spreads over many (term, page) groups.
+    Ids must be integers.
+    """
+    if page_size <= 0:
+        raise ValueError("page_size must be positive")
+    if not isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError(f"{id_col!r} must be an integer column to be paged")
+    postings = build_index(docs, terms, id_col=id_col, text_col=text_col, sep=sep)
+    page = F.floor(F.col(id_col) / F.lit(page_size)).cast("bigint")
+    return (postings.groupBy("term", page.alias("page"))
+            .agg(F.array_sort(F.collect_list(id_col)).alias("doc_ids")))
+
+
 def rank_from_index(index: DataFrame, *, term_col: str = "term") -> DataFrame:
-    """(term, n_docs) from flat postings, count descending, ties by term."""
-    return (index.groupBy(term_col).agg(F.count(F.lit(1)).alias("n_docs"))
-            .withColumnRenamed(term_col, "term")
+    """(term, n_docs) from flat postings or index pages, count descending, ties by term."""
+    if "doc_ids" in index.columns:
+        counts = index.groupBy(term_col).agg(F.sum(F.size("doc_ids")).cast("bigint").alias("n_docs"))
+    else:
+        counts = index.groupBy(term_col).agg(F.count(F.lit(1)).alias("n_docs"))
+    return (counts.withColumnRenamed(term_col, "term")
             .orderBy(F.desc("n_docs"), F.asc("term")))

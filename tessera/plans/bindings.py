@@ -20,6 +20,7 @@ SPREAD = 50000
 PER_TAG = 3
 SEED = 42
 SCORE_SHIFT = 25
+INDEX_PAGE = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

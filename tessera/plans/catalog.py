@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.operators import clusters as cl
 from tessera.operators import lloyd as ll
@@ -107,6 +108,20 @@ def term_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.rank_from_index(term_index(spark, sf_dir))
 
 
+def _index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.build_index_pages(b.docs_frame(spark, sf_dir), b.DOC_TERMS, page_size=b.INDEX_PAGE)
+
+
+def term_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested index: one sorted id list per term and page (shown as text)."""
+    return _index_pages(spark, sf_dir).select(
+        "term", "page", F.array_join(F.transform("doc_ids", lambda i: i.cast("string")), " ").alias("doc_ids"))
+
+
+def term_rank_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.rank_from_index(_index_pages(spark, sf_dir))
+
+
 def term_rank_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.rank_terms(b.docs_frame(spark, sf_dir), b.DOC_TERMS, keep_zero=False)
 
@@ -136,6 +151,11 @@ FROM terms t LEFT JOIN (SELECT term, count(*) AS n FROM postings GROUP BY term)
 ORDER BY n_docs DESC, t.ord""",
     "term_index": _TERMS_CTE + "SELECT term, doc_id FROM postings",
     "term_rank_index": _TERMS_RANK_SQL,
+    "term_rank_pages": _TERMS_RANK_SQL,
+    "term_index_pages": _TERMS_CTE + f"""
+SELECT term, CAST(floor(doc_id / {b.INDEX_PAGE}) AS BIGINT) AS page,
+       string_agg(CAST(doc_id AS VARCHAR), ' ' ORDER BY doc_id) AS doc_ids
+FROM postings GROUP BY term, page""",
     "term_rank_fused": _TERMS_RANK_SQL,
     "page_titles": """
 SELECT page_id,
@@ -457,6 +477,8 @@ QUERIES: dict[str, Query] = {
     "term_index": term_index,
     "term_rank_index": term_rank_index,
     "term_rank_fused": term_rank_fused,
+    "term_index_pages": term_index_pages,
+    "term_rank_pages": term_rank_pages,
     "page_titles": page_titles,
     "qa_pairs": qa_pairs,
     "qa_best_score": qa_best_score,

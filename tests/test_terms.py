@@ -115,3 +115,22 @@ def test_random_docs_match_brute_force(spark, seed):
     fused = rows(tm.rank_terms(d, terms, keep_zero=False))
     assert fused == sorted(((t, n) for t, n in expect if n), key=lambda p: (-p[1], p[0]))
     assert rows(tm.mention_count(d, "Java")) == [("Java", len(hits["Java"]))]
+
+
+def test_index_pages_bounded_and_complete(spark):
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice(["Java", "Scala", "x", "y"]) for _ in range(rnd.randint(1, 6))) for _ in range(500)]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    pages = tm.build_index_pages(d, ["Java", "Scala", "zzz"], page_size=37)
+    got = rows(pages)
+    assert all(len(ids) <= 37 and ids == sorted(ids) for _, _, ids in got)
+    assert all(all(i // 37 == p for i in ids) for _, p, ids in got)
+    flat = sorted((t, i) for t, _, ids in got for i in ids)
+    assert flat == sorted(rows(tm.build_index(d, ["Java", "Scala", "zzz"])))
+    assert rows(tm.rank_from_index(pages)) == rows(tm.rank_from_index(tm.build_index(d, ["Java", "Scala", "zzz"])))
+
+
+def test_index_pages_need_integer_ids(spark):
+    d = spark.createDataFrame([("a", "Java")], "doc_id string, text string")
+    with pytest.raises(TypeError):
+        tm.build_index_pages(d, ["Java"])
