@@ -39,7 +39,7 @@ def summarize_clusters(vectors: DataFrame, centers: Sequence[tuple[int, int]],
             .groupBy("cluster")
             .agg(F.max_by("x", F.struct(F.col("n"), -F.col("x"))).alias("top_x"),
                  F.max("n").alias("top_n")))
-    stats = exact_median(assigned, "cluster", "y", "w")
+    stats = exact_median(assigned, "cluster", "y", "w", max_groups=len(centers))
     tag_arr = F.array(*[F.lit(t) for t in tags])
     # Both sides have one row per non-empty cluster (at most k).
     return (stats.join(F.broadcast(by_x), "cluster")
