@@ -52,3 +52,9 @@ def test_local_without_dir_gets_temp_folder():
     s = _Session("local[2]")
     d = checkpoint_dir(s)
     assert d and s.sparkContext.set_to == d
+
+
+def test_public_surface_imports():
+    import tessera
+    for name in tessera.__all__:
+        assert callable(getattr(tessera, name)), name
