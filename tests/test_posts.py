@@ -94,3 +94,16 @@ def test_best_score_check_shares_the_shuffle(spark, tmp_path):
     final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
     assert "ReusedExchange" in final
     assert final.count("FileScan text") == 2  # questions and answers; none for the check
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_lines_fail_whatever_ansi(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for bad in ["1,10", "1,x,,,5,C#", "1,10,,,99999999999,C#", "1,10,,,1.5,C#"]:
+            with pytest.raises(Exception):
+                parse_posts(lines(spark, [bad])).collect()
+        assert rows(parse_posts(lines(spark, ["2,12,,10,7"]))) == [(2, 12, None, 10, 7, None)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
