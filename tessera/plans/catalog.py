@@ -6,6 +6,7 @@ Column names of every query equal those of its oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -204,11 +205,15 @@ def _seeded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[int
     re-runs scan + join + max, and a lost executor replays nothing upstream.
     """
     vectors = ll.materialize(_qa_vectors(spark, sf_dir), "qa-vectors")
-    hist = ll.materialize(ll.point_histogram(vectors), "qa-hist")
     k = b.PER_TAG * len(b.ORDER_TAGS)
-    seeds = ll.collect_centers(vc.initial_centers(vectors, k, b.ORDER_TAGS, spread=b.SPREAD, seed=b.SEED),
-                               expected=k)
-    return hist, seeds
+    # The histogram and the seeds are independent jobs over the written
+    # vectors: submitted from two threads, Spark runs them side by side.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        hist = pool.submit(ll.materialize, ll.point_histogram(vectors), "qa-hist")
+        seeds = pool.submit(ll.collect_centers,
+                            vc.initial_centers(vectors, k, b.ORDER_TAGS, spread=b.SPREAD, seed=b.SEED),
+                            expected=k)
+        return hist.result(), seeds.result()
 
 
 def _fit(hist: DataFrame, seeds: list[tuple[int, int]], eta: float, max_iter: int):
