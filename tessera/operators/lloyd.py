@@ -28,8 +28,9 @@ from tessera.session import scratch_path
 KMEANS_ETA = 20.0
 KMEANS_MAX_ITERATIONS = 45
 
-# Up to this many centers the nearest-center search is one codegen expression
-# with literal centers; above it an Arrow-batched numpy kernel takes over.
+# Up to this many centers the nearest-center search is one built-in
+# expression (array literal on histograms, inlined literals on raw points);
+# above it an Arrow-batched numpy kernel takes over.
 LITERAL_CENTER_LIMIT = 256
 
 Centers = list[tuple[int, int]]
