@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ngram_join
+from tessera.llm import language_id, ngram_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_ngram_jaccard_join)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {}

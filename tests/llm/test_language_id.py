@@ -1,0 +1,68 @@
+"""Language identification: parse counts against plain Python, accuracy on held-out rows, edge rows."""
+
+import numpy as np
+
+from tessera.llm import language_id as li
+from tessera.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_phrases(symbols, sample, block):
+    """Greedy parse by substring search."""
+    text = "".join(map(chr, sample))
+    count = 0
+    for lo in range(0, len(symbols), block):
+        part = "".join(map(chr, symbols[lo:lo + block]))
+        i = 0
+        while i < len(part):
+            n = 1
+            while i + n <= len(part) and part[i:i + n] in text:
+                n += 1
+            i += max(1, n - 1)
+            count += 1
+    return count
+
+
+def test_parse_matches_substring_search():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        sample = rng.integers(0, 4, 200).tolist()
+        texts = [rng.integers(0, 5, n) for n in (0, 1, 7, 64, 65, 300)]
+        cls = np.concatenate(texts).astype(np.uint8)
+        at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        table = li._parsing_table(li._automaton(sample))
+        got = li._phrases(cls, at, [table], 64)[0].tolist()
+        assert got == [plain_phrases(t.tolist(), sample, 64) for t in texts]
+
+
+def test_held_out_accuracy(spark):
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
+    rows = QUERIES["op1_language_id"](spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(truth)
+    held = [r for r in rows if r.held_out]
+    assert 250 < len(held) < 420
+    right = sum(r.lang_pred == truth[r.doc_id] for r in held)
+    assert right / len(held) > 0.97, (right, len(held))
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_edges(spark):
+    base = spark.createDataFrame(
+        [(i, "the cat and the dog are here", "en") for i in range(40)]
+        + [(100 + i, "der hund und die katze sind hier", "de") for i in range(40)], "doc_id long, text string, lang string")
+    model = li.fit(base)
+    long = "die katze und der hund " * 20_000
+    docs = spark.createDataFrame(
+        [(1, None, 0), (2, "", 0), (3, "12 !! 34", 0), (4, "the dog", 0), (5, long, 0), (None, "der hund", 0),
+         (4, "the dog", 1)], "doc_id long, text string, score int")
+    got = [(r.doc_id, r.lang_pred) for r in li.predict(docs, model).collect()]
+    assert got == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (5, "de"), (None, "de"), (4, "en")]
+    assert li.predict(docs.limit(0), model).collect() == []
+
+
+def test_nothing_learned(spark):
+    docs = spark.createDataFrame([(1, "abc", None), (None, "abc", "en")], "doc_id long, text string, lang string")
+    got = sorted(tuple(r) for r in li.identify(docs).select("held_out", "lang_pred", "score").collect())
+    assert [g[1:] for g in got] == [("und", 0.0)] * 2
+    assert li.identify(docs.limit(0)).collect() == []
