@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import language_id, ngram_join
+from tessera.llm import language_id, ngram_join, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +19,12 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_ngram_jaccard_join)}
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.classify(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+    return out.drop("text")
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_ngram_jaccard_join, op6_quality_classifier)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {}
