@@ -166,3 +166,11 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         open_key = key_of(batch, batch.num_rows - 1)
     if held:
         yield pa.Table.from_batches(held)
+
+
+def fold_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of a sequence of 64-bit values; ranges may overlap."""
+    up, down = _power_tables(len(values))
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(mix(values) * up[: len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))

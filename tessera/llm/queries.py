@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import language_id, ngram_join, quality
+from tessera.llm import language_id, ngram_join, quality, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_ngram_jaccard_join, op6_quality_classifier)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_ngram_jaccard_join, op6_quality_classifier, op10_substring_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {}
