@@ -7,16 +7,28 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
+#: Spark's setting that deletes an execution's shuffle files when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared scratch folder and read back.
 
     Cuts lineage on storage that every executor sees, so a lost executor costs
-    its running tasks only.
+    its running tasks only. The shuffle files of the write are deleted when it
+    ends; nothing reads them again.
     """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.select("*").write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

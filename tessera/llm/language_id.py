@@ -130,8 +130,8 @@ def fit(labelled: DataFrame, *, buckets: int = 128, chars: int = 256, total_char
     picks = rows.groupBy("lang", F.expr(f"pmod(h, {buckets})").alias("bucket")).agg(F.min("h").alias("h"))
     picks = picks.select("lang", "h")
     place = F.expr(f"cast(1 + pmod(shiftright(h, 8), greatest(1, length(text) - {chars} + 1)) as int)")
-    found = rows.join(picks.withColumnRenamed("lang", "lang2").withColumnRenamed("h", "h2"),
-                      F.expr("lang = lang2 and h = h2"), "inner").groupBy("lang", "h").agg(
+    # The picks are at most `buckets` pairs of numbers a language.
+    found = rows.join(F.broadcast(picks), ["lang", "h"]).groupBy("lang", "h").agg(
         F.min(F.substring("text", place, F.lit(chars))).alias("sample"))
     by_language: dict[str, list[tuple[int, str]]] = {}
     for r in found.collect():  # at most `buckets` short passages a language

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import language_id, ngram_join, quality, substring_dedup, token_ids
+from tessera.llm import language_id, lm_score, ngram_join, quality, substring_dedup, token_ids
 from tessera.session import scratch_path
 
 
@@ -27,6 +27,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.classify(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
     return out.drop("text")
@@ -36,7 +40,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_ids, op4_ngram_jaccard_join, op6_quality_classifier, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op10_substring_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {}

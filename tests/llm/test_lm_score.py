@@ -1,0 +1,116 @@
+"""LM scoring against plain-Python counts, EM against a direct EM, held-out likelihood, edge rows."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tessera.llm import lm_score
+from tessera.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def tokens(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", low), None]
+
+
+def fold(d):
+    return None if d is None else zlib.crc32(str(d).encode()) % 5
+
+
+def bucket(c):
+    return 0 if c <= 0 else 1 + int(math.floor(math.log2(c)))
+
+
+def brute(rows):
+    uni, ctx, big = Counter(), Counter(), Counter()
+    train = [tokens(t) for d, t in rows if d is not None and fold(d) != 1]
+    for ts in train:
+        uni.update(ts)
+        ctx.update([None, *ts[:-1]])
+        big.update(zip([None, *ts[:-1]], ts, strict=True))
+    n, v = sum(uni.values()), len(uni)
+
+    def parts(h, w, cut):
+        c = ctx[h] - cut
+        return (bucket(c), (big[h, w] - cut) / c if c > 0 else 0.0, (uni[w] - cut) / max(1, n - cut), 1 / (v + 1))
+
+    by = {}
+    for ts in train:
+        for h, w in zip([None, *ts[:-1]], ts, strict=True):
+            b, *p = parts(h, w, 1)
+            by.setdefault(b, []).append(p)
+    weights = {}
+    for b, ps in by.items():
+        ps, w = np.array(ps), np.array([0.4, 0.3, 0.3])
+        for _ in range(200):
+            s = ps * w
+            w = (s / s.sum(axis=1, keepdims=True)).mean(axis=0)
+        weights[b] = w
+    out = []
+    for d, t in rows:
+        ts = tokens(t)
+        base = sum(math.log10((uni[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ts)
+        full = 0.0
+        for h, w in zip([None, *ts[:-1]], ts, strict=True):
+            b, *p = parts(h, w, 0)
+            below = max([k for k in weights if k <= b], default=None)
+            full += math.log10(np.dot(p, np.maximum(weights[below], 1e-6))) if below is not None else float("nan")
+        out.append((d, fold(d) == 1, len(ts), sum(uni[w] > 0 for w in ts), n, base, full))
+    return sorted(out, key=str)
+
+
+def close(got, want):
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(got, want, strict=True):
+        assert g[5] == pytest.approx(w[5], rel=1e-9)
+        assert g[6] == pytest.approx(w[6], rel=0.01), (g, w)
+
+
+def test_query_matches_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in QUERIES["op5_lm_score"](spark, SF).collect()), key=str)
+    close(got, brute(rows))
+    held = [g for g in got if g[1]]
+    assert sum(g[6] for g in held) > sum(g[5] for g in held)  # better than single tokens on unseen texts
+
+
+def test_many_parts_and_buckets_give_the_same(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    a = sorted(tuple(r) for r in lm_score.score(docs).collect())
+    b = sorted(tuple(r) for r in lm_score.score(docs, part_bytes=2000).collect())
+    assert [x[:5] for x in a] == [x[:5] for x in b]
+    assert np.allclose([x[5:] for x in a], [x[5:] for x in b], rtol=1e-9)
+
+
+def test_packing():
+    rng = np.random.default_rng(0)
+    for top in (300, 1 << 30, (1 << 63) - 1):
+        keys = np.unique(rng.integers(0, top, 200).astype(np.uint64))
+        assert (lm_score._unpack_keys(lm_score._pack_keys(keys)) == keys).all()
+    counts = np.array([0, 1, 254, 255, 256, 1 << 40, 7])
+    assert (lm_score._unpack_counts(lm_score._pack_counts(counts), len(counts)) == counts).all()
+
+
+def test_weights_prefer_pairs_in_frequent_contexts():
+    cells = [(1, lm_score.ZERO, 8, 90), (1, 40, 8, 10), (9, 40, 8, 90), (9, lm_score.ZERO, 8, 10)]
+    w = lm_score.learn_weights(cells)
+    assert np.allclose(w.sum(axis=1), 1) and w[9, 0] > 0.5 > w[1, 0]
+    assert (w[12] == w[9]).all()
+
+
+def test_edges(spark):
+    long = "alpha beta gamma " * 30_000
+    rows = [(i, f"alpha beta w{i % 7} gamma") for i in range(40)] + [
+        (100, None), (101, ""), (102, "   \n"), (103, long), (104, "Alpha ÉTÉ\x0bbeta"), (0, "alpha beta w0 gamma"),
+        (0, "alpha beta w0 gamma"), (None, "alpha unseen")]
+    df = spark.createDataFrame([(*r, 3, "k") for r in rows], "doc_id long, text string, part int, counts string")
+    close(sorted((tuple(r) for r in lm_score.score(df).collect()), key=str), brute(rows))
+    assert lm_score.score(df.limit(0)).collect() == []
+    alone = lm_score.score(spark.createDataFrame([(None, "a b")], "doc_id long, text string")).collect()
+    assert [tuple(r) for r in alone] == [(None, False, 3, 0, 0, 0.0, 0.0)]
