@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import language_id, lm_score, ngram_join, quality, substring_dedup, token_ids
+from tessera.llm import language_id, lm_score, ngram_join, quality, substring_dedup, token_ids, topk_search
 from tessera.session import scratch_path
 
 
@@ -36,11 +37,15 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op8_topk_search, op10_substring_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {}
