@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import language_id, lm_score, ngram_join, quality, substring_dedup, token_ids, topk_search
+from tessera.llm import decontaminate, language_id, lm_score, ngram_join, quality, substring_dedup, token_ids, topk_search
+from tessera.llm.oracle import ORACLE
 from tessera.session import scratch_path
 
+__all__ = ["ORACLE", "QUERIES"]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,6 +21,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     token_ids.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
@@ -45,7 +52,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op8_topk_search, op10_substring_dedup)}
-
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op8_topk_search, op10_substring_dedup)}
