@@ -43,8 +43,12 @@ class Model:
     thresholds: np.ndarray
 
 
-def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, slot, value) of the features of a run of texts, by doc and slot."""
+def _values(count: np.ndarray, words: np.ndarray | int) -> np.ndarray:
+    return np.log1p(SCALE * count / np.maximum(1, words)).astype(np.float32)
+
+
+def _counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, slot, count) of the features of a run of texts, by doc and slot; words of each text."""
     lower = LOWER[data]
     keys = []
     starts, ends, first = find_words(lower, offsets, ALNUM)
@@ -67,9 +71,7 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     keys.append((doc, mix(shape + np.uint64(0x5EED))))
     packed = np.concatenate([(d.astype(np.int64) << 20) | (h & np.uint64(DIMENSIONS - 1)).astype(np.int64) for d, h in keys])
     packed, count = np.unique(packed, return_counts=True)
-    doc = packed >> 20
-    value = np.log1p(SCALE * count / np.maximum(1, words[doc])).astype(np.float32)
-    return doc, (packed & (DIMENSIONS - 1)).astype(np.int32), value
+    return packed >> 20, (packed & (DIMENSIONS - 1)).astype(np.int32), count, words
 
 
 def _sigmoid(x):
@@ -122,38 +124,38 @@ def train(slots: list[np.ndarray], values: list[np.ndarray], grade: np.ndarray,
     return Model(weights, cut)
 
 
-def fit(rated: DataFrame, grades: int, *, sample: int = 12_000, **options) -> Model:
-    """A model of ``rated`` (text, grade), fitted on at most ``sample`` of its rows.
+def fit(docs: DataFrame, marks: DataFrame, grades: int, *, sample: int = 8000, **options) -> Model:
+    """A model of the texts of ``docs`` (doc_id, text) rated by ``marks`` (doc_id, grade).
 
-    The rows with the smallest hashes of their texts are taken; null texts count
-    as empty, rows without a grade are left out. Features are extracted on the
-    executors; the driver fits the bounded sample.
+    Fitted on at most ``sample`` of the ratings, those with the smallest hashes;
+    a rating without a document, an id or a grade is left out, a null text
+    counts as empty. The bounded sample of ratings is broadcast to the
+    documents, features are extracted on the executors and the driver fits them.
     """
-    rows = rated.filter("grade is not null").select(
-        F.col("text").cast("string").alias("text"), F.col("grade").cast("int").alias("grade")).withColumn(
-        "h", F.xxhash64("text", "grade"))
-    total = rows.count()
-    if total > sample:  # a threshold of the hash that leaves about half as many rows again as wanted
-        share = 1.5 * sample / total
-        rows = rows.filter(F.expr(f"pmod(h, 1000000) < {int(share * 1000000) + 1}"))
+    picked = marks.filter("doc_id is not null and grade is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")).withColumn(
+        "h", F.xxhash64("doc_id", "grade")).orderBy("h", "doc_id", "grade").limit(sample)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
+        F.broadcast(picked), "doc_id")
 
     def compute(batches):
         for batch in batches:
-            slots, values = [], []
+            slots, counts, words = [], [], []
             for _, offsets, data in text_chunks(batch.column("text")):
-                doc, slot, value = _features(data, offsets)
+                doc, slot, count, size = _counts(data, offsets)
                 cuts = np.searchsorted(doc, np.arange(1, len(offsets) - 1))
                 slots += [s.tobytes() for s in np.split(slot, cuts)]
-                values += [v.tobytes() for v in np.split(value, cuts)]
+                counts += [np.minimum(c, 65535).astype(np.uint16).tobytes() for c in np.split(count, cuts)]
+                words += size.tolist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grade"), batch.column("h"), pa.array(slots, pa.binary()), pa.array(values, pa.binary())],
-                names=["grade", "h", "slots", "values"])
+                [batch.column("grade"), batch.column("h"), pa.array(slots, pa.binary()), pa.array(counts, pa.binary()),
+                 pa.array(words, pa.int64())], names=["grade", "h", "slots", "counts", "words"])
 
-    # At most about 1.5 samples of feature lists; ties in the hash are equal rows.
-    got = rows.select("text", "grade", "h").mapInArrow(compute, "grade int, h long, slots binary, values binary").collect()
-    got = sorted(got, key=lambda r: (r.h, r.grade))[:sample]
+    got = rows.select("text", "grade", "h").mapInArrow(
+        compute, "grade int, h long, slots binary, counts binary, words long").collect()
+    got = sorted(got, key=lambda r: (r.h, r.grade, r.slots))[:sample]  # repeated documents repeat their ratings
     return train([np.frombuffer(r.slots, dtype=np.int32) for r in got],
-                 [np.frombuffer(r["values"], dtype=np.float32) for r in got],
+                 [_values(np.frombuffer(r.counts, dtype=np.uint16), r.words) for r in got],
                  np.array([r.grade for r in got], dtype=np.int64), grades, **options)
 
 
@@ -172,9 +174,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             s = np.zeros(batch.num_rows)
             for row, offsets, data in text_chunks(batch.column("text").cast(pa.string())):
-                doc, slot, value = _features(data, offsets)
+                doc, slot, count, words = _counts(data, offsets)
                 n = len(offsets) - 1
-                s[row: row + n] = np.bincount(doc, weights=m.weights[slot] * value, minlength=n)
+                s[row: row + n] = np.bincount(doc, weights=m.weights[slot] * _values(count, words[doc]), minlength=n)
             tail = 1 - _sigmoid(m.thresholds[None, :] - s[:, None])
             at = np.arange(0, tail.size + 1, tail.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -184,17 +186,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.drop("expected_grade", "tail").mapInArrow(compute, schema)
 
 
-def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, grade) of the labelled documents: 0 toxic, 1 of low quality, 2 good.
-
-    Labels without a document, an id or both ratings are left out; a document
-    with several labels takes part once for each.
-    """
-    marks = labels.filter("quality is not null and toxic is not null").select(
+def graded(labels: DataFrame) -> DataFrame:
+    """(doc_id, grade) of labels: 0 toxic, 1 of low quality, 2 good; incomplete labels are left out."""
+    return labels.filter("doc_id is not null and quality is not null and toxic is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.when(F.col("toxic") != 0, 0).when(F.col("quality") == 0, 1).otherwise(2).alias("grade"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        marks, "doc_id").select("text", "grade")
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, least: float = 0.5, **options) -> DataFrame:
@@ -205,6 +201,6 @@ def classify(docs: DataFrame, labels: DataFrame, *, least: float = 0.5, **option
     of equal grades (p_good 1/3) and are not kept. Columns of the same names
     are replaced; other columns pass through.
     """
-    model = fit(graded(docs, labels), 3, **options)
+    model = fit(docs, graded(labels), 3, **options)
     out = score(docs.drop("p_good", "keep"), model)
     return out.withColumn("p_good", F.expr("tail[1]")).withColumn("keep", F.col("p_good") >= least).drop("tail")

@@ -11,10 +11,9 @@ TEXT = "doc_id long, text string"
 
 def test_repeated_words_have_a_feature_of_their_own():
     data = np.frombuffer(b"ab ab ab cd", dtype=np.uint8)
-    doc, slot, value = quality._features(data, np.array([0, len(data)]))
+    doc, slot, count, words = quality._counts(data, np.array([0, len(data)]))
     # two words, one adjacent repeat, one token shape
-    assert len(slot) == 4 and (doc == 0).all()
-    assert np.isclose(sorted(value)[-1], np.log1p(quality.SCALE * 4 / 4))
+    assert sorted(count.tolist()) == [1, 2, 3, 4] and (doc == 0).all() and words.tolist() == [4]
 
 
 def test_ordered_grades_are_learned():
