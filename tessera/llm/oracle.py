@@ -28,3 +28,44 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
 """
 
 ORACLE = {"op2_decontamination": DECONTAMINATE}
+
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+t AS (SELECT source, sum(size)::BIGINT AS size FROM d GROUP BY source),
+r AS (
+  SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS rank FROM t),
+w AS (
+  SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][1 + (rank - 1) % 3] AS w, 2 * size::DOUBLE AS "full" FROM r),
+l AS (
+  SELECT *, "full" / w AS ratio, row_number() OVER (ORDER BY "full" / w, rank) AS place,
+    (1.5::DOUBLE * sum(size) OVER ()
+      - coalesce(sum("full") OVER (ORDER BY "full" / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY "full" / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+  FROM w),
+f AS (SELECT *, min(CASE WHEN ratio >= level THEN place END) OVER () AS first FROM l),
+g AS (SELECT *, max(CASE WHEN place = first THEN level END) OVER () AS water FROM f),
+s AS (
+  SELECT source, rank, size, CASE WHEN place < coalesce(first, 1000000000) THEN "full" ELSE water * w END AS target,
+    (size + 63) // 64 AS blocks FROM g),
+q AS (
+  SELECT *, CASE WHEN size > 0 THEN least(2 * blocks, floor(target * blocks / size + 0.5)::BIGINT) ELSE 0 END AS slots FROM s),
+j AS (SELECT rank, blocks, unnest(range(slots)) AS j FROM q),
+b AS (
+  SELECT rank, block, count(*) AS times FROM (
+    SELECT rank, ((j % blocks) * CASE WHEN blocks % 1000003 = 0 THEN 1000033 ELSE 1000003 END
+                  + rank * 7919 + (j // blocks) * 104729) % blocks AS block FROM j) GROUP BY rank, block),
+o AS (
+  SELECT d.doc_id, d.size, s.rank, s.size AS source_size, s.target,
+    sum(d.size) OVER (PARTITION BY s.rank ORDER BY d.doc_id % 1024, d.doc_id) - d.size AS start
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+p AS (
+  SELECT doc_id, rank, start, size, unnest(range((start // 64)::BIGINT, ((start + size - 1) // 64)::BIGINT + 1)) AS block
+  FROM o WHERE size > 0),
+k AS (
+  SELECT doc_id, sum((least(start + size, (block + 1) * 64) - greatest(start, block * 64)) * times) AS taken
+  FROM p JOIN b USING (rank, block) GROUP BY doc_id)
+SELECT o.doc_id, o.size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM o LEFT JOIN k USING (doc_id)
+"""
+
+ORACLE["op7_mixing"] = MIXING
