@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, language_id, lm_score, mixing, ngram_join, quality, substring_dedup, token_ids, topk_search
+from tessera.llm import decontaminate, language_id, lm_score, mixing, ngram_join, quality, secret_scan, substring_dedup, token_ids, topk_search
 from tessera.llm.oracle import ORACLE
 from tessera.session import scratch_path
 
@@ -52,8 +52,12 @@ def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op7_mixing, op8_topk_search, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op7_mixing, op8_topk_search, op9_secret_scan, op10_substring_dedup)}
