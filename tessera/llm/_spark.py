@@ -32,6 +32,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_row(df: DataFrame, name: str = "row") -> Column:
+    """All columns of ``df`` as one struct, so that helper columns beside it can have any name."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(name)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

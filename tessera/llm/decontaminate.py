@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import lower_ascii
+from tessera.llm._spark import as_row, lower_ascii
 
 WINDOW = 10
 #: What separates words, in lower-cased text and in any text.
@@ -115,20 +115,27 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), F.coalesce(F.col("n") > 0, F.lit(False)).alias("contaminated"))
 
 
+def _beside_hits(docs: DataFrame, benchmark: DataFrame, n: int, how: str) -> DataFrame:
+    """``docs`` as ``row`` joined with the spans found in each."""
+    d = docs.select(as_row(docs), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    h = hits(docs, benchmark, n).select(F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th"), "spans")
+    return d.join(h, F.expr("hash = hit_th and id <=> hit_id"), how)
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """``docs`` without the rows whose text holds a window of the benchmark."""
-    h = hits(docs, benchmark, n).select(F.col("doc_id").alias("_hit_id"), F.col("th").alias("_hit_th"))
-    return docs.join(h, F.expr("_hit_id <=> cast(doc_id as bigint)") & (F.col("_hit_th") == F.xxhash64(F.col("text").cast("string"))), "left_anti")
+    return _beside_hits(docs, benchmark, n, "left_anti").select("row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """``docs`` with the marked words, and what follows each up to the next word, cut out of ``text``."""
-    h = hits(docs, benchmark, n).select(F.col("doc_id").alias("_hit_id"), F.col("th").alias("_hit_th"), F.col("spans").alias("_spans"))
-    out = docs.join(h, F.expr("_hit_id <=> cast(doc_id as bigint)") & (F.col("_hit_th") == F.xxhash64(F.col("text").cast("string"))), "left")
+    out = _beside_hits(docs, benchmark, n, "left").withColumn("text", F.col("row.text"))
     # Parts of the text: what stands before the first word, then each word with the gap after it.
     gap = GAP_ANY_CASE.replace("\\", "\\\\")
-    parts = f"regexp_extract_all(text, '^{gap}|[^\\\\x00-\\\\x2F\\\\x3A-\\\\x40\\\\x5B-\\\\x60\\\\x7B-\\\\x7F]+({gap})?', 0)"
-    out = out.withColumn("_parts", F.when(F.col("_spans").isNotNull(), F.expr(parts))).withColumn(
-        "_lead", F.expr(f"if(text rlike '^{gap}', 1, 0)"))
-    kept = F.expr("array_join(filter(_parts, (p, i) -> not exists(_spans, s -> i - _lead + 1 >= s.at and i - _lead + 1 < s.at + s.w)), '')")
-    return out.withColumn("text", F.when(F.col("_spans").isNotNull(), kept).otherwise(F.col("text"))).select(*docs.columns)
+    word = gap.replace("[", "[^", 1)
+    parts = F.expr(f"regexp_extract_all(text, '^{gap}|{word}({gap})?', 0)")
+    out = out.withColumn("parts", F.when(F.col("spans").isNotNull(), parts)).withColumn(
+        "lead", F.expr(f"if(text rlike '^{gap}', 1, 0)"))
+    kept = F.expr("array_join(filter(parts, (p, i) -> not exists(spans, s -> i - lead + 1 >= s.at and i - lead + 1 < s.at + s.w)), '')")
+    cut = F.when(F.col("spans").isNotNull(), kept).otherwise(F.col("text"))
+    return out.select(F.col("row").withField("text", cut).alias("row")).select("row.*")

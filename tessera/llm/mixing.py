@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import partitions, stored
+from tessera.llm._spark import as_row, partitions, stored
 
 BLOCK = 64
 LANES = 1024
@@ -159,18 +159,21 @@ def apply(docs: DataFrame, **options) -> DataFrame:
     Rows repeated with the same doc_id, source and text come out together.
     """
     m = mix(docs, **options)
-    keys = m.rows.select("row", F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("source").alias("_source"))
-    parts = m.pieces.join(keys, "row").withColumn("_turn", F.explode_outer(F.expr("sequence(1L, times)")))
-    parts = parts.groupBy("_id", "_th", "_source", "_turn").agg(
-        F.sort_array(F.collect_list(F.struct("row", "at", "n"))).alias("_parts"))  # of one document
-    d = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
+    keys = m.rows.select("row", "doc_id", "th", "source")
+    parts = m.pieces.join(keys, "row").withColumn("turn", F.explode_outer(F.expr("sequence(1L, times)")))
+    parts = parts.groupBy("doc_id", "th", "source", "turn").agg(
+        F.sort_array(F.collect_list(F.struct("row", "at", "n"))).alias("parts"))  # of one document
+    text = F.col("text").cast("string")
+    d = docs.select(as_row(docs, "doc"), F.xxhash64(text).alias("key"), F.col("doc_id").cast("long").alias("id"),
+                    F.col("source").cast("string").alias("from"))
     # Rows alike in id, text and source meet all pieces of the group; one of them is enough.
-    once = Window.partitionBy("_key", "doc_id", "source").orderBy(F.lit(0))
-    d = d.withColumn("_nth", F.row_number().over(once)).filter("_nth = 1").drop("_nth")
-    out = d.join(parts, F.expr("_key = _th and doc_id <=> _id and source <=> _source"))
-    inner = F.btrim(F.col("text"), F.lit(BLANKS))
-    out = out.withColumn("_words", F.split(inner, r"[\x20\x09-\x0D]+")).withColumn("text", F.expr(
-        "array_join(flatten(transform(_parts, p -> slice(_words, cast(p.at + 1 as int), cast(p.n as int)))), ' ')"))
+    once = Window.partitionBy("key", "id", "from").orderBy("doc.text")
+    d = d.withColumn("nth", F.row_number().over(once)).filter("nth = 1").drop("nth")
+    out = d.join(parts, F.expr("key = th and id <=> doc_id and `from` <=> source"))
+    inner = F.btrim(F.col("doc.text"), F.lit(BLANKS))
+    out = out.withColumn("words", F.split(inner, r"[\x20\x09-\x0D]+")).withColumn("mixed", F.expr(
+        "array_join(flatten(transform(parts, p -> slice(words, cast(p.at + 1 as int), cast(p.n as int)))), ' ')"))
+    doc = F.col("doc").withField("text", F.col("mixed"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        doc = doc.withField("n_chars", F.length("mixed").cast(docs.schema["n_chars"].dataType))
+    return out.select(doc.alias("doc")).select("doc.*")

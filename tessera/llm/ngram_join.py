@@ -27,10 +27,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import components, partitions, stored
+from tessera.llm._spark import as_row, components, partitions, stored
 from tessera.llm._text import ALNUM, LOWER, find_words, mix, pieces, runs_of, segment_hashes, shingle_sets, text_chunks
 
 SHINGLE = 5
@@ -289,7 +289,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Of rows repeated under that id with the same text one stays; rows under one
     id with different texts are different documents and stay together.
     """
+    nowhere = F.lit((1 << 63) - 1)  # stands for a null id
     kept = near_duplicates(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"])
+        F.coalesce("doc_id", nowhere).alias("id")).distinct()
+    d = docs.select(as_row(docs), F.coalesce(F.col("doc_id").cast("long"), nowhere).alias("id"), F.xxhash64("text").alias("hash"))
+    once = Window.partitionBy("id", "hash").orderBy("row.text")
+    out = d.join(kept, "id", "left_semi").withColumn("nth", F.row_number().over(once))
+    return out.filter("nth = 1").select("row.*")
