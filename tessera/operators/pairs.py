@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Post type codes.
 QUESTION, ANSWER = 1, 2
 
 
-def _split(posts: DataFrame, type_col: str, question_code: int,
-           answer_code: int) -> tuple[DataFrame, DataFrame]:
-    return posts.where(F.col(type_col) == question_code), posts.where(F.col(type_col) == answer_code)
-
-
-def _orphan_guard(answers: DataFrame, parent_col: str, like: DataFrame) -> DataFrame:
-    """No rows, or a failed job when some answer has no parent id.
-
-    The check is its own union branch, not part of the join key: Catalyst
-    copies join-key expressions into inferred filters on the other side and
-    may evaluate an added ``isnotnull`` first, which would either raise on
-    valid data or drop the orphan silently. Here the ``IsNull`` part reaches
-    the scan, so row groups whose statistics show no nulls are skipped.
-    """
-    parent = F.col(parent_col)
-    fail = F.when(parent.isNull(), F.raise_error(F.lit("answer without parent id"))).otherwise(F.lit(False))
-    return answers.where(parent.isNull() & fail.cast("boolean")).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+def _no_parent(parent: Column, otherwise: Column) -> Column:
+    return F.when(parent.isNull(), F.raise_error(F.lit("answer without parent id"))).otherwise(otherwise)
 
 
 def pair_parent_child(posts: DataFrame, *, type_col: str = "ptype", id_col: str = "id",
@@ -39,47 +23,44 @@ def pair_parent_child(posts: DataFrame, *, type_col: str = "ptype", id_col: str
     an answer with no parent id fails the job (``strict=False`` drops it). The
     answers stream through the join while the question side (one row per key)
     is buffered, and AQE splits a question with a huge answer list over tasks.
+
+    The strict form joins the answers to the left of the questions and decides
+    on the joined row: a match is kept, a null parent raises. So each side is
+    scanned once, and the raise is in no join key, which Catalyst would copy
+    into a filter on the other side.
     """
-    questions, answers = _split(posts, type_col, question_code, answer_code)
+    answers = posts.where(F.col(type_col) == answer_code)
+    questions = posts.where(F.col(type_col) == question_code)
     a = answers.select(F.col(parent_col).alias("qid"), F.col(id_col).alias("aid"), F.col(score_col).alias("score"))
-    q = questions.select(F.col(id_col).alias("qid"), F.col(tag_col).alias("tag"))
-    pairs = a.join(q, "qid", "inner").select("qid", "tag", "aid", "score")
-    return pairs.unionByName(_orphan_guard(answers, parent_col, pairs)) if strict else pairs
+    q = questions.select(F.col(id_col).alias("_question"), F.col(tag_col).alias("tag"))
+    on = F.col("qid") == F.col("_question")
+    if strict:
+        joined = a.join(q, on, "left").where(_no_parent(F.col("qid"), F.col("_question").isNotNull()).cast("boolean"))
+    else:
+        joined = a.join(q, on)
+    return joined.select("qid", "tag", "aid", "score")
 
 
 def best_child_score(posts: DataFrame, *, floor: int | None = None, type_col: str = "ptype",
                      id_col: str = "id", parent_col: str = "parent", score_col: str = "score",
                      tag_col: str = "tag", question_code: int = QUESTION, answer_code: int = ANSWER,
                      strict: bool = True) -> DataFrame:
-    """(qid, tag, score): highest answer score per answered question.
+    """(qid, tag, score): highest answer score per answered question, one row per question id.
 
-    The answers are reduced to one row per parent *before* the join (partial
-    max map-side, then a one-to-one join), so a question holding a third of
-    all answers costs no more than any other. ``floor=0`` clamps the best
-    score at zero; the default keeps negative scores. An answer with no
-    parent id fails the job unless ``strict=False``.
+    One aggregate over all posts, keyed by the question they belong to: one
+    scan, one shuffle, partial maxima map-side, so a question holding a third
+    of all answers costs no more than any other. ``floor=0`` clamps the best
+    score at zero; the default keeps negative scores. Of questions repeated
+    under one id the smallest tag counts. An answer with no parent id fails
+    the job unless ``strict=False``, which leaves it out.
     """
-    questions, answers = _split(posts, type_col, question_code, answer_code)
-    # The parent id is read back as an aggregate output (first of the group
-    # key), and both the join and the strict check use that column. A filter
-    # on it cannot move below the aggregate, so the check reads the same
-    # shuffle as the join (a reused exchange) instead of scanning the answers
-    # again; answers without a parent form the one group whose id is null.
-    best = (answers.select(F.col(parent_col).alias("_parent"), F.col(score_col).alias("score"))
-            .groupBy("_parent").agg(F.first("_parent").alias("qid"), F.max("score").alias("score"))
-            .select("qid", "score"))
-    q = questions.select(F.col(id_col).alias("qid"), F.col(tag_col).alias("tag"))
-    top = best
-    if floor is not None:
-        top = best.select("qid", F.greatest(F.lit(floor), F.col("score")).alias("score"))
-    scored = q.join(top, "qid", "inner").select("qid", "tag", "score")
-    if not strict:
-        return scored
-    qid = F.col("qid")
-    fail = F.when(qid.isNull(), F.raise_error(F.lit("answer without parent id"))).otherwise(F.lit(False))
-    # The guard passes qid and score through (it never yields a row) so that
-    # column pruning leaves both branches the same aggregate.
-    guard = best.where(fail.cast("boolean")).select(
-        "qid", F.lit(None).cast(scored.schema["tag"].dataType).alias("tag"),
-        F.col("score").cast(scored.schema["score"].dataType).alias("score"))
-    return scored.unionByName(guard)
+    is_question, is_answer = F.col(type_col) == question_code, F.col(type_col) == answer_code
+    parent = F.col(parent_col)
+    key = F.when(is_question, F.col(id_col)).otherwise(
+        _no_parent(parent, parent).cast(posts.schema[id_col].dataType) if strict else parent)
+    best = posts.where(is_question | is_answer).groupBy(key.alias("qid")).agg(
+        F.min(F.when(is_question, F.col(tag_col))).alias("tag"), F.max(F.when(is_answer, F.col(score_col))).alias("score"),
+        F.count_if(is_question).alias("_questions"), F.count_if(is_answer).alias("_answers"))
+    best = best.where((F.col("_questions") > 0) & (F.col("_answers") > 0) & F.col("qid").isNotNull())
+    score = F.col("score") if floor is None else F.greatest(F.lit(floor), F.col("score"))
+    return best.select("qid", "tag", score.alias("score"))

@@ -23,8 +23,8 @@ def extract_marked(df: DataFrame, col: str = "value", *, marker: str = ARTICLE_M
     ``start_marker`` when one is given -- up to the first ``marker``.
     text: after the marker, minus the last ``suffix_len`` characters.
 
-    A missing marker or a line too short for the slices is an error: Spark's
-    ``instr``/``substring`` would silently answer 0 / '' instead.
+    A missing marker, a line too short for the slices or a null line is an
+    error: Spark's ``instr``/``substring`` would silently answer 0, '' or null.
     ``on_error='raise'`` fails the job, ``'null'`` yields null title and text,
     ``'drop'`` removes the row.
     """
@@ -41,7 +41,7 @@ def extract_marked(df: DataFrame, col: str = "value", *, marker: str = ARTICLE_M
         bad_start = F.lit(False)
     text_start = i + F.lit(len(marker))
     text_len = F.length(s) - F.lit(suffix_len) - text_start + F.lit(1)
-    bad: Column = bad_start | (i == 0) | (i < start) | (text_len < 0)
+    bad: Column = F.coalesce(bad_start | (i == 0) | (i < start) | (text_len < 0), F.lit(True))
     title = s.substr(start, i - start)
     text = s.substr(text_start, text_len)
 
@@ -52,7 +52,8 @@ def extract_marked(df: DataFrame, col: str = "value", *, marker: str = ARTICLE_M
     if on_error == "null":
         fail = F.lit(None)
     else:
-        fail = F.raise_error(F.concat(F.lit(f"markup without '{marker}' or too short: "), F.substring(s, 1, 80)))
+        fail = F.raise_error(F.concat(
+            F.lit(f"markup without '{marker}' or too short: "), F.coalesce(F.substring(s, 1, 80), F.lit("null"))))
     return df.select(*keep,
                      F.when(bad, fail).otherwise(title).alias(title_col),
                      F.when(bad, F.lit(None)).otherwise(text).alias(text_col))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,36 +26,74 @@ def schema_from_header(names: Sequence[str]) -> T.StructType:
 
 
 def header_names(spark: SparkSession, path: str | list[str], *, sep: str = ",") -> list[str]:
-    """Column names from the first line (a one-partition job, no full scan)."""
+    """Column names from the first line (a one-partition job, no full scan); trailing empty names are dropped."""
+    return _drop_empty_tail(_first_line(spark, path).split(sep))
+
+
+def _first_line(spark: SparkSession, path: str | list[str]) -> str:
     first = spark.read.text(path).first()
     if first is None:
         raise ValueError(f"no header line in {path}")
-    return first["value"].split(sep)
+    return first["value"]
+
+
+def _drop_empty_tail(fields: list[str]) -> list[str]:
+    while fields and fields[-1] == "":
+        fields.pop()
+    return fields
+
+
+def _fields_of_lines(spark: SparkSession, path: str | list[str], names: list[str], sep: str) -> DataFrame:
+    """One array ``f`` of strings per data line, split like Java's ``String.split`` (trailing empty fields dropped).
+
+    Header lines are the lines that equal the first one; a header with other
+    names or another order stays in and fails as data.
+    """
+    s = re.escape(sep)
+    header = F.split(F.regexp_replace("value", f"({s})+$", ""), s)
+    lines = spark.read.text(path).select(header.alias("f"))
+    return lines.where(F.col("f") != F.array(*[F.lit(n) for n in names]))
+
+
+def _fields_of_quoted_lines(spark: SparkSession, path: str | list[str], names: list[str], header: str, sep: str,
+                            quote: str) -> DataFrame:
+    """The same with quotes taken off by Spark's CSV expression (a CSV scan would drop rows by pushed filters unseen)."""
+    ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    row = F.from_csv("value", ddl, {"sep": sep, "quote": quote, "mode": "FAILFAST"})
+    lines = spark.read.text(path).where(F.col("value") != header).select(row.alias("r"))
+    return lines.select(F.array(*[F.col(f"r.`{n}`") for n in names]).alias("f"))
 
 
 def read_wide_csv(spark: SparkSession, path: str | list[str], *, sep: str = ",", quote: str = "",
-                  check_not_null: bool = True) -> tuple[list[str], DataFrame]:
+                  strict: bool = True) -> tuple[list[str], DataFrame]:
     """(names, frame) of a CSV whose header fixes the schema.
 
     Quotes are data by default (``quote=''``): a field ``"2003"`` stays
-    ``"2003"`` with its quotes; pass ``quote='"'`` to strip them. Malformed
-    lines (wrong field count, bad number) fail the job; an empty number, which
-    the CSV reader turns into null even in FAILFAST mode, fails it too.
-    Each file's header line is skipped, so a folder of part files reads right.
+    ``"2003"`` with its quotes; pass ``quote='"'`` to strip them. Each file's
+    header line is skipped, so a folder of part files reads right; trailing
+    empty names and fields are dropped.
+
+    A wrong number of fields, a bad or empty number, or a file with another
+    header fails the job whatever columns are read: the check is a filter over
+    all fields, which column pruning cannot remove. ``strict=False`` saves the
+    check; bad numbers are null then, and so are missing fields.
     """
-    names = header_names(spark, path, sep=sep)
-    schema = schema_from_header(names)
-    reader = (spark.read.schema(schema).option("header", True).option("sep", sep)
-              .option("mode", "FAILFAST").option("enforceSchema", True))
-    reader = reader.option("quote", quote if quote else "\u0000")
-    df = reader.csv(path)
-    if check_not_null:
-        df = df.select([
-            F.when(F.col(n).isNull(), F.raise_error(F.lit(f"empty value in column {n}")))
-             .otherwise(F.col(n)).alias(n)
-            for n in names
-        ])
-    return names, df
+    header = _first_line(spark, path)
+    names = _drop_empty_tail(header.split(sep))
+    if quote:
+        names = [n[1:-1] if len(n) > 1 and n[0] == n[-1] == quote else n for n in names]
+    schema_from_header(names)
+    rows = (_fields_of_quoted_lines(spark, path, names, header, sep, quote) if quote
+            else _fields_of_lines(spark, path, names, sep))
+    if strict:
+        good = (F.size("f") == len(names)) & ~F.exists(
+            F.slice("f", 2, max(1, len(names) - 1)), lambda x: x.try_cast("double").isNull())
+        fail = F.raise_error(F.concat(F.lit(f"not {len(names)} fields, or a bad or empty number: "),
+                                      F.substring(F.array_join("f", sep, ""), 1, 200)))
+        rows = rows.where(F.when(F.coalesce(good, F.lit(False)), F.lit(True)).otherwise(fail.cast("boolean")))
+    first, rest = names[0], names[1:]
+    return names, rows.select(F.get("f", F.lit(0)).alias(first),
+                              *[F.get("f", F.lit(i)).try_cast("double").alias(n) for i, n in enumerate(rest, 1)])
 
 
 def write_wide_csv(df: DataFrame, path: str, *, sep: str = ",") -> None:

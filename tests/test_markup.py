@@ -41,3 +41,11 @@ def test_lenient_modes(spark):
     df = lines(spark, ["bad", "x" * 14 + "T</title><text>body" + "y" * 16])
     assert rows(extract_marked(df, on_error="drop")) == [("T", "body")]
     assert sorted(rows(extract_marked(df, on_error="null")), key=str) == sorted([(None, None), ("T", "body")], key=str)
+
+
+def test_null_line_is_an_error(spark):
+    df = spark.createDataFrame([(None,)], "value string")
+    with pytest.raises(Exception):
+        extract_marked(df).collect()
+    assert extract_marked(df, on_error="drop").collect() == []
+    assert [tuple(r) for r in extract_marked(df, on_error="null").collect()] == [(None, None)]

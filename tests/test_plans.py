@@ -21,7 +21,7 @@ def physical(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.catalog.QUERIES))
 def test_no_python_in_plans(spark, name):
     plan = physical(spark, name)
     assert not any(node in plan for node in PYTHON_NODES), name
@@ -39,8 +39,14 @@ def test_term_count_pushes_substring(spark):
     assert "StringContains(text," in physical(spark, "term_mentions")
 
 
-def test_pairs_guard_pushes_is_null(spark):
-    assert "IsNull(l_orderkey)" in physical(spark, "qa_pairs")
+def test_strict_pairs_scan_each_table_once(spark):
+    plan = physical(spark, "qa_pairs")
+    assert len(re.findall(r"FileScan parquet", plan)) == 2
+
+
+def test_best_score_is_one_aggregate(spark):
+    plan = physical(spark, "qa_best_score")
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_fused_ranking_scans_once(spark):

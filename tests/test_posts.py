@@ -77,23 +77,52 @@ def test_strict_check_survives_downstream_filters(spark):
         assert pr.best_child_score(posts).where(cond).count() >= 1
 
 
-def test_best_score_preaggregates_before_join(spark):
-    posts = parse_posts(lines(spark, FIX))
-    plan = pr.best_child_score(posts)._jdf.queryExecution().optimizedPlan().toString()
-    # the max runs below the join: Aggregate appears after (deeper than) the Join line
-    assert plan.index("Join") < plan.index("Aggregate")
+def final_plan(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("Final Plan"):plan.index("Initial Plan")]
 
 
-def test_best_score_check_shares_the_shuffle(spark, tmp_path):
-    """The strict check reads the join's shuffle again instead of parsing the posts a third time."""
+def test_best_score_is_one_scan_and_one_shuffle(spark, tmp_path):
     p = str(tmp_path / "posts")
     lines(spark, FIX).write.text(p)
-    df = pr.best_child_score(read_posts(spark, p))
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
-    assert "ReusedExchange" in final
-    assert final.count("FileScan text") == 2  # questions and answers; none for the check
+    plan = final_plan(pr.best_child_score(read_posts(spark, p)))
+    assert plan.count("FileScan text") == 1 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_strict_pairs_scan_each_side_once(spark, tmp_path):
+    p = str(tmp_path / "posts")
+    lines(spark, FIX).write.text(p)
+    assert final_plan(pr.pair_parent_child(read_posts(spark, p))).count("FileScan text") == 2
+
+
+def test_repeated_question_id_gives_one_row(spark):
+    posts = parse_posts(lines(spark, ["1,10,,,5,Java", "1,10,,,5,C#", "2,11,,10,3"]))
+    assert rows(pr.best_child_score(posts)) == [(10, "C#", 3)]
+
+
+@pytest.mark.parametrize("bad", ["1,10,zz,,5,Java", "1,10", "1,10,,,bad,Java", "1,99999999999999999999,,,1", "9999999999,1,,,1"])
+def test_pruned_reads_fail_on_bad_lines(spark, tmp_path, bad):
+    p = str(tmp_path / "posts")
+    lines(spark, [*FIX, bad]).write.text(p)
+    posts = read_posts(spark, p)
+    for read in (lambda: posts.select("tag").collect(), posts.count, lambda: pr.best_child_score(posts).collect(),
+                 lambda: posts.where("id = 10").collect(), lambda: pr.pair_parent_child(posts).count()):
+        with pytest.raises(Exception, match="bad post line"):
+            read()
+    assert read_posts(spark, p, strict=False).count() == len(FIX) + 1
+
+
+def test_null_line_fails(spark):
+    with pytest.raises(Exception, match="bad post line"):
+        parse_posts(lines(spark, [None])).count()
+
+
+@pytest.mark.parametrize("tag", ["a,b", "a\nb"])
+def test_tag_that_would_not_read_back_fails(spark, tag):
+    posts = spark.createDataFrame([(1, 1, None, None, 0, tag)], "ptype int, id long, accepted long, parent long, score int, tag string")
+    with pytest.raises(Exception, match="separator or line break"):
+        format_posts(posts).collect()
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

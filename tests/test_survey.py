@@ -103,6 +103,39 @@ def test_malformed_csv_fails(spark, tmp_path, body):
         df.collect()
 
 
+@pytest.mark.parametrize("body", ["x,1\n", "x,1,2,3\n", "x,1,abc\n", "x,,2\n", "x,1,\n"])
+@pytest.mark.parametrize("quote", ["", '"'])
+def test_pruned_csv_reads_fail(spark, tmp_path, body, quote):
+    p = write(tmp_path, "bad.csv", "id,a,b\ny,1,2\n" + body)
+    _, df = read_wide_csv(spark, p, quote=quote)
+    for read in (lambda: df.select("a").collect(), df.count, lambda: df.where("a = 1").select("id").collect()):
+        with pytest.raises(Exception):
+            read()
+
+
+@pytest.mark.parametrize("quote", ["", '"'])
+def test_other_header_fails(spark, tmp_path, quote):
+    d = tmp_path / "parts"
+    d.mkdir()
+    (d / "p1.csv").write_text("id,a,b\nx,1,2\n")
+    (d / "p2.csv").write_text("id,b,a\ny,3,4\n")
+    _, df = read_wide_csv(spark, str(d), quote=quote)
+    with pytest.raises(Exception):
+        df.collect()
+
+
+def test_trailing_empty_names_are_dropped(spark, tmp_path):
+    p = write(tmp_path, "tail.csv", "id,a,,\nx,1,,\ny,2\n")
+    names, df = read_wide_csv(spark, p)
+    assert names == ["id", "a"] and rows(df) == [("x", 1.0), ("y", 2.0)]
+
+
+def test_lenient_csv(spark, tmp_path):
+    p = write(tmp_path, "len.csv", "id,a,b\nx,1,abc\ny,2\n")
+    _, df = read_wide_csv(spark, p, strict=False)
+    assert rows(df) == [("x", 1.0, None), ("y", 2.0, None)]
+
+
 def test_header_skipped_per_file(spark, tmp_path):
     d = tmp_path / "parts"
     d.mkdir()
