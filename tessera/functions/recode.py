@@ -21,26 +21,20 @@ YOUNG_RANGE = (15.0, 22.0)      # young when low <= teage <= high
 ELDER_ABOVE = 55.0              # elder when teage > 55, active otherwise
 
 
-# Above this many double columns the sum is a fold over one array: a chain of
-# hundreds of additions is too large for whole-stage codegen and slow to compile.
-FOLD_MIN_COLUMNS = 64
-
-
 def row_sum(cols: Sequence[Column | str], *, as_double: bool = False) -> Column:
     """Left-to-right sum of columns; double addition is not associative, so order is kept.
 
-    ``as_double=True`` casts each column to double first; then more than
-    ``FOLD_MIN_COLUMNS`` columns are summed by ``aggregate`` over an array,
-    starting from the first column, so the additions (and their rounding)
-    are exactly those of the chain.
+    ``as_double=True`` casts each column to double and folds them as one array
+    (``aggregate``) from the first column on: the additions, and their rounding,
+    are those of a chain, and hundreds of columns neither overflow the stack nor
+    outgrow the generated code.
     """
     cols = [as_col(c) for c in cols]
     if not cols:
         raise ValueError("row_sum needs at least one column")
     if as_double:
-        cols = [c.cast("double") for c in cols]
-        if len(cols) > FOLD_MIN_COLUMNS:
-            return F.aggregate(F.array(*cols[1:]), cols[0], lambda acc, v: acc + v)
+        first, *rest = [c.cast("double") for c in cols]
+        return F.aggregate(F.array(*rest).cast("array<double>"), first, lambda acc, v: acc + v)
     return functools.reduce(operator.add, cols)
 
 

@@ -21,25 +21,27 @@ REPORT_HEADER = ("Resulting clusters:",
 
 
 def summarize_clusters(vectors: DataFrame, centers: Sequence[tuple[int, int]],
-                       tags: Sequence[str] = LANGS, *, spread: int = LANG_SPREAD) -> DataFrame:
+                       tags: Sequence[str] = LANGS, *, spread: int = LANG_SPREAD,
+                       weight: str | None = None) -> DataFrame:
     """(cluster, label, pct, size, median) for each non-empty cluster, by median then cluster.
 
     label: tag of the commonest x (ties → lowest x); pct: integer share of that
     tag in percent (truncated, as a double); median: exact, the truncated mean
     of the two middle scores when the size is even.
 
-    Points are first folded into a weighted histogram, so every aggregate
+    Points are first folded into a weighted histogram (``weight`` names the
+    multiplicity column of one that is folded already), so every aggregate
     below runs on distinct (cluster, x, y) with partial aggregation; the
     median is an exact radix selection on the weighted scores, whose state
     per task stays bounded however large one cluster is.
     """
-    hist = vectors if "w" in vectors.columns else point_histogram(vectors)
+    hist = vectors.select("x", "y", F.col(weight).alias("w")) if weight else point_histogram(vectors)
     assigned = assign_nearest(hist, centers)
     by_x = (assigned.groupBy("cluster", "x").agg(F.sum("w").alias("n"))
             .groupBy("cluster")
             .agg(F.max_by("x", F.struct(F.col("n"), -F.col("x"))).alias("top_x"),
                  F.max("n").alias("top_n")))
-    stats = exact_median(assigned, "cluster", "y", "w", max_groups=len(centers))
+    stats = exact_median(assigned, "cluster", "y", "w", broadcast_targets=True)
     tag_arr = F.array(*[F.lit(t) for t in tags])
     # Both sides have one row per non-empty cluster (at most k).
     return (stats.join(F.broadcast(by_x), "cluster")

@@ -15,11 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.geometry import nearest_center, nearest_center_array
 from tessera.session import scratch_path
@@ -28,11 +25,6 @@ from tessera.session import scratch_path
 KMEANS_ETA = 20.0
 KMEANS_MAX_ITERATIONS = 45
 
-# Up to this many centers the nearest-center search is one built-in
-# expression (array literal on histograms, inlined literals on raw points);
-# above it an Arrow-batched numpy kernel takes over.
-LITERAL_CENTER_LIMIT = 256
-
 Centers = list[tuple[int, int]]
 
 
@@ -41,47 +33,27 @@ def point_histogram(vectors: DataFrame, *, x: str = "x", y: str = "y") -> DataFr
     return vectors.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("w"))
 
 
-def _weight(df: DataFrame):
-    return F.col("w") if "w" in df.columns else F.lit(1).cast("bigint")
-
-
-def assign_nearest(points: DataFrame, centers: Sequence[tuple[int, int]], *,
-                   out_col: str = "cluster") -> DataFrame:
+def assign_nearest(points: DataFrame, centers: Sequence[tuple[int, int]], *, out_col: str = "cluster",
+                   inline: bool = False) -> DataFrame:
     """Add the index of the nearest center (ties → lowest index).
 
-    A histogram (a ``w`` column: distinct points, few rows) gets the centers
-    as one array literal, so each Lloyd pass reuses the compiled stage. Raw
-    points get them as inlined literals: compiled anew, but the fastest per
-    row. Above ``LITERAL_CENTER_LIMIT`` centers an Arrow/numpy kernel runs.
+    The centers travel as one array literal, so each Lloyd pass reuses the
+    compiled stage, for any number of centers. ``inline=True`` writes them into
+    the generated code instead: compiled anew each time, faster per row, and
+    for few centers only.
     """
     centers = [(int(a), int(b)) for a, b in centers]
-    if len(centers) > LITERAL_CENTER_LIMIT:
-        return _assign_arrow(points, centers, out_col)
-    expr = nearest_center_array if "w" in points.columns else nearest_center
+    expr = nearest_center if inline else nearest_center_array
     return points.withColumn(out_col, expr("x", "y", centers).cast("int"))
 
 
-def _assign_arrow(points: DataFrame, centers: Centers, out_col: str) -> DataFrame:
-    """Many centers: numpy argmin per Arrow batch; the k centers travel in the closure."""
-    c = np.asarray(centers, dtype=np.float64)
-    schema = T.StructType(points.schema.fields + [T.StructField(out_col, T.IntegerType())])
-
-    def kernel(batches):
-        for pdf in batches:
-            px = pdf["x"].to_numpy(dtype=np.float64)[:, None]
-            py = pdf["y"].to_numpy(dtype=np.float64)[:, None]
-            d = (px - c[None, :, 0]) ** 2 + (py - c[None, :, 1]) ** 2
-            # argmin returns the first minimum: ties go to the lowest index.
-            out = pdf.copy()
-            out[out_col] = pd.Series(np.argmin(d, axis=1).astype(np.int32), index=pdf.index)
-            yield out
+def centroid_sums(points: DataFrame, centers: Sequence[tuple[int, int]], *, weight: str | None = None) -> DataFrame:
+    """(cluster, x, y, n) over non-empty clusters: integer means truncated toward zero.
 
-    return points.mapInPandas(kernel, schema)
-
-
-def centroid_sums(points: DataFrame, centers: Sequence[tuple[int, int]]) -> DataFrame:
-    """(cluster, x, y, n) over non-empty clusters: integer means truncated toward zero."""
-    w = _weight(points)
+    ``weight`` names the multiplicity column of a histogram; without it every
+    row is one point, whatever other columns it has.
+    """
+    w = F.col(weight) if weight else F.lit(1).cast("bigint")
     assigned = assign_nearest(points, centers)
     return (assigned.groupBy("cluster")
             .agg(F.sum(F.col("x").cast("bigint") * w).alias("sx"),
@@ -93,10 +65,10 @@ def centroid_sums(points: DataFrame, centers: Sequence[tuple[int, int]]) -> Data
                     "n"))
 
 
-def lloyd_update(points: DataFrame, centers: Sequence[tuple[int, int]]) -> Centers:
+def lloyd_update(points: DataFrame, centers: Sequence[tuple[int, int]], *, weight: str | None = None) -> Centers:
     """One pass: new centers on the driver (k rows); empty clusters keep their center."""
     new = list(centers)
-    for r in centroid_sums(points, centers).collect():
+    for r in centroid_sums(points, centers, weight=weight).collect():
         new[r["cluster"]] = (r["x"], r["y"])
     return new
 
@@ -121,14 +93,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def fit_lloyd(vectors: DataFrame, centers: Sequence[tuple[int, int]], *, eta: float = KMEANS_ETA,
-              max_iter: int = KMEANS_MAX_ITERATIONS, weighted: bool = True, cut_lineage: bool = True
-              ) -> tuple[Centers, list[dict]]:
+              max_iter: int = KMEANS_MAX_ITERATIONS, weight: str | None = None, fold: bool = True,
+              cut_lineage: bool = True) -> tuple[Centers, list[dict]]:
     """Run Lloyd passes until the total squared move is below ``eta`` or ``max_iter`` passes.
 
     Returns the final centers (the means *after* the last pass) and a trace,
-    one dict per pass and cluster. ``vectors`` are points (x, y) or, with a
-    ``w`` column, a histogram already. ``weighted=False`` iterates on the raw
-    points instead of the histogram (same result, slower). The points are
+    one dict per pass and cluster. ``vectors`` are points (x, y) or, with
+    ``weight`` naming the multiplicity column, a histogram already.
+    ``fold=False`` iterates on the raw points instead of folding them into a
+    histogram (same result, slower). The points are
     written to the shared folder first unless ``cut_lineage=False`` (the
     caller passes a table that is already written).
     """
@@ -137,16 +110,17 @@ def fit_lloyd(vectors: DataFrame, centers: Sequence[tuple[int, int]], *, eta: fl
     means = [(int(a), int(b)) for a, b in centers]
     if not means:
         raise ValueError("no initial centers")
-    if "w" in vectors.columns:
-        pts = vectors.select("x", "y", "w")
+    if weight:
+        pts = vectors.select("x", "y", weight)
     else:
         pts = vectors.select("x", "y")
-        pts = point_histogram(pts) if weighted else pts
+        if fold:
+            pts, weight = point_histogram(pts), "w"
     if cut_lineage:
         pts = materialize(pts, "lloyd-points")
     history: list[dict] = []
     for it in range(1, max_iter + 1):
-        new = lloyd_update(pts, means)
+        new = lloyd_update(pts, means, weight=weight)
         moved = total_movement(means, new)
         for i, ((ox, oy), (nx, ny)) in enumerate(zip(means, new)):
             history.append({"iteration": it, "cluster": i, "old_x": ox, "old_y": oy, "new_x": nx,
@@ -169,7 +143,10 @@ def history_frame(spark: SparkSession, history: list[dict]) -> DataFrame:
 
 def collect_centers(seeds: DataFrame, expected: int | None = None) -> Centers:
     """Seed rows (cluster, x, y) → ordered center list; checks the count."""
-    rows = sorted(seeds.select("cluster", "x", "y").collect(), key=lambda r: r["cluster"])
+    seeds = seeds.select("cluster", "x", "y")
+    if expected is not None:
+        seeds = seeds.limit(expected + 1)
+    rows = sorted(seeds.collect(), key=lambda r: r["cluster"])
     if expected is not None and len(rows) != expected:
         raise ValueError(f"expected {expected} seeds, got {len(rows)}: some stratum has too few points")
     return [(r["x"], r["y"]) for r in rows]

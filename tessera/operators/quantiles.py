@@ -40,22 +40,17 @@ def _pick(counts: DataFrame, part: list[str], digit: str) -> DataFrame:
     return cum.where((F.col("_cum") - F.col("_w") <= F.col("_r")) & (F.col("_r") < F.col("_cum")))
 
 
-# Rank targets up to this many rows (two per group) are broadcast when the
-# caller states a bound on the number of groups.
-BROADCAST_TARGETS_LIMIT = 1_000_000
-
-
 def exact_median(df: DataFrame, group: str, value: str, weight: str | None = None, *,
                  median_col: str = "median", size_col: str = "size",
-                 max_groups: int | None = None) -> DataFrame:
+                 broadcast_targets: bool = False) -> DataFrame:
     """(group, size, median) per group with at least one non-null value.
 
     ``weight`` is an optional non-negative integer frequency per row (a
     histogram); size is the total weight. The median has the value's type
     widened to bigint before the final truncated mean, then cast back.
-    ``max_groups`` is a bound the caller knows (k clusters, say). With it the
-    rank targets (two rows per group) are broadcast, so the rows are never
-    shuffled to meet them; without it the planner and AQE decide.
+    ``broadcast_targets=True`` broadcasts the rank targets, two rows a group,
+    so the rows are never shuffled to meet them; pass it where the number of
+    groups is known to be small (k clusters). Else the planner and AQE decide.
     """
     width = _width(df, value)
     levels = width // DIGIT_BITS
@@ -86,7 +81,7 @@ def exact_median(df: DataFrame, group: str, value: str, weight: str | None = Non
     for level in range(1, levels):
         parent = F.shiftright(F.col("_v"), width - DIGIT_BITS * level)
         bucket = chosen.select(F.col("_g").alias("_cg"), "_which", "_n", "_prefix", "_r")
-        if max_groups is not None and 2 * max_groups <= BROADCAST_TARGETS_LIMIT:
+        if broadcast_targets:
             bucket = F.broadcast(bucket)
         inside = src.join(bucket, (F.col("_g") == F.col("_cg")) & (parent == F.col("_prefix")))
         counts = (inside.groupBy("_g", "_which", "_n", "_r", digit(level).alias("_d"))

@@ -70,7 +70,7 @@ def summarize_time(df: DataFrame, primary: Sequence[str], work: Sequence[str], o
     for label, cols in (("primary", primary), ("work", work), ("other", other)):
         if not cols:
             raise ValueError(f"no {label} columns to sum")
-    src = df.where(F.col(telfs) != F.lit(unemployable_code)) if exclude_unemployable else df
+    src = df.where(~F.col(telfs).eqNullSafe(F.lit(unemployable_code))) if exclude_unemployable else df
     return src.select(
         working_band(telfs).alias("working"),
         sex_band(tesex).alias("sex"),
@@ -92,34 +92,41 @@ def average_by_group(summed: DataFrame, *, keys: Sequence[str] = GROUP_KEYS,
     return summed.groupBy(*keys).agg(*aggs).orderBy(*keys)
 
 
-def average_by_group_sql(summed: DataFrame) -> DataFrame:
+def average_by_group_sql(summed: DataFrame, *, keys: Sequence[str] = GROUP_KEYS,
+                         measures: Sequence[str] = MEASURES, scale: int = 1) -> DataFrame:
     """The same grouped mean through Spark SQL; the frame is bound as a parameter, not a global view."""
-    spark = summed.sparkSession
-    return spark.sql(
-        "SELECT working, sex, age, "
-        "round(avg(primaryNeeds), 1) AS primaryNeeds, "
-        "round(avg(work), 1) AS work, "
-        "round(avg(other), 1) AS other "
-        "FROM {summed} GROUP BY working, sex, age "
-        "ORDER BY working, sex, age",
-        summed=summed,
-    )
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``").replace("{", "{{").replace("}", "}}") + "`"
+
+    by = ", ".join(map(quoted, keys))
+    means = ", ".join(f"round(avg({quoted(m)}), {int(scale)}) AS {quoted(m)}" for m in measures)
+    return summed.sparkSession.sql(f"SELECT {by}, {means} FROM {{summed}} GROUP BY {by} ORDER BY {by}", summed=summed)
+
+
+# Types each type may be widened to without losing a value of a typical column.
+_WIDER = {
+    T.ByteType: (T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType),
+    T.ShortType: (T.IntegerType, T.LongType, T.FloatType, T.DoubleType),
+    T.IntegerType: (T.LongType, T.DoubleType),
+    T.LongType: (T.DoubleType,),
+    T.FloatType: (T.DoubleType,),
+    T.DateType: (T.TimestampType,),
+}
 
 
 def conform(df: DataFrame, schema: T.StructType = SUMMARY_SCHEMA) -> DataFrame:
     """Match a row contract by name: reorder, fail on a missing column or a narrowing type.
 
     ``DataFrame.to`` would silently cast double 1.5 to int 1; here only exact
-    types or a widening to double are allowed.
+    types or a widening (int to bigint or double, float to double, ...) are
+    allowed.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
-    widen_to_double = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType)
     for f in schema.fields:
         if f.name not in have:
             raise ValueError(f"column {f.name!r} missing; have {sorted(have)}")
         src = have[f.name]
-        ok = src == f.dataType or (isinstance(f.dataType, T.DoubleType) and isinstance(src, widen_to_double))
-        if not ok:
+        if src != f.dataType and not isinstance(f.dataType, _WIDER.get(type(src), ())):
             raise TypeError(f"column {f.name!r}: cannot conform {src.simpleString()} "
                             f"to {f.dataType.simpleString()}")
     return df.to(schema)

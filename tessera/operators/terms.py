@@ -18,62 +18,52 @@ from pyspark.sql import types as T
 
 from tessera.functions.text import DEFAULT_SEPARATOR, has_token, matching_terms, tokens, validate_terms
 
-# Above this many terms the literal array is replaced by a join with a term table.
-LITERAL_TERM_LIMIT = 512
-# Up to this many terms (tens of MB) the term table is broadcast; above it the
-# join is left to the planner and AQE, which shuffle both sides by term.
-BROADCAST_TERM_LIMIT = 1_000_000
-
-
 def mention_count(docs: DataFrame, term: str, *, text_col: str = "text",
                   sep: str = DEFAULT_SEPARATOR) -> DataFrame:
     """One row (term, n_docs): documents whose text has ``term`` as a token; 0 when none."""
+    validate_terms([term])
     return docs.where(has_token(text_col, term, sep)).agg(
         F.lit(term).alias("term"), F.count(F.lit(1)).alias("n_docs"))
 
 
-def _doc_terms(docs: DataFrame, terms: Sequence[str], text_col: str, sep: str,
+def _doc_terms(docs: DataFrame, terms: Sequence[str], text_col: str, sep: str, by_join: bool,
                keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., term) once per document and matching term."""
-    if len(terms) <= LITERAL_TERM_LIMIT:
+    if not by_join:
         return docs.select(*keep, F.explode(matching_terms(text_col, terms, sep)).alias("term"))
-    # Long lists: distinct tokens per document joined to the term table. The
-    # table is the caller's list, so its size is known before broadcasting.
-    spark = docs.sparkSession
-    term_df = spark.createDataFrame([(t,) for t in terms], "term string")
-    if len(terms) <= BROADCAST_TERM_LIMIT:
-        term_df = F.broadcast(term_df)
+    # Distinct tokens per document joined to the term table; whether that is
+    # broadcast is decided by its size in bytes (the planner's threshold, AQE).
     toks = docs.select(*keep, F.explode(F.array_distinct(tokens(text_col, sep))).alias("term"))
-    return toks.join(term_df, "term").select(*keep, "term")
+    return toks.join(_term_table(docs, terms).select("term"), "term").select(*keep, "term")
 
 
 def _term_table(docs: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """(ord, term) rows of the caller's list, built without a driver-side dataset."""
-    return docs.sparkSession.range(1).select(
-        F.posexplode(F.array(*[F.lit(t) for t in terms])).alias("ord", "term"))
+    """(ord, term) rows of the caller's list."""
+    return docs.sparkSession.createDataFrame(list(enumerate(terms)), "ord int, term string")
 
 
-def rank_terms(docs: DataFrame, terms: Sequence[str], *, keep_zero: bool = True,
+def rank_terms(docs: DataFrame, terms: Sequence[str], *, keep_zero: bool = True, by_join: bool = False,
                text_col: str = "text", sep: str = DEFAULT_SEPARATOR) -> DataFrame:
     """(term, n_docs) sorted by count descending.
 
     ``keep_zero=True`` lists every term, zeros included, ties in list order;
-    ``keep_zero=False`` lists only terms with hits, ties by term.
+    ``keep_zero=False`` lists only terms with hits, ties by term. The list is
+    a literal in the scan's projection; ``by_join=True`` joins the documents'
+    tokens to it as a table instead, for lists of many thousands of terms.
     """
     terms = validate_terms(terms)
-    hits = (_doc_terms(docs, terms, text_col, sep)
+    hits = (_doc_terms(docs, terms, text_col, sep, by_join)
             .groupBy("term").agg(F.count(F.lit(1)).alias("n_docs")))
     if not keep_zero:
         return hits.orderBy(F.desc("n_docs"), F.asc("term"))
-    # ``hits`` has at most len(terms) rows, a bound known before the broadcast.
     ranked = (_term_table(docs, terms)
-              .join(F.broadcast(hits), "term", "left")
+              .join(hits, "term", "left")
               .select("term", F.coalesce(F.col("n_docs"), F.lit(0).cast("bigint")).alias("n_docs"), "ord"))
     return ranked.orderBy(F.desc("n_docs"), F.asc("ord")).drop("ord")
 
 
 def build_index(docs: DataFrame, terms: Sequence[str], *, id_col: str = "doc_id",
-                text_col: str = "text", carry: Sequence[str] = (),
+                text_col: str = "text", carry: Sequence[str] = (), by_join: bool = False,
                 sep: str = DEFAULT_SEPARATOR) -> DataFrame:
     """Flat postings (term, id, carry...): one row per term and mentioning document.
 
@@ -83,7 +73,7 @@ def build_index(docs: DataFrame, terms: Sequence[str], *, id_col: str = "doc_id"
     """
     terms = validate_terms(terms)
     keep = [id_col, *carry]
-    return _doc_terms(docs, terms, text_col, sep, keep=keep).select("term", *keep)
+    return _doc_terms(docs, terms, text_col, sep, by_join, keep=keep).select("term", *keep)
 
 
 # Ids per page of the nested index: no posting array grows beyond this.
@@ -106,14 +96,15 @@ def build_index_pages(docs: DataFrame, terms: Sequence[str], *, id_col: str = "d
     if not isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         raise TypeError(f"{id_col!r} must be an integer column to be paged")
     postings = build_index(docs, terms, id_col=id_col, text_col=text_col, sep=sep)
-    page = F.floor(F.col(id_col) / F.lit(page_size)).cast("bigint")
+    # Floor in integers: doubles would put neighbouring ids beyond 2**53 on one page.
+    page = F.expr(f"(cast(`{id_col}` as bigint) - pmod(cast(`{id_col}` as bigint), {page_size}L)) div {page_size}L")
     return (postings.groupBy("term", page.alias("page"))
             .agg(F.array_sort(F.collect_list(id_col)).alias("doc_ids")))
 
 
-def rank_from_index(index: DataFrame, *, term_col: str = "term") -> DataFrame:
-    """(term, n_docs) from flat postings or index pages, count descending, ties by term."""
-    if "doc_ids" in index.columns:
+def rank_from_index(index: DataFrame, *, term_col: str = "term", pages: bool = False) -> DataFrame:
+    """(term, n_docs) from flat postings or, with ``pages=True``, index pages; count descending, ties by term."""
+    if pages:
         counts = index.groupBy(term_col).agg(F.sum(F.size("doc_ids")).cast("bigint").alias("n_docs"))
     else:
         counts = index.groupBy(term_col).agg(F.count(F.lit(1)).alias("n_docs"))

@@ -15,7 +15,7 @@ LANGS = ("JavaScript", "Java", "PHP", "Python", "C#", "C++", "Ruby", "CSS",
 LANG_SPREAD = 50000
 KMEANS_KERNELS = 45
 SAMPLE_SEED = 42
-# Below this spread the tags are too close to stratify by; a plain sample is drawn.
+# From this spread on the tags are far enough apart to stratify by.
 STRATIFY_MIN_SPREAD = 500
 
 
@@ -47,30 +47,25 @@ def sample_key(id_col: str = "id", seed: int = SAMPLE_SEED) -> Column:
     return F.md5(F.concat_ws("#", F.lit(str(seed)), F.col(id_col).cast("string")))
 
 
-def seed_centers(vectors: DataFrame, per_stratum: int, *, stratum: str = "x", id_col: str = "id",
-                 seed: int = SAMPLE_SEED, strata: Sequence[int] | None = None) -> DataFrame:
-    """(id, x, y, cluster): ``per_stratum`` points drawn without replacement from each stratum.
+def seed_centers(vectors: DataFrame, per_stratum: int, strata: Sequence[int], *, stratum: str = "x",
+                 id_col: str = "id", seed: int = SAMPLE_SEED) -> DataFrame:
+    """(id, x, y, cluster): ``per_stratum`` points drawn without replacement from each listed stratum.
 
     ``row_number() <= n`` plans a WindowGroupLimit before and after the
     exchange, so each task ships at most n rows per stratum: a stratum holding
     a third of all points costs no more than a small one. Clusters are numbered
-    by (stratum, draw order). With the list of ``strata`` known (the tag
-    positions of k-means) the number is computed per row, and points of
-    unlisted strata are not drawn; without it a window over the drawn rows
-    only (n per stratum) numbers them.
+    by (stratum, draw order), computed per row from the list of ``strata`` (the
+    tag positions of k-means); points of other strata are not drawn. A stratum
+    with fewer points gives all it has; ``initial_centers`` fails on it.
     """
     if per_stratum <= 0:
         raise ValueError("per_stratum must be positive")
+    strata = sorted(int(v) for v in strata)
     w = Window.partitionBy(stratum).orderBy(sample_key(id_col, seed), F.col(id_col))
     drawn = vectors.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per_stratum)
-    if strata is not None:
-        strata = sorted(int(v) for v in strata)
-        pos = F.array_position(F.array(*[F.lit(v) for v in strata]), F.col(stratum))
-        cluster = (pos - 1) * F.lit(per_stratum) + F.col("_rn") - 1
-        drawn = drawn.where(pos > 0)
-    else:
-        cluster = F.row_number().over(Window.orderBy(F.col(stratum), F.col("_rn"))) - 1
-    return drawn.select(id_col, "x", "y", cluster.cast("int").alias("cluster"))
+    pos = F.array_position(F.array(*[F.lit(v) for v in strata]), F.col(stratum))
+    cluster = (pos - 1) * F.lit(per_stratum) + F.col("_rn") - 1
+    return drawn.where(pos > 0).select(id_col, "x", "y", cluster.cast("int").alias("cluster"))
 
 
 def tag_strata(tags: Sequence[str], spread: int) -> list[int]:
@@ -92,16 +87,25 @@ def centers_per_stratum(k: int, n_strata: int) -> int:
 
 
 def initial_centers(vectors: DataFrame, k: int = KMEANS_KERNELS, tags: Sequence[str] = LANGS, *,
-                    spread: int = LANG_SPREAD, id_col: str = "id", seed: int = SAMPLE_SEED) -> DataFrame:
-    """(id, x, y, cluster): k starting centers.
-
-    With a spread of at least 500, k / len(tags) points per tag (the
-    stratum is x); below it, a plain seeded sample of k points.
+                    spread: int = LANG_SPREAD, id_col: str = "id", seed: int = SAMPLE_SEED,
+                    min_spread: int = STRATIFY_MIN_SPREAD) -> DataFrame:
+    """(id, x, y, cluster): exactly k starting centers, as a local frame.
+
+    With a spread of at least ``min_spread``, k / len(tags) points per tag (the
+    stratum is x); below it, a plain seeded sample of k points. The draw runs
+    here and k rows reach the driver; a tag with too few points, or fewer than
+    k points in all, is an error.
     """
-    if spread < STRATIFY_MIN_SPREAD:
-        drawn = plain_sample(vectors, k, id_col=id_col, seed=seed)
-        order = Window.orderBy(sample_key(id_col, seed), F.col(id_col))
-        # At most k rows: the numbering window is tiny.
-        return drawn.select(id_col, "x", "y", (F.row_number().over(order) - 1).cast("int").alias("cluster"))
-    return seed_centers(vectors, centers_per_stratum(k, len(tags)), id_col=id_col, seed=seed,
-                        strata=tag_strata(tags, spread))
+    if spread < min_spread:
+        drawn = plain_sample(vectors, k, id_col=id_col, seed=seed).select(
+            id_col, "x", "y", sample_key(id_col, seed).alias("_key"))
+        rows = sorted(drawn.collect(), key=lambda r: (r["_key"], r[id_col]))
+        found = [(*r[:3], i) for i, r in enumerate(rows)]
+    else:
+        drawn = seed_centers(vectors, centers_per_stratum(k, len(tags)), tag_strata(tags, spread), id_col=id_col, seed=seed)
+        found = sorted((tuple(r) for r in drawn.collect()), key=lambda r: r[3])
+    if len(found) != k:
+        raise ValueError(f"drew {len(found)} of {k} centers: too few points" + (
+            "" if spread < min_spread else f" of a tag (clusters found: {[r[3] for r in found]})"))
+    id_type = vectors.schema[id_col].dataType.simpleString()
+    return vectors.sparkSession.createDataFrame(found, f"`{id_col}` {id_type}, x int, y int, cluster int")

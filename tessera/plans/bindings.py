@@ -18,10 +18,20 @@ DOC_TERMS = ("the", "The", "the,", "in", "und", "que", "a", "zzzabsent")
 ORDER_TAGS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 SPREAD = 50000
 PER_TAG = 3
+PER_TAG_PUBLISHED = 9  # 45 centers over the five order priorities
 SEED = 42
 SCORE_SHIFT = 25
 INDEX_PAGE = 100
 
+# A time-use file's width: (column, source column, factor) of 440 activities.
+# The factors keep every product and sum exact in doubles, whatever the order.
+WIDE_ACTIVITIES = tuple(
+    (f"t{group}{i:04d}", source, factor)
+    for g, group in enumerate(("01", "02", "03", "04", "05", "06", "07", "08", "09", "10", "11",
+                               "12", "13", "14", "15", "16", "17", "18", "1801", "1803", "1805", "50"))
+    for i in range(20)
+    for source, factor in ((("l_quantity", "l_linenumber")[(g + i) % 2], 1 + (g * 20 + i) % 7),))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -53,6 +63,16 @@ def survey_from_lineitem(li: DataFrame) -> DataFrame:
     )
 
 
+def wide_survey_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survey with hundreds of activity columns, derived from ``lineitem``."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tucaseid"),
+        F.col("l_linenumber").cast("double").alias("telfs"),
+        (F.col("l_suppkey") % 2 + 1).cast("double").alias("tesex"),
+        (F.col("l_partkey") % 90).cast("double").alias("teage"),
+        *[(F.col(c) * F.lit(f)).cast("double").alias(n) for n, c, f in WIDE_ACTIVITIES])
+
+
 def posts_frame(spark: SparkSession, sf_dir: str, *, score_shift: int = 0) -> DataFrame:
     """Posts (ptype, id, accepted, parent, score, tag): orders are questions, line items answers.
 
@@ -86,5 +106,12 @@ def docs_from_documents(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text")
 
 
+def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, value): each document as a one-line article record."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(
+        F.lit("<page> <title>"), F.concat(F.lit("Article "), F.col("doc_id").cast("string")),
+        F.lit("</title><text>"), "text", F.lit("</text>  </page>")).alias("value"))
+
+
 def pages_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "html")

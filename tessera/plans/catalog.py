@@ -55,6 +55,32 @@ def survey_grouped_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.average_by_group_typed(_survey_summary(spark, sf_dir))
 
 
+def survey_wide_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grouped means over as many activity columns as a time-use file has."""
+    df = b.wide_survey_frame(spark, sf_dir)
+    p, w, o = sv.classify_columns(df.columns)
+    return sv.average_by_group(sv.summarize_time(df, p, w, o))
+
+
+def _survey_wide_sql() -> str:
+    p, w, o = sv.classify_columns([n for n, _, _ in b.WIDE_ACTIVITIES])
+    by_name = {n: f"({c} * {f})" for n, c, f in b.WIDE_ACTIVITIES}
+
+    def hours(names: list[str]) -> str:
+        return "(" + " + ".join(by_name[n] for n in names) + ") / 60.0"
+
+    return f"""
+WITH summary AS (
+  SELECT CASE WHEN l_linenumber >= 1 AND l_linenumber < 3 THEN 'working' ELSE 'not working' END AS working,
+         CASE WHEN l_suppkey % 2 + 1 = 1 THEN 'male' ELSE 'female' END AS sex,
+         CASE WHEN l_partkey % 90 BETWEEN 15 AND 22 THEN 'young' WHEN l_partkey % 90 > 55 THEN 'elder' ELSE 'active' END AS age,
+         {hours(p)} AS "primaryNeeds", {hours(w)} AS work, {hours(o)} AS other
+  FROM lineitem)
+SELECT working, sex, age, round(avg("primaryNeeds"), 1) AS "primaryNeeds", round(avg(work), 1) AS work,
+       round(avg(other), 1) AS other
+FROM summary GROUP BY working, sex, age ORDER BY working, sex, age"""
+
+
 _SURVEY_CTE = """
 WITH survey AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS tucaseid,
@@ -101,6 +127,11 @@ def term_rank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.rank_terms(b.docs_frame(spark, sf_dir), b.DOC_TERMS, keep_zero=True)
 
 
+def term_rank_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking with the term list as a joined table."""
+    return tm.rank_terms(b.docs_frame(spark, sf_dir), b.DOC_TERMS, by_join=True)
+
+
 def term_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.build_index(b.docs_frame(spark, sf_dir), b.DOC_TERMS)
 
@@ -120,7 +151,7 @@ def term_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_rank_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tm.rank_from_index(_index_pages(spark, sf_dir))
+    return tm.rank_from_index(_index_pages(spark, sf_dir), pages=True)
 
 
 def term_rank_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +163,11 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
                           marker="</title>", suffix_len=0, keep=("page_id",))
 
 
+def article_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles in the one-line layout (14 characters, title, marker, text, 16 characters), taken apart."""
+    return extract_marked(b.article_lines(spark, sf_dir), keep=("doc_id",))
+
+
 def _sql_str(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
@@ -149,6 +185,10 @@ _TERMS_ORACLE = {
     "term_rank_all": _TERMS_CTE + """
 SELECT t.term, coalesce(h.n, 0)::BIGINT AS n_docs
 FROM terms t LEFT JOIN (SELECT term, count(*) AS n FROM postings GROUP BY term) h USING (term)
+ORDER BY n_docs DESC, t.ord""",
+    "term_rank_join": _TERMS_CTE + """
+SELECT t.term, coalesce(h.n, 0)::BIGINT AS n_docs
+FROM terms t LEFT JOIN (SELECT term, count(*) AS n FROM postings GROUP BY term) h USING (term)
 ORDER BY n_docs DESC, t.ord""",
     "term_index": _TERMS_CTE + "SELECT term, doc_id FROM postings",
     "term_rank_index": _TERMS_RANK_SQL,
@@ -158,6 +198,7 @@ SELECT term, CAST(floor(doc_id / {b.INDEX_PAGE}) AS BIGINT) AS page,
        string_agg(CAST(doc_id AS VARCHAR), ' ' ORDER BY doc_id) AS doc_ids
 FROM postings GROUP BY term, page""",
     "term_rank_fused": _TERMS_RANK_SQL,
+    "article_titles": "SELECT doc_id, 'Article ' || CAST(doc_id AS VARCHAR) AS title, text FROM documents",
     "page_titles": """
 SELECT page_id,
        substring(html, strpos(html, '<title>') + 7, strpos(html, '</title>') - (strpos(html, '<title>') + 7)) AS title,
@@ -189,15 +230,14 @@ def qa_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vc.seed_centers(_qa_vectors(spark, sf_dir), b.PER_TAG, seed=b.SEED,
-                           strata=vc.tag_strata(b.ORDER_TAGS, b.SPREAD))
+    return vc.seed_centers(_qa_vectors(spark, sf_dir), b.PER_TAG, vc.tag_strata(b.ORDER_TAGS, b.SPREAD), seed=b.SEED)
 
 
 def qa_plain_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vc.plain_sample(_qa_vectors(spark, sf_dir), b.PER_TAG * len(b.ORDER_TAGS), seed=b.SEED)
 
 
-def _seeded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[int, int]]]:
+def _seeded(spark: SparkSession, sf_dir: str, per_tag: int = b.PER_TAG) -> tuple[DataFrame, list[tuple[int, int]]]:
     """Vectors and the histogram of their points, both written once; seeds drawn from the vectors.
 
     Seeding reads the vectors (it needs the ids); the passes and the summary
@@ -205,7 +245,7 @@ def _seeded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[int
     re-runs scan + join + max, and a lost executor replays nothing upstream.
     """
     vectors = ll.materialize(_qa_vectors(spark, sf_dir), "qa-vectors")
-    k = b.PER_TAG * len(b.ORDER_TAGS)
+    k = per_tag * len(b.ORDER_TAGS)
     # The histogram and the seeds are independent jobs over the written
     # vectors: submitted from two threads, Spark runs them side by side.
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -217,12 +257,12 @@ def _seeded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple[int
 
 
 def _fit(hist: DataFrame, seeds: list[tuple[int, int]], eta: float, max_iter: int):
-    return ll.fit_lloyd(hist, seeds, eta=eta, max_iter=max_iter, cut_lineage=False)
+    return ll.fit_lloyd(hist, seeds, eta=eta, max_iter=max_iter, weight="w", cut_lineage=False)
 
 
 def lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist, seeds = _seeded(spark, sf_dir)
-    return ll.centers_frame(spark, ll.lloyd_update(hist, seeds))
+    return ll.centers_frame(spark, ll.lloyd_update(hist, seeds, weight="w"))
 
 
 def lloyd_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +285,7 @@ def lloyd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _one_step_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist, seeds = _seeded(spark, sf_dir)
-    return cl.summarize_clusters(hist, ll.lloyd_update(hist, seeds), b.ORDER_TAGS, spread=b.SPREAD)
+    return cl.summarize_clusters(hist, ll.lloyd_update(hist, seeds, weight="w"), b.ORDER_TAGS, spread=b.SPREAD, weight="w")
 
 
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +300,14 @@ def cluster_summary_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole clustering run: seeds → Lloyd until converged → cluster summary."""
     hist, seeds = _seeded(spark, sf_dir)
     means, _ = _fit(hist, seeds, ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS)
-    return cl.summarize_clusters(hist, means, b.ORDER_TAGS, spread=b.SPREAD)
+    return cl.summarize_clusters(hist, means, b.ORDER_TAGS, spread=b.SPREAD, weight="w")
+
+
+def cluster_report_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the run with the published number of centers: k = 45, nine per tag."""
+    hist, seeds = _seeded(spark, sf_dir, b.PER_TAG_PUBLISHED)
+    means, _ = _fit(hist, seeds, ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS)
+    return cl.cluster_report(cl.summarize_clusters(hist, means, b.ORDER_TAGS, spread=b.SPREAD, weight="w"))
 
 
 def cluster_report_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +319,7 @@ def _tags_sql() -> str:
     return "[" + ", ".join(_sql_str(t) for t in b.ORDER_TAGS) + "]"
 
 
-def _posts_cte(shift: int = 0, *, recursive: bool = False) -> str:
+def _posts_cte(shift: int = 0, *, recursive: bool = False, per_tag: int = b.PER_TAG) -> str:
     head = "WITH RECURSIVE" if recursive else "WITH"
     return f"""{head} q AS (SELECT o_orderkey AS id, o_orderpriority AS tag FROM orders),
 a AS (SELECT l_orderkey AS parent, l_orderkey * 10 + l_linenumber AS aid,
@@ -284,7 +331,7 @@ vectors AS (SELECT q.id, CAST((list_position({_tags_sql()}, q.tag) - 1) * {b.SPR
 ranked AS (SELECT id, x, y, row_number() OVER (PARTITION BY x ORDER BY md5('{b.SEED}#' || CAST(id AS VARCHAR)), id) AS rn
            FROM vectors),
 m0 AS (SELECT CAST(row_number() OVER (ORDER BY x, rn) - 1 AS INTEGER) AS cluster, id, x, y
-       FROM ranked WHERE rn <= {b.PER_TAG})"""
+       FROM ranked WHERE rn <= {per_tag})"""
 
 
 def _step_sql(src: str, dst: str) -> str:
@@ -388,6 +435,10 @@ FROM fit WHERE iter >= 1""",
                                 + _summary_sql("fit_final")
                                 + f"SELECT cluster, printf('{cl.REPORT_FORMAT}', median, label, pct, size) AS line "
                                   "FROM summary ORDER BY median, cluster",
+    "cluster_report_published": _posts_cte(recursive=True, per_tag=b.PER_TAG_PUBLISHED)
+                                + _fit_sql(ll.KMEANS_ETA, ll.KMEANS_MAX_ITERATIONS) + _summary_sql("fit_final")
+                                + f"SELECT cluster, printf('{cl.REPORT_FORMAT}', median, label, pct, size) AS line "
+                                  "FROM summary ORDER BY median, cluster",
     "cluster_report": _posts_cte() + _step_sql("m0", "m1") + _summary_sql("m1")
                       + f"SELECT cluster, printf('{cl.REPORT_FORMAT}', median, label, pct, size) AS line "
                         "FROM summary ORDER BY median, cluster",
@@ -465,6 +516,7 @@ SELECT working, sex, age, "primaryNeeds", work, other FROM summary WHERE telfs <
     "survey_grouped": _SURVEY_GROUPED_SQL,
     "survey_grouped_sql": _SURVEY_GROUPED_SQL,
     "survey_grouped_typed": _SURVEY_GROUPED_SQL,
+    "survey_wide_grouped": _survey_wide_sql(),
     **_TERMS_ORACLE,
     **_QA_ORACLE,
     **_SOURCES_ORACLE,
@@ -477,14 +529,17 @@ QUERIES: dict[str, Query] = {
     "survey_grouped": survey_grouped,
     "survey_grouped_sql": survey_grouped_sql,
     "survey_grouped_typed": survey_grouped_typed,
+    "survey_wide_grouped": survey_wide_grouped,
     "term_mentions": term_mentions,
     "term_rank_all": term_rank_all,
+    "term_rank_join": term_rank_join,
     "term_index": term_index,
     "term_rank_index": term_rank_index,
     "term_rank_fused": term_rank_fused,
     "term_index_pages": term_index_pages,
     "term_rank_pages": term_rank_pages,
     "page_titles": page_titles,
+    "article_titles": article_titles,
     "qa_pairs": qa_pairs,
     "qa_best_score": qa_best_score,
     "qa_best_score_floor": qa_best_score_floor,
@@ -499,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "cluster_report": cluster_report,
     "cluster_summary_converged": cluster_summary_converged,
     "cluster_report_converged": cluster_report_converged,
+    "cluster_report_published": cluster_report_published,
     "posts_roundtrip": posts_roundtrip,
     "wide_csv_roundtrip": wide_csv_roundtrip,
     "wide_csv_grouped": wide_csv_grouped,

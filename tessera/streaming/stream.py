@@ -38,8 +38,13 @@ def read_stream(spark: SparkSession, path: str, *, fmt: str = "parquet",
 
 
 def read_table_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """Stream one ``<table>.parquet`` of a folder of tables (a file stream needs a folder)."""
-    return read_stream(spark, folder.rstrip("/"), name_glob=f"{table}.parquet")
+    """Stream the table ``<table>.parquet`` of a folder of tables, one file or a folder of part files.
+
+    The path is given as a pattern, which a file stream takes for either.
+    """
+    base = f"{folder.rstrip('/')}/"
+    schema = spark.read.parquet(f"{base}{table}.parquet").schema
+    return spark.readStream.schema(schema).parquet(f"{base}{{{table}}}.parquet")
 
 
 def stream_term_counts(docs: DataFrame, terms: Sequence[str], *, text_col: str = "text",

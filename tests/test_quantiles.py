@@ -63,7 +63,7 @@ def test_window_partitions_bounded(spark):
 def test_bounded_groups_broadcast_targets(spark):
     df = spark.range(5000).selectExpr("id % 3 AS g", "CAST(id * 37 % 1001 AS INT) AS v")
     free = sorted(tuple(r) for r in exact_median(df, "g", "v").collect())
-    med = exact_median(df, "g", "v", max_groups=3)
+    med = exact_median(df, "g", "v", broadcast_targets=True)
     assert sorted(tuple(r) for r in med.collect()) == free
     plan = med._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan

@@ -67,3 +67,12 @@ def test_state_partitions_apply_to_the_stream_only(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     batch = sorted(rows(tm.rank_terms(spark.read.parquet(src), b.DOC_TERMS, keep_zero=False)))
     assert sorted(rows(got)) == batch
+
+
+def test_table_of_part_files(spark, tmp_path):
+    from tessera.plans import catalog
+    for t, n in (("documents", 5), ("lineitem", 3)):
+        spark.read.parquet(f"{SF}/{t}.parquet").repartition(n).write.parquet(f"{tmp_path}/{t}.parquet")
+    for name in ("stream_term_counts", "stream_survey_summary"):
+        whole = sorted(rows(catalog.QUERIES[name](spark, SF)))
+        assert sorted(rows(catalog.QUERIES[name](spark, str(tmp_path)))) == whole

@@ -30,7 +30,7 @@ def points(spark, xy):
 
 def test_seed_centers_n_per_stratum(spark):
     xy = [(x, y) for x in (0, 50000, 100000) for y in range(20)]
-    seeds = vc.seed_centers(points(spark, xy), 4)
+    seeds = vc.seed_centers(points(spark, xy), 4, [0, 50000, 100000])
     got = rows(seeds)
     assert len(got) == 12
     per = {}
@@ -38,14 +38,14 @@ def test_seed_centers_n_per_stratum(spark):
         per[x] = per.get(x, 0) + 1
     assert per == {0: 4, 50000: 4, 100000: 4}
     assert sorted(r[3] for r in got) == list(range(12))
-    assert rows(vc.seed_centers(points(spark, xy), 4)) == got  # deterministic
+    assert rows(vc.seed_centers(points(spark, xy), 4, [0, 50000, 100000])) == got  # deterministic
     plan = seeds._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
 
 
 def test_seed_plan_has_group_limit(spark):
     xy = [(x, y) for x in (0, 50000) for y in range(10)]
-    seeds = vc.seed_centers(points(spark, xy), 2)
+    seeds = vc.seed_centers(points(spark, xy), 2, [0, 50000])
     seeds.collect()
     plan = seeds._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
@@ -53,7 +53,7 @@ def test_seed_plan_has_group_limit(spark):
 
 def test_too_few_points_detected(spark):
     xy = [(0, 1), (0, 2), (0, 3), (50000, 1)]
-    seeds = vc.seed_centers(points(spark, xy), 2)
+    seeds = vc.seed_centers(points(spark, xy), 2, [0, 50000])
     with pytest.raises(ValueError):
         ll.collect_centers(seeds, expected=4)
 
@@ -108,20 +108,37 @@ def test_fit_matches_brute_force(spark):
     centers = [xy[i] for i in (0, 5, 9, 13, 40, 77)]
     means, hist = ll.fit_lloyd(points(spark, xy), centers, eta=20.0, max_iter=45)
     assert means == brute_fit(xy, centers, 20.0, 45)
-    means_raw, _ = ll.fit_lloyd(points(spark, xy), centers, eta=20.0, max_iter=45, weighted=False)
+    means_raw, _ = ll.fit_lloyd(points(spark, xy), centers, eta=20.0, max_iter=45, fold=False)
     assert means_raw == means
     assert len(hist) % len(centers) == 0
 
 
-def test_arrow_assignment_matches_expression(spark, monkeypatch):
+def test_many_centers_match_the_inline_form(spark):
     rng = np.random.default_rng(3)
     xy = [(int(x), int(y)) for x, y in zip(rng.integers(0, 1000, 300), rng.integers(0, 1000, 300))]
-    centers = [(int(a), int(b)) for a, b in zip(rng.integers(0, 1000, 20), rng.integers(0, 1000, 20))]
+    centers = [(int(a), int(b)) for a, b in zip(rng.integers(0, 1000, 400), rng.integers(0, 1000, 400))]
     centers += [centers[0]]  # duplicate center: the tie must go to the lower index
-    expr = sorted(rows(ll.assign_nearest(points(spark, xy), centers)))
-    monkeypatch.setattr(ll, "LITERAL_CENTER_LIMIT", 1)
-    arrow = sorted(rows(ll.assign_nearest(points(spark, xy), centers)))
-    assert expr == arrow
+    got = {r[0]: r[3] for r in rows(ll.assign_nearest(points(spark, xy), centers))}
+    c = np.asarray(centers, dtype=np.float64)
+    for i, (x, y) in enumerate(xy):
+        assert got[i] == int(np.argmin((c[:, 0] - x) ** 2 + (c[:, 1] - y) ** 2))
+    inline = ll.assign_nearest(points(spark, xy), centers[:20], inline=True)
+    assert sorted(rows(inline)) == sorted(rows(ll.assign_nearest(points(spark, xy), centers[:20])))
+
+
+def test_a_column_named_w_is_only_data(spark):
+    df = spark.createDataFrame([(0, 1, 100), (0, 3, 1)], "x int, y int, w int")
+    assert ll.lloyd_update(df, [(0, 0)]) == [(0, 2)]
+    assert ll.lloyd_update(df, [(0, 0)], weight="w") == [(0, 1)]
+    assert ll.fit_lloyd(df, [(0, 0)])[0] == [(0, 2)]
+    summary = cl.summarize_clusters(df, [(0, 0)], ("A",))
+    assert [r["size"] for r in summary.collect()] == [2]
+
+
+@pytest.mark.parametrize("kwargs,xy", [({"spread": 50000}, [(0, 1), (0, 2), (0, 3), (50000, 1)]), ({"spread": 10}, [(0, 1), (0, 2)])])
+def test_short_draws_fail(spark, kwargs, xy):
+    with pytest.raises(ValueError, match="centers"):
+        vc.initial_centers(points(spark, xy), 4, ("A", "B"), **kwargs)
 
 
 def test_total_movement():
@@ -232,12 +249,8 @@ def test_array_form_matches_literal_form(spark):
     assert got == want
 
 
-def test_seed_numbering_with_known_strata_equals_window(spark):
-    xy = [(x, y) for x in (0, 50000, 100000) for y in range(15)]
-    by_window = sorted(rows(vc.seed_centers(points(spark, xy), 4)))
-    by_list = sorted(rows(vc.seed_centers(points(spark, xy), 4, strata=[0, 50000, 100000])))
-    assert by_window == by_list
-    plan = vc.seed_centers(points(spark, xy), 4, strata=[0, 50000, 100000])
-    plan.collect()
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in text
+def test_seeding_has_no_single_partition(spark):
+    xy = [(x, y) for x in (0, 50000, 100000, 150000) for y in range(15)]
+    drawn = vc.seed_centers(points(spark, xy), 4, [0, 50000, 100000])
+    assert sorted((r[3], r[1]) for r in drawn.collect()) == [(i, 50000 * (i // 4)) for i in range(12)]
+    assert "SinglePartition" not in drawn._jdf.queryExecution().executedPlan().toString()
