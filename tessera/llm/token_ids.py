@@ -25,9 +25,11 @@ import json
 import os
 import re
 import zlib
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,13 +87,22 @@ def encode_file(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENT
         which = np.flatnonzero(width == w)
         part = rest[which]
         over = bits[which] > w
-        packed = _pack(np.where(over, 0, part), w)
-        for i, b in enumerate(which.tolist()):
-            places = np.flatnonzero(over[i])
-            body = (np.array([low[b]], "<u4").tobytes() + np.array([w, len(places)], "<u2").tobytes()
-                    + packed[i].astype("<u8").tobytes() + places.astype("<u2").tobytes())
-            body += b"\0" * (-len(body) % 4) + part[i][places].astype("<u4").tobytes()
-            bodies[b] = body + b"\0" * (-len(body) % 8)
+        row, place = np.nonzero(over)
+        odd = np.bincount(row, minlength=len(which))
+        heads = np.zeros((len(which), 4), "<u2")
+        heads[:, :2] = low[which].astype("<u4").view("<u2").reshape(-1, 2)
+        heads[:, 2], heads[:, 3] = w, odd
+        front = np.concatenate([heads.view(np.uint8), _pack(np.where(over, 0, part), w).astype("<u8").view(np.uint8)], axis=1)
+        front, step = front.tobytes(), front.shape[1]
+        places, values = place.astype("<u2").tobytes(), part[over].astype("<u4").tobytes()
+        at = 0
+        for i, (b, n) in enumerate(zip(which.tolist(), odd.tolist(), strict=True)):
+            body = front[i * step: (i + 1) * step]
+            if n:
+                body += places[2 * at: 2 * (at + n)] + b"\0" * (2 * n % 4) + values[4 * at: 4 * (at + n)]
+                body += b"\0" * (-len(body) % 8)
+                at += n
+            bodies[b] = body
     starts = np.zeros(blocks + 1, "<u8")
     np.cumsum([len(b) for b in bodies], out=starts[1:])
     starts += len(head) + starts.nbytes
@@ -127,17 +138,21 @@ class Encoder:
     """Ids of texts by a tokenizer file, as the tokenizers library gives them.
 
     With a byte-level tokenizer no token crosses a single space between two
-    visible characters, so texts are cut there and each distinct piece is
+    visible characters, so texts are cut at spaces and each distinct piece is
     encoded once; the pieces' ids are kept between batches, up to ``kept``
-    pieces. Other tokenizers get whole texts.
+    pieces. Texts with other blanks beside a space are cut only where that is
+    safe, and other tokenizers get whole texts.
     """
 
     #: Visible characters for any notion of blank: ASCII and the Latin letters after it.
     _VISIBLE = "!-~À-ɏ"
-    _UNSAFE = re.compile(f"(?:^|[^{_VISIBLE}]) | (?:$|[^{_VISIBLE}])")
     _SAFE = re.compile(f"(?<=[{_VISIBLE}]) (?=[{_VISIBLE}])")
+    _SEEN = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
+    _MARKS = ".,;:!?"
+    #: Pieces that are encoded as one text.
+    _JOINED = 100
 
-    def __init__(self, path: str, kept: int = 400_000):
+    def __init__(self, path: str, kept: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -149,6 +164,14 @@ class Encoder:
                          and not before.get("add_prefix_space") and not spec.get("normalizer")
                          and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"]
                                      for t in spec.get("added_tokens") or []))
+        if self.by_piece:
+            vocabulary = self.tokenizer.get_vocab()
+            self.spaced_id = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids of tokens that begin with a space
+            self.spaced_id[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
+            # The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on.
+            printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+            hidden = [x for x in range(256) if x not in set(printable)]
+            self.letters = {x: 256 + i for i, x in enumerate(hidden)}
         self._forget()
 
     def _forget(self) -> None:
@@ -156,48 +179,123 @@ class Encoder:
         self.plain: dict[str, int] = {}
         self.ids = np.empty(0, dtype=np.uint32)
         self.at = np.zeros(1, dtype=np.int64)
+        self.safe = np.empty((0, 2), dtype=bool)  # of each piece, whether it begins and ends with a visible character
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, memo: dict[str, int], new: list[str], lead: str) -> None:
+        """Ids of pieces not met before, each with ``lead`` in front."""
+        if lead:
+            new = self._learn_words(memo, new)
         if not new:
             return
-        got = self._ids([lead + x for x in new])
-        n = len(self.at) - 1
-        memo.update(zip(new, range(n, n + len(new)), strict=True))
-        self.ids = np.concatenate([self.ids, np.array([i for g in got for i in g], dtype=np.uint32)])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(g) for g in got])])
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each)."""
-        if not self.by_piece:
-            got = self._ids(texts)
-            return np.array([i for g in got for i in g], dtype=np.uint32), np.array([len(g) for g in got], dtype=np.int64)
-        if len(self.at) > self.kept:
-            self._forget()
-        parts: list[str] = []
-        sizes = []
-        for t in texts:
-            p = self._SAFE.split(t) if self._UNSAFE.search(t) else t.split(" ")
-            sizes.append(len(p))
-            parts += p
-        first = np.cumsum([0, *sizes[:-1]]) if sizes else np.empty(0, np.int64)
-        starts = [parts[i] for i in first.tolist()]
-        for i in first.tolist():
-            parts[i] = ""
-        if "" not in self.spaced:  # stands in for the first pieces below
-            self._learn(self.spaced, [""], " ")
-        self._learn(self.spaced, list(set(parts).difference(self.spaced)), " ")
-        self._learn(self.plain, list(set(starts).difference(self.plain)), "")
-        place = np.fromiter(map(self.spaced.__getitem__, parts), dtype=np.int64, count=len(parts))
-        place[first] = [self.plain[s] for s in starts]
+        seen = self._SEEN
+        sizes, rest, ids = [], new, []
+        if lead:  # pieces without blanks at their ends or inside go together: each begins with the one token with a space
+            whole = [x for x in new if x[:1] in seen and x[-1:] in seen and " " not in x]
+            rest = [x for x in new if not (x[:1] in seen and x[-1:] in seen and " " not in x)]
+            new = whole + rest
+            flat = self._flat(self._ids([lead + lead.join(whole[i: i + self._JOINED]) for i in range(0, len(whole), self._JOINED)]))
+            starts = np.flatnonzero(self.spaced_id[flat])
+            if len(starts) != len(whole):
+                raise ValueError("the tokenizer joins pieces across spaces")
+            ids.append(flat)
+            sizes.append(np.diff(np.append(starts, len(flat))))
+        got = self._ids([lead + x for x in rest])
+        self._keep(memo, new, np.concatenate([*ids, self._flat(got)]),
+                   np.concatenate([*sizes, np.fromiter(map(len, got), dtype=np.int64, count=len(got))]))
+
+    def _learn_words(self, memo: dict[str, int], new: list[str]) -> list[str]:
+        """Learns the pieces that are Latin letters with or without marks behind them; returns the others.
+
+        Such a piece is two pre-tokens, the spaced word and the marks, so the
+        model's ids of the word serve all its punctuations.
+        """
+        words, others = [], []
+        for x in new:
+            w = x.rstrip(self._MARKS)
+            if w.isalpha() and (w.isascii() or max(w) < "\u0250"):
+                words.append((x, w))
+            else:
+                others.append(x)
+        unknown = [w for w in dict.fromkeys(w for _, w in words) if w not in memo]
+        tokenize = self.tokenizer.model.tokenize
+        got = [[t.id for t in tokenize("\u0120" + (w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)))]
+               for w in unknown]
+        self._keep(memo, unknown, self._flat(got), np.fromiter(map(len, got), dtype=np.int64, count=len(got)))
+        marked = [(x, memo[w], x[len(w):]) for x, w in words if len(x) > len(w)]
+        if marked:
+            marks = list(dict.fromkeys(m for _, _, m in marked))
+            behind = dict(zip(marks, (np.array(g, np.uint32) for g in self._ids(marks)), strict=True))
+            at = self.at.tolist()
+            lists = [a for _, i, m in marked for a in (self.ids[at[i]: at[i + 1]], behind[m])]
+            self._keep(memo, [x for x, _, _ in marked], np.concatenate(lists),
+                       np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)).reshape(-1, 2).sum(axis=1))
+        return others
+
+    def _keep(self, memo: dict[str, int], pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, seen = len(self.at) - 1, self._SEEN
+        memo.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.ids = np.concatenate([self.ids, ids])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+        self.safe = np.concatenate([self.safe, np.array([(x[:1] in seen, x[-1:] in seen) for x in pieces], dtype=bool).reshape(-1, 2)])
+
+    @staticmethod
+    def _flat(lists: list[list[int]]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=sum(map(len, lists)))
+
+    def _places(self, memo: dict[str, int], pieces: list[str], lead: str) -> np.ndarray:
+        place = np.fromiter(map(memo.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        missing = np.flatnonzero(place < 0).tolist()
+        if missing:
+            unknown = [pieces[i] for i in missing]
+            self._learn(memo, list(dict.fromkeys(unknown)), lead)
+            place[missing] = np.fromiter(map(memo.__getitem__, unknown), dtype=np.int64, count=len(unknown))
+        return place
+
+    def _gather(self, place: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces at ``place``, and their number per text; texts begin at ``first`` (and end)."""
         size = self.at[place + 1] - self.at[place]
         total = np.zeros(len(place) + 1, dtype=np.int64)
         np.cumsum(size, out=total[1:])
         ids = self.ids[np.repeat(self.at[place] - total[:-1], size) + np.arange(total[-1])]
-        bounds = np.append(first, len(parts))
-        return ids, np.diff(total[bounds])
+        return ids, np.diff(total[first])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each); no text may be null."""
+        if not self.by_piece:
+            got = self._ids(texts.to_pylist())
+            return self._flat(got), np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+        if not len(texts):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        if len(self.at) > self.kept:
+            self._forget()
+        lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        at = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        distinct, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        place = self._places(self.spaced, distinct, " ")[code]
+        first, last = at[:-1], at[1:] - 1
+        begins, ends = self.safe[place, 0], self.safe[place, 1]
+        begins[first] = True
+        ends[last] = True
+        odd = np.flatnonzero(np.add.reduceat(~(begins & ends), first))
+        place[first] = self._places(self.plain, [distinct[c] for c in code[first].tolist()], "")
+        ids, sizes = self._gather(place, at)
+        if not len(odd):
+            return ids, sizes
+        # Texts with a blank beside a space: cut at the other spaces.
+        cut = [self._SAFE.split(texts[i].as_py()) for i in odd.tolist()]
+        bounds = np.cumsum([0, *map(len, cut)])
+        place = self._places(self.spaced, [p for c in cut for p in c], " ")
+        place[bounds[:-1]] = self._places(self.plain, [c[0] for c in cut], "")
+        odd_ids, odd_sizes = self._gather(place, bounds)
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        for i, part in zip(odd.tolist(), np.split(odd_ids, np.cumsum(odd_sizes)[:-1]), strict=True):
+            parts[i] = part
+        sizes[odd] = odd_sizes
+        return np.concatenate(parts), sizes
 
 
 _encoders: dict[str, Encoder] = {}
@@ -210,7 +308,7 @@ def _encoder(path: str) -> Encoder:
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, *, end_id: int | None = 2, parts: int | None = None,
-          file_ids: int = FILE_IDS, chunk_chars: int = 1 << 22) -> None:
+          file_ids: int = FILE_IDS, chunk_bytes: int = 1 << 23) -> None:
     """Writes the ids of every whole text of ``docs`` (doc_id, text) as files under ``path``.
 
     ``tokenizer`` is the path of a tokenizers file that every executor has.
@@ -247,13 +345,11 @@ def write(docs: DataFrame, tokenizer: str, path: str, *, end_id: int | None = 2,
         for batch in batches:
             if batch.num_rows:
                 part = batch.column("part")[0].as_py()
-            texts, doc_ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+            texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
+            bytes_before = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
             lo = 0
             while lo < len(texts):
-                hi, chars = lo, 0
-                while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= chunk_chars):
-                    chars += len(texts[hi])
-                    hi += 1
+                hi = max(lo + 1, int(np.searchsorted(bytes_before, bytes_before[lo] + chunk_bytes, "right")) - 1)
                 ids, sizes = encode(texts[lo:hi])
                 if tail:
                     ids = np.insert(ids, np.cumsum(sizes), end_id)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,7 +47,7 @@ def test_encoder_gives_the_library_ids(name):
     path = public_tokenizers.path(name)
     t, e = Tokenizer.from_file(path), token_ids.Encoder(path, kept=20)
     for _ in range(2):
-        ids, sizes = e(TEXTS)
+        ids, sizes = e(pa.array(TEXTS))
         want = [x.ids for x in t.encode_batch(TEXTS, add_special_tokens=False)]
         assert sizes.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
@@ -56,7 +57,7 @@ def test_encoder_gives_the_library_ids(name):
 @given(st.lists(st.text(alphabet=st.sampled_from("ab'é \t\n  　!1<|>中\x85\x1c"), max_size=25), min_size=1, max_size=4))
 def test_encoder_on_any_blanks(texts):
     t, e = token_ids._encoder(PATH).tokenizer, token_ids.Encoder(PATH)
-    ids, sizes = e(texts)
+    ids, sizes = e(pa.array(texts))
     assert ids.tolist() == [i for x in t.encode_batch(texts, add_special_tokens=False) for i in x.ids]
 
 
