@@ -28,7 +28,7 @@ from tessera.operators.survey import (
 )
 from tessera.operators.terms import build_index, build_index_pages, mention_count, rank_from_index, rank_terms
 from tessera.operators.vectors import initial_centers, plain_sample, seed_centers, to_vectors
-from tessera.session import build_session, checkpoint_dir
+from tessera.session import build_session, checkpoint_dir, clear_scratch
 from tessera.sources.markup import extract_marked
 from tessera.sources.text import format_posts, parse_posts, read_lines, read_posts
 from tessera.sources.widecsv import read_wide_csv, schema_from_header, write_wide_csv
@@ -36,7 +36,7 @@ from tessera.sources.widecsv import read_wide_csv, schema_from_header, write_wid
 __all__ = [
     "assign_nearest", "average_by_group", "average_by_group_sql", "average_by_group_typed",
     "best_child_score", "build_index", "build_index_pages", "build_session", "centroid_sums",
-    "checkpoint_dir", "classify_columns", "cluster_report", "conform", "exact_median", "extract_marked",
+    "checkpoint_dir", "classify_columns", "clear_scratch", "cluster_report", "conform", "exact_median", "extract_marked",
     "fit_lloyd", "format_posts", "history_frame", "initial_centers", "lloyd_update", "mention_count",
     "pair_parent_child", "parse_posts", "plain_sample", "point_histogram", "print_report",
     "rank_from_index", "rank_terms", "read_lines", "read_posts", "read_wide_csv", "schema_from_header",

@@ -2,62 +2,74 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Shuffle sizing on a cluster (a join of the largest tables shuffles terabytes).
+# Set wherever the submitted configuration does not say otherwise.
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# The same for settings that must be known when the session starts.
+STATIC_DEFAULTS = {
+    "spark.ui.enabled": "false",
+    # With it on, every pyspark.sql.functions call walks the Python stack and
+    # makes extra JVM round trips: building a plan cost more than running it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+# Shuffle sizing on a cluster (a join of the largest tables shuffles terabytes):
+# AQE can only merge shuffle partitions, never split them, so start with many
+# and let it coalesce small shuffles to ~256 MB each.
 CLUSTER_DEFAULTS = {
     "spark.sql.shuffle.partitions": "16384",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
+LOCAL_DRIVER_MEMORY = "4g"
 
 
 def build_session(master: str | None = None, *, shuffle_partitions: int | None = None,
-                  app_name: str = "tessera") -> SparkSession:
+                  app_name: str = "tessera", driver_memory: str | None = None) -> SparkSession:
     """Session with AQE on, the UI off and UTC time.
 
-    Python call-site capture for DataFrame errors is off: with it on, every
-    ``pyspark.sql.functions`` call walks the Python stack and makes extra JVM
-    round trips, which made building a plan cost more than running it on
-    small inputs.
-
-    On a cluster, pass no master and let spark-submit decide. Unless
-    spark-submit says otherwise, shuffles then start with 16,384 partitions
-    and AQE coalesces each to about 256 MB: enough partitions for a
-    multi-terabyte join shuffle, few tasks for a small one.
+    On a cluster, pass no master and let spark-submit decide; shuffles then
+    start with 16,384 partitions that AQE coalesces. Every default yields to a
+    value that was submitted (spark-submit, spark-defaults, PYSPARK_SUBMIT_ARGS):
+    the running context's configuration is asked once it exists. Only arguments
+    given here override it. ``driver_memory`` is the heap of a local master, the
+    one setting that must be known before the JVM starts (else
+    TESSERA_DRIVER_MEMORY, else 4g unless the environment submits one).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = (
-        builder
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-    )
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    elif not master:
-        # Cluster: AQE can only merge shuffle partitions, never split them, so
-        # start with many and let it coalesce small shuffles to ~256 MB each.
-        # Settings given to spark-submit win.
-        submitted = SparkConf()
-        for key, value in CLUSTER_DEFAULTS.items():
-            if not submitted.contains(key):
-                builder = builder.config(key, value)
+    submitted = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    running = SparkSession.getActiveSession()
+    for key, value in STATIC_DEFAULTS.items():
+        # Under spark-submit the JVM is up and has its own values for these.
+        if running is None and key not in submitted and "PYSPARK_GATEWAY_PORT" not in os.environ:
+            builder = builder.config(key, value)
     if master and master.startswith("local"):
-        builder = builder.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+        heap = driver_memory or os.environ.get("TESSERA_DRIVER_MEMORY")
+        if heap or not re.search(r"driver[-.]memory", submitted):
+            builder = builder.config("spark.driver.memory", heap or LOCAL_DRIVER_MEMORY)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    given = spark.sparkContext.getConf()
+    for key, value in (DEFAULTS if master else DEFAULTS | CLUSTER_DEFAULTS).items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
 
 
@@ -65,8 +77,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names it. Only a local master with none set (tests, the bench)
-    gets a folder under the system temp folder; on a cluster a machine-local
-    folder would be invisible to the executors, so an unset setting is an error.
+    gets a folder under the system temp folder, removed when Python exits; on a
+    cluster (``local-cluster`` too) a machine-local folder would be invisible to
+    the executors, so an unset setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,14 +87,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_written: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared checkpoint folder for written tables; ``clear_scratch`` removes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes what this application wrote to its scratch paths; returns how many there were.
+
+    For between runs: frames that still read a scratch table cannot be read
+    afterwards.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = 0
+    for p in map(hadoop, paths):
+        found += bool(p.getFileSystem(conf).delete(p, True))
+    return found
