@@ -125,7 +125,8 @@ def mix(docs: DataFrame, *, seed: int = 11, **options) -> Mix:
     ranks = sources.select(F.col("source").alias("of"), "rank")
     rows = stored(_offsets(rows.join(ranks, F.expr("source <=> of")).drop("of")), "mix-offsets")
     drawn = _slots(sources, seed)
-    taken = drawn.groupBy("rank", "block").agg(F.count("*").alias("times"))
+    # Exploded rows are planned at the size of the few they come from: without the merge hints they would be broadcast.
+    taken = drawn.groupBy("rank", "block").agg(F.count("*").alias("times")).hint("merge")
     ends = f"(start + size - 1) div {BLOCK}"
     spread = rows.filter("size > 0").select("row", "rank", "start", "size", F.explode_outer(
         F.expr(f"sequence(start div {BLOCK}, {ends})")).alias("block"))
@@ -144,7 +145,7 @@ def shard_counts(m: Mix) -> DataFrame:
 def report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of ``docs``."""
     m = mix(docs, **options)
-    taken = m.pieces.groupBy("row").agg(F.sum(F.col("n") * F.col("times")).alias("taken"))
+    taken = m.pieces.groupBy("row").agg(F.sum(F.col("n") * F.col("times")).alias("taken")).hint("merge")
     s = m.sources.select("rank", F.col("size").alias("source_size"), "target")
     return m.rows.join(taken, "row", "left").join(s, "rank").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -160,9 +161,9 @@ def apply(docs: DataFrame, **options) -> DataFrame:
     """
     m = mix(docs, **options)
     keys = m.rows.select("row", "doc_id", "th", "source")
-    parts = m.pieces.join(keys, "row").withColumn("turn", F.explode_outer(F.expr("sequence(1L, times)")))
+    parts = m.pieces.join(keys.hint("merge"), "row").withColumn("turn", F.explode_outer(F.expr("sequence(1L, times)")))
     parts = parts.groupBy("doc_id", "th", "source", "turn").agg(
-        F.sort_array(F.collect_list(F.struct("row", "at", "n"))).alias("parts"))  # of one document
+        F.sort_array(F.collect_list(F.struct("row", "at", "n"))).alias("parts")).hint("merge")  # of one document
     text = F.col("text").cast("string")
     d = docs.select(as_row(docs, "doc"), F.xxhash64(text).alias("key"), F.col("doc_id").cast("long").alias("id"),
                     F.col("source").cast("string").alias("from"))
