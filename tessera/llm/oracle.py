@@ -1,5 +1,7 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
+from tessera.llm.secret_scan import BASE, KINDS, NAMES, PATTERNS, SCOPE
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 DECONTAMINATE = rf"""
@@ -69,3 +71,87 @@ SELECT o.doc_id, o.size, source_size, target, coalesce(taken, 0)::BIGINT AS take
 """
 
 ORACLE["op7_mixing"] = MIXING
+
+TOP_K = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 20
+"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT r, array_to_string(ws[k:k + 4], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS k FROM d WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+o AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+l AS (
+  SELECT a, b FROM o JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE c >= 0.8::DOUBLE * (x.n + y.n - c) - 1e-9::DOUBLE),
+reach AS (SELECT r, r AS t FROM d UNION SELECT reach.r, l.b FROM reach JOIN l ON reach.t = l.a),
+least AS (SELECT reach.r, min(d.doc_id) AS class_id FROM reach JOIN d ON d.r = reach.t GROUP BY reach.r),
+k AS (SELECT a AS r, count(*) AS links FROM l GROUP BY a)
+SELECT doc_id, class_id, coalesce(links, 0)::BIGINT AS n_links FROM d JOIN least USING (r) LEFT JOIN k USING (r)
+"""
+
+
+def _secret_sql() -> str:
+    """Matches by splitting, as the query does; links by comparing candidates of a document with each other."""
+    def quoted(p: str) -> str:
+        return "'" + p.replace("'", "''") + "'"
+
+    found = "\n  UNION ALL ".join(
+        f"SELECT r, {n} AS kind, regexp_extract_all(text, {quoted(p)}) AS m, string_split_regex(text, {quoted(p)}) AS s "
+        f"FROM d WHERE regexp_matches(text, {quoted(p)})" for n, (p, _, _) in enumerate(PATTERNS.values()))
+    long = " ".join(f"WHEN {n} THEN length(regexp_extract(x, {quoted(p)}, 1)) >= {least}"
+                    for n, (p, least, _) in enumerate(PATTERNS.values()))
+    name = " ".join(f"WHEN {n} THEN '{NAMES.get(k, k)}'" for n, k in enumerate(KINDS))
+    at = {k: n for n, k in enumerate(KINDS)}
+    base = f"({', '.join(str(at[k]) for k in BASE)})"
+    ids, secrets = f"({at['access']}, {at['identifier']})", f"({at['assign']}, {at['hex']}, {at['named']}, {at['bare']})"
+
+    def near(kinds: str) -> str:
+        return (f"EXISTS (SELECT 1 FROM v o WHERE o.r = v.r AND o.kind IN {kinds} AND (o.start, o.\"end\", o.kind) <> "
+                f"(v.start, v.\"end\", v.kind) AND greatest(o.start - v.\"end\", v.start - o.\"end\") <= {SCOPE})")
+
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({found}),
+e AS (SELECT r, kind, i, m[i] AS x, length(s[i]) AS gap FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM m)),
+f AS (SELECT *, (sum(gap + length(x)) OVER (PARTITION BY r, kind ORDER BY i))::BIGINT AS "end" FROM e),
+c AS (
+  SELECT r, kind, "end" - length(x) AS start, "end" FROM f
+  WHERE CASE kind {long} END AND (kind <> {at['bare']} OR (
+    regexp_matches(x, '[a-z]') AND regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[0-9]')))),
+v AS (
+  SELECT * FROM c WHERE kind IN {base} OR NOT EXISTS (
+    SELECT 1 FROM c o WHERE o.r = c.r AND (o.start, o."end", o.kind) <> (c.start, c."end", c.kind)
+      AND o.start < c."end" AND c.start < o."end"
+      AND (o.kind IN {base} OR (c.kind = {at['bare']} AND o.kind IN ({at['identifier']}, {at['named']}))))),
+w AS (
+  SELECT *, (CASE kind {name} END) || ':' || start || ':' || "end" AS span FROM v
+  WHERE kind IN {base} OR (kind = {at['identifier']} AND {near(secrets)})
+    OR (kind IN ({at['named']}, {at['bare']}) AND {near(ids)})
+    OR (kind = {at['endpoint']} AND {near(ids)} AND {near(secrets)})),
+g AS (
+  SELECT r, count(*) FILTER (WHERE kind = 0) AS a, count(*) FILTER (WHERE kind = 1) AS b, count(*) FILTER (WHERE kind = 2) AS h,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (WHERE kind IN {base}) AS base,
+    string_agg(span, ',' ORDER BY start, kind) AS spans
+  FROM w GROUP BY r)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""
+
+
+ORACLE |= {"op4_ngram_jaccard_join": NEAR_DUPLICATES, "op8_topk_search": TOP_K, "op9_secret_scan": _secret_sql()}
