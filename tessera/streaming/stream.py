@@ -86,10 +86,12 @@ def run_to_table(df: DataFrame, *, output_mode: str, name: str, timeout_s: float
     """Drain a stream of the files present now into a table in the shared folder; read it back.
 
     ``append`` writes with the parquet file sink (exactly once through its log).
-    ``complete`` rewrites the table with each micro-batch, so it ends as the
-    whole result; use it only for results of bounded size (one row per
-    listed term, say). ``state_partitions`` sets the shuffle partitions of a
-    stateful stream.
+    ``complete`` writes the whole result anew with each micro-batch, in a folder
+    of its own, and the last one is read: a reader never sees a table half
+    overwritten. Use it only for results of bounded size (one row per listed
+    term, say). ``state_partitions`` sets the shuffle partitions of a stateful
+    stream; it is a session setting while the stream starts, so start such
+    streams from one thread.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -98,18 +100,26 @@ def run_to_table(df: DataFrame, *, output_mode: str, name: str, timeout_s: float
               .trigger(availableNow=True))
     if output_mode not in ("append", "complete"):
         raise ValueError("output_mode must be 'append' or 'complete'")
+    batches: list[int] = []
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{number}")
+        batches.append(number)
+
     with _shuffle_partitions(spark, state_partitions):
         if output_mode == "append":
             query = writer.format("parquet").start(path)
         else:
-            query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).start()
+            query = writer.foreachBatch(write_batch).start()
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
         raise TimeoutError(f"stream {name} did not finish")
     if query.exception() is not None:
         raise query.exception()
-    return spark.read.parquet(path)
+    if output_mode == "append":
+        return spark.read.schema(df.schema).parquet(path)
+    return spark.read.parquet(f"{path}/{batches[-1]}") if batches else spark.createDataFrame([], df.schema)
 
 
 def start(df: DataFrame, *, output_mode: str, sink: str = "parquet", path: str | None = None,
