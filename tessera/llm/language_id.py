@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import remainder
+from tessera.llm._spark import in_tasks, remainder
 from tessera.llm._text import text_chunks
 
 UNKNOWN = "und"
@@ -210,8 +210,8 @@ def predict(docs: DataFrame, model: Model, *, block: int = 256, window: float =
                 [batch.column("doc_id"), pa.array(names[best].tolist(), pa.string()), pa.array(score)],
                 names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        compute, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(
+        in_tasks, compute, "doc_id long, lang_pred string, score double")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import partitions, remainder, stored
+from tessera.llm._spark import in_tasks, partitions, remainder, stored
 from tessera.llm._text import LOWER, NONBLANK, find_words, mix, runs_of, segment_hashes, text_chunks
 
 END = np.uint64(0x0E4DE4DE4DE4DE4D)
@@ -292,19 +292,19 @@ def score(docs: DataFrame, *, folds: int = 5, held_fold: int = 1, part_bytes: in
     def by_part(df):
         return df.repartition(partitions(spark), "part").sortWithinPartitions("part")
 
-    sent = by_part(dealt).mapInArrow(_send(buckets), SENT)
-    totals = stored(sent.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "level").mapInArrow(
-        _add_up, TOTALS), "lm-totals")
+    sent = by_part(dealt).transform(in_tasks, _send(buckets), SENT)
+    totals = stored(sent.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "level").transform(
+        in_tasks, _add_up, TOTALS), "lm-totals")
     learned = totals.filter("part is null and level = 1").agg(F.sum("tokens"), F.sum("kinds")).first()
     n, v = (int(x or 0) for x in learned)
     returned = totals.filter("part is not null").select(
         "part", F.lit(0).alias("kind"), "level", "bucket", F.lit(None).cast("long").alias("doc_id"),
         F.lit(None).cast("string").alias("text"), F.lit(False).alias("train"), F.lit(False).alias("held_out"), "counts")
     counted = by_part(dealt.union(returned))
-    cells = stored(counted.mapInArrow(lambda it: _ratios(it, n, v), "b int, pair int, word int, n long").groupBy(
+    cells = stored(counted.transform(in_tasks, lambda it: _ratios(it, n, v), "b int, pair int, word int, n long").groupBy(
         "b", "pair", "word").agg(F.sum("n").alias("n")), "lm-ratios")
     # Cells are ratios in quarter octaves by bucket: their number is bounded whatever the corpus.
     weights = learn_weights(sorted(tuple(r) for r in cells.collect()))
-    return counted.mapInArrow(
-        lambda it: _score(it, n, v, weights),
+    return counted.transform(
+        in_tasks, lambda it: _score(it, n, v, weights),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from tessera.llm._spark import in_tasks
 from tessera.llm._text import ALNUM, LOWER, NONBLANK, find_words, mix, segment_hashes, text_chunks
 
 DIMENSIONS = 1 << 20
@@ -151,8 +152,8 @@ def fit(docs: DataFrame, marks: DataFrame, grades: int, *, sample: int = 8000, *
                 [batch.column("grade"), batch.column("h"), pa.array(slots, pa.binary()), pa.array(counts, pa.binary()),
                  pa.array(words, pa.int64())], names=["grade", "h", "slots", "counts", "words"])
 
-    got = rows.select("text", "grade", "h").mapInArrow(
-        compute, "grade int, h long, slots binary, counts binary, words long").collect()
+    got = rows.select("text", "grade", "h").transform(
+        in_tasks, compute, "grade int, h long, slots binary, counts binary, words long").collect()
     got = sorted(got, key=lambda r: (r.h, r.grade, r.slots))[:sample]  # repeated documents repeat their ratings
     return train([np.frombuffer(r.slots, dtype=np.int32) for r in got],
                  [_values(np.frombuffer(r.counts, dtype=np.uint16), r.words) for r in got],
@@ -183,7 +184,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 [*batch.columns, pa.array(tail.sum(axis=1)), pa.ListArray.from_arrays(pa.array(at), pa.array(tail.ravel()))],
                 names=[*batch.schema.names, "expected_grade", "tail"])
 
-    return docs.drop("expected_grade", "tail").mapInArrow(compute, schema)
+    return docs.drop("expected_grade", "tail").transform(in_tasks, compute, schema)
 
 
 def graded(labels: DataFrame) -> DataFrame:

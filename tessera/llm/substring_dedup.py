@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tessera.llm._spark import stored
+from tessera.llm._spark import in_tasks, stored
 from tessera.llm._text import ALNUM, LOWER, NONBLANK, find_words, fold_hashes, segment_hashes, text_chunks
 
 SENTENCES = 2
@@ -92,7 +92,7 @@ def spans(docs: DataFrame, *, sentences: int = SENTENCES, words: int = WORDS) ->
                 doc, run = _distinct(u.run_doc, u.run)
                 yield pa.RecordBatch.from_arrays([pa.array(run), pa.array(keys[row + doc])], names=["run", "key"])
 
-    return _sources(docs).mapInArrow(compute, "run long, key long")
+    return _sources(docs).transform(in_tasks, compute, "run long, key long")
 
 
 def _distinct(doc: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,7 +169,7 @@ def remove_repeats(docs: DataFrame, *, sentences: int = SENTENCES, words: int =
 
     schema = StructType([StructField(c, LongType()) for c in ("doc_id", "n_sentences", "n_removed", "words_removed")]
                         + [StructField("text", StringType())])
-    return d.join(later, F.col("place") == F.col("key"), "left").select("doc_id", "text", "later").mapInArrow(compute, schema)
+    return d.join(later, F.col("place") == F.col("key"), "left").select("doc_id", "text", "later").transform(in_tasks, compute, schema)
 
 
 def _member(doc: np.ndarray, run: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import partitions, stored
+from tessera.llm._spark import in_tasks, partitions, stored
 from tessera.llm._text import runs_of
 
 RANGE = 4096
@@ -141,14 +141,14 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
                 [pa.array([group.column("g")[0].as_py()], pa.int32()), ids, pa.array([m.tobytes()], pa.binary()),
                  pa.array([m.shape[1]], pa.int32())], names=["g", "q_ids", "q_matrix", "q_width"])
 
-    laid = v.select("id", "v").repartitionByRange(ranges, "id", F.xxhash64("v")).sortWithinPartitions("id", "v").mapInArrow(
-        lay_out, "ids binary, matrix binary, width int")
+    laid = v.select("id", "v").repartitionByRange(ranges, "id", F.xxhash64("v")).sortWithinPartitions("id", "v").transform(
+        in_tasks, lay_out, "ids binary, matrix binary, width int")
     # Every range meets every group of queries; a pair's place is its group and a hash of the range.
     laid = laid.withColumn("salt", F.expr(f"cast(pmod(xxhash64(ids), {spread}) as int)")).withColumn(
         "g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     asked = v.filter("q").select(F.expr(f"cast(pmod(xxhash64(id), {groups}) as int)").alias("g"), "id", "v")
-    asked = asked.repartition(groups, "g").sortWithinPartitions("g").mapInArrow(
-        gather, "g int, q_ids binary, q_matrix binary, q_width int").withColumn(
+    asked = asked.repartition(groups, "g").sortWithinPartitions("g").transform(
+        in_tasks, gather, "g int, q_ids binary, q_matrix binary, q_width int").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
 
     def search(batches):
@@ -162,7 +162,7 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
                     [pa.array(qid[row]), pa.array(cid), pa.array([int(s) for s in score.tolist()], pa.int64())],
                     names=["query_id", "vec_id", "score"])
 
-    best = laid.join(asked, ["g", "salt"]).select("ids", "matrix", "width", "q_ids", "q_matrix", "q_width").mapInArrow(
-        search, "query_id long, vec_id long, score long")
+    best = laid.join(asked, ["g", "salt"]).select("ids", "matrix", "width", "q_ids", "q_matrix", "q_width").transform(
+        in_tasks, search, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
