@@ -168,12 +168,14 @@ def apply(docs: DataFrame, **options) -> DataFrame:
     d = docs.select(as_row(docs, "doc"), F.xxhash64(text).alias("key"), F.col("doc_id").cast("long").alias("id"),
                     F.col("source").cast("string").alias("from"))
     # Rows alike in id, text and source meet all pieces of the group; one of them is enough.
-    once = Window.partitionBy("key", "id", "from").orderBy("doc.text")
+    once = Window.partitionBy("key", "id", "from").orderBy(F.xxhash64("doc"))
     d = d.withColumn("nth", F.row_number().over(once)).filter("nth = 1").drop("nth")
     out = d.join(parts, F.expr("key = th and id <=> doc_id and `from` <=> source"))
     inner = F.btrim(F.col("doc.text"), F.lit(BLANKS))
+    # The words are named twice, or their split would be planned into the lambda, once for every piece.
     out = out.withColumn("words", F.split(inner, r"[\x20\x09-\x0D]+")).withColumn("mixed", F.expr(
-        "array_join(flatten(transform(parts, p -> slice(words, cast(p.at + 1 as int), cast(p.n as int)))), ' ')"))
+        """if(size(words) > 0,
+              array_join(flatten(transform(parts, p -> slice(words, cast(p.at + 1 as int), cast(p.n as int)))), ' '), '')"""))
     doc = F.col("doc").withField("text", F.col("mixed"))
     if "n_chars" in docs.columns:
         doc = doc.withField("n_chars", F.length("mixed").cast(docs.schema["n_chars"].dataType))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import as_row, components, partitions, stored
+from tessera.llm._spark import as_row, components, in_tasks, partitions, stored
 from tessera.llm._text import ALNUM, LOWER, find_words, mix, pieces, runs_of, segment_hashes, shingle_sets, text_chunks
 
 SHINGLE = 5
@@ -98,8 +98,8 @@ def signatures(docs: DataFrame, coordinates: int, width: int = SHINGLE) -> DataF
                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), pieces(sketches)]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", *KEY, "tokens", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        compute, "doc_id long, k1 long, k2 long, n long, tokens array<int>, sketch binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(
+        in_tasks, compute, "doc_id long, k1 long, k2 long, n long, tokens array<int>, sketch binary")
 
 
 def _forest(close: np.ndarray) -> list[tuple[int, int]]:
@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, width: int
         leaves = leaves.union(more)
     by_path = partitions(spark)
     ties = leaves.join(classes.select("node", "sketch"), "node").repartition(by_path, "path").sortWithinPartitions(
-        "path").mapInArrow(_tie_leaves, "a long, b long").distinct()
+        "path").transform(in_tasks, _tie_leaves, "a long, b long").distinct()
     centre = large.groupBy("path").agg(F.min("node").alias("b")).hint("rebalance")
     ties = ties.union(large.join(centre, "path").select(F.col("node").alias("a"), "b").filter("a <> b").distinct())
     clusters = stored(components(ties, "ngram-ties"), "ngram-clusters")
@@ -254,14 +254,14 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, width: int
                 [*(pa.array([k[i] for k in keys], pa.int64()) for i in range(3)), pieces(tokens)], names=[*KEY, "tokens"])
 
     wanted = _texts_of(docs, members)
-    placed = wanted.mapInArrow(sets, "k1 long, k2 long, n long, tokens binary").join(members, KEY).select(
+    placed = wanted.transform(in_tasks, sets, "k1 long, k2 long, n long, tokens binary").join(members, KEY).select(
         "root", "node", "size", "block", "tokens",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "node", F.col("size").cast("long"), "block", "tokens")
     links = stored(
-        placed.repartition(by_path, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(
-            _link_blocks(threshold), "node long, links long, peer long"), "ngram-links")
+        placed.repartition(by_path, "root", "i", "j").sortWithinPartitions("root", "i", "j").transform(
+            in_tasks, _link_blocks(threshold), "node long, links long, peer long"), "ngram-links")
 
     groups = components(links.select(F.col("node").alias("a"), F.col("peer").alias("b")), "ngram-groups")
     count = links.groupBy("node").agg(F.sum("links").alias("links"))
@@ -293,6 +293,6 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     kept = near_duplicates(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
         F.coalesce("doc_id", nowhere).alias("id")).distinct()
     d = docs.select(as_row(docs), F.coalesce(F.col("doc_id").cast("long"), nowhere).alias("id"), F.xxhash64("text").alias("hash"))
-    once = Window.partitionBy("id", "hash").orderBy("row.text")
+    once = Window.partitionBy("id", "hash").orderBy(F.xxhash64("row"))
     out = d.join(kept, "id", "left_semi").withColumn("nth", F.row_number().over(once))
     return out.filter("nth = 1").select("row.*")
