@@ -131,7 +131,7 @@ def fit(docs: DataFrame, marks: DataFrame, grades: int, *, sample: int = 8000, *
     Fitted on at most ``sample`` of the ratings, those with the smallest hashes;
     a rating without a document, an id or a grade is left out, a null text
     counts as empty. The bounded sample of ratings is broadcast to the
-    documents, features are extracted on the executors and the driver fits them.
+    documents, features are extracted where they are and one task fits them.
     """
     picked = marks.filter("doc_id is not null and grade is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")).withColumn(
@@ -149,15 +149,29 @@ def fit(docs: DataFrame, marks: DataFrame, grades: int, *, sample: int = 8000, *
                 counts += [np.minimum(c, 65535).astype(np.uint16).tobytes() for c in np.split(count, cuts)]
                 words += size.tolist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grade"), batch.column("h"), pa.array(slots, pa.binary()), pa.array(counts, pa.binary()),
-                 pa.array(words, pa.int64())], names=["grade", "h", "slots", "counts", "words"])
-
-    got = rows.select("text", "grade", "h").transform(
-        in_tasks, compute, "grade int, h long, slots binary, counts binary, words long").collect()
-    got = sorted(got, key=lambda r: (r.h, r.grade, r.slots))[:sample]  # repeated documents repeat their ratings
-    return train([np.frombuffer(r.slots, dtype=np.int32) for r in got],
-                 [_values(np.frombuffer(r.counts, dtype=np.uint16), r.words) for r in got],
-                 np.array([r.grade for r in got], dtype=np.int64), grades, **options)
+                [batch.column("h"), batch.column("grade"), pa.array(slots, pa.binary()), pa.array(counts, pa.binary()),
+                 pa.array(words, pa.int64())], names=["h", "grade", "slots", "counts", "words"])
+
+    def learn(batches):
+        got = sorted((tuple(r.values()) for batch in batches for r in batch.to_pylist()), key=lambda r: r[:3])[:sample]
+        m = _train_lists(got, grades, options)
+        yield pa.RecordBatch.from_arrays([pa.array([m.weights.tobytes()], pa.binary()), pa.array([m.thresholds.tolist()])],
+                                         names=["weights", "thresholds"])
+
+    features = rows.select("text", "grade", "h").transform(
+        in_tasks, compute, "h long, grade int, slots binary, counts binary, words long")
+    # The sample is bounded, so one task can hold it; repeated documents repeat their ratings and are cut to the bound.
+    fitted = features.repartition(1).transform(in_tasks, learn, "weights binary, thresholds array<double>").first()
+    if fitted is None:
+        return _train_lists([], grades, options)
+    return Model(np.frombuffer(fitted.weights, dtype=np.float32), np.array(fitted.thresholds))
+
+
+def _train_lists(rows: list[tuple], grades: int, options: dict) -> Model:
+    """``train`` on (hash, grade, slots, counts, words) rows."""
+    return train([np.frombuffer(r[2], dtype=np.int32) for r in rows],
+                 [_values(np.frombuffer(r[3], dtype=np.uint16), r[4]) for r in rows],
+                 np.array([r[1] for r in rows], dtype=np.int64), grades, **options)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
