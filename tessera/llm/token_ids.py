@@ -21,9 +21,11 @@ ascending order of doc_id over (part, file).
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
+import string
 import zlib
 from itertools import chain, repeat
 
@@ -33,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import partitions
+from tessera.llm._spark import in_tasks, partitions
 
 BLOCK = 512
 PERCENTILE = 0.9
@@ -80,13 +82,13 @@ def encode_file(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENT
     rows = rows.reshape(blocks, block)
     low = rows.min(axis=1)
     rest = rows - low[:, None]
-    bits = np.frexp(rest.astype(np.float64))[1]
-    width = np.partition(bits, int(percentile * (block - 1)), axis=1)[:, int(percentile * (block - 1))]
+    nth = int(percentile * (block - 1))
+    width = np.frexp(np.partition(rest, nth, axis=1)[:, nth].astype(np.float64))[1]
     bodies: list[bytes] = [b""] * blocks
     for w in np.unique(width).tolist():
         which = np.flatnonzero(width == w)
         part = rest[which]
-        over = bits[which] > w
+        over = part >= 1 << w if w < 32 else np.zeros(part.shape, dtype=bool)
         row, place = np.nonzero(over)
         odd = np.bincount(row, minlength=len(which))
         heads = np.zeros((len(which), 4), "<u2")
@@ -147,8 +149,9 @@ class Encoder:
     #: Visible characters for any notion of blank: ASCII and the Latin letters after it.
     _VISIBLE = "!-~À-ɏ"
     _SAFE = re.compile(f"(?<=[{_VISIBLE}]) (?=[{_VISIBLE}])")
+    _LATIN = re.compile("[A-Za-zÀ-ɏ]+").fullmatch
     _SEEN = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
-    _MARKS = ".,;:!?"
+    _MARKS = string.punctuation
     #: Pieces that are encoded as one text.
     _JOINED = 100
 
@@ -186,8 +189,15 @@ class Encoder:
 
     def _learn(self, memo: dict[str, int], new: list[str], lead: str) -> None:
         """Ids of pieces not met before, each with ``lead`` in front."""
-        if lead:
-            new = self._learn_words(memo, new)
+        collecting = gc.isenabled()
+        gc.disable()  # lists of ids by the hundred thousand, none in a cycle
+        try:
+            self._learn_all(memo, self._learn_words(memo, new) if lead else new, lead)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _learn_all(self, memo: dict[str, int], new: list[str], lead: str) -> None:
         if not new:
             return
         seen = self._SEEN
@@ -215,7 +225,7 @@ class Encoder:
         words, others = [], []
         for x in new:
             w = x.rstrip(self._MARKS)
-            if w.isalpha() and (w.isascii() or max(w) < "\u0250"):
+            if w.isalpha() and (w.isascii() or self._LATIN(w)):
                 words.append((x, w))
             else:
                 others.append(x)
@@ -223,7 +233,7 @@ class Encoder:
         tokenize = self.tokenizer.model.tokenize
         got = [[t.id for t in tokenize("\u0120" + (w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)))]
                for w in unknown]
-        self._keep(memo, unknown, self._flat(got), np.fromiter(map(len, got), dtype=np.int64, count=len(got)))
+        self._keep(memo, unknown, self._flat(got), np.fromiter(map(len, got), dtype=np.int64, count=len(got)), visible=True)
         marked = [(x, memo[w], x[len(w):]) for x, w in words if len(x) > len(w)]
         if marked:
             marks = list(dict.fromkeys(m for _, _, m in marked))
@@ -231,15 +241,18 @@ class Encoder:
             at = self.at.tolist()
             lists = [a for _, i, m in marked for a in (self.ids[at[i]: at[i + 1]], behind[m])]
             self._keep(memo, [x for x, _, _ in marked], np.concatenate(lists),
-                       np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)).reshape(-1, 2).sum(axis=1))
+                       np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)).reshape(-1, 2).sum(axis=1), visible=True)
         return others
 
-    def _keep(self, memo: dict[str, int], pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _keep(self, memo: dict[str, int], pieces: list[str], ids: np.ndarray, sizes: np.ndarray, visible: bool = False) -> None:
         n, seen = len(self.at) - 1, self._SEEN
         memo.update(zip(pieces, range(n, n + len(pieces)), strict=True))
         self.ids = np.concatenate([self.ids, ids])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        self.safe = np.concatenate([self.safe, np.array([(x[:1] in seen, x[-1:] in seen) for x in pieces], dtype=bool).reshape(-1, 2)])
+        safe = np.ones((len(pieces), 2), dtype=bool)
+        if not visible:
+            safe[:] = np.array([(x[:1] in seen, x[-1:] in seen) for x in pieces], dtype=bool).reshape(-1, 2)
+        self.safe = np.concatenate([self.safe, safe])
 
     @staticmethod
     def _flat(lists: list[list[int]]) -> np.ndarray:
@@ -256,11 +269,14 @@ class Encoder:
 
     def _gather(self, place: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces at ``place``, and their number per text; texts begin at ``first`` (and end)."""
-        size = self.at[place + 1] - self.at[place]
+        start = self.at[place]
+        size = self.at[place + 1] - start
         total = np.zeros(len(place) + 1, dtype=np.int64)
         np.cumsum(size, out=total[1:])
-        ids = self.ids[np.repeat(self.at[place] - total[:-1], size) + np.arange(total[-1])]
-        return ids, np.diff(total[first])
+        kind = np.int32 if max(total[-1], self.at[-1]) < 1 << 31 else np.int64
+        index = np.repeat((start - total[:-1]).astype(kind), size)
+        index += np.arange(total[-1], dtype=kind)
+        return self.ids[index], np.diff(total[first])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each); no text may be null."""
@@ -370,7 +386,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, *, end_id: int | None = 2,
         if held_docs:
             yield flush()
 
-    dealt.mapInArrow(compute, FILES).write.parquet(path)
+    dealt.transform(in_tasks, compute, FILES).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -390,7 +406,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(at), pa.array(ids.astype(np.int64)))],
                     names=["doc_id", "start", "n_tokens", "ids"])
 
-    return _with_base(files).mapInArrow(compute, "doc_id long, start long, n_tokens long, ids array<long>")
+    return _with_base(files).transform(in_tasks, compute, "doc_id long, start long, n_tokens long, ids array<long>")
 
 
 def _with_base(files: DataFrame) -> DataFrame:
@@ -417,4 +433,4 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(batch.column("doc_ids")[i].as_py(), pa.int64()), pa.array(start), pa.array(sizes),
                      pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return _with_base(files).mapInArrow(compute, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _with_base(files).transform(in_tasks, compute, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -39,7 +39,8 @@ def test_blocks_have_exceptions_and_an_index():
 
 
 TEXTS = ["", " ", "  two  spaces ", "a b", "tab\tand\n new  line\n\n", "naïve café – “quoted” text", "日本語 の 文章", "x y z",
-         "it's we'll I'd", "a\x1cb \x1c c \x85 d", "<|endoftext|> in text", "under_score 12 345 6.7", "🎉 🎉🎉 a 🎉", "!? ... ;) (a) [b]"]
+         "it's we'll I'd", "a\x1cb \x1c c \x85 d", "<|endoftext|> in text", "under_score 12 345 6.7", "🎉 🎉🎉 a 🎉", "!? ... ;) (a) [b]", "w*** W!! x%%% don't' dogs' it's, 's 't a's",
+         "été, ÉTÉ!! naïve*** straße.' ªº µm, x<|endoftext|> <|endoftext|>, y<| z|>"]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
