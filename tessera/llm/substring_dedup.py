@@ -1,16 +1,22 @@
-"""Substring deduplication by sliding sentence spans.
-
-Every run of several consecutive sentences is hashed by its words (ASCII
-letters in lower case; punctuation and blanks do not count). Runs are joined
-globally by hash; the run's first occurrence is the one in the smallest doc_id
-and, in it, the earliest. Sentences covered by any other occurrence are removed.
-
-A run is the shortest one from its first sentence on, or up to its last
-sentence, that has at least ``sentences`` sentences and ``words`` words; taking
-both makes every sentence of a repeated passage part of a run inside it.
-Sentences end after ``.``, ``!``, ``?`` before a blank, at an ideographic full
-stop, and at line ends. A sentence of more than ``LONG`` words is cut after
-words picked by their hash, so a passage inside it is found wherever it stands.
+"""Substring deduplication by sliding word windows, with sentence counts.
+
+Every window of ``words`` consecutive words (ASCII letters in lower case;
+punctuation, blanks and line ends do not count) that occurs again is found,
+wherever it begins and ends. A window's first occurrence is the one in the
+smallest doc_id and, in it, the earliest. Words covered by any other occurrence
+are removed, with what follows them up to the next word; so all words of a
+repeated passage of ``words`` words or more go but where it stands first, and a
+sentence goes when all its words do.
+
+Windows are found in two steps, so that the hashes of text that stands only
+once are never written. The anchor of a window is the smallest hash of its
+``GRAM``-word grams: equal windows have equal anchors, and neighbours mostly
+share one. Anchors are joined globally; only windows whose anchor is in more
+than one document are hashed and joined themselves. Both steps are exact.
+
+Sentences, which are only counted, end after ``.``, ``!``, ``?`` before a
+blank, at an ideographic full stop, and at line ends; one of more than ``LONG``
+words counts in parts, cut after words picked by their hash.
 """
 
 from __future__ import annotations
@@ -23,18 +29,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.llm._spark import in_tasks, stored
-from tessera.llm._text import ALNUM, LOWER, NONBLANK, find_words, fold_hashes, segment_hashes, text_chunks
+from tessera.llm._text import ALNUM, LOWER, NONBLANK, find_words, fold_hashes, mix, segment_hashes, text_chunks
 
-SENTENCES = 2
+SENTENCES = 2  # of the former runs of sentences; windows do not depend on it
 WORDS = 20
+GRAM = 8
 LONG = 24
 LAST = (1 << 63) - 1
 
 
 class _Units:
-    """Sentences of a run of texts, their byte ranges and their runs."""
+    """Sentences, words and windows of a run of texts, with their byte ranges."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, sentences: int, words: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, words: int):
         lower = LOWER[data]
         starts, ends, first = find_words(lower, offsets, ALNUM)
         hashes = segment_hashes(lower, starts, ends)
@@ -52,102 +59,129 @@ class _Units:
         number = np.cumsum(new) - 1
         long = np.bincount(number)[number] > LONG if len(starts) else new
         new[1:] |= long[1:] & (hashes[:-1] & np.uint64(7) == 0)
-        self.word = np.flatnonzero(new)  # each unit's first word
-        self.doc = doc[self.word]
-        self.start = starts[self.word]
-        self.end = np.append(self.start[1:], len(data))
-        last = np.ones(len(self.word), dtype=bool)
-        last[:-1] = self.doc[1:] != self.doc[:-1]
-        self.end[last] = offsets[self.doc[last] + 1]
-        n = len(self.word)
-        bounds = np.append(self.word, len(starts))
-        self.words = np.diff(bounds)
-        unit = fold_hashes(hashes, bounds[:-1], bounds[1:])
-        self.first = np.searchsorted(self.doc, np.arange(len(offsets)))
-        left, right = self.first[self.doc], self.first[self.doc + 1]
-        at = np.arange(n)
-        to = np.maximum(np.searchsorted(bounds, bounds[:-1] + words), at + sentences)
-        back = np.minimum(np.searchsorted(bounds, bounds[1:] - words, "right") - 1, at + 1 - sentences)
-        forward, backward = to <= right, back >= left
-        a = np.concatenate([at[forward], back[backward]])
-        b = np.concatenate([to[forward], at[backward] + 1])
-        _, pick = np.unique(a * (n + 1) + b, return_index=True)  # by place
-        self.a, self.b = a[pick], b[pick]
-        self.run = fold_hashes(unit, self.a, self.b).astype(np.int64)
-        self.run_doc = self.doc[self.a]
+        self.unit = np.cumsum(new) - 1  # of each word
+        self.doc = doc[new]  # of each unit
+        self.start = starts
+        self.end = np.append(starts[1:], len(data))[:len(starts)]
+        last = np.ones(len(starts), dtype=bool)
+        last[:-1] = doc[1:] != doc[:-1]
+        self.end[last] = offsets[doc[last] + 1]
+        at = np.arange(max(0, len(starts) - words + 1))
+        self.at = at = at[doc[at] == doc[at + words - 1]]  # each window's first word
+        self.run = fold_hashes(hashes, at, at + words)
+        self.run_doc = doc[at]
+        gram = min(GRAM, words)
+        at = np.arange(max(0, len(starts) - gram + 1))
+        self.anchor = _least(fold_hashes(hashes, at, at + gram), words - gram + 1)[self.at]
+
+
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Smallest of each ``width`` consecutive values."""
+    span = 1
+    while span * 2 <= width:
+        values, span = np.minimum(values[:-span], values[span:]), span * 2
+    return np.minimum(values[: max(0, len(values) - (width - span))], values[width - span:])
 
 
 def _sources(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), F.col("text").cast("string"))
 
 
-def spans(docs: DataFrame, *, sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """(run, key): the hash of every run of every document, once a document."""
+def _in(doc: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """One hash of (document of the chunk, hash)."""
+    return run ^ mix(doc.astype(np.uint64) + np.uint64(1))
+
+
+def _emit(keys: np.ndarray, doc: np.ndarray, run: np.ndarray) -> pa.RecordBatch:
+    """(run, key), once a document."""
+    _, pick = np.unique(_in(doc, run), return_index=True)
+    return pa.RecordBatch.from_arrays([pa.array(run[pick].view(np.int64)), pa.array(keys[doc[pick]])], names=["run", "key"])
+
+
+class _Lists:
+    """A column of lists of hashes, read by runs of rows."""
+
+    def __init__(self, column: pa.Array):
+        self.values = column.flatten().to_numpy().view(np.uint64)
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+        self.at = np.append(0, np.cumsum(sizes, dtype=np.int64))
+
+    def member(self, row: int, n: int, doc: np.ndarray, run: np.ndarray) -> np.ndarray:
+        """Whether each run is in the list of its document, the documents being the ``n`` rows from ``row`` on."""
+        at = self.at[row: row + n + 1]
+        return np.isin(_in(doc, run), _in(np.repeat(np.arange(n), np.diff(at)), self.values[at[0]: at[-1]]))
+
+
+def anchors(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
+    """(run, key): the anchors of every document's windows, once a document."""
 
     def compute(batches):
         for batch in batches:
             keys = batch.column("key").to_numpy()
             for row, offsets, data in text_chunks(batch.column("text")):
-                u = _Units(data, offsets, sentences, words)
-                doc, run = _distinct(u.run_doc, u.run)
-                yield pa.RecordBatch.from_arrays([pa.array(run), pa.array(keys[row + doc])], names=["run", "key"])
+                u = _Units(data, offsets, words)
+                yield _emit(keys[row:], u.run_doc, u.anchor)
 
     return _sources(docs).transform(in_tasks, compute, "run long, key long")
 
 
-def _distinct(doc: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((run, doc))
-    doc, run = doc[order], run[order]
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (run[1:] != run[:-1])
-    return doc[new], run[new]
+def spans(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
+    """(run, key): the hash of every window whose anchor is in several documents, once a document."""
+    found = stored(anchors(docs, words=words), "window-anchors")
+    shared = found.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select(
+        F.col("run").alias("repeated")).hint("rebalance")
+    lists = found.join(shared, F.expr("run = repeated")).groupBy("key").agg(
+        F.collect_set("run").alias("anchors"))  # at most the anchors of one document
+
+    def compute(batches):
+        for batch in batches:
+            keys, wanted = batch.column("key").to_numpy(), _Lists(batch.column("anchors"))
+            for row, offsets, data in text_chunks(batch.column("text")):
+                u = _Units(data, offsets, words)
+                hit = wanted.member(row, len(offsets) - 1, u.run_doc, u.anchor)
+                yield _emit(keys[row:], u.run_doc[hit], u.run[hit])
+
+    return _sources(docs).join(lists, "key").select("key", "text", "anchors").transform(in_tasks, compute, "run long, key long")
 
 
 def _repeats_inside(doc: np.ndarray, run: np.ndarray) -> np.ndarray:
     """Occurrences of a run of the same document after the first; runs come in order of their places."""
-    order = np.lexsort((np.arange(len(run)), run, doc))
-    again = np.zeros(len(run), dtype=bool)
-    d, r = doc[order], run[order]
-    again[order[1:]] = (d[1:] == d[:-1]) & (r[1:] == r[:-1])
+    again = np.ones(len(run), dtype=bool)
+    again[np.unique(_in(doc, run), return_index=True)[1]] = False
     return again
 
 
-def remove_repeats(docs: DataFrame, *, sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
     """doc_id, n_sentences, n_removed, words_removed, text of every row of ``docs`` (doc_id, text).
 
-    ``text`` is the text without the removed sentences; nothing else of it
-    changes. Null and empty texts come back as they are, with zeros. Rows with
+    ``text`` is the text without the removed words; nothing else of it changes.
+    ``n_removed`` counts the sentences of which no word is left. Null and empty
+    texts come back as they are, with zeros. Rows with
     one doc_id are one document: what they share is not removed across them
     (a repeat inside one row is). Null ids come last and are one document.
     Other columns are ignored; an empty table gives no rows.
     """
-    runs = stored(spans(docs, sentences=sentences, words=words), "sentence-runs")
+    runs = stored(spans(docs, words=words), "windows")
     first = runs.groupBy("run").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1").select(
         F.col("run").alias("repeated"), "first").hint("rebalance")
-    later = runs.join(first, F.expr("run = repeated and key > first")).groupBy("key").agg(
-        F.collect_set("run").alias("later"))  # at most the runs of one document
+    again = stored(runs.join(first, F.expr("run = repeated and key > first")).select("key", "run"), "later-windows")
+    later = again.groupBy("key").agg(F.collect_set("run").alias("later"))  # at most the windows of one document
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
         "place", F.coalesce("doc_id", F.lit(LAST)))
 
     def compute(batches):
         for batch in batches:
-            lists = batch.column("later")
-            foreign, at = lists.flatten().to_numpy(), np.zeros(batch.num_rows + 1, dtype=np.int64)
-            sizes = [0 if x is None else x for x in pc.list_value_length(lists).to_pylist()]
-            np.cumsum(sizes, out=at[1:])
+            later = _Lists(batch.column("later"))
             texts, counts = [], []
             for row, offsets, data in text_chunks(batch.column("text")):
                 n = len(offsets) - 1
-                u = _Units(data, offsets, sentences, words)
-                hit = _repeats_inside(u.run_doc, u.run)
-                lo, hi = at[row], at[row + n]
-                if hi > lo:
-                    owner = np.repeat(np.arange(n), np.diff(at[row: row + n + 1]))
-                    hit |= _member(u.run_doc, u.run, owner, foreign[lo:hi])
-                cover = np.zeros(len(u.word) + 1, dtype=np.int64)
-                np.add.at(cover, u.a[hit], 1)
-                np.add.at(cover, u.b[hit], -1)
+                u = _Units(data, offsets, words)
+                hit = _repeats_inside(u.run_doc, u.run) | later.member(row, n, u.run_doc, u.run)
+                cover = np.zeros(len(u.start) + 1, dtype=np.int64)
+                cover[u.at[hit]] += 1
+                cover[u.at[hit] + words] -= 1
                 gone = np.cumsum(cover[:-1]) > 0
+                whole = np.bincount(u.unit, weights=~gone, minlength=len(u.doc)) == 0
                 edge = np.zeros(len(data) + 1, dtype=np.int32)
                 np.add.at(edge, u.start[gone], 1)
                 np.add.at(edge, u.end[gone], -1)
@@ -155,8 +189,9 @@ def remove_repeats(docs: DataFrame, *, sentences: int = SENTENCES, words: int =
                 kept = np.zeros(len(data) + 1, dtype=np.int64)
                 np.cumsum(keep, out=kept[1:])
                 texts.append((kept[offsets], data[keep]))
-                counts.append(np.stack([np.bincount(u.doc, minlength=n), np.bincount(u.doc, weights=gone, minlength=n),
-                                        np.bincount(u.doc, weights=gone * u.words, minlength=n)]).astype(np.int64))
+                counts.append(np.stack([
+                    np.bincount(u.doc, minlength=n), np.bincount(u.doc, weights=whole, minlength=n),
+                    np.bincount(u.doc[u.unit], weights=gone, minlength=n)]).astype(np.int64))
             if not texts:
                 continue
             total = np.concatenate(counts, axis=1)
@@ -170,15 +205,3 @@ def remove_repeats(docs: DataFrame, *, sentences: int = SENTENCES, words: int =
     schema = StructType([StructField(c, LongType()) for c in ("doc_id", "n_sentences", "n_removed", "words_removed")]
                         + [StructField("text", StringType())])
     return d.join(later, F.col("place") == F.col("key"), "left").select("doc_id", "text", "later").transform(in_tasks, compute, schema)
-
-
-def _member(doc: np.ndarray, run: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Whether (doc, run) is among the pairs (owner, wanted)."""
-    order = np.lexsort((np.concatenate([run, wanted]), np.concatenate([doc, owner])))
-    d, r = np.concatenate([doc, owner])[order], np.concatenate([run, wanted])[order]
-    group = np.cumsum(np.append(True, (d[1:] != d[:-1]) | (r[1:] != r[:-1]))) - 1
-    listed = np.zeros(group[-1] + 1, dtype=bool)
-    listed[group[order >= len(doc)]] = True
-    out = np.empty(len(order), dtype=bool)
-    out[order] = listed[group]
-    return out[: len(doc)]

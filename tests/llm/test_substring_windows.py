@@ -1,0 +1,80 @@
+"""Substring dedup against every window of 20 words in plain Python; passages whatever their stops and line ends."""
+
+from test_substring_dedup import WORD, lower, run, units
+
+from tessera.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute(rows, words=20):
+    """The result rows: a word goes if a window over it stands earlier, in its row or under a smaller id."""
+    docs, least = [], {}
+    for d, t in rows:
+        raw = (t or "").encode()
+        at = [(m.start(), m[0]) for m in WORD.finditer(lower(raw))]
+        windows = [tuple(w for _, w in at[i:i + words]) for i in range(len(at) - words + 1)]
+        order = (d is None, d or 0)
+        docs.append((d, t, raw, at, windows, order))
+        for w in windows:
+            least[w] = min(least.get(w, order), order)
+    out = []
+    for d, t, raw, at, windows, order in docs:
+        gone, seen = set(), set()
+        for i, w in enumerate(windows):
+            if least[w] < order or w in seen:
+                gone.update(range(i, i + words))
+            seen.add(w)
+        ends = [s for s, _ in at[1:]] + [len(raw)]
+        kept, pos = b"", 0
+        for k in sorted(gone):
+            kept += raw[pos:at[k][0]]
+            pos = ends[k]
+        kept += raw[pos:]
+        n, whole, us = 0, 0, units(t)
+        for u in us:
+            whole += all(k in gone for k in range(n, n + len(u[2])))
+            n += len(u[2])
+        out.append((d, len(us), whole, len(gone), None if t is None else kept.decode()))
+    return sorted(out, key=str)
+
+
+def words(tag, n):
+    return [f"{tag}{i}" for i in range(n)]
+
+
+def test_query_matches_all_windows(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in QUERIES["op10_substring_dedup"](spark, SF).collect()), key=str)
+    assert got == brute(rows)
+    assert any(r[3] for r in got)
+
+
+def test_passages_without_stops(spark):
+    for n in (20, 21, 27, 51):
+        for k in range(5):
+            p = words(f"p{k}x", n)
+            rows = [(i, " ".join(words(f"a{i}x", 30) + p + words(f"b{i}x", 30))) for i in range(3)]
+            got = run(spark, rows)
+            assert got == brute(rows)
+            assert [r[3] for r in got] == [0, n, n]
+    rows = [(i, " ".join(words(f"a{i}x", 30) + words("p", 19) + words(f"b{i}x", 30))) for i in range(3)]
+    assert [r[3] for r in run(spark, rows)] == [0, 0, 0]
+
+
+def test_same_words_under_other_stops_and_lines(spark):
+    p = words("p", 51)
+    ways = [" ".join(p), "\n".join(" ".join(p[i:i + 7]) for i in range(0, 51, 7)), ". ".join(" ".join(p[i:i + 10]) for i in range(0, 51, 10)),
+            ", ".join(p).upper(), "! ".join(p)]
+    rows = [(i, f"Own start s{i} {way} e{i} own end.") for i, way in enumerate(ways)]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    assert [r[3] for r in got] == [0, 51, 51, 51, 51]
+    assert all(r[4] == f"Own start s{r[0]} e{r[0]} own end." for r in got[1:])
+
+
+def test_repeats_inside_a_row_and_short_rows(spark):
+    p = " ".join(words("p", 40))
+    rows = [(1, p + "\n" + p), (2, " ".join(words("q", 11))), (3, " ".join(words("q", 11))), (4, "x y " * 30), (5, "x y " * 30),
+            (None, p), (None, "own words " + p), (6, None), (7, "")]
+    assert run(spark, rows) == brute(rows)
