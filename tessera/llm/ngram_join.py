@@ -18,7 +18,9 @@ one representative; everything after that works on classes.
 3. *Exact links.* Every cluster's shingle sets are fetched once, cut into
    blocks, and each pair of blocks is compared exactly in one task, which
    returns the number of links of each member and a spanning forest, never the
-   pairs. A large group of copies is thus spread over many tasks.
+   pairs. A large group of copies is thus spread over many tasks. Blocks stay
+   below a fixed size however large the cluster is, and the pairs of blocks are
+   taken in rounds, so that neither a task nor the shuffle grows with its square.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._spark import as_row, components, in_tasks, partitions, stored
@@ -40,6 +42,8 @@ RECALL = 0.9999
 SKETCH = 64
 LEAF = 64
 BLOCK = 128
+#: Mean classes and shingles of a block at most, and copies of the sets that one round shuffles.
+MOST, TOKENS, FOLD = 512, 1 << 18, 128
 KEY = ["k1", "k2", "n"]
 
 
@@ -186,6 +190,21 @@ def _link_blocks(threshold: float):
     return compute
 
 
+def block_count(members: Column, tokens: Column) -> Column:
+    """Blocks of a cluster: about ``BLOCK`` classes each, more in clusters of many, up to ``MOST`` and ``TOKENS``."""
+    return F.greatest(F.least(F.lit(BLOCK), F.ceil(members / BLOCK)), F.ceil(members / MOST), F.ceil(tokens / TOKENS)).cast("int")
+
+
+def _place(sets: DataFrame, turn: int, rounds: int) -> DataFrame:
+    """``sets`` once for each pair of blocks (i, j) of the round: those with i + j = turn modulo ``rounds``."""
+    start = F.expr(f"cast(pmod({turn} - block, {rounds}) as int)")
+    return sets.withColumn("start", start).filter("start < blocks").select(
+        "root", "node", "size", "block", "tokens",
+        F.explode(F.sequence("start", F.col("blocks") - 1, F.lit(rounds))).alias("other")).select(
+        "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "node", F.col("size").cast("long"), "block", "tokens")
+
+
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, width: int = SHINGLE, levels: int = LEVELS,
                     recall: float = RECALL, leaf: int = LEAF) -> DataFrame:
     """One row per document: doc_id, class_id, n_links.
@@ -237,11 +256,10 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, width: int
     clusters = stored(components(ties, "ngram-ties"), "ngram-clusters")
 
     # Every cluster's sets, once per pair of blocks.
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("members")).hint("rebalance")
-    blocks = F.least(F.lit(BLOCK), F.ceil(F.col("members") / BLOCK)).cast("int")
+    sizes = clusters.join(classes.select("node", "n"), "node").groupBy("root").agg(
+        block_count(F.count("*"), F.sum("n")).alias("blocks")).hint("rebalance")
     members = stored(
         clusters.join(sizes, "root").join(classes.select("node", "rep", "size", *KEY), "node")
-        .withColumn("blocks", blocks)
         .withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)")), "ngram-members")
 
     def sets(batches):
@@ -254,14 +272,18 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, width: int
                 [*(pa.array([k[i] for k in keys], pa.int64()) for i in range(3)), pieces(tokens)], names=[*KEY, "tokens"])
 
     wanted = _texts_of(docs, members)
-    placed = wanted.transform(in_tasks, sets, "k1 long, k2 long, n long, tokens binary").join(members, KEY).select(
-        "root", "node", "size", "block", "tokens",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "node", F.col("size").cast("long"), "block", "tokens")
-    links = stored(
-        placed.repartition(by_path, "root", "i", "j").sortWithinPartitions("root", "i", "j").transform(
-            in_tasks, _link_blocks(threshold), "node long, links long, peer long"), "ngram-links")
+    cut = wanted.transform(in_tasks, sets, "k1 long, k2 long, n long, tokens binary").join(members, KEY).select(
+        "root", "node", "size", "block", "blocks", "tokens")
+    once, copies = members.agg(F.sum("n"), F.sum(F.col("n") * F.col("blocks"))).first()
+    rounds = max(1, math.ceil((copies or 0) / (FOLD * (once or 1))))
+    if rounds > 1:
+        cut = stored(cut, "ngram-sets")
+    links = None
+    for turn in range(rounds):
+        part = stored(
+            _place(cut, turn, rounds).repartition(by_path, "root", "i", "j").sortWithinPartitions("root", "i", "j").transform(
+                in_tasks, _link_blocks(threshold), "node long, links long, peer long"), "ngram-links")
+        links = part if links is None else links.union(part)
 
     groups = components(links.select(F.col("node").alias("a"), F.col("peer").alias("b")), "ngram-groups")
     count = links.groupBy("node").agg(F.sum("links").alias("links"))
