@@ -155,3 +155,98 @@ FROM d LEFT JOIN g USING (r)
 
 
 ORACLE |= {"op4_ngram_jaccard_join": NEAR_DUPLICATES, "op8_topk_search": TOP_K, "op9_secret_scan": _secret_sql()}
+
+#: crc32 of UTF-8 bytes by its table, which is made of the polynomial.
+_CRC_TABLE = """
+crc AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS crc_table
+  FROM (SELECT unnest(range(256)) AS b))"""
+
+
+def _crc(text: str) -> str:
+    of = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return (f"xor(list_reduce({of}, lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), "
+            "4294967295)")
+
+
+SPELLING = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run),
+h AS (SELECT run, n, {_crc("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM r, crc),
+w AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word
+    FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+e AS (SELECT word, n, i, substring(word, 1, i - 1) AS a, substring(word, i + 1) AS b FROM p),
+near AS (
+  SELECT x.word, y.word AS near, y.n AS m FROM e x JOIN e y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT e.word, w.word, w.n FROM e JOIN w ON w.word = a || b
+  UNION SELECT w.word, e.word, e.n FROM e JOIN w ON w.word = a || b),
+best AS (SELECT word, count(*) AS n_near, min((-m, near)) AS f, max(m) AS m FROM near GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 5 * n THEN f[2] END AS form,
+    CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM w LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, word AS root, form AS next FROM f
+  UNION ALL SELECT way.word, f.word, f.form FROM way JOIN f ON f.word = way.next)
+SELECT word, f.form, root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT word, root FROM way WHERE next IS NULL) USING (word)
+"""
+
+SHARDING = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+z AS (SELECT r, doc_id, strlen(text)::BIGINT + 1 AS size, md5(text) AS k, text FROM d),
+g AS (SELECT k, min(doc_id) AS first, sum(size)::BIGINT AS bytes FROM z GROUP BY k),
+o AS (
+  SELECT k, bytes, row_number() OVER (ORDER BY first NULLS LAST, k) AS i,
+    (sum(bytes) OVER (ORDER BY first NULLS LAST, k ROWS UNBOUNDED PRECEDING))::BIGINT AS "end" FROM g),
+l AS (SELECT list_concat([0::BIGINT], list("end" ORDER BY i)) AS ends, max("end") AS total, max(bytes) AS largest FROM o),
+s AS (
+  SELECT greatest(largest, (total + 15) // 16)::BIGINT AS low, total AS high FROM l
+  UNION ALL
+  SELECT CASE WHEN ok THEN low ELSE middle + 1 END, CASE WHEN ok THEN middle ELSE high END FROM (
+    SELECT low, high, middle, list_reduce(range(16), lambda pos, k: list_max(list_filter(ends, lambda e: e <= pos + middle)), 0::BIGINT) = total AS ok
+    FROM (SELECT low, high, (low + high) // 2 AS middle FROM s WHERE low < high), l)),
+c AS (SELECT low AS capacity FROM s WHERE low >= high),
+back AS (
+  SELECT 16 AS k, total AS least FROM l
+  UNION ALL SELECT k - 1, list_min(list_filter(ends, lambda e: e >= least - capacity)) FROM back, l, c WHERE k > 1),
+cut AS (
+  SELECT 0 AS k, 0::BIGINT AS pos
+  UNION ALL
+  SELECT cut.k + 1, greatest(least, list_max(list_filter(ends, lambda e: e <= pos + (total - pos) // (16 - cut.k))),
+      coalesce(list_min(list_filter(ends, lambda e: e > pos)), total))
+  FROM cut JOIN back ON back.k = cut.k + 1, l WHERE cut.k < 15),
+p AS (SELECT k, i, (SELECT count(*) FROM cut WHERE cut.k > 0 AND pos <= "end" - bytes)::INTEGER AS shard FROM o)
+SELECT doc_id, size, {_crc("text")} AS text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY i, doc_id NULLS LAST, r) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM z JOIN p USING (k), crc
+"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor, c.vec_id AS id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS nth FROM s WHERE same) WHERE nth <= 5),
+n AS (
+  SELECT p.anchor, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor AS anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLE |= {"op11_spelling_variants": SPELLING, "op12_sharding": SHARDING, "op13_hard_negatives": HARD_NEGATIVES}

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, language_id, lm_score, mixing, ngram_join, quality, secret_scan, substring_dedup, token_ids, topk_search
+from tessera.llm import (decontaminate, hard_negatives, language_id, lm_score, mixing, ngram_join, quality, secret_scan, sharding, spelling,
+                         substring_dedup, token_ids, topk_search)
 from tessera.llm.oracle import ORACLE
 from tessera.session import scratch_path
 
@@ -60,4 +61,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op7_mixing, op8_topk_search, op9_secret_scan, op10_substring_dedup)}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_decontamination, op3_token_ids, op4_ngram_jaccard_join, op5_lm_score, op6_quality_classifier, op7_mixing,
+    op8_topk_search, op9_secret_scan, op10_substring_dedup, op11_spelling_variants, op12_sharding, op13_hard_negatives)}
