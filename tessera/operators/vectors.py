@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.tags import tag_index
+from tessera.operators.numbering import number_rows
+from tessera.session import materialize
 
 # The language list (index = position), spread between tags and k.
 LANGS = ("JavaScript", "Java", "PHP", "Python", "C#", "C++", "Ruby", "CSS",
@@ -68,6 +72,32 @@ def seed_centers(vectors: DataFrame, per_stratum: int, strata: Sequence[int], *,
     return drawn.where(pos > 0).select(id_col, "x", "y", cluster.cast("int").alias("cluster"))
 
 
+def sample_strata(rows: DataFrame, per_stratum: int, strata: Sequence[str], *, id_col: str = "id", seed: int = SAMPLE_SEED,
+                  out: str = "cluster") -> DataFrame:
+    """``per_stratum`` rows without replacement of each stratum found in the data, and their dense numbers ``out``.
+
+    The strata are whatever values the columns ``strata`` take (null is one), as
+    many as there are. Each task keeps the ``per_stratum`` first rows of a
+    stratum in the seeded order, and the shuffle merges these (the limit sits
+    before and after the exchange), so a stratum with a third of all rows costs
+    no more than a small one. Rows are numbered by (strata, draw order) without
+    gaps: the strata's sizes, one row each, are numbered by range
+    (``number_rows``), so neither the rows drawn nor the strata meet in one task.
+    A stratum with fewer rows gives all it has.
+    """
+    if per_stratum <= 0:
+        raise ValueError("per_stratum must be positive")
+    keys = [f"__s{i}" for i in range(len(strata))]
+    w = Window.partitionBy(*strata).orderBy(sample_key(id_col, seed), F.col(id_col))
+    drawn = rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= per_stratum)
+    drawn = materialize(drawn, "drawn")
+    sizes = drawn.groupBy(*[F.col(s).alias(k) for s, k in zip(strata, keys, strict=True)]).agg(F.count(F.lit(1)).alias("__n"))
+    firsts = number_rows(sizes, keys, weight="__n", out="__first")
+    same = reduce(and_, (F.col(s).eqNullSafe(F.col(k)) for s, k in zip(strata, keys, strict=True)))
+    number = F.col("__first") + F.col("__rn") - 1
+    return drawn.join(firsts, same).select(*[F.col(f"`{c}`") for c in rows.columns], number.alias(out))
+
+
 def tag_strata(tags: Sequence[str], spread: int) -> list[int]:
     """The x value of every tag: its position times the spread."""
     return [i * spread for i in range(len(tags))]

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.text import format_posts
+
 # Fixed values used by the catalogue queries.
 DOC_TERMS = ("the", "The", "the,", "in", "und", "que", "a", "zzzabsent")
 ORDER_TAGS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -22,6 +24,9 @@ PER_TAG_PUBLISHED = 9  # 45 centers over the five order priorities
 SEED = 42
 SCORE_SHIFT = 25
 INDEX_PAGE = 100
+ANSWER_PAGE = 3
+MANY_CENTERS = 300
+PER_SUPPLIER = 2
 
 # A time-use file's width: (column, source column, factor) of 440 activities.
 # The factors keep every product and sum exact in doubles, whatever the order.
@@ -115,3 +120,49 @@ def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "html")
+
+
+def faulty_post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): the posts as lines, some cut short, some with a word where a number belongs."""
+    fault = F.col("id") % 50
+    whole = format_posts(posts_frame(spark, sf_dir), keep=("id",))
+    field = F.split("value", ",")
+    return whole.select(
+        F.when(fault == 1, F.concat_ws(",", field[0], field[1]))
+        .when(fault == 2, F.regexp_replace("value", "[0-9]+,([^,]*)$", "x,$1"))
+        .when(fault == 3, F.regexp_replace("value", "^([0-9]+,[0-9]+),", "$1,z")).otherwise(F.col("value")).alias("value"))
+
+
+# The survey's whole numbers as CSV columns: (name, SQL over lineitem).
+FAULTY_COLUMNS = (
+    ("tucaseid", "cast(l_orderkey as string)"), ("telfs", "cast(l_linenumber as string)"),
+    ("tesex", "cast(l_suppkey % 2 + 1 as string)"), ("teage", "cast(l_partkey % 90 as string)"),
+    ("t010101", "cast(cast(l_quantity as int) as string)"), ("t050101", "cast(l_suppkey % 60 as string)"),
+    ("t020101", "cast(l_partkey % 300 as string)"))
+
+
+def write_faulty_survey(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The survey's whole numbers as CSV files with header; some lines short, long, with a bad or no number, or the header again."""
+    names = [n for n, _ in FAULTY_COLUMNS]
+    header = ",".join(names)
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey"), *[F.expr(e).alias(n) for n, e in FAULTY_COLUMNS])
+    fault, line = F.col("l_orderkey") % 40, F.concat_ws(",", *names)
+    value = (F.when(fault == 1, F.concat_ws(",", *names[:-1])).when(fault == 2, F.concat(line, F.lit(",7")))
+             .when(fault == 3, F.concat_ws(",", *names[:3], F.lit(""), *names[4:]))
+             .when(fault == 4, F.concat_ws(",", *names[:5], F.lit("abc"), *names[6:])).when(fault == 5, F.lit(header)).otherwise(line))
+    li.select(value.alias(header)).write.option("header", True).option("quote", "\u0000").option("sep", "\u0001").csv(path)
+
+
+def faulty_article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, value): one-line articles, some without the marker and some cut off behind it."""
+    fault = F.col("doc_id") % 20
+    return article_lines(spark, sf_dir).select("doc_id", F.when(fault == 1, F.replace("value", F.lit("</title>"), F.lit("")))
+                                               .when(fault == 2, F.concat(F.substring_index("value", "<text>", 1), F.lit("<text>cut")))
+                                               .otherwise(F.col("value")).alias("value"))
+
+
+def line_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, x, y): a point per line item, spread in both directions."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), (F.col("l_quantity").cast("int") * 100 + F.col("l_suppkey") % 100).cast("int").alias("x"),
+        F.col("l_extendedprice").cast("int").alias("y"))

@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import bounds as bd
 from tessera.operators import clusters as cl
 from tessera.operators import lloyd as ll
 from tessera.operators import pairs as pr
@@ -19,9 +20,10 @@ from tessera.operators import vectors as vc
 from tessera.operators import terms as tm
 from tessera.plans import bindings as b
 from tessera.session import scratch_path
-from tessera.sources.markup import extract_marked
-from tessera.sources.text import format_posts, read_posts
-from tessera.sources.widecsv import read_wide_csv, write_wide_csv
+from tessera.sources.aside import Loaded, set_aside
+from tessera.sources.markup import extract_marked, mark_marked
+from tessera.sources.text import format_posts, load_posts, read_posts
+from tessera.sources.widecsv import load_wide_csv, read_wide_csv, write_wide_csv
 from tessera import streaming as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -482,6 +484,157 @@ FROM lineitem""",
     "wide_csv_grouped": _SURVEY_GROUPED_SQL,
 }
 
+# --------------------------------------------------------------------------- nested pairs, samples, bounded and resumed fits
+
+def _answer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.pair_pages(b.posts_frame(spark, sf_dir, score_shift=b.SCORE_SHIFT), page_size=b.ANSWER_PAGE)
+
+
+def qa_pair_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions with pages of their answers (shown as text)."""
+    shown = F.transform("answers", lambda a: F.concat_ws(":", a["aid"].cast("string"), a["score"].cast("string")))
+    return _answer_pages(spark, sf_dir).select("qid", "tag", "page", F.array_join(shown, " ").alias("answers"))
+
+
+def qa_best_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.best_score_of_pages(_answer_pages(spark, sf_dir), floor=0)
+
+
+def qa_seed_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds per tag, the tags found in the data."""
+    return vc.sample_strata(_qa_vectors(spark, sf_dir), b.PER_TAG, ["x"], seed=b.SEED)
+
+
+def line_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of every supplier and return flag there is."""
+    lines = b.table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("id"), "l_suppkey", "l_returnflag")
+    return vc.sample_strata(lines, b.PER_SUPPLIER, ["l_suppkey", "l_returnflag"], seed=b.SEED, out="n")
+
+
+def _line_seeds(points: DataFrame) -> list[tuple[int, int]]:
+    return ll.collect_centers(vc.initial_centers(points, b.MANY_CENTERS, spread=1, seed=b.SEED), expected=b.MANY_CENTERS)
+
+
+def lloyd_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three passes with hundreds of centers, most distances saved by bounds."""
+    points = b.line_points(spark, sf_dir)
+    means, _, _ = bd.fit_lloyd_bounded(points, _line_seeds(points), eta=0.0, max_iter=3)
+    return ll.centers_frame(spark, means)
+
+
+def lloyd_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trace of a fit that stopped after two passes and went on from its folder."""
+    hist, seeds = _seeded(spark, sf_dir)
+    state = scratch_path(spark, "lloyd-state")
+    ll.fit_lloyd(hist, seeds, max_iter=2, weight="w", state=state)
+    _, history = ll.resume_lloyd(spark, state)
+    return ll.history_frame(spark, history)
+
+
+_LINE_POINTS_CTE = f"""WITH vectors AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, CAST(trunc(l_quantity) * 100 + l_suppkey % 100 AS INTEGER) AS x,
+         CAST(trunc(l_extendedprice) AS INTEGER) AS y FROM lineitem),
+m0 AS (SELECT CAST(row_number() OVER (ORDER BY md5('{b.SEED}#' || CAST(id AS VARCHAR)), id) - 1 AS INTEGER) AS cluster, x, y
+       FROM vectors ORDER BY cluster LIMIT {b.MANY_CENTERS})"""
+
+_MORE_ORACLE = {
+    "qa_pair_pages": _posts_cte(b.SCORE_SHIFT) + f""",
+paged AS (SELECT *, (row_number() OVER (PARTITION BY parent ORDER BY aid, score) - 1) // {b.ANSWER_PAGE} AS page FROM a)
+SELECT q.id AS qid, q.tag, page, string_agg(aid || ':' || score, ' ' ORDER BY aid, score) AS answers
+FROM paged JOIN q ON q.id = paged.parent GROUP BY q.id, q.tag, page""",
+    "qa_best_of_pages": _QA_ORACLE["qa_best_score_floor"],
+    "qa_seed_found": _posts_cte() + "\nSELECT id, x, y, CAST(cluster AS BIGINT) AS cluster FROM m0",
+    "line_sample": f"""
+WITH l AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS id, l_suppkey, l_returnflag FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY md5('{b.SEED}#' || CAST(id AS VARCHAR)), id) AS rn FROM l)
+SELECT id, l_suppkey, l_returnflag, row_number() OVER (ORDER BY l_suppkey, l_returnflag, rn) - 1 AS n FROM r WHERE rn <= {b.PER_SUPPLIER}""",
+    "lloyd_bounded": _LINE_POINTS_CTE + _step_sql("m0", "m1") + _step_sql("m1", "m2") + _step_sql("m2", "m3")
+                     + "\nSELECT cluster, x, y FROM m3",
+    "lloyd_resumed": _QA_ORACLE["lloyd_history"],
+}
+
+# --------------------------------------------------------------------------- bad rows aside
+
+def _posts_loaded(spark: SparkSession, sf_dir: str) -> Loaded:
+    path = scratch_path(spark, "faulty-posts")
+    b.faulty_post_lines(spark, sf_dir).write.text(path)
+    return load_posts(spark, path, scratch_path(spark, "posts-loaded"))
+
+
+def posts_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of files with bad lines in them."""
+    return _posts_loaded(spark, sf_dir).good
+
+
+def posts_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines put aside, and why."""
+    return _posts_loaded(spark, sf_dir).bad.select("raw", "reason")
+
+
+def _survey_loaded(spark: SparkSession, sf_dir: str) -> Loaded:
+    path = scratch_path(spark, "faulty-survey")
+    b.write_faulty_survey(spark, sf_dir, path)
+    return load_wide_csv(spark, path, scratch_path(spark, "survey-loaded"))[1]
+
+
+def wide_csv_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survey_loaded(spark, sf_dir).good
+
+
+def wide_csv_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survey_loaded(spark, sf_dir).bad.select("raw", "reason")
+
+
+def _articles_loaded(spark: SparkSession, sf_dir: str) -> Loaded:
+    return set_aside(mark_marked(b.faulty_article_lines(spark, sf_dir), keep=("doc_id",)), scratch_path(spark, "articles-loaded"))
+
+
+def articles_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _articles_loaded(spark, sf_dir).good
+
+
+def articles_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _articles_loaded(spark, sf_dir).bad
+
+
+def _faulty_survey_sql() -> str:
+    columns = ", ".join(f"{e.replace(' as string', ' AS VARCHAR').replace('cast(l_quantity as int)', 'CAST(trunc(l_quantity) AS INTEGER)')} AS {n}"
+                        for n, e in b.FAULTY_COLUMNS)
+    return f"WITH f AS (SELECT l_orderkey % 40 AS fault, {columns} FROM lineitem)"
+
+
+def _joined(names: list[str]) -> str:
+    return " || ',' || ".join(names)
+
+
+_FAULTY_NAMES = [n for n, _ in b.FAULTY_COLUMNS]
+_ARTICLE_SQL = "'<page> <title>' || 'Article ' || CAST(doc_id AS VARCHAR) || '</title><text>'"
+
+_ASIDE_ORACLE = {
+    "posts_good": f"SELECT * FROM ({_SOURCES_ORACLE['posts_roundtrip']}) WHERE id % 50 NOT IN (1, 2, 3)",
+    "posts_bad": f"""
+SELECT CASE id % 50 WHEN 1 THEN ptype || ',' || id
+         ELSE ptype || ',' || id || CASE id % 50 WHEN 3 THEN ',z' ELSE ',' END || ',' || coalesce(CAST(parent AS VARCHAR), '') || ','
+              || CASE id % 50 WHEN 2 THEN 'x' ELSE CAST(score AS VARCHAR) END || ',' || coalesce(tag, '') END AS raw,
+       CASE id % 50 WHEN 1 THEN 'fewer than 5 fields' WHEN 2 THEN 'bad number: score' ELSE 'bad number: accepted' END AS reason
+FROM ({_SOURCES_ORACLE['posts_roundtrip']}) WHERE id % 50 IN (1, 2, 3)""",
+    "wide_csv_good": _faulty_survey_sql() + f"""
+SELECT tucaseid, {", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in _FAULTY_NAMES[1:])} FROM f WHERE fault NOT BETWEEN 1 AND 5""",
+    "wide_csv_bad": _faulty_survey_sql() + f"""
+SELECT CASE fault WHEN 1 THEN {_joined(_FAULTY_NAMES[:-1])} WHEN 2 THEN {_joined(_FAULTY_NAMES)} || ',7'
+         WHEN 3 THEN {_joined([*_FAULTY_NAMES[:3], "''", *_FAULTY_NAMES[4:]])}
+         WHEN 4 THEN {_joined([*_FAULTY_NAMES[:5], "'abc'", *_FAULTY_NAMES[6:]])} ELSE '{",".join(_FAULTY_NAMES)}' END AS raw,
+       CASE WHEN fault <= 2 THEN 'not {len(_FAULTY_NAMES)} fields' ELSE 'bad or empty number: ' ||
+         CASE fault WHEN 3 THEN '{_FAULTY_NAMES[3]}' WHEN 4 THEN '{_FAULTY_NAMES[5]}' ELSE '{_FAULTY_NAMES[1]}' END END AS reason
+FROM f WHERE fault BETWEEN 1 AND 5""",
+    "articles_good": "SELECT doc_id, 'Article ' || CAST(doc_id AS VARCHAR) AS title, text FROM documents WHERE doc_id % 20 NOT IN (1, 2)",
+    "articles_bad": f"""
+SELECT CASE doc_id % 20 WHEN 1 THEN replace({_ARTICLE_SQL} || text || '</text>  </page>', '</title>', '') ELSE {_ARTICLE_SQL} || 'cut' END AS raw,
+       CASE doc_id % 20 WHEN 1 THEN 'no marker' ELSE 'too short' END AS reason
+FROM documents WHERE doc_id % 20 IN (1, 2)""",
+}
+
 # --------------------------------------------------------------------------- streams
 
 def stream_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,6 +673,8 @@ SELECT working, sex, age, "primaryNeeds", work, other FROM summary WHERE telfs <
     **_TERMS_ORACLE,
     **_QA_ORACLE,
     **_SOURCES_ORACLE,
+    **_MORE_ORACLE,
+    **_ASIDE_ORACLE,
     **_STREAM_ORACLE,
 }
 
@@ -558,6 +713,18 @@ QUERIES: dict[str, Query] = {
     "posts_roundtrip": posts_roundtrip,
     "wide_csv_roundtrip": wide_csv_roundtrip,
     "wide_csv_grouped": wide_csv_grouped,
+    "qa_pair_pages": qa_pair_pages,
+    "qa_best_of_pages": qa_best_of_pages,
+    "qa_seed_found": qa_seed_found,
+    "line_sample": line_sample,
+    "lloyd_bounded": lloyd_bounded,
+    "lloyd_resumed": lloyd_resumed,
+    "posts_good": posts_good,
+    "posts_bad": posts_bad,
+    "wide_csv_good": wide_csv_good,
+    "wide_csv_bad": wide_csv_bad,
+    "articles_good": articles_good,
+    "articles_bad": articles_bad,
     "stream_term_counts": stream_term_counts,
     "stream_survey_summary": stream_survey_summary,
 }

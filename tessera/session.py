@@ -9,7 +9,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Set wherever the submitted configuration does not say otherwise.
 DEFAULTS = {
@@ -118,3 +118,16 @@ def clear_scratch(spark: SparkSession) -> int:
     for p in map(hadoop, paths):
         found += bool(p.getFileSystem(conf).delete(p, True))
     return found
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared checkpoint folder and read back: lineage cut, survives executor loss."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.aside import FILE, RAW, REASON, Loaded, set_aside
+
 
 def schema_from_header(names: Sequence[str]) -> T.StructType:
     """First name → non-null string, the rest → non-null double, in order.
@@ -43,25 +45,61 @@ def _drop_empty_tail(fields: list[str]) -> list[str]:
     return fields
 
 
-def _fields_of_lines(spark: SparkSession, path: str | list[str], names: list[str], sep: str) -> DataFrame:
-    """One array ``f`` of strings per data line, split like Java's ``String.split`` (trailing empty fields dropped).
+# A line is read whole, as the one column of a CSV with a separator that no line has (one that has it fails).
+_NO_SEPARATOR = "\u0001\u0002\u0001"
+
 
-    Header lines are the lines that equal the first one; a header with other
-    names or another order stays in and fails as data.
+def _data_lines(spark: SparkSession, path: str | list[str], header: str, check_header: bool) -> DataFrame:
+    """(value, file): the lines of every file but its first, which is its header.
+
+    Spark's CSV reader leaves the header out by its place, so a line further
+    down that equals it is data. ``check_header``: a file with another header
+    fails. Blank lines are skipped, as that reader does.
     """
-    s = re.escape(sep)
-    header = F.split(F.regexp_replace("value", f"({s})+$", ""), s)
-    lines = spark.read.text(path).select(header.alias("f"))
-    return lines.where(F.col("f") != F.array(*[F.lit(n) for n in names]))
+    reader = spark.read.schema(T.StructType([T.StructField(header, T.StringType())])).option("header", True).option(
+        "enforceSchema", not check_header).option("sep", _NO_SEPARATOR).option("quote", "").option("mode", "FAILFAST")
+    column = "`" + header.replace("`", "``") + "`"
+    return reader.csv(path).select(F.col(column).alias("value"), F.col("_metadata.file_path").alias(FILE))
+
 
+def _split(lines: DataFrame, names: list[str], sep: str, quote: str) -> DataFrame:
+    """``lines`` with their strings ``f`` and how many there are, ``n`` (another number than ``names`` has: malformed).
 
-def _fields_of_quoted_lines(spark: SparkSession, path: str | list[str], names: list[str], header: str, sep: str,
-                            quote: str) -> DataFrame:
-    """The same with quotes taken off by Spark's CSV expression (a CSV scan would drop rows by pushed filters unseen)."""
+    Without quotes a line splits like Java's ``String.split`` (trailing empty
+    fields dropped); quotes are taken off by Spark's CSV expression.
+    """
+    if not quote:
+        s = re.escape(sep)
+        return lines.withColumn("f", F.split(F.regexp_replace("value", f"({s})+$", ""), s)).withColumn("n", F.size("f"))
     ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-    row = F.from_csv("value", ddl, {"sep": sep, "quote": quote, "mode": "FAILFAST"})
-    lines = spark.read.text(path).where(F.col("value") != header).select(row.alias("r"))
-    return lines.select(F.array(*[F.col(f"r.`{n}`") for n in names]).alias("f"))
+    row = F.from_csv("value", ddl + ", `_malformed` string", {
+        "sep": sep, "quote": quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
+    return lines.withColumn("r", row).withColumn(
+        "f", F.array(*[F.col(f"r.`{n.replace('`', '``')}`") for n in names])).withColumn(
+        "n", F.when(F.col("r._malformed").isNull(), len(names)).otherwise(-1)).drop("r")
+
+
+def _parsed(lines: DataFrame, names: list[str], sep: str, quote: str) -> DataFrame:
+    """(first, numbers, value, file, why): every field cast once; ``why`` is null for a good line."""
+    numbers = F.transform(F.slice("f", 2, max(0, len(names) - 1)), lambda x: x.try_cast("double"))
+    rows = _split(lines, names, sep, quote).select(F.get("f", F.lit(0)).alias("first"), numbers.alias("numbers"), "n", "value", FILE)
+    at = F.array_position(F.transform("numbers", lambda x: x.isNull()), True)
+    bad = F.get(F.array(*[F.lit(n) for n in names]), at.cast("int"))
+    return rows.withColumn("why", F.when(F.col("n") != len(names), f"not {len(names)} fields").when(
+        F.exists("numbers", lambda x: x.isNull()), F.concat(F.lit("bad or empty number: "), bad)))
+
+
+def _columns(names: list[str]) -> list:
+    return [F.col("first").alias(names[0]), *[F.get("numbers", F.lit(i)).alias(n) for i, n in enumerate(names[1:])]]
+
+
+def _header(spark: SparkSession, path: str | list[str], sep: str, quote: str) -> tuple[str, list[str]]:
+    header = _first_line(spark, path)
+    names = _drop_empty_tail(header.split(sep))
+    if quote:
+        names = [n[1:-1] if len(n) > 1 and n[0] == n[-1] == quote else n for n in names]
+    schema_from_header(names)
+    return header, names
 
 
 def read_wide_csv(spark: SparkSession, path: str | list[str], *, sep: str = ",", quote: str = "",
@@ -70,30 +108,35 @@ def read_wide_csv(spark: SparkSession, path: str | list[str], *, sep: str = ",",
 
     Quotes are data by default (``quote=''``): a field ``"2003"`` stays
     ``"2003"`` with its quotes; pass ``quote='"'`` to strip them. Each file's
-    header line is skipped, so a folder of part files reads right; trailing
-    empty names and fields are dropped.
+    first line is its header and is skipped by its place, so a folder of part
+    files reads right and a later line that equals the header is data; trailing
+    empty names and fields are dropped, blank lines skipped.
 
     A wrong number of fields, a bad or empty number, or a file with another
     header fails the job whatever columns are read: the check is a filter over
     all fields, which column pruning cannot remove. ``strict=False`` saves the
     check; bad numbers are null then, and so are missing fields.
     """
-    header = _first_line(spark, path)
-    names = _drop_empty_tail(header.split(sep))
-    if quote:
-        names = [n[1:-1] if len(n) > 1 and n[0] == n[-1] == quote else n for n in names]
-    schema_from_header(names)
-    rows = (_fields_of_quoted_lines(spark, path, names, header, sep, quote) if quote
-            else _fields_of_lines(spark, path, names, sep))
+    header, names = _header(spark, path, sep, quote)
+    rows = _parsed(_data_lines(spark, path, header, strict), names, sep, quote)
     if strict:
-        good = (F.size("f") == len(names)) & ~F.exists(
-            F.slice("f", 2, max(1, len(names) - 1)), lambda x: x.try_cast("double").isNull())
-        fail = F.raise_error(F.concat(F.lit(f"not {len(names)} fields, or a bad or empty number: "),
-                                      F.substring(F.array_join("f", sep, ""), 1, 200)))
-        rows = rows.where(F.when(F.coalesce(good, F.lit(False)), F.lit(True)).otherwise(fail.cast("boolean")))
-    first, rest = names[0], names[1:]
-    return names, rows.select(F.get("f", F.lit(0)).alias(first),
-                              *[F.get("f", F.lit(i)).try_cast("double").alias(n) for i, n in enumerate(rest, 1)])
+        # The partition's number keeps the filter above the projection: pushed below, it would cast every field again.
+        rows = rows.withColumn("here", F.spark_partition_id())
+        fail = F.raise_error(F.concat(F.col("why"), F.lit(" in: "), F.substring("value", 1, 200)))
+        rows = rows.where(F.when(F.col("why").isNull() & (F.col("here") >= 0), F.lit(True)).otherwise(fail.cast("boolean")))
+    return names, rows.select(*_columns(names))
+
+
+def load_wide_csv(spark: SparkSession, path: str | list[str], out: str, *, sep: str = ",", quote: str = "",
+                  max_bad: int | None = None) -> tuple[list[str], Loaded]:
+    """(names, tables): the rows of ``read_wide_csv`` as a table below ``out``, bad lines as another, written in one scan.
+
+    The reason of a bad line names its first bad column. A file with another
+    header still fails.
+    """
+    header, names = _header(spark, path, sep, quote)
+    rows = _parsed(_data_lines(spark, path, header, True), names, sep, quote)
+    return names, set_aside(rows.select(*_columns(names), F.col("value").alias(RAW), F.col("why").alias(REASON), FILE), out, max_bad=max_bad)
 
 
 def write_wide_csv(df: DataFrame, path: str, *, sep: str = ",") -> None:
