@@ -202,7 +202,7 @@ def _rounds(anchors: DataFrame, width: int, positives: int):
     firsts = []
     for i, (at, n) in enumerate(parts):
         firsts += [at + j - ends[i] for j in range(-(-ends[i] // each) * each, ends[i] + n, each)]
-    return list(zip(firsts, [*firsts[1:], LIMIT], strict=True))
+    return list(zip(firsts, [*firsts, LIMIT][1:], strict=True))
 
 
 def _scan(vectors: DataFrame, rows: list, positives: int, negatives: int, scale: float) -> DataFrame:

@@ -192,7 +192,7 @@ class Plan:
             end += shards * blocks
         self.rounds, first = [], 0
         room = ROUND_BYTES // (8 * BLOCK_WORDS)
-        for this, after in zip(shard_ends, [*shard_ends[1:], None], strict=True):
+        for this, after in zip(shard_ends, [*shard_ends, None][1:], strict=True):
             if after is None or after - first > room:
                 self.rounds.append((first, this))
                 first = this

@@ -87,8 +87,8 @@ def test_edges(spark):
 
 def test_scores_beyond_a_long_are_held_at_its_limits(spark):
     rows = [(0, [1e12, 1.0], 1), (1, [1e12, 2.0], 1), (2, [1e300, 1e300], 1), (3, [1e12, 0.0], 2), (4, [1.0, 1.0], 2), (5, [1e6, 1.0], 2),
-            (6, [1.7e308, 0.0], 1)]
+            (6, [1.7e308, 0.0], 1), (7, [80.0, 1.0], 2)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = hn.mine(df, F.col("vec_id") == 0).collect()
     assert {r.positive_id for r in got} == {1, 2, 6} and {r.positive_score for r in got} == {TOP}
-    assert {r.negative_id for r in got} == set()  or all(30 * TOP <= 100 * r.negative_score <= 90 * TOP for r in got)
+    assert {(r.negative_id, r.rank) for r in got} == {(7, 1)} and all(30 * TOP <= 100 * r.negative_score <= 90 * TOP for r in got)

@@ -137,7 +137,7 @@ def test_filters_in_rounds(spark, monkeypatch):
     want = brute(rows, by_pattern(counts(rows)))
     assert run(spark, rows) == want and sum(r[4] for r in want) > 100
     monkeypatch.setattr(sp, "SHARD_WORDS", 100)
-    monkeypatch.setattr(sp, "ROUND_BYTES", 2048)
+    monkeypatch.setattr(sp, "ROUND_BYTES", 1024)
     monkeypatch.setattr(sp, "PROBED", 500)
     plan = sp.Plan({7: 900, 6: 300, 8: 1})
     assert len(plan.rounds) > 2 and plan.rounds[0][0] == 0
