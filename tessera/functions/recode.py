@@ -27,7 +27,8 @@ def row_sum(cols: Sequence[Column | str], *, as_double: bool = False) -> Column:
     ``as_double=True`` casts each column to double and folds them as one array
     (``aggregate``) from the first column on: the additions, and their rounding,
     are those of a chain, and hundreds of columns neither overflow the stack nor
-    outgrow the generated code.
+    outgrow the generated code. Spark interprets that fold row by row; as an
+    operator on a table ``operators.survey.with_row_sums`` has it compiled.
     """
     cols = [as_col(c) for c in cols]
     if not cols:

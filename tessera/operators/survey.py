@@ -7,16 +7,15 @@ Three forms of the grouped mean give the same rows: DataFrame
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.recode import (
     age_band,
     minutes_to_hours,
-    row_sum,
     sex_band,
     working_band,
 )
@@ -57,13 +56,48 @@ def classify_columns(names: Sequence[str], *, primary: Sequence[str] = PRIMARY_P
     return p, w, o
 
 
+#: Columns that one projection adds up.
+SUM_STEP = 64
+
+
+def with_row_sums(df: DataFrame, sums: Mapping[str, Sequence[str]], keep: Sequence[Column | str] = (), *,
+                  step: int = SUM_STEP) -> DataFrame:
+    """``keep`` and a double column per entry of ``sums``: the left-to-right sum of the columns listed there.
+
+    Additions are compiled chains, in the order and so with the rounding of one
+    chain. A chain of hundreds of columns would overflow the optimizer's stack,
+    so long sums take several projections of ``step`` columns, each adding on to
+    the one before; a projection carries on only the columns still to be added.
+    Null and NaN make the sum null or NaN, as in a chain.
+    """
+    if step < 1 or not all(sums.values()):
+        raise ValueError("step must be positive and every sum needs a column")
+    place = {c: f"_c{i}" for i, c in enumerate(dict.fromkeys(c for cols in sums.values() for c in cols))}
+    left = {f"_s{i}": [place[c] for c in cols] for i, cols in enumerate(sums.values())}
+    shown, kept = df.select(*keep).columns, [f"_k{i}" for i in range(len(keep))]
+    names = [(c if isinstance(c, Column) else F.col(c)).alias(k) for c, k in zip(keep, kept, strict=True)]
+    text = {c: f"`{c.replace('`', '``')}`" if c in df.columns else c for c in place}
+    out = df.select("*", *names).selectExpr(*kept, *[f"cast({text[c]} as double) as {p}" for c, p in place.items()])
+    started: set[str] = set()
+    while any(left.values()):
+        now = {s: cols[:step] for s, cols in left.items()}
+        left = {s: cols[step:] for s, cols in left.items()}
+        carried = dict.fromkeys(c for cols in left.values() for c in cols)
+        # Read twice, the sum so far keeps the optimizer from merging the projections into one long chain.
+        so_far = {s: ([f"nanvl({s}, {s})"] if cols else [s]) if s in started else [] for s, cols in now.items()}
+        out = out.selectExpr(*kept, *carried, *[f"{' + '.join([*so_far[s], *cols])} as {s}" for s, cols in now.items()])
+        started |= set(now)
+    return out.select(*[F.col(k).alias(n) for k, n in zip(kept, shown, strict=True)],
+                      *[F.col(f"_s{i}").alias(n) for i, n in enumerate(sums)])
+
+
 def summarize_time(df: DataFrame, primary: Sequence[str], work: Sequence[str], other: Sequence[str], *,
                    telfs: str = "telfs", tesex: str = "tesex", teage: str = "teage",
-                   exclude_unemployable: bool = False, unemployable_code: float = 5.0) -> DataFrame:
+                   exclude_unemployable: bool = False, unemployable_code: float = 5.0, step: int = SUM_STEP) -> DataFrame:
     """One row per respondent: working, sex, age bands and hours per class.
 
-    A single ``select`` of native expressions, so the scan reads only the named
-    columns and the whole projection runs in one codegen stage.
+    Projections of native, compiled expressions, so the scan reads only the named
+    columns; classes of at most ``step`` columns take one (``with_row_sums``).
     ``exclude_unemployable=True`` drops ``telfs == 5`` as the documentation asks;
     the default keeps them, as the code of record does.
     """
@@ -71,14 +105,9 @@ def summarize_time(df: DataFrame, primary: Sequence[str], work: Sequence[str], o
         if not cols:
             raise ValueError(f"no {label} columns to sum")
     src = df.where(~F.col(telfs).eqNullSafe(F.lit(unemployable_code))) if exclude_unemployable else df
-    return src.select(
-        working_band(telfs).alias("working"),
-        sex_band(tesex).alias("sex"),
-        age_band(teage).alias("age"),
-        minutes_to_hours(row_sum(primary, as_double=True)).alias("primaryNeeds"),
-        minutes_to_hours(row_sum(work, as_double=True)).alias("work"),
-        minutes_to_hours(row_sum(other, as_double=True)).alias("other"),
-    )
+    bands = [working_band(telfs).alias("working"), sex_band(tesex).alias("sex"), age_band(teage).alias("age")]
+    minutes = with_row_sums(src, dict(zip(MEASURES, (primary, work, other), strict=True)), bands, step=step)
+    return minutes.select(*GROUP_KEYS, *[minutes_to_hours(m).alias(m) for m in MEASURES])
 
 
 def average_by_group(summed: DataFrame, *, keys: Sequence[str] = GROUP_KEYS,

@@ -70,12 +70,10 @@ def survey_from_lineitem(li: DataFrame) -> DataFrame:
 
 def wide_survey_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The survey with hundreds of activity columns, derived from ``lineitem``."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tucaseid"),
-        F.col("l_linenumber").cast("double").alias("telfs"),
-        (F.col("l_suppkey") % 2 + 1).cast("double").alias("tesex"),
-        (F.col("l_partkey") % 90).cast("double").alias("teage"),
-        *[(F.col(c) * F.lit(f)).cast("double").alias(n) for n, c, f in WIDE_ACTIVITIES])
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string)) as tucaseid",
+        "cast(l_linenumber as double) as telfs", "cast(l_suppkey % 2 + 1 as double) as tesex", "cast(l_partkey % 90 as double) as teage",
+        *[f"cast({c} * {f} as double) as {n}" for n, c, f in WIDE_ACTIVITIES])
 
 
 def posts_frame(spark: SparkSession, sf_dir: str, *, score_shift: int = 0) -> DataFrame:

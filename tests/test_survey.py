@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
@@ -187,3 +188,45 @@ def test_wide_row_sum_fold_equals_chain(spark):
                                           F.lit(5.0).alias("t050101"), F.lit(7.0).alias("t020101"), *names),
                                 p, ["t050101"], ["t020101"])
     assert summary.count() == 300
+
+
+def test_compiled_row_sums_equal_the_chain(spark):
+    """Steps of any width add in the chain's order; nulls and NaN as in it; names with dots, shared columns."""
+    import random
+
+    rng = random.Random(5)
+    names = [f"c.{i}" for i in range(150)]
+    data = [[rng.choice([1e16, -1e16, 1.0, 0.1, 3.7]) for _ in names] for _ in range(20)]
+    data[3][70], data[4][149], data[5][0] = None, float("nan"), None
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "id int, " + ", ".join(f"`{n}` double" for n in names))
+
+    def chain(r, cols):
+        out = r[cols[0]]
+        for c in cols[1:]:
+            out = None if out is None or r[c] is None else out + r[c]
+        return out
+
+    sums = {"all": range(150), "some": range(10, 40), "again": range(0, 150, 2)}
+    for step in (1, 7, 64, 1000):
+        if step == 1:
+            sums = {k: list(v)[:5] for k, v in sums.items()}
+        else:
+            sums = {"all": range(150), "some": range(10, 40), "again": range(0, 150, 2)}
+        got = sv.with_row_sums(df, {k: [names[i] for i in v] for k, v in sums.items()}, ["id"], step=step)
+        assert got.columns == ["id", *sums]
+        for r in got.collect():
+            for k, v in sums.items():
+                want = chain(data[r.id], list(v))
+                assert r[k] == want or (want is not None and want != want and r[k] != r[k])
+    with pytest.raises(ValueError):
+        sv.with_row_sums(df, {"none": []})
+
+
+def test_long_sums_are_not_merged_nor_interpreted(spark):
+    names = [f"t01{i:04d}" for i in range(200)]
+    df = spark.range(3).select(F.lit(1.0).alias("telfs"), F.lit(1.0).alias("tesex"), F.lit(30.0).alias("teage"),
+                               *[(F.col("id") * i).cast("double").alias(n) for i, n in enumerate(names)])
+    summed = sv.summarize_time(df, names, names[:3], names[3:5])
+    plan = summed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") >= 4 and "aggregate(" not in plan
+    assert [r.primaryNeeds for r in summed.collect()] == [i * sum(range(200)) / 60 for i in range(3)]
