@@ -1,22 +1,26 @@
-"""Substring deduplication by sliding word windows, with sentence counts.
-
-Every window of ``words`` consecutive words (ASCII letters in lower case;
-punctuation, blanks and line ends do not count) that occurs again is found,
-wherever it begins and ends. A window's first occurrence is the one in the
-smallest doc_id and, in it, the earliest. Words covered by any other occurrence
-are removed, with what follows them up to the next word; so all words of a
-repeated passage of ``words`` words or more go but where it stands first, and a
-sentence goes when all its words do.
-
-Windows are found in two steps, so that the hashes of text that stands only
-once are never written. The anchor of a window is the smallest hash of its
-``GRAM``-word grams: equal windows have equal anchors, and neighbours mostly
-share one. Anchors are joined globally; only windows whose anchor is in more
-than one document are hashed and joined themselves. Both steps are exact.
-
-Sentences, which are only counted, end after ``.``, ``!``, ``?`` before a
-blank, at an ideographic full stop, and at line ends; one of more than ``LONG``
-words counts in parts, cut after words picked by their hash.
+"""Substring deduplication by sliding sentence spans, and word windows for what no span can hold.
+
+Every run of several consecutive sentences is hashed by its words (ASCII letters
+in lower case; punctuation and blanks do not count). Runs are joined globally by
+hash; a run's first occurrence is the one in the smallest doc_id and, in it, the
+earliest. Sentences covered by any other occurrence are removed.
+
+A run is the shortest one from its first sentence on, or up to its last
+sentence, that has at least ``sentences`` sentences and ``words`` words; taking
+both makes every sentence of a repeated passage part of a run inside it.
+Sentences end after ``.``, ``!``, ``?`` before a blank, at an ideographic full
+stop, and at line ends; one of more than ``LONG`` words is cut after words
+picked by their hash.
+
+Runs miss a passage under other stops or line ends, and its ends inside longer
+sentences. So windows of ``words`` consecutive words are joined in the same way
+besides, wherever they begin and end, and words covered by any but the first
+occurrence go too, with what follows them up to the next word. The hashes of
+windows that stand only once are never written: the anchor of a window is the
+smallest hash of its ``GRAM``-word grams, equal windows have equal anchors, and
+neighbours mostly share one. Anchors are joined together with the runs; only
+windows whose anchor is in more than one document are hashed and joined
+themselves. All steps are exact.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tessera.llm._spark import in_tasks, stored
 from tessera.llm._text import ALNUM, LOWER, NONBLANK, find_words, fold_hashes, mix, segment_hashes, text_chunks
 
-SENTENCES = 2  # of the former runs of sentences; windows do not depend on it
+SENTENCES = 2
 WORDS = 20
 GRAM = 8
 LONG = 24
@@ -39,9 +43,9 @@ LAST = (1 << 63) - 1
 
 
 class _Units:
-    """Sentences, words and windows of a run of texts, with their byte ranges."""
+    """Sentences, their runs, words and windows of a run of texts, with their byte ranges."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, words: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, sentences: int, words: int):
         lower = LOWER[data]
         starts, ends, first = find_words(lower, offsets, ALNUM)
         hashes = segment_hashes(lower, starts, ends)
@@ -66,6 +70,7 @@ class _Units:
         last = np.ones(len(starts), dtype=bool)
         last[:-1] = doc[1:] != doc[:-1]
         self.end[last] = offsets[doc[last] + 1]
+        self._spans(hashes, np.append(np.flatnonzero(new), len(starts)), len(offsets) - 1, sentences, words)
         at = np.arange(max(0, len(starts) - words + 1))
         self.at = at = at[doc[at] == doc[at + words - 1]]  # each window's first word
         self.run = fold_hashes(hashes, at, at + words)
@@ -75,6 +80,25 @@ class _Units:
         self.anchor = _least(fold_hashes(hashes, at, at + gram), words - gram + 1)[self.at]
 
 
+    def _spans(self, hashes: np.ndarray, bounds: np.ndarray, docs: int, sentences: int, words: int) -> None:
+        """The runs of sentences: first word, last word + 1, hash, document; ``bounds`` are the sentences' first words."""
+        n = len(bounds) - 1
+        first = np.searchsorted(self.doc, np.arange(docs + 1))
+        left, right = first[self.doc], first[self.doc + 1]
+        at = np.arange(n)
+        to = np.maximum(np.searchsorted(bounds, bounds[:-1] + words), at + sentences)
+        back = np.minimum(np.searchsorted(bounds, bounds[1:] - words, "right") - 1, at + 1 - sentences)
+        forward, backward = to <= right, back >= left
+        a = np.concatenate([at[forward], back[backward]])
+        b = np.concatenate([to[forward], at[backward] + 1])
+        _, pick = np.unique(a * (n + 1) + b, return_index=True)  # by place
+        a, b = a[pick], b[pick]
+        unit = fold_hashes(hashes, bounds[:-1], bounds[1:])
+        self.span = mix(fold_hashes(unit, a, b))  # mixed once more: never taken for a window or anchor of the same words
+        self.span_doc = self.doc[a]
+        self.span_from, self.span_to = bounds[a], bounds[b]
+
+
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """Smallest of each ``width`` consecutive values."""
     span = 1
@@ -112,32 +136,37 @@ class _Lists:
         return np.isin(_in(doc, run), _in(np.repeat(np.arange(n), np.diff(at)), self.values[at[0]: at[-1]]))
 
 
-def anchors(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
-    """(run, key): the anchors of every document's windows, once a document."""
+def runs_and_anchors(docs: DataFrame, *, sentences: int = SENTENCES, words: int = WORDS, windows: bool = True) -> DataFrame:
+    """(run, key, span): the hash of every run of sentences (``span``) and the windows' anchors, once a document."""
 
     def compute(batches):
         for batch in batches:
             keys = batch.column("key").to_numpy()
             for row, offsets, data in text_chunks(batch.column("text")):
-                u = _Units(data, offsets, words)
-                yield _emit(keys[row:], u.run_doc, u.anchor)
+                u = _Units(data, offsets, sentences, words)
+                for doc, run, span in ((u.span_doc, u.span, True), *([(u.run_doc, u.anchor, False)] if windows else [])):
+                    found = _emit(keys[row:], doc, run)
+                    yield found.append_column("span", pa.array(np.full(found.num_rows, span)))
+
+    return _sources(docs).transform(in_tasks, compute, "run long, key long, span boolean")
+
 
-    return _sources(docs).transform(in_tasks, compute, "run long, key long")
+def _repeated(runs: DataFrame) -> DataFrame:
+    """``runs`` that are in several documents, and the ``first`` of these."""
+    first = runs.groupBy("run").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1").select(
+        F.col("run").alias("repeated"), "first").hint("rebalance")
+    return runs.join(first, F.expr("run = repeated")).drop("repeated")
 
 
-def spans(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
-    """(run, key): the hash of every window whose anchor is in several documents, once a document."""
-    found = stored(anchors(docs, words=words), "window-anchors")
-    shared = found.groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select(
-        F.col("run").alias("repeated")).hint("rebalance")
-    lists = found.join(shared, F.expr("run = repeated")).groupBy("key").agg(
-        F.collect_set("run").alias("anchors"))  # at most the anchors of one document
+def _windows(docs: DataFrame, shared: DataFrame, sentences: int, words: int) -> DataFrame:
+    """(run, key): the hash of every window whose anchor is among its document's ``shared`` ones, once a document."""
+    lists = shared.groupBy("key").agg(F.collect_set("run").alias("anchors"))  # at most the anchors of one document
 
     def compute(batches):
         for batch in batches:
             keys, wanted = batch.column("key").to_numpy(), _Lists(batch.column("anchors"))
             for row, offsets, data in text_chunks(batch.column("text")):
-                u = _Units(data, offsets, words)
+                u = _Units(data, offsets, sentences, words)
                 hit = wanted.member(row, len(offsets) - 1, u.run_doc, u.anchor)
                 yield _emit(keys[row:], u.run_doc[hit], u.run[hit])
 
@@ -151,21 +180,24 @@ def _repeats_inside(doc: np.ndarray, run: np.ndarray) -> np.ndarray:
     return again
 
 
-def remove_repeats(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, sentences: int = SENTENCES, words: int = WORDS, windows: bool = True) -> DataFrame:
     """doc_id, n_sentences, n_removed, words_removed, text of every row of ``docs`` (doc_id, text).
 
-    ``text`` is the text without the removed words; nothing else of it changes.
+    ``text`` is the text without the removed sentences and words; nothing else of
+    it changes. ``windows=False`` removes whole sentences of repeated runs only.
     ``n_removed`` counts the sentences of which no word is left. Null and empty
     texts come back as they are, with zeros. Rows with
     one doc_id are one document: what they share is not removed across them
     (a repeat inside one row is). Null ids come last and are one document.
     Other columns are ignored; an empty table gives no rows.
     """
-    runs = stored(spans(docs, words=words), "windows")
-    first = runs.groupBy("run").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1").select(
-        F.col("run").alias("repeated"), "first").hint("rebalance")
-    again = stored(runs.join(first, F.expr("run = repeated and key > first")).select("key", "run"), "later-windows")
-    later = again.groupBy("key").agg(F.collect_set("run").alias("later"))  # at most the windows of one document
+    pieces = stored(runs_and_anchors(docs, sentences=sentences, words=words, windows=windows), "sentence-runs")
+    shared = stored(_repeated(pieces), "repeated-runs")
+    again = shared.filter("span and key > first").select("key", "run")
+    if windows:
+        whole = stored(_windows(docs, shared.filter("not span"), sentences, words), "windows")
+        again = again.unionAll(stored(_repeated(whole).filter("key > first").select("key", "run"), "later-windows"))
+    later = again.groupBy("key").agg(F.collect_set("run").alias("later"))  # at most the runs and windows of one document
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
         "place", F.coalesce("doc_id", F.lit(LAST)))
 
@@ -175,11 +207,15 @@ def remove_repeats(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
             texts, counts = [], []
             for row, offsets, data in text_chunks(batch.column("text")):
                 n = len(offsets) - 1
-                u = _Units(data, offsets, words)
-                hit = _repeats_inside(u.run_doc, u.run) | later.member(row, n, u.run_doc, u.run)
+                u = _Units(data, offsets, sentences, words)
                 cover = np.zeros(len(u.start) + 1, dtype=np.int64)
-                cover[u.at[hit]] += 1
-                cover[u.at[hit] + words] -= 1
+                hit = _repeats_inside(u.span_doc, u.span) | later.member(row, n, u.span_doc, u.span)
+                np.add.at(cover, u.span_from[hit], 1)
+                np.add.at(cover, u.span_to[hit], -1)
+                if windows:
+                    hit = _repeats_inside(u.run_doc, u.run) | later.member(row, n, u.run_doc, u.run)
+                    cover[u.at[hit]] += 1
+                    cover[u.at[hit] + words] -= 1
                 gone = np.cumsum(cover[:-1]) > 0
                 whole = np.bincount(u.unit, weights=~gone, minlength=len(u.doc)) == 0
                 edge = np.zeros(len(data) + 1, dtype=np.int32)

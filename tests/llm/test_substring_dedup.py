@@ -1,4 +1,4 @@
-"""Substring dedup against a plain-Python version of the same rule, planted passages, edge rows."""
+"""Substring dedup against plain Python: runs of sentences alone, and with all windows of 20 words; planted passages, edge rows."""
 
 import re
 
@@ -43,47 +43,60 @@ def units(text):
     return [(starts[i], starts[i + 1], tuple(w for _, w in u)) for i, u in enumerate(out)]
 
 
-def brute(rows, sentences=sd.SENTENCES, words=sd.WORDS):
-    docs, seen = [], {}
-    for r, (d, t) in enumerate(rows):
+def span_places(us, sentences, words):
+    """(first unit, last unit + 1) of the runs of sentences."""
+    found = set()
+    for i in range(len(us)):
+        for j in range(i + sentences, len(us) + 1):
+            if sum(len(u[2]) for u in us[i:j]) >= words:
+                found.add((i, j))
+                break
+    for j in range(len(us), 0, -1):
+        for i in range(j - sentences, -1, -1):
+            if sum(len(u[2]) for u in us[i:j]) >= words:
+                found.add((i, j))
+                break
+    return sorted(found)
+
+
+def brute(rows, sentences=sd.SENTENCES, words=sd.WORDS, windows=True):
+    """The result rows: what a run of sentences or a window covers goes, if it stands earlier in its row or under a smaller id."""
+    docs, least = [], {}
+    for d, t in rows:
         us = units(t)
-        runs = set()
-        for i in range(len(us)):
-            for j in range(i + sentences, len(us) + 1):
-                if sum(len(u[2]) for u in us[i:j]) >= words:
-                    runs.add((i, j))
-                    break
-        for j in range(len(us), 0, -1):
-            for i in range(j - sentences, -1, -1):
-                if sum(len(u[2]) for u in us[i:j]) >= words:
-                    runs.add((i, j))
-                    break
-        docs.append((us, sorted(runs)))
-        for i, j in sorted(runs):
-            key = tuple(u[2] for u in us[i:j])
-            order = (d is None, d or 0)
-            seen[key] = min(seen.get(key, order), order)
+        at = [0]
+        for u in us:
+            at.append(at[-1] + len(u[2]))
+        flat = [w for u in us for w in u[2]]
+        pieces = [("run", at[i], at[j], tuple(u[2] for u in us[i:j])) for i, j in span_places(us, sentences, words)]
+        if windows:
+            pieces += [("window", i, i + words, tuple(flat[i:i + words])) for i in range(len(flat) - words + 1)]
+        order = (d is None, d or 0)
+        docs.append((d, t, us, at, pieces, order))
+        for kind, _, _, key in pieces:
+            least[kind, key] = min(least.get((kind, key), order), order)
     out = []
-    for (d, t), (us, runs) in zip(rows, docs, strict=True):
-        gone, inside = set(), set()
-        for i, j in runs:
-            key = tuple(u[2] for u in us[i:j])
-            if key in inside or seen[key] < (d is None, d or 0):
-                gone |= set(range(i, j))
-            inside.add(key)
+    for d, t, us, at, pieces, order in docs:
+        gone, seen = set(), set()
+        for kind, i, j, key in pieces:
+            if least[kind, key] < order or (kind, key) in seen:
+                gone.update(range(i, j))
+            seen.add((kind, key))
         raw = (t or "").encode()
+        starts = [m.start() for m in WORD.finditer(lower(raw))] + [len(raw)]
         kept, pos = b"", 0
         for k in sorted(gone):
-            kept += raw[pos:us[k][0]]
-            pos = us[k][1]
+            kept += raw[pos:starts[k]]
+            pos = starts[k + 1]
         kept += raw[pos:]
-        out.append((d, len(us), len(gone), sum(len(us[k][2]) for k in gone), None if t is None else kept.decode()))
+        whole = sum(all(k in gone for k in range(a, b)) for a, b in zip(at[:-1], at[1:], strict=True))
+        out.append((d, len(us), whole, len(gone), None if t is None else kept.decode()))
     return sorted(out, key=str)
 
 
-def run(spark, rows):
+def run(spark, rows, **kwargs):
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, run int")
-    return sorted((tuple(r) for r in sd.remove_repeats(df).collect()), key=str)
+    return sorted((tuple(r) for r in sd.remove_repeats(df, **kwargs).collect()), key=str)
 
 
 def test_query_matches_brute_force(spark):
@@ -93,6 +106,13 @@ def test_query_matches_brute_force(spark):
     assert any(r[2] for r in got)
 
 
+def test_runs_of_sentences_alone(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    want = brute([tuple(r) for r in df.collect()], windows=False)
+    got = sorted((tuple(r) for r in sd.remove_repeats(df, windows=False).collect()), key=str)
+    assert got == want and any(r[2] for r in got)
+
+
 def passage(tag, n, per):
     w = [f"{tag}{i}" for i in range(n)]
     return " ".join(" ".join(w[i:i + per]) + "." for i in range(0, n, per))
@@ -106,6 +126,8 @@ def test_planted_passages(spark):
         assert got == brute(rows)
         assert [r[3] for r in got] == [0] + [n] * 5
         assert all(" p0 " not in r[4] for r in got[1:])
+        alone = run(spark, rows, windows=False)
+        assert alone == brute(rows, windows=False) and [r[3] for r in alone] == [0] + [n] * 5
 
 
 def test_passage_without_sentence_ends(spark):
@@ -113,7 +135,9 @@ def test_passage_without_sentence_ends(spark):
     rows = [(i, " ".join(f"c{i}_{k}" for k in range(30)) + " " + p + " " + " ".join(f"d{i}_{k}" for k in range(30))) for i in range(4)]
     got = run(spark, rows)
     assert got == brute(rows)
-    assert all(r[3] > 80 for r in got[1:])
+    assert [r[3] for r in got] == [0, 121, 121, 121]  # with the 29 that stands before it everywhere
+    alone = run(spark, rows, windows=False)
+    assert alone == brute(rows, windows=False) and all(r[3] > 80 for r in alone[1:])
 
 
 def test_edges(spark):
@@ -123,4 +147,39 @@ def test_edges(spark):
             (4, "short one."), (8, long), (9, long + " " + p), (10, "Ünïcode。 " + p)]
     got = run(spark, rows)
     assert got == brute(rows)
-    assert run(spark, []) == []
+    assert run(spark, rows, windows=False) == brute(rows, windows=False)
+    assert run(spark, []) == [] and run(spark, [], windows=False) == []
+
+
+def words(tag, n):
+    return [f"{tag}{i}" for i in range(n)]
+
+
+def test_passages_without_stops(spark):
+    for n in (20, 21, 27, 51):
+        for k in range(5):
+            p = words(f"p{k}x", n)
+            rows = [(i, " ".join(words(f"a{i}x", 30) + p + words(f"b{i}x", 30))) for i in range(3)]
+            got = run(spark, rows)
+            assert got == brute(rows)
+            assert [r[3] for r in got] == [0, n, n]
+    rows = [(i, " ".join(words(f"a{i}x", 30) + words("p", 19) + words(f"b{i}x", 30))) for i in range(3)]
+    assert [r[3] for r in run(spark, rows)] == [0, 0, 0]
+
+
+def test_same_words_under_other_stops_and_lines(spark):
+    p = words("p", 51)
+    ways = [" ".join(p), "\n".join(" ".join(p[i:i + 7]) for i in range(0, 51, 7)), ". ".join(" ".join(p[i:i + 10]) for i in range(0, 51, 10)),
+            ", ".join(p).upper(), "! ".join(p)]
+    rows = [(i, f"Own start s{i} {way} e{i} own end.") for i, way in enumerate(ways)]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    assert [r[3] for r in got] == [0, 51, 51, 51, 51]
+    assert all(r[4] == f"Own start s{r[0]} e{r[0]} own end." for r in got[1:])
+
+
+def test_repeats_inside_a_row_and_short_rows(spark):
+    p = " ".join(words("p", 40))
+    rows = [(1, p + "\n" + p), (2, " ".join(words("q", 11))), (3, " ".join(words("q", 11))), (4, "x y " * 30), (5, "x y " * 30),
+            (None, p), (None, "own words " + p), (6, None), (7, "")]
+    assert run(spark, rows) == brute(rows)
