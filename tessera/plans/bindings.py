@@ -24,6 +24,9 @@ PER_TAG_PUBLISHED = 9  # 45 centers over the five order priorities
 SEED = 42
 SCORE_SHIFT = 25
 INDEX_PAGE = 100
+INDEX_BLOCK = 16
+TWO_TERMS = ("the", "in")
+BUCKETS = 8
 ANSWER_PAGE = 3
 MANY_CENTERS = 300
 PER_SUPPLIER = 2
@@ -120,6 +123,11 @@ def pages_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "html")
 
 
+def benchmark_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(term): every token of the benchmark's texts, repeats included."""
+    return table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("term"))
+
+
 def faulty_post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value): the posts as lines, some cut short, some with a word where a number belongs."""
     fault = F.col("id") % 50

@@ -11,10 +11,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.sql import class_sum_sql, register_sql
 from tessera.operators import bounds as bd
+from tessera.operators import bucketed as bk
 from tessera.operators import clusters as cl
 from tessera.operators import lloyd as ll
+from tessera.operators import membership as mb
 from tessera.operators import pairs as pr
+from tessera.operators import postings as po
 from tessera.operators import survey as sv
 from tessera.operators import vectors as vc
 from tessera.operators import terms as tm
@@ -635,6 +639,92 @@ SELECT CASE doc_id % 20 WHEN 1 THEN replace({_ARTICLE_SQL} || text || '</text>
 FROM documents WHERE doc_id % 20 IN (1, 2)""",
 }
 
+# --------------------------------------------------------------------------- blocks, long lists, buckets, SQL text
+
+def _term_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = po.build_blocks(term_index(spark, sf_dir), block_size=b.INDEX_BLOCK, page_size=b.INDEX_PAGE)
+    path = scratch_path(spark, "term-blocks")
+    blocks.write.parquet(path)
+    return spark.read.schema(blocks.schema).parquet(path)
+
+
+def term_index_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index in delta-coded blocks (the gaps shown as text)."""
+    return _term_blocks(spark, sf_dir).withColumn("deltas", F.array_join("deltas", " "))
+
+
+def term_rank_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking from the blocks' headers."""
+    return po.rank_from_blocks(_term_blocks(spark, sf_dir))
+
+
+def term_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with both of two terms, by blocks that overlap."""
+    return po.intersect_terms(_term_blocks(spark, sf_dir), *b.TWO_TERMS)
+
+
+def term_rank_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking of every token of the benchmark, as a table of terms."""
+    return mb.rank_term_table(b.docs_frame(spark, sf_dir), b.benchmark_tokens(spark, sf_dir))
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> bk.PostTables:
+    path = scratch_path(spark, "bucketed")
+    name = "posts_" + path.rstrip("/").rsplit("/", 1)[1].replace("-", "_")
+    return bk.write_bucketed(b.posts_frame(spark, sf_dir, score_shift=b.SCORE_SHIFT), name, path, buckets=b.BUCKETS)
+
+
+def qa_pairs_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs from tables bucketed by question."""
+    return bk.bucketed_pairs(spark, _bucketed(spark, sf_dir))
+
+
+def qa_best_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bk.bucketed_best_score(spark, _bucketed(spark, sf_dir), floor=0)
+
+
+def survey_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole survey as one SQL text with the library's SQL functions."""
+    register_sql(spark)
+    df = b.survey_frame(spark, sf_dir)
+    primary, work, other = (class_sum_sql(c) for c in sv.classify_columns(df.columns))
+    return spark.sql(f"""
+SELECT ts_working_band(telfs) AS working, ts_sex_band(tesex) AS sex, ts_age_band(teage) AS age,
+       round(avg(ts_minutes_to_hours({primary})), 1) AS primaryNeeds, round(avg(ts_minutes_to_hours({work})), 1) AS work,
+       round(avg(ts_minutes_to_hours({other})), 1) AS other
+FROM {{survey}} GROUP BY ALL ORDER BY working, sex, age""", survey=df)
+
+
+def term_rank_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking as SQL text with a table function."""
+    register_sql(spark)
+    return spark.sql("""
+SELECT t.term, count(*) AS n_docs FROM {docs} d, LATERAL ts_terms_of(d.text, :terms) t GROUP BY t.term ORDER BY n_docs DESC, t.term""",
+                     args={"terms": F.array(*[F.lit(t) for t in b.DOC_TERMS])}, docs=b.docs_frame(spark, sf_dir))
+
+
+_BLOCK_ORACLE = {
+    "term_index_blocks": f"""
+WITH p AS (SELECT *, doc_id // {b.INDEX_PAGE} AS page FROM ({_TERMS_ORACLE['term_index']})),
+g AS (SELECT *, (row_number() OVER (PARTITION BY term, page ORDER BY doc_id) - 1) // {b.INDEX_BLOCK} AS cut FROM p),
+d AS (SELECT *, coalesce(doc_id - lag(doc_id) OVER (PARTITION BY term, page, cut ORDER BY doc_id), 0) AS gap FROM g)
+SELECT term, page, min(doc_id) AS first_id, max(doc_id) AS last_id, CAST(count(*) AS INTEGER) AS n, string_agg(gap, ' ' ORDER BY doc_id) AS deltas
+FROM d GROUP BY term, page, cut""",
+    "term_rank_blocks": _TERMS_ORACLE["term_rank_index"],
+    "term_both": f"""
+SELECT doc_id FROM documents WHERE list_contains(string_split(text, ' '), '{b.TWO_TERMS[0]}')
+  AND list_contains(string_split(text, ' '), '{b.TWO_TERMS[1]}')""",
+    "term_rank_long": """
+WITH t AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS term FROM benchmark),
+d AS (SELECT doc_id, unnest(list_distinct(string_split(text, ' '))) AS term FROM documents)
+SELECT term, count(*) AS n_docs FROM d JOIN t USING (term) WHERE term <> '' GROUP BY term""",
+    "qa_pairs_bucketed": _posts_cte(b.SCORE_SHIFT) + """
+SELECT q.id AS qid, q.tag, a.id AS aid, a.score FROM q JOIN (SELECT parent, aid AS id, score FROM a) a ON a.parent = q.id""",
+    "qa_best_bucketed": _QA_ORACLE["qa_best_score_floor"],
+    "survey_sql_text": _SURVEY_GROUPED_SQL,
+    "term_rank_sql_text": _TERMS_ORACLE["term_rank_fused"],
+}
+
 # --------------------------------------------------------------------------- streams
 
 def stream_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -675,6 +765,7 @@ SELECT working, sex, age, "primaryNeeds", work, other FROM summary WHERE telfs <
     **_SOURCES_ORACLE,
     **_MORE_ORACLE,
     **_ASIDE_ORACLE,
+    **_BLOCK_ORACLE,
     **_STREAM_ORACLE,
 }
 
@@ -725,6 +816,14 @@ QUERIES: dict[str, Query] = {
     "wide_csv_bad": wide_csv_bad,
     "articles_good": articles_good,
     "articles_bad": articles_bad,
+    "term_index_blocks": term_index_blocks,
+    "term_rank_blocks": term_rank_blocks,
+    "term_both": term_both,
+    "term_rank_long": term_rank_long,
+    "qa_pairs_bucketed": qa_pairs_bucketed,
+    "qa_best_bucketed": qa_best_bucketed,
+    "survey_sql_text": survey_sql_text,
+    "term_rank_sql_text": term_rank_sql_text,
     "stream_term_counts": stream_term_counts,
     "stream_survey_summary": stream_survey_summary,
 }
