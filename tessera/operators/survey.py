@@ -93,21 +93,23 @@ def with_row_sums(df: DataFrame, sums: Mapping[str, Sequence[str]], keep: Sequen
 
 def summarize_time(df: DataFrame, primary: Sequence[str], work: Sequence[str], other: Sequence[str], *,
                    telfs: str = "telfs", tesex: str = "tesex", teage: str = "teage",
-                   exclude_unemployable: bool = False, unemployable_code: float = 5.0, step: int = SUM_STEP) -> DataFrame:
+                   exclude_unemployable: bool = False, unemployable_code: float = 5.0, step: int = SUM_STEP,
+                   keep: Sequence[str] = ()) -> DataFrame:
     """One row per respondent: working, sex, age bands and hours per class.
 
     Projections of native, compiled expressions, so the scan reads only the named
     columns; classes of at most ``step`` columns take one (``with_row_sums``).
     ``exclude_unemployable=True`` drops ``telfs == 5`` as the documentation asks;
-    the default keeps them, as the code of record does.
+    the default keeps them, as the code of record does. ``keep`` names columns
+    that stay beside the summary.
     """
     for label, cols in (("primary", primary), ("work", work), ("other", other)):
         if not cols:
             raise ValueError(f"no {label} columns to sum")
     src = df.where(~F.col(telfs).eqNullSafe(F.lit(unemployable_code))) if exclude_unemployable else df
     bands = [working_band(telfs).alias("working"), sex_band(tesex).alias("sex"), age_band(teage).alias("age")]
-    minutes = with_row_sums(src, dict(zip(MEASURES, (primary, work, other), strict=True)), bands, step=step)
-    return minutes.select(*GROUP_KEYS, *[minutes_to_hours(m).alias(m) for m in MEASURES])
+    minutes = with_row_sums(src, dict(zip(MEASURES, (primary, work, other), strict=True)), [*bands, *keep], step=step)
+    return minutes.select(*keep, *GROUP_KEYS, *[minutes_to_hours(m).alias(m) for m in MEASURES])
 
 
 def average_by_group(summed: DataFrame, *, keys: Sequence[str] = GROUP_KEYS,

@@ -10,6 +10,8 @@ filter pushdown reach the files.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ INDEX_PAGE = 100
 INDEX_BLOCK = 16
 TWO_TERMS = ("the", "in")
 BUCKETS = 8
+# Event-time windows of the streams; no row of the tables is later than the lateness.
+STREAM_WINDOW, STREAM_LATENESS, STREAM_PARTITIONS = "28 days", "4000 days", 8
 ANSWER_PAGE = 3
 MANY_CENTERS = 300
 PER_SUPPLIER = 2
@@ -49,13 +53,20 @@ def survey_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey_from_lineitem(table(spark, sf_dir, "lineitem"))
 
 
-def survey_from_lineitem(li: DataFrame) -> DataFrame:
+def timed_answers(li: DataFrame, *, score_shift: int = 0) -> DataFrame:
+    """Answers (ptype, id, parent, score) of line items, with the time ``at``."""
+    return li.select(F.lit(2).alias("ptype"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("parent"),
+                     (F.col("l_quantity").cast("int") - score_shift).alias("score"), F.col("l_shipdate").cast("timestamp").alias("at"))
+
+
+def survey_from_lineitem(li: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
     """Wide survey: an id string, three respondent codes, eight activity columns (minutes).
 
     Column order matters: sums run left to right in this order. ``li`` may be
     a batch or a streaming frame.
     """
     return li.select(
+        *[F.col(c).cast("timestamp").alias(c) for c in keep],
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tucaseid"),
         F.col("l_linenumber").cast("double").alias("telfs"),
         (F.col("l_suppkey") % 2 + 1).cast("double").alias("tesex"),

@@ -742,7 +742,29 @@ def stream_survey_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                            name="stream-survey-summary")
 
 
+def stream_best_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best answer scores from ``lineitem`` read as a file stream with event times (state: questions and windows)."""
+    posts = b.timed_answers(st.read_table_stream(spark, sf_dir, "lineitem"), score_shift=b.SCORE_SHIFT)
+    path = scratch_path(spark, "stream-best")
+    st.run_updates(st.best_scores(posts, time_col="at", window=b.STREAM_WINDOW, lateness=b.STREAM_LATENESS), path,
+                   scratch_path(spark, "stream-best-ckpt"), state_partitions=b.STREAM_PARTITIONS)
+    return st.read_best_scores(spark, path)
+
+
+def stream_group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grouped means of ``lineitem`` read as a file stream with event times (state: groups and windows)."""
+    lines = st.read_table_stream(spark, sf_dir, "lineitem")
+    survey = b.survey_from_lineitem(lines, keep=("l_shipdate",))
+    summary = sv.summarize_time(survey, *sv.classify_columns(survey.columns), keep=("l_shipdate",))
+    path = scratch_path(spark, "stream-means")
+    st.run_updates(st.group_sums(summary, time_col="l_shipdate", window=b.STREAM_WINDOW, lateness=b.STREAM_LATENESS), path,
+                   scratch_path(spark, "stream-means-ckpt"), state_partitions=b.STREAM_PARTITIONS)
+    return st.read_group_means(spark, path)
+
+
 _STREAM_ORACLE = {
+    "stream_best_score": _posts_cte(b.SCORE_SHIFT) + " SELECT parent AS qid, score FROM best",
+    "stream_group_means": _SURVEY_GROUPED_SQL,
     "stream_term_counts": _TERMS_RANK_SQL,
     "stream_survey_summary": _SURVEY_CTE + """
 SELECT working, sex, age, "primaryNeeds", work, other FROM summary
@@ -826,4 +848,6 @@ QUERIES: dict[str, Query] = {
     "term_rank_sql_text": term_rank_sql_text,
     "stream_term_counts": stream_term_counts,
     "stream_survey_summary": stream_survey_summary,
+    "stream_best_score": stream_best_score,
+    "stream_group_means": stream_group_means,
 }

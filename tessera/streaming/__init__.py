@@ -1,5 +1,6 @@
-"""Streaming forms of the stateless operators (term counts, survey summary)."""
+"""Streaming forms of operators: term counts, survey summary, best scores, group means."""
 
+from tessera.streaming.running import best_scores, group_sums, read_best_scores, read_group_means, run_updates
 from tessera.streaming.stream import (
     read_stream,
     read_table_stream,
@@ -9,5 +10,5 @@ from tessera.streaming.stream import (
     stream_term_counts,
 )
 
-__all__ = ["read_stream", "read_table_stream", "run_to_table", "start", "stream_survey_summary",
-           "stream_term_counts"]
+__all__ = ["best_scores", "group_sums", "read_best_scores", "read_group_means", "read_stream", "read_table_stream", "run_to_table",
+           "run_updates", "start", "stream_survey_summary", "stream_term_counts"]

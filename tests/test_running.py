@@ -1,0 +1,66 @@
+"""Best scores and means over streams: late rows, restart from the checkpoint, bounded state."""
+
+import datetime as dt
+
+from conftest import rows
+from tessera.operators import survey as sv
+from tessera.streaming import best_scores, group_sums, read_best_scores, read_group_means, read_stream, run_updates
+
+POSTS = "ptype int, id bigint, parent bigint, score int, at timestamp"
+
+
+def day(n):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+
+
+def put(spark, data, schema, path, name):
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{path}/{name}")
+
+
+def drain(spark, tmp_path, lateness):
+    stream = read_stream(spark, f"{tmp_path}/in/*")
+    return run_updates(best_scores(stream, time_col="at", window="7 days", lateness=lateness), str(tmp_path / "out"),
+                       str(tmp_path / "ckpt"), state_partitions=2)
+
+
+def test_late_answers_after_a_restart_equal_the_batch(spark, tmp_path):
+    first = [(2, i, i % 5, i % 17, day(i % 60)) for i in range(200)] + [(1, 900, None, 50, day(1))]
+    later = [(2, 1000 + i, i % 7, i % 23, day(30 + i % 40)) for i in range(100)]  # up to 30 days behind the newest
+    put(spark, first, POSTS, f"{tmp_path}/in", "a")
+    drain(spark, tmp_path, "40 days")
+    put(spark, later, POSTS, f"{tmp_path}/in", "b")
+    drain(spark, tmp_path, "40 days")  # a new query on the same checkpoint
+    want = {}
+    for p, _, q, s, _ in first + later:
+        if p == 2:
+            want[q] = max(want.get(q, s), s)
+    assert dict(rows(read_best_scores(spark, str(tmp_path / "out")))) == want
+
+
+def test_state_leaves_with_the_watermark(spark, tmp_path):
+    state = []
+    for k in range(4):
+        put(spark, [(2, 1000 * k + i, 1000 * k + i, 1, day(100 * k + i % 5)) for i in range(50)], POSTS, f"{tmp_path}/in", f"p{k}")
+        state.append(drain(spark, tmp_path, "10 days").lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert max(state) <= 100  # of 200 questions only those of the last windows
+    put(spark, [(2, 1, 5, 99, day(0))], POSTS, f"{tmp_path}/in", "late")  # beyond the lateness: dropped
+    drain(spark, tmp_path, "10 days")
+    got = dict(rows(read_best_scores(spark, str(tmp_path / "out"))))
+    assert len(got) == 200 and got[5] == 1
+
+
+def test_means_over_batches_equal_the_batch(spark, tmp_path):
+    schema = "at timestamp, working string, sex string, age string, primaryNeeds double, work double, other double"
+    data = [[(day((7 * i + 31 * k) % 50), f"w{i % 2}", "s", f"a{i % 3}", float(i), None if i % 4 else 0.5, 0.25) for i in range(60)] for k in range(2)]
+    for k, part in enumerate(data):
+        put(spark, part, schema, f"{tmp_path}/in", f"p{k}")
+        stream = read_stream(spark, f"{tmp_path}/in/*")
+        run_updates(group_sums(stream, time_col="at", window="7 days", lateness="60 days"), str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                    state_partitions=2)
+    batch = spark.createDataFrame(data[0] + data[1], schema).drop("at")
+    assert rows(read_group_means(spark, str(tmp_path / "out"))) == rows(sv.average_by_group(batch))
+
+
+def test_nothing_streamed_yet(spark, tmp_path):
+    assert rows(read_best_scores(spark, str(tmp_path / "none"))) == []
+    assert rows(read_group_means(spark, str(tmp_path / "none"))) == []
