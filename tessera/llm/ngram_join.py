@@ -85,7 +85,7 @@ def _key(tokens: np.ndarray) -> tuple[int, int, int]:
 
 
 def signatures(docs: DataFrame, coordinates: int, width: int = SHINGLE) -> DataFrame:
-    """doc_id, set key (k1, k2, n), sampled token per coordinate, 8-bit sketch."""
+    """doc_id, hash of the text, set key (k1, k2, n), sampled token per coordinate, 8-bit sketch."""
     a, b = _coordinates(max(coordinates, SKETCH))
 
     def compute(batches):
@@ -98,12 +98,13 @@ def signatures(docs: DataFrame, coordinates: int, width: int = SHINGLE) -> DataF
                 sketches.append((mix(least[:SKETCH].astype(np.uint64)) & np.uint64(255)).astype(np.uint8))
             flat = np.concatenate(samples) if samples else np.empty(0, np.int32)
             at = np.arange(0, len(flat) + 1, coordinates, dtype=np.int32)
-            cols = [batch.column("doc_id"), *(pa.array([k[i] for k in keys], pa.int64()) for i in range(3)),
+            cols = [batch.column("doc_id"), batch.column("hash"), *(pa.array([k[i] for k in keys], pa.int64()) for i in range(3)),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), pieces(sketches)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", *KEY, "tokens", "sketch"])
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "hash", *KEY, "tokens", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(
-        in_tasks, compute, "doc_id long, k1 long, k2 long, n long, tokens array<int>, sketch binary")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("hash")).transform(
+        in_tasks, compute, "doc_id long, hash long, k1 long, k2 long, n long, tokens array<int>, sketch binary")
 
 
 def _forest(close: np.ndarray) -> list[tuple[int, int]]:
@@ -205,20 +206,8 @@ def _place(sets: DataFrame, turn: int, rounds: int) -> DataFrame:
         "node", F.col("size").cast("long"), "block", "tokens")
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, width: int = SHINGLE, levels: int = LEVELS,
-                    recall: float = RECALL, leaf: int = LEAF) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links.
-
-    ``class_id`` is the smallest doc_id of the group of documents joined by
-    links of Jaccard similarity ``threshold`` or more; ``n_links`` counts the
-    other documents linked to this one, copies included.
-
-    Takes any DataFrame with ``doc_id`` and ``text``; other columns are
-    ignored. A null or empty text, or one without a word, is its own group with
-    no links. A text of fewer than ``width`` words has one shingle of all its
-    words. Repeated rows are copies of each other. A null doc_id takes part and
-    names a group only where all its ids are null. An empty table gives no rows.
-    """
+def _grouped(docs: DataFrame, threshold: float, width: int, levels: int, recall: float, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, hash, set key) of every row, and (set key, root, class_id, n_links) of every set: ``root`` names its group."""
     spark = docs.sparkSession
     runs = runs_needed(threshold, levels, recall)
     rows = stored(signatures(docs, runs * levels, width), "ngram-signatures")
@@ -292,8 +281,26 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, width: int
     least = named.groupBy("root").agg(F.min("rep").alias("class_id")).hint("rebalance")
     result = stored(
         named.join(least, "root").join(count, "node", "left").select(
-            *KEY, "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "ngram-result")
-    return rows.select("doc_id", *KEY).join(result, KEY, "left").select(
+            *KEY, "root", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "ngram-result")
+    return rows.select("doc_id", "hash", *KEY), result
+
+
+def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, width: int = SHINGLE, levels: int = LEVELS,
+                    recall: float = RECALL, leaf: int = LEAF) -> DataFrame:
+    """One row per document: doc_id, class_id, n_links.
+
+    ``class_id`` is the smallest doc_id of the group of documents joined by
+    links of Jaccard similarity ``threshold`` or more; ``n_links`` counts the
+    other documents linked to this one, copies included.
+
+    Takes any DataFrame with ``doc_id`` and ``text``; other columns are
+    ignored. A null or empty text, or one without a word, is its own group with
+    no links. A text of fewer than ``width`` words has one shingle of all its
+    words. Repeated rows are copies of each other. A null doc_id takes part and
+    names a group only where all its ids are null. An empty table gives no rows.
+    """
+    rows, result = _grouped(docs, threshold, width, levels, recall, leaf)
+    return rows.join(result, KEY, "left").select(
         "doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
@@ -305,16 +312,24 @@ def _texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
     return d.join(reps, d.doc_id.eqNullSafe(reps.rep), "left_semi").select("text")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, *, threshold: float = THRESHOLD, width: int = SHINGLE, levels: int = LEVELS, recall: float = RECALL,
+             leaf: int = LEAF) -> DataFrame:
     """``docs`` without its near duplicates: of each group the document with the smallest doc_id.
 
-    Of rows repeated under that id with the same text one stays; rows under one
-    id with different texts are different documents and stay together.
+    Null ids come last; of documents under one id, which are different ones if
+    their texts differ, the one whose text has the smaller hash stays. Of rows
+    repeated under one id with one text one stays. A text without a word is its
+    own group.
     """
-    nowhere = F.lit((1 << 63) - 1)  # stands for a null id
-    kept = near_duplicates(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.coalesce("doc_id", nowhere).alias("id")).distinct()
-    d = docs.select(as_row(docs), F.coalesce(F.col("doc_id").cast("long"), nowhere).alias("id"), F.xxhash64("text").alias("hash"))
+    rows, result = _grouped(docs, threshold, width, levels, recall, leaf)
+    text = F.col("text").cast("string")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash")
+    # A partial minimum: a group of any size sends one row a task.
+    firsts = rows.join(result.select(*KEY, "root"), KEY).groupBy("root").agg(F.min(place).alias("p")).select("p.doc_id", "p.hash")
+    kept = firsts.union(rows.filter("n = 0").select("doc_id", "hash")).distinct().select(
+        F.col("doc_id").alias("kept_id"), F.col("hash").alias("kept_hash"))
+    d = docs.select(as_row(docs), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("hash"))
     once = Window.partitionBy("id", "hash").orderBy(F.xxhash64("row"))
-    out = d.join(kept, "id", "left_semi").withColumn("nth", F.row_number().over(once))
+    out = d.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi").withColumn(
+        "nth", F.row_number().over(once))
     return out.filter("nth = 1").select("row.*")

@@ -146,22 +146,23 @@ def fit(docs: DataFrame, marks: DataFrame, grades: int, *, sample: int = 8000, *
                 doc, slot, count, size = _counts(data, offsets)
                 cuts = np.searchsorted(doc, np.arange(1, len(offsets) - 1))
                 slots += [s.tobytes() for s in np.split(slot, cuts)]
-                counts += [np.minimum(c, 65535).astype(np.uint16).tobytes() for c in np.split(count, cuts)]
+                counts += [c.astype(np.uint32).tobytes() for c in np.split(count, cuts)]
                 words += size.tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("h"), batch.column("grade"), pa.array(slots, pa.binary()), pa.array(counts, pa.binary()),
                  pa.array(words, pa.int64())], names=["h", "grade", "slots", "counts", "words"])
 
     def learn(batches):
-        got = sorted((tuple(r.values()) for batch in batches for r in batch.to_pylist()), key=lambda r: r[:3])[:sample]
+        got = sorted((tuple(r.values()) for batch in batches for r in batch.to_pylist()), key=lambda r: r[:3])
         m = _train_lists(got, grades, options)
         yield pa.RecordBatch.from_arrays([pa.array([m.weights.tobytes()], pa.binary()), pa.array([m.thresholds.tolist()])],
                                          names=["weights", "thresholds"])
 
     features = rows.select("text", "grade", "h").transform(
         in_tasks, compute, "h long, grade int, slots binary, counts binary, words long")
-    # The sample is bounded, so one task can hold it; repeated documents repeat their ratings and are cut to the bound.
-    fitted = features.repartition(1).transform(in_tasks, learn, "weights binary, thresholds array<double>").first()
+    # Repeated documents repeat their ratings: each task cuts to the bound before one task gets the rest.
+    bounded = features.orderBy("h", "grade", "slots", "counts").limit(sample)
+    fitted = bounded.repartition(1).transform(in_tasks, learn, "weights binary, thresholds array<double>").first()
     if fitted is None:
         return _train_lists([], grades, options)
     return Model(np.frombuffer(fitted.weights, dtype=np.float32), np.array(fitted.thresholds))
@@ -170,7 +171,7 @@ def fit(docs: DataFrame, marks: DataFrame, grades: int, *, sample: int = 8000, *
 def _train_lists(rows: list[tuple], grades: int, options: dict) -> Model:
     """``train`` on (hash, grade, slots, counts, words) rows."""
     return train([np.frombuffer(r[2], dtype=np.int32) for r in rows],
-                 [_values(np.frombuffer(r[3], dtype=np.uint16), r[4]) for r in rows],
+                 [_values(np.frombuffer(r[3], dtype=np.uint32), r[4]) for r in rows],
                  np.array([r[1] for r in rows], dtype=np.int64), grades, **options)
 
 

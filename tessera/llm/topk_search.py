@@ -25,6 +25,8 @@ from tessera.llm._text import runs_of
 RANGE = 4096
 BLOCK = 256
 GROUP = 2048
+#: Scores beyond a long count as the nearest one.
+LIMIT = (1 << 63) - 1
 
 
 def _matrix(column: pa.ListArray, scale: float) -> np.ndarray:
@@ -42,24 +44,29 @@ def _widen(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The matrices as they are if their products fit doubles exactly, else as Python integers."""
+    """The matrices as they are if their products fit doubles exactly, else as Python integers; infinite components count as the largest double."""
     top = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1])
     if top < 2.0 ** 53:
         return a, b
-    return tuple(np.array([[int(v) for v in r] for r in x], dtype=object).reshape(x.shape) for x in (a, b))
+    largest = np.finfo(np.float64).max
+    return tuple(np.array([[int(v) for v in r] for r in np.clip(x, -largest, largest).tolist()], dtype=object).reshape(x.shape) for x in (a, b))
 
 
 def search_range(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int,
-                 block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+                 block: int = BLOCK, limit: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(query row, id, score) of each query's best k in one range, and the number of (query, block) pairs scored.
 
-    Higher scores first, ties to smaller ids; a vector with the query's id is left out.
+    Higher scores first, ties to smaller ids; a vector with the query's id is
+    left out. Scores beyond ``limit`` count as it.
     """
     queries, vectors = _exact(*_widen(queries, vectors))
     blocks = [slice(i, i + block) for i in range(0, len(vectors), block)]
     high = np.array([vectors[s].max(axis=0) for s in blocks]).reshape(len(blocks), -1)
     low = np.array([vectors[s].min(axis=0) for s in blocks]).reshape(len(blocks), -1)
     bound = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+    held = limit is not None and bound.dtype == object
+    if held:  # bounds too: what cannot pass the limit cannot beat it
+        bound = np.clip(bound, -limit, limit)
     order = np.argsort(-bound, axis=1, kind="stable")
     none = -(1 << 200) if bound.dtype == object else -np.inf
     kth = np.full(len(queries), none, dtype=bound.dtype)
@@ -78,6 +85,7 @@ def search_range(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
         for b in np.unique(at).tolist():
             qs = rows[at == b]
             score = queries[qs] @ vectors[blocks[b]].T
+            score = np.clip(score, -limit, limit) if held else score
             own = ids[blocks[b]][None, :] == query_ids[qs][:, None]
             least = kth[qs]
             if score.shape[1] > k + 1 and bound.dtype != object:  # of a block no more than k and one's own can stay
@@ -112,6 +120,7 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
     with zeros. Rows equal in id and vector count once; a candidate with the
     query's id is the query's own row and is left out. Rows of one id with
     different vectors are separate candidates, and as queries share one list.
+    Scores beyond a long are held at its limits, and order goes by these.
     Other columns are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
@@ -157,7 +166,7 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
                 qid, ids = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["ids"], "<i8")
                 q = np.frombuffer(r["q_matrix"]).reshape(len(qid), r["q_width"])
                 m = np.frombuffer(r["matrix"]).reshape(len(ids), r["width"])
-                row, cid, score, _ = search_range(q, qid, m, ids, k)
+                row, cid, score, _ = search_range(q, qid, m, ids, k, limit=LIMIT)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(qid[row]), pa.array(cid), pa.array([int(s) for s in score.tolist()], pa.int64())],
                     names=["query_id", "vec_id", "score"])

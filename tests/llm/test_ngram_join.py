@@ -94,3 +94,19 @@ def test_empty_and_clashing_columns(spark):
 def test_runs(threshold, levels):
     n = ngram_join.runs_needed(threshold, levels, 0.9999)
     assert (1 - threshold ** levels) ** n <= 1e-4 < (1 - threshold ** levels) ** (n - 1)
+
+
+def kept(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted((tuple(r) for r in ngram_join.keep_one(df).collect()), key=str)
+
+
+def test_one_of_each_group_under_null_and_shared_ids(spark):
+    a = " ".join(f"word{i}" for i in range(60))
+    near, solo, other = a + " z", " ".join(f"solo{i}" for i in range(30)), " ".join(f"other{i}" for i in range(30))
+    assert kept(spark, [(3, a), (None, a), (None, near), (None, solo)]) == sorted([(3, a), (None, solo)], key=str)
+    assert kept(spark, [(3, a), (5, near), (5, other)]) == [(3, a), (5, other)]
+    assert len(kept(spark, [(None, a), (None, near), (None, a)])) == 1
+    assert len(kept(spark, [(7, a), (7, near), (7, a), (7, None), (7, ""), (None, ""), (None, "")])) == 4
+    third = [(None if i % 3 == 0 else i, f"{a} tail{i}" if i % 2 else solo) for i in range(60)]
+    assert [r[0] for r in kept(spark, third)] == [1, 2]

@@ -77,3 +77,11 @@ def test_edges(spark):
     assert sorted(tuple(r) for r in ts.top_k(df, df.vec_id % 20 == 0).collect()) == brute(usable)
     assert ts.top_k(df.limit(0), df.vec_id % 20 == 0).collect() == []
     assert ts.top_k(df, df.vec_id < 0).collect() == []
+
+
+def test_scores_beyond_a_long_are_held_at_its_limits(spark, monkeypatch):
+    monkeypatch.setattr(ts, "RANGE", 3)
+    rows = [(0, [1e12, 1.0]), (1, [1e12, 2.0]), (2, [1e300, -1e300]), (3, [-1e12, 5.0]), (4, [0.0, 1.0]), (5, [1.7e308, 0.0]), (6, [1e12, 9.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id, r.score) for r in ts.top_k(df, df.vec_id == 0, k=5).collect())
+    assert got == [(1, 1, ts.LIMIT), (2, 2, ts.LIMIT), (3, 5, ts.LIMIT), (4, 6, ts.LIMIT), (5, 4, 64 * 64)]
