@@ -1,5 +1,6 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
+from tessera.llm.mixing import FACTOR, MIDDLE, PRIME, ROUNDS, SHARD_SLOTS
 from tessera.llm.secret_scan import BASE, KINDS, NAMES, PATTERNS, SCOPE
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,6 +32,23 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
 
 ORACLE = {"op2_decontamination": DECONTAMINATE}
 
+
+
+def _mixing_sql() -> str:
+    """The draw as the module words it: md5 keys a source and turn, swap-or-not rounds as nested selects."""
+    def hashed(parts: str) -> str:
+        return f"('0x' || substr(md5(concat_ws('#', {parts})), 1, 13))::BIGINT"
+
+    x = "SELECT rank, turn, i, blocks, i AS x FROM j"
+    for r in range(1, ROUNDS + 1):
+        x = f"""SELECT rank, turn, i, blocks, CASE WHEN ((u * u) % {PRIME}) // {MIDDLE} % 2 = 1 THEN y ELSE x END AS x FROM (
+          SELECT *, ((greatest(x, y) % {PRIME}) * {FACTOR} + greatest(x, y) // {PRIME} + k % {PRIME}) % {PRIME} AS u FROM (
+          SELECT a.*, k.k, ((k.k - x) % blocks + blocks) % blocks AS y
+          FROM ({x}) a JOIN k ON k.rank = a.rank AND k.turn = a.turn AND k.r = {r}))"""
+    return MIXING.replace("<keys>", hashed("11, rank, turn, r")).replace("<draw>", hashed("'11:shard', rank, turn, i")).replace(
+        "<rounds>", str(ROUNDS)).replace("<permuted>", x).replace("<shard_slots>", str(SHARD_SLOTS))
+
+
 MIXING = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
@@ -52,25 +70,29 @@ s AS (
     (size + 63) // 64 AS blocks FROM g),
 q AS (
   SELECT *, CASE WHEN size > 0 THEN least(2 * blocks, floor(target * blocks / size + 0.5)::BIGINT) ELSE 0 END AS slots FROM s),
-j AS (SELECT rank, blocks, unnest(range(slots)) AS j FROM q),
+n AS (SELECT greatest(1, ceil(sum(slots) / <shard_slots>))::BIGINT AS shards FROM q),
+u AS (
+  SELECT rank, blocks, turn, least(blocks, slots - turn * blocks) AS here
+  FROM (SELECT rank, blocks, slots, unnest(range((slots + blocks - 1) // blocks)) AS turn FROM q WHERE slots > 0)),
+k AS (SELECT rank, turn, r, <keys> AS k FROM (SELECT rank, turn, unnest(range(1, <rounds> + 1)) AS r FROM u)),
+j AS (SELECT rank, turn, blocks, unnest(range(here)) AS i FROM u),
 b AS (
-  SELECT rank, block, count(*) AS times FROM (
-    SELECT rank, ((j % blocks) * CASE WHEN blocks % 1000003 = 0 THEN 1000033 ELSE 1000003 END
-                  + rank * 7919 + (j // blocks) * 104729) % blocks AS block FROM j) GROUP BY rank, block),
+  SELECT rank, x AS block, count(*) AS times, min(<draw> % shards) AS shard FROM (<permuted>), n GROUP BY rank, x),
 o AS (
   SELECT d.doc_id, d.size, s.rank, s.size AS source_size, s.target,
-    sum(d.size) OVER (PARTITION BY s.rank ORDER BY d.doc_id % 1024, d.doc_id) - d.size AS start
+    sum(d.size) OVER (PARTITION BY s.rank ORDER BY d.doc_id NULLS FIRST, d.size) - d.size AS start
   FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
 p AS (
   SELECT doc_id, rank, start, size, unnest(range((start // 64)::BIGINT, ((start + size - 1) // 64)::BIGINT + 1)) AS block
   FROM o WHERE size > 0),
-k AS (
-  SELECT doc_id, sum((least(start + size, (block + 1) * 64) - greatest(start, block * 64)) * times) AS taken
+z AS (
+  SELECT doc_id, sum((least(start + size, (block + 1) * 64) - greatest(start, block * 64)) * times) AS taken, min(shard) AS shard
   FROM p JOIN b USING (rank, block) GROUP BY doc_id)
-SELECT o.doc_id, o.size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM o LEFT JOIN k USING (doc_id)
+SELECT o.doc_id, o.size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, shard::INTEGER AS first_shard
+FROM o LEFT JOIN z USING (doc_id)
 """
 
-ORACLE["op7_mixing"] = MIXING
+ORACLE["op7_mixing"] = _mixing_sql()
 
 TOP_K = """
 WITH v AS (
