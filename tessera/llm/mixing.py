@@ -173,14 +173,15 @@ def shard_counts(m: Mix) -> DataFrame:
 def report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken, first_shard of every row of ``docs``.
 
-    ``first_shard`` is the first output shard with words of the row, null where the mix takes none.
+    ``first_shard`` is the first output shard with words of the row, -1 where the mix takes none.
     """
     m = mix(docs, **options)
     taken = m.pieces.groupBy("row").agg(
         F.sum(F.col("n") * F.col("times")).alias("taken"), F.min("shard").alias("first_shard")).hint("merge")
     s = m.sources.select("rank", F.col("size").alias("source_size"), "target")
     return m.rows.join(taken, "row", "left").join(s, "rank").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_shard")
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("first_shard", F.lit(-1)).alias("first_shard"))
 
 
 def _with_words(docs: DataFrame, m: Mix, parts: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ p AS (
 z AS (
   SELECT doc_id, sum((least(start + size, (block + 1) * 64) - greatest(start, block * 64)) * times) AS taken, min(shard) AS shard
   FROM p JOIN b USING (rank, block) GROUP BY doc_id)
-SELECT o.doc_id, o.size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, shard::INTEGER AS first_shard
+SELECT o.doc_id, o.size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, coalesce(shard, -1)::INTEGER AS first_shard
 FROM o LEFT JOIN z USING (doc_id)
 """
 
