@@ -38,6 +38,8 @@ from tessera.llm._text import LOWER, NONBLANK, find_words, mix, runs_of, segment
 
 END = np.uint64(0x0E4DE4DE4DE4DE4D)
 PART_BYTES = 4 << 20
+#: Text a task works through, part by part.
+TASK_BYTES = 64 << 20
 ZERO = -1 << 20
 #: Ratios are kept in steps of 1/4 octave.
 STEPS = 4
@@ -265,6 +267,11 @@ def _score(batches, n: int, v: int, weights: np.ndarray):
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
+def _tasks(least: int, size: int) -> int:
+    """Tasks for ``size`` bytes of text: the session's number, more where it would give a task more than ``TASK_BYTES``."""
+    return max(least, -(-size // TASK_BYTES))
+
+
 def score(docs: DataFrame, *, folds: int = 5, held_fold: int = 1, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row (doc_id, text).
 
@@ -284,16 +291,17 @@ def score(docs: DataFrame, *, folds: int = 5, held_fold: int = 1, part_bytes: in
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
     buckets = max(48, parts // 8)
+    tasks = _tasks(partitions(spark), size)
     dealt = rows.select(
         F.expr(f"cast(pmod(xxhash64(doc_id, text), {parts}) as int)").alias("part"), F.lit(1).alias("kind"),
         F.lit(0).alias("level"), F.lit(0).alias("bucket"), "doc_id", "text", "train", "held_out",
         F.lit(None).cast("binary").alias("counts"))
 
     def by_part(df):
-        return df.repartition(partitions(spark), "part").sortWithinPartitions("part")
+        return df.repartition(tasks, "part").sortWithinPartitions("part")
 
     sent = by_part(dealt).transform(in_tasks, _send(buckets), SENT)
-    totals = stored(sent.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "level").transform(
+    totals = stored(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket", "level").transform(
         in_tasks, _add_up, TOTALS), "lm-totals")
     learned = totals.filter("part is null and level = 1").agg(F.sum("tokens"), F.sum("kinds")).first()
     n, v = (int(x or 0) for x in learned)

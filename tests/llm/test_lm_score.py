@@ -114,3 +114,9 @@ def test_edges(spark):
     assert lm_score.score(df.limit(0)).collect() == []
     alone = lm_score.score(spark.createDataFrame([(None, "a b")], "doc_id long, text string")).collect()
     assert [tuple(r) for r in alone] == [(None, False, 3, 0, 0, 0.0, 0.0)]
+
+
+def test_tasks_grow_with_the_text():
+    assert lm_score._tasks(51, 10 << 20) == 51 and lm_score._tasks(8, 0) == 8
+    assert lm_score._tasks(51, 30 << 30) == 480
+    assert lm_score._tasks(51, 120 << 30) == 4 * 480
