@@ -1,6 +1,11 @@
 """Language identification: parse counts against plain Python, accuracy on held-out rows, edge rows."""
 
+import zlib
+from collections import Counter, defaultdict
+from itertools import groupby
+
 import numpy as np
+import xxhash
 
 from tessera.llm import language_id as li
 from tessera.llm.queries import QUERIES
@@ -66,3 +71,68 @@ def test_nothing_learned(spark):
     got = sorted(tuple(r) for r in li.identify(docs).select("held_out", "lang_pred", "score").collect())
     assert [g[1:] for g in got] == [("und", 0.0)] * 2
     assert li.identify(docs.limit(0)).collect() == []
+
+
+def plain_identify(rows, buckets=128, chars=256, total_chars=1 << 19, block=256, window=8.0):
+    """(doc_id, held_out, lang_pred, score) of (doc_id, text, lang) rows, from sampling to score, without tables."""
+    def signed(text):
+        h = xxhash.xxh64(text.encode(), seed=42).intdigest()
+        return h - (1 << 64) if h >> 63 else h
+
+    def held(d):
+        return d is not None and zlib.crc32(str(d).encode()) % 3 == 1
+
+    least = {}
+    for d, text, lang in rows:
+        if d is not None and not held(d) and text is not None and lang is not None:
+            h = signed(text)
+            key = (lang, h % buckets)
+            least[key] = min(least.get(key, (h, text)), (h, text))
+    samples = defaultdict(list)
+    for (lang, _), (h, text) in least.items():
+        at = (h >> 8) % max(1, len(text) - chars + 1)
+        samples[lang].append((h, text[at:at + chars]))
+    languages = sorted(samples)
+    samples = {k: " ".join(s for _, s in sorted(v))[:total_chars // len(languages)] for k, v in samples.items()}
+    count = Counter(c.lower()[0] for s in samples.values() for c in s if c.isalpha())
+    own = {c: k for k, (c, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], ord(x[0])))[:li.CLASSES - li.SHARED - 1], 1)}
+
+    def symbols(text):
+        cls = [own.get(c.lower()[0], li.CLASSES - li.SHARED + ord(c.lower()[0]) % li.SHARED) if c.isalpha() else 0 for c in text]
+        return [c for k, run in groupby(cls) for c in ([0] if k == 0 else run)]
+
+    learned = {k: symbols(samples[k]) for k in languages}
+    out = []
+    for d, text, _ in rows:
+        s = symbols(text or "")
+        if not any(s):
+            out.append((d, held(d), "und", 0.0))
+            continue
+        rate = [plain_phrases(s, learned[k], block) * float(np.log2(max(2, len(learned[k])))) / len(s) for k in languages]
+        score = 1 / sum(2.0 ** (-window * (r - min(rate))) for r in rate)
+        out.append((d, held(d), languages[rate.index(min(rate))], score))
+    return out
+
+
+def test_query_matches_plain_python(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    got = sorted(tuple(r) for r in QUERIES["op1_language_id"](spark, sf).collect())
+    want = sorted(plain_identify(rows))
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g[3] - w[3]) < 1e-9 for g, w in zip(got, want, strict=True))
+
+
+def test_other_scripts_match_plain_python(spark):
+    words = {"zh": "的一是不了人我在有他这中大来上国", "ja": "のをにはがとでもからまでよりへやんあい", "ko": "이그저것수나우리사람들에서는을를다고",
+             "en": "abcdefghijklmnop", "ru": "абвгдежзийклмноп"}
+    rng = np.random.default_rng(5)
+    rows = [(n * 100 + i, " ".join("".join(letters[j] for j in rng.integers(0, 16, rng.integers(1, 6))) for _ in range(40)), lang)
+            for n, (lang, letters) in enumerate(words.items()) for i in range(12)]
+    rows += [(9001, None, "en"), (9002, "12 34", "en"), (9003, "的 abc のを " * 60, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(tuple(r) for r in li.identify(docs).collect())
+    want = sorted(plain_identify(rows))
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g[3] - w[3]) < 1e-9 for g, w in zip(got, want, strict=True))
+    assert all(g[2] == lang for g in got for d, _, lang in rows if d == g[0] and d < 9000)
