@@ -42,6 +42,29 @@ def test_many_ranges_and_groups(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
 
 
+def test_near_ids_near_vectors_ship_few_pairs(spark, monkeypatch):
+    """Clusters of neighbouring ids: a group of queries sees few ranges, results whole; all alike, it sees all."""
+    for name, value in (("RANGE", 40), ("BLOCK", 8), ("GROUP", 20), ("PACK", 3)):
+        monkeypatch.setattr(ts, name, value)
+    rng = np.random.default_rng(9)
+
+    def pairs(rows):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        assert sorted(tuple(r) for r in ts.top_k(df, df.vec_id % 20 == 0, k=5).collect()) == brute(rows, 5)
+        v = df.select(df.vec_id.alias("id"), df.embedding.alias("v"), (df.vec_id % 20 == 0).alias("q"))
+        laid = ts.lay_out(v, 40, k=5, scale=64.0)
+        asked = ts.query_groups(laid, 4)
+        open_ = ts.open_pairs(laid, asked, 4)
+        assert open_.distinct().count() == open_.count()
+        return open_.count(), laid.count() * asked.count()
+
+    axis = np.eye(8)
+    shipped, all_ = pairs([(i, [float(x) for x in 4 * axis[i // 200] + rng.normal(0, 0.05, 8)]) for i in range(1600)])
+    assert shipped < all_ / 2
+    shipped, all_ = pairs([(i, [1.0, 2.0]) for i in range(1600)])
+    assert shipped == all_
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 2**31), st.integers(1, 60), st.integers(1, 5), st.sampled_from([3, 1000, 10**12]))
 def test_range_is_exact(seed, n, k, top):
