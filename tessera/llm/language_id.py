@@ -9,6 +9,10 @@ bits a character; the language with the fewest phrases so normalised wins.
 The automata are fitted on a bounded sample of the labelled rows (documented
 parameters). Prediction covers every whole text: blocks of ``block`` characters
 are parsed side by side with table lookups, all languages at once.
+
+The most frequent letters are one symbol each; every other letter is written as
+the digits of its code point, so no two letters are taken for the same and the
+tables keep their width whatever the scripts.
 """
 
 from __future__ import annotations
@@ -24,10 +28,11 @@ from tessera.llm._spark import in_tasks, remainder
 from tessera.llm._text import text_chunks
 
 UNKNOWN = "und"
-#: Character classes: 0 stands for everything but letters, the most frequent
-#: letters have a class each and the remaining letters share the last ones.
+#: Symbols: 0 stands for everything but letters, the most frequent letters have
+#: one each, and the last are the hexadecimal digits of the other letters.
 CLASSES = 64
-SHARED = 16
+DIGITS = 16
+RARE = 255
 
 
 @dataclass
@@ -45,32 +50,46 @@ def _lower(cp: int) -> int:
 
 
 def _class_table(samples: list[str]) -> np.ndarray:
-    """Class of every code point, letters in lower case."""
+    """Symbol of every code point, letters in lower case; ``RARE`` for letters without one of their own."""
     points = np.arange(0x110000)
     letter = np.array([chr(p).isalpha() for p in points.tolist()])
     lower = points.copy()
     lower[letter] = [_lower(p) for p in points[letter].tolist()]
-    table = np.where(letter, CLASSES - SHARED + lower % SHARED, 0).astype(np.uint8)
+    table = np.where(letter, RARE, 0).astype(np.uint8)
     text = np.frombuffer("".join(samples).encode("utf-32-le"), dtype=np.uint32)
     found, count = np.unique(lower[text[letter[text]]], return_counts=True)
-    own = found[np.lexsort((found, -count))][: CLASSES - SHARED - 1]
+    own = found[np.lexsort((found, -count))][: CLASSES - DIGITS - 1]
     for k, p in enumerate(own.tolist(), 1):
         table[letter & (lower == p)] = k
     return table
 
 
 def _normalise(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Character classes of the texts, runs of class 0 cut to one, and the texts' offsets."""
+    """Symbols of the texts, runs of symbol 0 cut to one, and the texts' offsets.
+
+    A letter without a symbol of its own is the four digits of its code point
+    in lower case, five beyond the basic plane.
+    """
     at = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=at[1:])
-    cls = classes[np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)]
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
+    cls = classes[points]
     starts = at[offsets]
-    keep = cls != 0
-    keep[1:] |= cls[:-1] != 0
-    keep[starts[starts < len(cls)]] = True
+    size = (cls != 0).astype(np.int64)
+    size[1:] |= cls[:-1] != 0
+    size[starts[starts < len(cls)]] = 1
+    rare = np.flatnonzero(cls == RARE)
+    found, where = np.unique(points[rare], return_inverse=True)
+    low = np.array([_lower(p) for p in found.tolist()], dtype=np.int64)[where]
+    digits = np.where(low < 0x10000, 4, 5)
+    size[rare] = digits
     place = np.zeros(len(cls) + 1, dtype=np.int64)
-    np.cumsum(keep, out=place[1:])
-    return cls[keep], place[starts]
+    np.cumsum(size, out=place[1:])
+    out = np.repeat(cls, size)
+    for d in range(int(digits.max(initial=0))):
+        has = digits > d
+        out[place[rare[has]] + d] = CLASSES - DIGITS + ((low[has] >> 4 * (digits[has] - 1 - d)) & 15)
+    return out, place[starts]
 
 
 def _automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -122,7 +141,8 @@ def fit(labelled: DataFrame, *, buckets: int = 128, chars: int = 256, total_char
     Per language at most ``buckets`` passages of ``chars`` characters at
     pseudorandom places of pseudorandom texts are read (the text with the
     smallest hash of each bucket of hashes), and over all languages at most
-    about ``total_chars``: the model's size does not grow with the input.
+    about ``total_chars`` characters and as many symbols: the model's size does
+    not grow with the input or the number of languages.
     """
     rows = labelled.filter("text is not null and lang is not null").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
@@ -144,6 +164,7 @@ def fit(labelled: DataFrame, *, buckets: int = 128, chars: int = 256, total_char
     for k in languages:
         raw = np.frombuffer(samples[k].encode(), dtype=np.uint8)
         symbols, _ = _normalise(raw, np.array([0, len(raw)]), classes)
+        symbols = symbols[:each]
         tables.append(_parsing_table(_automaton(symbols.tolist())))
         bits.append(float(np.log2(max(2, len(symbols)))))
     return Model(languages, classes, tables, bits)

@@ -95,13 +95,19 @@ def plain_identify(rows, buckets=128, chars=256, total_chars=1 << 19, block=256,
     languages = sorted(samples)
     samples = {k: " ".join(s for _, s in sorted(v))[:total_chars // len(languages)] for k, v in samples.items()}
     count = Counter(c.lower()[0] for s in samples.values() for c in s if c.isalpha())
-    own = {c: k for k, (c, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], ord(x[0])))[:li.CLASSES - li.SHARED - 1], 1)}
+    own = {c: k for k, (c, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], ord(x[0])))[:li.CLASSES - li.DIGITS - 1], 1)}
 
     def symbols(text):
-        cls = [own.get(c.lower()[0], li.CLASSES - li.SHARED + ord(c.lower()[0]) % li.SHARED) if c.isalpha() else 0 for c in text]
+        cls = []
+        for c in text:
+            low = c.lower()[0]
+            if not c.isalpha() or low in own:
+                cls.append(own[low] if c.isalpha() else 0)
+            else:
+                cls += [li.CLASSES - li.DIGITS + int(x, 16) for x in f"{ord(low):04x}"]
         return [c for k, run in groupby(cls) for c in ([0] if k == 0 else run)]
 
-    learned = {k: symbols(samples[k]) for k in languages}
+    learned = {k: symbols(samples[k])[:total_chars // len(languages)] for k in languages}
     out = []
     for d, text, _ in rows:
         s = symbols(text or "")
@@ -136,3 +142,25 @@ def test_other_scripts_match_plain_python(spark):
     assert [g[:3] for g in got] == [w[:3] for w in want]
     assert all(abs(g[3] - w[3]) < 1e-9 for g, w in zip(got, want, strict=True))
     assert all(g[2] == lang for g in got for d, _, lang in rows if d == g[0] and d < 9000)
+
+
+def test_letters_alike_modulo_a_power_of_two_are_told_apart(spark):
+    """Han texts that differ only by letters 16, 64 or 128 code points apart, and one beyond the basic plane."""
+    rng = np.random.default_rng(8)
+    shapes = rng.integers(0, 60, (40, 60))
+    rows = [(1000 * n + i, "".join(chr(start + 256 * int(x)) for x in shape), f"l{n}")
+            for n, start in enumerate((0x4E00, 0x4E10, 0x4E40, 0x4E80, 0x20000)) for i, shape in enumerate(shapes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in li.identify(docs).collect()}
+    told = [got[d] == lang for d, _, lang in rows]
+    assert sum(told) / len(told) > 0.95
+
+
+def test_thousands_of_languages_keep_the_model_bounded(spark):
+    rows = [(10 * n + i, f"word{n:04d} " + "abcdefghijklmnopqrstuvwxyz"[n % 20:n % 20 + 6] * 3, f"l{n:04d}")
+            for n in range(3000) for i in range(2)]
+    model = li.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), total_chars=30_000)
+    assert len(model.languages) == 3000
+    assert sum(len(t) for t in model.tables) <= 2 * 30_000 * li.CLASSES + 3000 * li.CLASSES
+    got = li.predict(spark.createDataFrame([(1, "abc"), (2, None)], "doc_id long, text string"), model).collect()
+    assert [r.lang_pred == "und" for r in got] == [False, True]
