@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tessera
-from tessera.session import scratch_path
+from tessera.session import in_tasks, scratch_path
 
 #: Spark's setting that deletes an execution's shuffle files when it ends.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -45,29 +37,6 @@ def as_row(df: DataFrame, name: str = "row") -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(name)
 
 
-_shipped: set[str] = set()
-
-
-def in_tasks(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package on the executors' path, wherever they or the driver were started.
-
-    The package is added to the session once, as a zip of its sources.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.applicationId not in _shipped:
-        package = Path(tessera.__file__).parent
-        if package.is_dir():  # else it came as an archive that Spark has shipped itself
-            folder = tempfile.mkdtemp(prefix="tessera-code-")  # the driver serves it to executors while it runs
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-            archive = f"{folder}/tessera-{uuid.uuid4().hex}.zip"
-            with zipfile.ZipFile(archive, "w") as z:
-                for source in sorted(package.rglob("*.py")):
-                    z.write(source, source.relative_to(package.parent))
-            sc.addPyFile(archive)
-        _shipped.add(sc.applicationId)
-    return df.mapInArrow(function, schema)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -13,8 +13,10 @@ to the next one, stays without another distance. Only the others are compared
 with their cell's candidates. Bounds carry a margin for rounding and decide only
 strict cases, so clusters, ties and centers are those of the full comparison.
 
-The work on points is column expressions and joins with broadcast tables of one
-row a center and one row a cell.
+The work on points is numpy over Arrow batches inside the tasks, with one
+broadcast of a few numbers per center and the cells' lists; the histogram, boxes
+and sums are Spark aggregates. A point with a null coordinate belongs to center 0
+without a distance, as in the full comparison.
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from tessera.functions.geometry import squared_distance
 from tessera.operators.lloyd import (
     KMEANS_ETA,
     KMEANS_MAX_ITERATIONS,
@@ -35,13 +38,12 @@ from tessera.operators.lloyd import (
     point_histogram,
     run_passes,
 )
-from tessera.session import materialize
+from tessera.session import in_tasks, materialize
 
 # Relative margin for what square roots and sums of bounds may round.
 MARGIN = 1e-9
-# Candidates of all cells together that are broadcast (16 bytes each); cells are merged until they fit.
+# Candidates of all cells together that are broadcast (4 bytes each); cells are merged until they fit.
 MAX_CANDIDATES = 2_000_000
-_CANDIDATES = "candidates array<struct<i int, x double, y double>>"
 _STATE = ("x", "y", "w", "cell", "cluster", "lower")
 
 
@@ -51,19 +53,30 @@ def _cuts(values: np.ndarray, parts: int) -> list[int]:
     return sorted({v for v in at if v > values[0]})
 
 
+def _floats(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """A column as doubles, null as NaN."""
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64)
+
+
 def with_cells(points: DataFrame, centers: Centers, strips: int) -> DataFrame:
     """``points`` with their cell, by quantiles of the centers."""
-    xs = np.sort(np.array([c[0] for c in centers]))
-    x_cuts = _cuts(xs, strips)
-    rows = []
+    x_cuts = _cuts(np.sort(np.array([c[0] for c in centers])), strips)
+    y_cuts = []
     edges = [-np.inf, *x_cuts, np.inf]
-    for s, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
         ys = np.sort(np.array([y for x, y in centers if low <= x < high]))
-        rows.append((s, _cuts(ys, strips) if len(ys) else []))
-    strip = F.size(F.filter(F.array(*[F.lit(c) for c in x_cuts]).cast("array<int>"), lambda c: c <= F.col("x")))
-    by_strip = points.sparkSession.createDataFrame(rows, "strip int, cuts array<int>")
-    in_strip = points.withColumn("strip", strip).join(F.broadcast(by_strip), "strip")
-    return in_strip.withColumn("cell", F.col("strip") * strips + F.size(F.filter("cuts", lambda c: c <= F.col("y")))).drop("strip", "cuts")
+        y_cuts.append(_cuts(ys, strips) if len(ys) else [])
+
+    def place(batches):
+        for b in batches:
+            strip, y = np.searchsorted(x_cuts, _floats(b, "x"), side="right"), _floats(b, "y")
+            cell = strip * strips
+            for s in np.unique(strip):
+                at = strip == s
+                cell[at] += np.searchsorted(y_cuts[s], y[at], side="right")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32))], [*b.schema.names, "cell"])
+
+    return in_tasks(points, place, StructType([*points.schema.fields, StructField("cell", IntegerType())]))
 
 
 def _box_distances(boxes: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,12 +104,13 @@ class Cells:
     """The cells' boxes; of merged cells the common one."""
 
     def __init__(self, points: DataFrame):
-        rows = points.groupBy("cell").agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).collect()  # at most strips ** 2
-        self.ids = [r[0] for r in rows]
+        whole = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+        rows = whole.groupBy("cell").agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).collect()  # at most strips ** 2
+        self.ids = np.array([r[0] for r in rows], dtype=np.int64)
         self.boxes = np.array([r[1:] for r in rows], dtype=np.float64).reshape(-1, 4)
 
-    def frame(self, spark: SparkSession, centers: Centers) -> DataFrame:
-        """(cell, candidates) for a pass."""
+    def lists(self, centers: Centers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For a pass each cell's place and number of candidates, by cell, and the candidates: ascending within a list."""
         boxes, of = self.boxes, np.arange(len(self.ids))
         found = cell_candidates(boxes, centers)
         while sum(len(found[b]) for b in range(len(boxes))) > MAX_CANDIDATES and len(boxes) > 1:
@@ -104,25 +118,47 @@ class Cells:
             boxes = np.array([[a[:, 0].min(), a[:, 1].max(), a[:, 2].min(), a[:, 3].max()]
                               for a in (self.boxes[of == b] for b in range(of[-1] + 1))])
             found = cell_candidates(boxes, centers)
-        lists = [[(int(i), float(centers[i][0]), float(centers[i][1])) for i in f] for f in found]
-        groups = spark.createDataFrame(list(enumerate(lists)), f"box int, {_CANDIDATES}")
-        boxes_of = spark.createDataFrame([(int(c), int(b)) for c, b in zip(self.ids, of, strict=True)], "cell int, box int")
-        return boxes_of.join(F.broadcast(groups), "box").select("cell", "candidates")
+        sizes = np.array([len(f) for f in found], dtype=np.int64)
+        start, size = np.zeros((2, self.ids.max(initial=-1) + 1), dtype=np.int64)
+        start[self.ids], size[self.ids] = (np.cumsum(sizes) - sizes)[of], sizes[of]
+        return start, size, np.concatenate([*found, []]).astype(np.int32)
 
 
-def _center_frame(spark: SparkSession, old: Centers | None, centers: Centers) -> DataFrame:
-    """(cluster, cx, cy, gap, drop): half the distance to the next center, and how far any other center moved."""
+def _moves(old: Centers, centers: Centers) -> tuple[np.ndarray, np.ndarray]:
+    """Per center half the distance to the next one, and how far any other center moved."""
     c = np.array(centers, dtype=np.float64)
     gap = np.full(len(c), np.inf)
     for i in range(0, len(c), 256):
         d = ((c[i: i + 256, None, :] - c[None, :, :]) ** 2).sum(axis=2)
         d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
         gap[i: i + 256] = np.sqrt(d.min(axis=1)) / 2
-    moved = np.sqrt(((c - np.array(old, dtype=np.float64)) ** 2).sum(axis=1)) if old else np.full(len(c), np.inf)
+    moved = np.sqrt(((c - np.array(old, dtype=np.float64)) ** 2).sum(axis=1))
     first = int(np.argmax(moved))
-    other = np.delete(moved, first).max(initial=0.0)
-    return spark.createDataFrame([(i, float(x), float(y), float(gap[i]), float(other if i == first else moved[first]))
-                                  for i, (x, y) in enumerate(centers)], "of int, cx double, cy double, gap double, drop double")
+    drop = np.full(len(c), moved[first])
+    drop[first] = np.delete(moved, first).max(initial=0.0)
+    return gap, drop
+
+
+def _nearest(x: np.ndarray, y: np.ndarray, start: np.ndarray, size: np.ndarray, candidates: np.ndarray,
+             centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each point's candidates the nearest (ties: the first), and the squared distance to the second nearest.
+
+    One candidate of every point at a time; the points with most candidates come
+    first, so those that have another one are the first ones.
+    """
+    order = np.argsort(-size, kind="stable")
+    x, y, start, falling = x[order], y[order], start[order], -size[order]
+    nearest, least, second = np.full(len(x), -1, dtype=np.int32), np.full(len(x), np.inf), np.full(len(x), np.inf)
+    for j in range(int(size.max(initial=0))):
+        n = np.searchsorted(falling, -j)
+        c = candidates[start[:n] + j]
+        d = (x[:n] - centers[c, 0]) ** 2 + (y[:n] - centers[c, 1]) ** 2
+        closer = d < least[:n]
+        second[:n] = np.where(closer, least[:n], np.minimum(second[:n], d))
+        least[:n], nearest[:n] = np.where(closer, d, least[:n]), np.where(closer, c, nearest[:n])
+    back = np.empty(len(x), dtype=np.int64)
+    back[order] = np.arange(len(x))
+    return nearest[back], second[back]
 
 
 def bounded_pass(points: DataFrame, cells: Cells, old: Centers | None, centers: Centers) -> DataFrame:
@@ -131,26 +167,32 @@ def bounded_pass(points: DataFrame, cells: Cells, old: Centers | None, centers:
     Without ``old`` every point is compared with its cell's candidates. ``cost``
     is the number of distances computed for the point.
     """
-    spark = points.sparkSession
-    if old is None:
-        p = points.withColumn("own", F.lit(0)).withColumn("stay", F.lit(False))
-    else:
-        own = F.sqrt(squared_distance("x", "y", "cx", "cy")) * (1 + MARGIN)
-        lower = F.col("lower") - F.col("drop") - (F.col("lower") + F.col("drop")) * MARGIN
-        p = points.join(F.broadcast(_center_frame(spark, old, centers)), F.col("cluster") == F.col("of")).withColumn("lower", lower)
-        p = p.withColumn("own", F.lit(1)).withColumn("stay", own < F.greatest(F.col("lower"), F.col("gap") * (1 - MARGIN)))
-    # A point that stays has no cell to look up: its key is null.
-    looked = F.broadcast(cells.frame(spark, centers).withColumnRenamed("cell", "looked"))
-    p = p.join(looked, F.when(~F.col("stay"), F.col("cell")) == F.col("looked"), "left")
-    x, y = F.col("x").cast("double"), F.col("y").cast("double")
-    near = F.sort_array(F.transform("candidates", lambda c: F.struct(
-        ((x - c["x"]) * (x - c["x"]) + (y - c["y"]) * (y - c["y"])).alias("d"), c["i"].alias("i"))))
-    p = p.withColumn("near", near)
-    second = F.coalesce(F.get("near", F.lit(1))["d"], F.lit(float("inf")))
-    return p.select(
-        "x", "y", "w", "cell", F.when(F.col("stay"), F.col("cluster")).otherwise(F.get("near", F.lit(0))["i"]).alias("cluster"),
-        F.when(F.col("stay"), F.col("lower")).otherwise(F.sqrt(second) * (1 - MARGIN)).alias("lower"),
-        (F.col("own") + F.coalesce(F.size("candidates"), F.lit(0))).cast("bigint").alias("cost"))
+    shared = points.sparkSession.sparkContext.broadcast(
+        (cells.lists(centers), np.array(centers, dtype=np.float64), _moves(old, centers) if old else None))
+
+    def compare(batches):
+        (starts, sizes, candidates), c, moves = shared.value
+        for b in batches:
+            x, y = _floats(b, "x"), _floats(b, "y")
+            cell, cluster, lower = (b.column(n).to_numpy(zero_copy_only=False).copy() for n in ("cell", "cluster", "lower"))
+            stay = np.isnan(x) | np.isnan(y)
+            cost = np.zeros(len(x), dtype=np.int64)
+            if moves:
+                gap, drop = moves
+                own = np.sqrt((x - c[cluster, 0]) ** 2 + (y - c[cluster, 1]) ** 2) * (1 + MARGIN)
+                lower = lower * (1 - MARGIN) - drop[cluster] * (1 + MARGIN)
+                cost[~stay] = 1
+                stay |= own < np.maximum(lower, gap[cluster] * (1 - MARGIN))
+            at = np.flatnonzero(~stay)
+            size = sizes[cell[at]]
+            cluster[at], second = _nearest(x[at], y[at], starts[cell[at]], size, candidates, c)
+            lower[at] = np.sqrt(second) * (1 - MARGIN)
+            cost[at] += size
+            kept = [b.column(n) for n in ("x", "y", "w", "cell")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(cluster), pa.array(lower), pa.array(cost)], [*_STATE, "cost"])
+
+    found = [StructField("cluster", IntegerType()), StructField("lower", DoubleType()), StructField("cost", LongType())]
+    return in_tasks(points.select(*_STATE), compare, StructType([*points.select("x", "y", "w", "cell").schema.fields, *found]))
 
 
 def _sums(points: DataFrame):
