@@ -13,10 +13,12 @@ to the next one, stays without another distance. Only the others are compared
 with their cell's candidates. Bounds carry a margin for rounding and decide only
 strict cases, so clusters, ties and centers are those of the full comparison.
 
-The work on points is numpy over Arrow batches inside the tasks, with one
-broadcast of a few numbers per center and the cells' lists; the histogram, boxes
-and sums are Spark aggregates. A point with a null coordinate belongs to center 0
-without a distance, as in the full comparison.
+The points and their state are kept in blocks, a row each: an Arrow batch of
+points with every column as one binary value, beside the batch's boxes or sums.
+So a pass moves a few values a block, not a few a point, between Spark and numpy,
+and the sums are read without the points. What a pass needs of the centers and
+cells is broadcast. A point with a null coordinate belongs to center 0 without a
+distance, as in the full comparison.
 """
 
 from __future__ import annotations
@@ -27,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 from tessera.operators.lloyd import (
     KMEANS_ETA,
@@ -44,7 +45,11 @@ from tessera.session import in_tasks, materialize
 MARGIN = 1e-9
 # Candidates of all cells together that are broadcast (4 bytes each); cells are merged until they fit.
 MAX_CANDIDATES = 2_000_000
-_STATE = ("x", "y", "w", "cell", "cluster", "lower")
+# A block's columns: null coordinates are NaN, the bounds are rounded down.
+_POINTS = {"x": "<f8", "y": "<f8", "w": "<i8", "cell": "<i4"}
+_STATE = _POINTS | {"cluster": "<i4", "lower": "<f4"}
+_BOXES = "boxes array<struct<cell int, x0 double, x1 double, y0 double, y1 double>>"
+_SUMS = "sums array<struct<cluster int, x bigint, y bigint, n bigint, points bigint, cost bigint, searched bigint>>"
 
 
 def _cuts(values: np.ndarray, parts: int) -> list[int]:
@@ -53,13 +58,27 @@ def _cuts(values: np.ndarray, parts: int) -> list[int]:
     return sorted({v for v in at if v > values[0]})
 
 
-def _floats(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    """A column as doubles, null as NaN."""
-    return batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64)
+def _block(columns: dict[str, np.ndarray], dtypes: dict[str, str], name: str, summary: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """One row: the columns as binary values and ``summary`` as a list of structs."""
+    values = {n: pa.array([np.ascontiguousarray(columns[n], dtype=d).tobytes()], pa.binary()) for n, d in dtypes.items()}
+    rows = pa.StructArray.from_arrays([pa.array(v) for v in summary.values()], [*summary])
+    return pa.RecordBatch.from_pydict(values | {name: pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)})
+
+
+def _of_blocks(batches, dtypes: dict[str, str]):
+    """The columns of each block."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield {n: np.frombuffer(b.column(n)[i].as_buffer(), dtype=d) for n, d in dtypes.items()}
+
+
+def _firsts(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each value begins."""
+    return np.flatnonzero(np.diff(sorted_values, prepend=sorted_values[:1] - 1))
 
 
 def with_cells(points: DataFrame, centers: Centers, strips: int) -> DataFrame:
-    """``points`` with their cell, by quantiles of the centers."""
+    """Blocks of ``points`` with their cell, by quantiles of the centers, and the boxes of these points by cell."""
     x_cuts = _cuts(np.sort(np.array([c[0] for c in centers])), strips)
     y_cuts = []
     edges = [-np.inf, *x_cuts, np.inf]
@@ -69,14 +88,23 @@ def with_cells(points: DataFrame, centers: Centers, strips: int) -> DataFrame:
 
     def place(batches):
         for b in batches:
-            strip, y = np.searchsorted(x_cuts, _floats(b, "x"), side="right"), _floats(b, "y")
+            if not b.num_rows:
+                continue
+            x, y = (b.column(n).to_numpy(zero_copy_only=False).astype(np.float64) for n in ("x", "y"))
+            strip = np.searchsorted(x_cuts, x, side="right")
             cell = strip * strips
             for s in np.unique(strip):
                 at = strip == s
                 cell[at] += np.searchsorted(y_cuts[s], y[at], side="right")
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32))], [*b.schema.names, "cell"])
+            order = np.argsort(np.where(np.isnan(x) | np.isnan(y), -1, cell), kind="stable")
+            order = order[np.count_nonzero(np.isnan(x) | np.isnan(y)):]  # only whole points are in boxes
+            first = _firsts(cell[order])
+            of = lambda f, v: f.reduceat(v[order], first) if len(first) else np.empty(0)
+            boxes = {"cell": cell[order][first].astype(np.int32), "x0": of(np.minimum, x), "x1": of(np.maximum, x),
+                     "y0": of(np.minimum, y), "y1": of(np.maximum, y)}
+            yield _block({"x": x, "y": y, "w": b.column("w").to_numpy(zero_copy_only=False), "cell": cell}, _POINTS, "boxes", boxes)
 
-    return in_tasks(points, place, StructType([*points.schema.fields, StructField("cell", IntegerType())]))
+    return in_tasks(points.select("x", "y", "w"), place, ", ".join([*(f"{n} binary" for n in _POINTS), _BOXES]))
 
 
 def _box_distances(boxes: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,9 +131,9 @@ def cell_candidates(boxes: np.ndarray, centers: Centers) -> list[np.ndarray]:
 class Cells:
     """The cells' boxes; of merged cells the common one."""
 
-    def __init__(self, points: DataFrame):
-        whole = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-        rows = whole.groupBy("cell").agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).collect()  # at most strips ** 2
+    def __init__(self, blocks: DataFrame):
+        rows = blocks.select(F.inline("boxes")).groupBy("cell").agg(
+            F.min("x0"), F.max("x1"), F.min("y0"), F.max("y1")).collect()  # at most strips ** 2
         self.ids = np.array([r[0] for r in rows], dtype=np.int64)
         self.boxes = np.array([r[1:] for r in rows], dtype=np.float64).reshape(-1, 4)
 
@@ -161,61 +189,72 @@ def _nearest(x: np.ndarray, y: np.ndarray, start: np.ndarray, size: np.ndarray,
     return nearest[back], second[back]
 
 
-def bounded_pass(points: DataFrame, cells: Cells, old: Centers | None, centers: Centers) -> DataFrame:
-    """(x, y, w, cell, cluster, lower, cost): the points' clusters by ``centers``, from their state by ``old``.
+def _block_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, cluster: np.ndarray, cost: np.ndarray) -> dict[str, np.ndarray]:
+    """Per cluster the sums over a block's points, null coordinates left out."""
+    order = np.argsort(cluster, kind="stable")
+    first = _firsts(cluster[order])
+    if max(float((np.abs(np.nan_to_num(v)) * w).sum()) for v in (x, y)) >= 2.0**62:
+        raise OverflowError("the sums of coordinates times weights exceed a long")
+    per = {"x": np.nan_to_num(x).astype(np.int64) * w, "y": np.nan_to_num(y).astype(np.int64) * w, "n": w,
+           "points": np.ones(len(w), dtype=np.int64), "cost": cost, "searched": (cost > 1).astype(np.int64)}
+    return {"cluster": cluster[order][first].astype(np.int32)} | {n: np.add.reduceat(v[order], first) for n, v in per.items()}
 
-    Without ``old`` every point is compared with its cell's candidates. ``cost``
-    is the number of distances computed for the point.
+
+def bounded_pass(blocks: DataFrame, cells: Cells, old: Centers | None, centers: Centers) -> DataFrame:
+    """Blocks of the points with their clusters by ``centers``, from their state by ``old``, and the sums by cluster.
+
+    Without ``old`` every point is compared with its cell's candidates. A
+    point's cost is the number of distances computed for it.
     """
-    shared = points.sparkSession.sparkContext.broadcast(
+    shared = blocks.sparkSession.sparkContext.broadcast(
         (cells.lists(centers), np.array(centers, dtype=np.float64), _moves(old, centers) if old else None))
+    known = _STATE if old else _POINTS
 
     def compare(batches):
         (starts, sizes, candidates), c, moves = shared.value
-        for b in batches:
-            x, y = _floats(b, "x"), _floats(b, "y")
-            cell, cluster, lower = (b.column(n).to_numpy(zero_copy_only=False).copy() for n in ("cell", "cluster", "lower"))
+        for b in _of_blocks(batches, known):
+            x, y, cell = b["x"], b["y"], b["cell"]
             stay = np.isnan(x) | np.isnan(y)
             cost = np.zeros(len(x), dtype=np.int64)
             if moves:
                 gap, drop = moves
+                cluster, lower = b["cluster"].copy(), b["lower"].astype(np.float64)
                 own = np.sqrt((x - c[cluster, 0]) ** 2 + (y - c[cluster, 1]) ** 2) * (1 + MARGIN)
                 lower = lower * (1 - MARGIN) - drop[cluster] * (1 + MARGIN)
                 cost[~stay] = 1
                 stay |= own < np.maximum(lower, gap[cluster] * (1 - MARGIN))
+            else:
+                cluster, lower = np.zeros(len(x), dtype=np.int32), np.full(len(x), -1.0)
             at = np.flatnonzero(~stay)
             size = sizes[cell[at]]
             cluster[at], second = _nearest(x[at], y[at], starts[cell[at]], size, candidates, c)
             lower[at] = np.sqrt(second) * (1 - MARGIN)
             cost[at] += size
-            kept = [b.column(n) for n in ("x", "y", "w", "cell")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(cluster), pa.array(lower), pa.array(cost)], [*_STATE, "cost"])
+            state = b | {"cluster": cluster, "lower": np.nextafter(lower.astype(np.float32), np.float32(-np.inf))}
+            yield _block(state, _STATE, "sums", _block_sums(x, y, b["w"], cluster, cost))
 
-    found = [StructField("cluster", IntegerType()), StructField("lower", DoubleType()), StructField("cost", LongType())]
-    return in_tasks(points.select(*_STATE), compare, StructType([*points.select("x", "y", "w", "cell").schema.fields, *found]))
+    return in_tasks(blocks.select(*known), compare, ", ".join([*(f"{n} binary" for n in _STATE), _SUMS]))
 
 
-def _sums(points: DataFrame):
+def _sums(blocks: DataFrame):
     """Per cluster the integer mean, and what the pass cost."""
-    w = F.col("w")
-    return points.groupBy("cluster").agg(
-        F.expr("cast(sum(cast(x as bigint) * w) div sum(w) as int)").alias("x"),
-        F.expr("cast(sum(cast(y as bigint) * w) div sum(w) as int)").alias("y"), F.sum(w).alias("n"),
-        F.count(F.lit(1)).alias("points"), F.sum("cost").alias("cost"), F.count_if(F.col("cost") > 1).alias("searched"))
+    return blocks.select(F.inline("sums")).groupBy("cluster").agg(
+        F.expr("cast(sum(x) div sum(n) as int)").alias("x"), F.expr("cast(sum(y) div sum(n) as int)").alias("y"), F.sum("n").alias("n"),
+        F.sum("points").alias("points"), F.sum("cost").alias("cost"), F.sum("searched").alias("searched"))
 
 
 class _Bounded:
     """The passes' update: keeps the points' state in the shared folder and the work done."""
 
     def __init__(self, points: DataFrame, centers: Centers, strips: int):
-        cells = with_cells(points, centers, strips).select("x", "y", F.col("w").cast("bigint").alias("w"), "cell")
-        self.points = materialize(cells.withColumn("cluster", F.lit(0)).withColumn("lower", F.lit(-1.0)), "bounded-points")
+        counted = points.select("x", "y", F.col("w").cast("bigint").alias("w"))
+        self.points = materialize(with_cells(counted, centers, strips), "bounded-points")
         self.cells = Cells(self.points)
         self.last: Centers | None = None
         self.work: list[dict] = []
 
     def update(self, means: Centers) -> Centers:
-        self.points = materialize(bounded_pass(self.points.select(*_STATE), self.cells, self.last, means), "bounded-pass")
+        self.points = materialize(bounded_pass(self.points, self.cells, self.last, means), "bounded-pass")
         self.last, new = means, list(means)
         rows = _sums(self.points).collect()  # one row a cluster
         for r in rows:

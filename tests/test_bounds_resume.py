@@ -39,6 +39,20 @@ def test_merged_cells(spark, monkeypatch):
     assert bd.fit_lloyd_bounded(df, seeds[:40], max_iter=2)[:2] == ll.fit_lloyd(df, seeds[:40], max_iter=2)
 
 
+def test_null_coordinates_as_in_the_full_comparison(spark):
+    df, seeds = points(spark, 300)
+    odd = df.union(spark.createDataFrame([(None, 5), (7, None), (None, None), (None, 5)], df.schema))
+    assert bd.fit_lloyd_bounded(odd, seeds[:30], eta=0.0, max_iter=3)[:2] == ll.fit_lloyd(odd, seeds[:30], eta=0.0, max_iter=3)
+
+
+def test_a_pass_keeps_blocks_of_points(spark):
+    df, seeds = points(spark, 4000)
+    run = bd._Bounded(ll.point_histogram(df).repartition(2), seeds[:60], 8)
+    means, n = run.update(seeds[:60]), ll.point_histogram(df).count()
+    assert means == ll.lloyd_update(df, seeds[:60])
+    assert run.points.count() <= 2 + n / 1000 and run.work[0]["points"] == n
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 2**31), st.integers(1, 30))
 def test_candidates_hold_the_two_nearest(seed, k):
