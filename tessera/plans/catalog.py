@@ -746,8 +746,10 @@ def stream_best_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best answer scores from ``lineitem`` read as a file stream with event times (state: questions and windows)."""
     posts = b.timed_answers(st.read_table_stream(spark, sf_dir, "lineitem"), score_shift=b.SCORE_SHIFT)
     path = scratch_path(spark, "stream-best")
+    # At most a group per row; the files' footers give the count.
+    partitions = st.state_partitions(b.table(spark, sf_dir, "lineitem").count(), b.STREAM_PARTITIONS)
     st.run_updates(st.best_scores(posts, time_col="at", window=b.STREAM_WINDOW, lateness=b.STREAM_LATENESS), path,
-                   scratch_path(spark, "stream-best-ckpt"), state_partitions=b.STREAM_PARTITIONS)
+                   scratch_path(spark, "stream-best-ckpt"), state_partitions=partitions)
     return st.read_best_scores(spark, path)
 
 

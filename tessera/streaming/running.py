@@ -6,6 +6,11 @@ the state holds what is younger than the allowed lateness, not every group ever
 seen. Changed rows are written batch by batch (update mode) to folders named by
 the batch, so a batch that a restart repeats replaces its own; the table is read
 as the last row of each group and window, combined over the windows.
+
+The state lies in RocksDB on the executors' disks, not in their heap, and a task
+holds one partition's groups of the batch: choose the partitions by the rows to
+come (``state_partitions``). The provider and the partitions are saved in the
+checkpoint, so a stream that began with others goes on with them.
 """
 
 from __future__ import annotations
@@ -19,9 +24,17 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera.operators.pairs import ANSWER, _no_parent
 from tessera.operators.survey import GROUP_KEYS, MEASURES
 from tessera.session import path_exists
-from tessera.streaming.stream import _shuffle_partitions
+from tessera.streaming.stream import _settings, _shuffle_partitions
 
 _BATCH = "batch"
+# Files are read in splits of this size at most, as a task's partial aggregate grows with its split.
+SPLIT_BYTES = 32 << 20
+_STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # One bound for all the stores of an executor; a store that has committed without a change log holds no write buffer.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
 
 
 def windowed(stream: DataFrame, keys: Sequence[str], aggs: Sequence[Column], *, time_col: str, window: str, lateness: str) -> DataFrame:
@@ -56,9 +69,12 @@ def run_updates(df: DataFrame, path: str, checkpoint: str, *, state_partitions:
         batch.write.mode("overwrite").parquet(f"{path}/{_BATCH}={number}")
 
     writer = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    with _shuffle_partitions(df.sparkSession, state_partitions):
-        query = writer.foreachBatch(write).start()
-    query.awaitTermination()
+    spark, split = df.sparkSession, "spark.sql.files.maxPartitionBytes"
+    bytes_now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(split))
+    with _settings(spark, {split: str(min(SPLIT_BYTES, bytes_now))}):  # the files are read with the session's own value
+        with _settings(spark, _STATE_STORE), _shuffle_partitions(spark, state_partitions):
+            query = writer.foreachBatch(write).start()
+        query.awaitTermination()
     return query
 
 
@@ -72,8 +88,13 @@ def _last_rows(spark: SparkSession, path: str, schema: str, keys: Sequence[str],
 
 
 def read_best_scores(spark: SparkSession, path: str) -> DataFrame:
-    """(qid, score) of every question with an answer so far."""
-    rows = _last_rows(spark, path, "qid bigint, window struct<start: timestamp, end: timestamp>, score int", ["qid"], ["score"])
+    """(qid, score) of every question with an answer so far.
+
+    A window's best score never falls from batch to batch, so the highest of
+    all its rows is the last one's.
+    """
+    schema = f"qid bigint, window struct<start: timestamp, end: timestamp>, score int, {_BATCH} bigint"
+    rows = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
     return rows.groupBy("qid").agg(F.max("score").alias("score"))
 
 

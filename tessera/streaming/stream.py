@@ -61,24 +61,37 @@ def stream_survey_summary(survey: DataFrame, **kwargs) -> DataFrame:
     return sv.summarize_time(survey, p, w, o, **kwargs)
 
 
+# Rows a partition of a stream's state is sized for, and the most partitions.
+STATE_ROWS = 500_000
+MAX_STATE_PARTITIONS = 16_384
+
+
+def state_partitions(rows: int, least: int = 1) -> int:
+    """Partitions for a state of up to ``rows`` groups: one task's share stays the same however many there are."""
+    return min(MAX_STATE_PARTITIONS, max(least, -(-rows // STATE_ROWS)))
+
+
 @contextlib.contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings while a stream starts (it keeps them for its life)."""
+    old = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _shuffle_partitions(spark: SparkSession, n: int | None) -> contextlib.AbstractContextManager[None]:
     """Set the shuffle partitions while a stream starts (it keeps them for its life).
 
     Streams run without AQE, so nothing coalesces a cluster's large batch
     default; a stateful stream would run that many state-store tasks per
     micro-batch. The value is saved in the stream's checkpoint on first start.
     """
-    if n is None:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+    return _settings(spark, {} if n is None else {"spark.sql.shuffle.partitions": str(n)})
 
 
 def run_to_table(df: DataFrame, *, output_mode: str, name: str, timeout_s: float | None = None,

@@ -1,9 +1,13 @@
 """Best scores and means over streams: late rows, restart from the checkpoint, bounded state."""
 
 import datetime as dt
+import glob
 
 from conftest import rows
 from tessera.operators import survey as sv
+from tessera.plans import catalog
+from tessera.session import checkpoint_dir
+from tessera.streaming import running, stream
 from tessera.streaming import best_scores, group_sums, read_best_scores, read_group_means, read_stream, run_updates
 
 POSTS = "ptype int, id bigint, parent bigint, score int, at timestamp"
@@ -61,6 +65,31 @@ def test_means_over_batches_equal_the_batch(spark, tmp_path):
     assert rows(read_group_means(spark, str(tmp_path / "out"))) == rows(sv.average_by_group(batch))
 
 
+def test_query_keeps_its_state_on_disk_in_partitions_by_the_rows(spark, tmp_path, monkeypatch):
+    assert [stream.state_partitions(n, 8) for n in (0, 4_000_000, 4_000_001, 10**13)] == [8, 8, 9, 16_384]
+    monkeypatch.setattr(stream, "STATE_ROWS", 50)
+    lines = [(i % 250, i % 7, float(i % 40), day(i % 90)) for i in range(600)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_quantity double, l_shipdate timestamp").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    stores = lambda: set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/stream-best-ckpt-*/state/0/*/"))
+    before, split = stores(), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = dict(rows(catalog.stream_best_score(spark, str(tmp_path))))
+    new = [p for p in stores() - before if not p.endswith("_metadata/")]
+    assert len(new) == 12 and all(glob.glob(f"{p}*.zip") for p in new)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+    assert got == {q: max(int(x) - 25 for p, _, x, _ in lines if p == q) for q in range(250)}
+
+
+def test_stream_begun_with_another_store_goes_on(spark, tmp_path, monkeypatch):
+    put(spark, [(2, i, i % 5, i, day(i)) for i in range(20)], POSTS, f"{tmp_path}/in", "a")
+    with monkeypatch.context() as m:
+        m.setattr(running, "_STATE_STORE", {})
+        drain(spark, tmp_path, "40 days")
+    put(spark, [(2, 100, 3, 99, day(20))], POSTS, f"{tmp_path}/in", "b")
+    drain(spark, tmp_path, "40 days")
+    assert dict(rows(read_best_scores(spark, str(tmp_path / "out")))) == {0: 15, 1: 16, 2: 17, 3: 99, 4: 19}
+
+
 def test_nothing_streamed_yet(spark, tmp_path):
     assert rows(read_best_scores(spark, str(tmp_path / "none"))) == []
     assert rows(read_group_means(spark, str(tmp_path / "none"))) == []
