@@ -142,8 +142,9 @@ class Encoder:
     With a byte-level tokenizer no token crosses a single space between two
     visible characters, so texts are cut at spaces and each distinct piece is
     encoded once; the pieces' ids are kept between batches, up to ``kept``
-    pieces. Texts with other blanks beside a space are cut only where that is
-    safe, and other tokenizers get whole texts.
+    pieces, of which those met again outlast the others. Texts with other
+    blanks beside a space are cut only where that is safe, and other tokenizers
+    get whole texts.
     """
 
     #: Visible characters for any notion of blank: ASCII and the Latin letters after it.
@@ -154,8 +155,10 @@ class Encoder:
     _MARKS = string.punctuation
     #: Pieces that are encoded as one text.
     _JOINED = 100
+    #: Pieces whose ids are Python objects at a time.
+    _SLICE = 10_000
 
-    def __init__(self, path: str, kept: int = 1_000_000):
+    def __init__(self, path: str, kept: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -180,13 +183,39 @@ class Encoder:
     def _forget(self) -> None:
         self.spaced: dict[str, int] = {}
         self.plain: dict[str, int] = {}
+        self.n = 0  # pieces; the arrays below may have room for more
         self.ids = np.empty(0, dtype=np.uint32)
         self.at = np.zeros(1, dtype=np.int64)
         self.safe = np.empty((0, 2), dtype=bool)  # of each piece, whether it begins and ends with a visible character
+        self.again = np.empty(0, dtype=bool)  # of each piece, whether it was met again since it was learned or last kept
+
+    def _trim(self) -> None:
+        """Forgets the pieces not met again, or all of them where that leaves more than half of ``kept``."""
+        keep, sizes = self.again[: self.n], np.diff(self.at[: self.n + 1])
+        if 2 * np.count_nonzero(keep) > self.kept:
+            self._forget()
+            return
+        new, stays = (np.cumsum(keep) - 1).tolist(), keep.tolist()
+        self.spaced = {x: new[i] for x, i in self.spaced.items() if stays[i]}
+        self.plain = {x: new[i] for x, i in self.plain.items() if stays[i]}
+        self.ids = self.ids[: self.at[self.n]][np.repeat(keep, sizes)]
+        self.at = np.concatenate([[0], np.cumsum(sizes[keep])])
+        self.safe = self.safe[: self.n][keep]
+        self.n = len(self.safe)
+        self.again = np.zeros(self.n, dtype=bool)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _sliced(self, pieces: list, ids, slice_size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each) of ``ids`` of pieces, a slice of them being lists at a time."""
+        flat, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for i in range(0, len(pieces), slice_size):
+            got = ids(pieces[i: i + slice_size])
+            flat.append(self._flat(got))
+            sizes.append(np.fromiter(map(len, got), dtype=np.int64, count=len(got)))
+        return np.concatenate(flat), np.concatenate(sizes)
+
     def _learn(self, memo: dict[str, int], new: list[str], lead: str) -> None:
         """Ids of pieces not met before, each with ``lead`` in front."""
         collecting = gc.isenabled()
@@ -206,15 +235,15 @@ class Encoder:
             whole = [x for x in new if x[:1] in seen and x[-1:] in seen and " " not in x]
             rest = [x for x in new if not (x[:1] in seen and x[-1:] in seen and " " not in x)]
             new = whole + rest
-            flat = self._flat(self._ids([lead + lead.join(whole[i: i + self._JOINED]) for i in range(0, len(whole), self._JOINED)]))
+            joined = [lead + lead.join(whole[i: i + self._JOINED]) for i in range(0, len(whole), self._JOINED)]
+            flat, _ = self._sliced(joined, self._ids, self._SLICE // self._JOINED)
             starts = np.flatnonzero(self.spaced_id[flat])
             if len(starts) != len(whole):
                 raise ValueError("the tokenizer joins pieces across spaces")
             ids.append(flat)
             sizes.append(np.diff(np.append(starts, len(flat))))
-        got = self._ids([lead + x for x in rest])
-        self._keep(memo, new, np.concatenate([*ids, self._flat(got)]),
-                   np.concatenate([*sizes, np.fromiter(map(len, got), dtype=np.int64, count=len(got))]))
+        flat, size = self._sliced([lead + x for x in rest], self._ids, self._SLICE)
+        self._keep(memo, new, np.concatenate([*ids, flat]), np.concatenate([*sizes, size]))
 
     def _learn_words(self, memo: dict[str, int], new: list[str]) -> list[str]:
         """Learns the pieces that are Latin letters with or without marks behind them; returns the others.
@@ -231,28 +260,48 @@ class Encoder:
                 others.append(x)
         unknown = [w for w in dict.fromkeys(w for _, w in words) if w not in memo]
         tokenize = self.tokenizer.model.tokenize
-        got = [[t.id for t in tokenize("\u0120" + (w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)))]
-               for w in unknown]
-        self._keep(memo, unknown, self._flat(got), np.fromiter(map(len, got), dtype=np.int64, count=len(got)), visible=True)
+
+        def word_ids(words: list[str]) -> list[list[int]]:
+            return [[t.id for t in tokenize("\u0120" + (w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)))]
+                    for w in words]
+
+        self._keep(memo, unknown, *self._sliced(unknown, word_ids, self._SLICE), visible=True)
         marked = [(x, memo[w], x[len(w):]) for x, w in words if len(x) > len(w)]
         if marked:
-            marks = list(dict.fromkeys(m for _, _, m in marked))
-            behind = dict(zip(marks, (np.array(g, np.uint32) for g in self._ids(marks)), strict=True))
-            at = self.at.tolist()
-            lists = [a for _, i, m in marked for a in (self.ids[at[i]: at[i + 1]], behind[m])]
-            self._keep(memo, [x for x, _, _ in marked], np.concatenate(lists),
-                       np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)).reshape(-1, 2).sum(axis=1), visible=True)
+            marks = {m: i for i, m in enumerate(dict.fromkeys(m for _, _, m in marked))}
+            behind, size = self._sliced(list(marks), self._ids, self._SLICE)
+            word = np.fromiter((i for _, i, _ in marked), dtype=np.int64, count=len(marked))
+            mark = np.fromiter((marks[m] for _, _, m in marked), dtype=np.int64, count=len(marked))
+            first, n_word, n_mark = self.at[word], self.at[word + 1] - self.at[word], size[mark]
+            sizes = n_word + n_mark
+            ends = np.cumsum(sizes)
+            ids = np.empty(ends[-1], dtype=np.uint32)
+            ids[self._ranges(ends - sizes, n_word)] = self.ids[self._ranges(first, n_word)]
+            ids[self._ranges(ends - n_mark, n_mark)] = behind[self._ranges((np.cumsum(size) - size)[mark], n_mark)]
+            self._keep(memo, [x for x, _, _ in marked], ids, sizes, visible=True)
         return others
 
     def _keep(self, memo: dict[str, int], pieces: list[str], ids: np.ndarray, sizes: np.ndarray, visible: bool = False) -> None:
-        n, seen = len(self.at) - 1, self._SEEN
+        n, n_ids, seen = self.n, self.at[self.n], self._SEEN
         memo.update(zip(pieces, range(n, n + len(pieces)), strict=True))
-        self.ids = np.concatenate([self.ids, ids])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+        self.ids = self._grown(self.ids, n_ids, ids)
+        self.at = self._grown(self.at, n + 1, n_ids + np.cumsum(sizes))
         safe = np.ones((len(pieces), 2), dtype=bool)
         if not visible:
             safe[:] = np.array([(x[:1] in seen, x[-1:] in seen) for x in pieces], dtype=bool).reshape(-1, 2)
-        self.safe = np.concatenate([self.safe, safe])
+        self.safe = self._grown(self.safe, n, safe)
+        self.again = self._grown(self.again, n, np.zeros(len(pieces), dtype=bool))
+        self.n = n + len(pieces)
+
+    @staticmethod
+    def _grown(rows: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+        """The first ``n`` rows with ``more`` behind them, in place while there is room."""
+        end = n + len(more)
+        if end > len(rows):
+            rows, old = np.empty((max(end, n + n // 2), *rows.shape[1:]), dtype=rows.dtype), rows
+            rows[:n] = old[:n]
+        rows[n:end] = more
+        return rows
 
     @staticmethod
     def _flat(lists: list[list[int]]) -> np.ndarray:
@@ -260,6 +309,7 @@ class Encoder:
 
     def _places(self, memo: dict[str, int], pieces: list[str], lead: str) -> np.ndarray:
         place = np.fromiter(map(memo.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        self.again[place[place >= 0]] = True
         missing = np.flatnonzero(place < 0).tolist()
         if missing:
             unknown = [pieces[i] for i in missing]
@@ -267,16 +317,23 @@ class Encoder:
             place[missing] = np.fromiter(map(memo.__getitem__, unknown), dtype=np.int64, count=len(unknown))
         return place
 
+    @staticmethod
+    def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The indices start, start + 1, ... of each range, one range after the other."""
+        ends = np.cumsum(size)
+        n = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if max(n, int((start + size).max(initial=0))) < 1 << 31 else np.int64
+        index = np.repeat((start - (ends - size)).astype(kind), size)
+        index += np.arange(n, dtype=kind)
+        return index
+
     def _gather(self, place: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces at ``place``, and their number per text; texts begin at ``first`` (and end)."""
         start = self.at[place]
         size = self.at[place + 1] - start
         total = np.zeros(len(place) + 1, dtype=np.int64)
         np.cumsum(size, out=total[1:])
-        kind = np.int32 if max(total[-1], self.at[-1]) < 1 << 31 else np.int64
-        index = np.repeat((start - total[:-1]).astype(kind), size)
-        index += np.arange(total[-1], dtype=kind)
-        return self.ids[index], np.diff(total[first])
+        return self.ids[self._ranges(start, size)], np.diff(total[first])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each); no text may be null."""
@@ -285,8 +342,8 @@ class Encoder:
             return self._flat(got), np.fromiter(map(len, got), dtype=np.int64, count=len(got))
         if not len(texts):
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        if len(self.at) > self.kept:
-            self._forget()
+        if self.n > self.kept:
+            self._trim()
         lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
         at = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
@@ -324,7 +381,7 @@ def _encoder(path: str) -> Encoder:
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, *, end_id: int | None = 2, parts: int | None = None,
-          file_ids: int = FILE_IDS, chunk_bytes: int = 1 << 23) -> None:
+          file_ids: int = FILE_IDS, chunk_bytes: int = 1 << 21) -> None:
     """Writes the ids of every whole text of ``docs`` (doc_id, text) as files under ``path``.
 
     ``tokenizer`` is the path of a tokenizers file that every executor has.

@@ -92,3 +92,26 @@ def test_edges(spark, tmp_path):
     assert t.decode(whole[next(k for k in whole if k[0] == -5)][:-1]) == "minus"
     token_ids.write(df.limit(0), PATH, str(tmp_path / "none"))
     assert token_ids.digests(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_encoder_keeps_pieces_that_come_again():
+    e, learned = token_ids.Encoder(PATH, kept=300), []
+    keep = e._keep
+    e._keep = lambda memo, pieces, *a, **k: (learned.extend(pieces), keep(memo, pieces, *a, **k))
+    for i in range(30):
+        texts = [f"so often, again {i}x{j} word{chr(97 + i % 26)}{chr(97 + j)}" for j in range(20)]
+        ids, _ = e(pa.array(texts))
+        assert ids.tolist() == [i for x in e.tokenizer.encode_batch(texts, add_special_tokens=False) for i in x.ids]
+        assert len(e.spaced) + len(e.plain) == e.n <= 400
+    assert learned.count("again") == learned.count("often,") == 1
+    assert len(learned) > 1000
+
+
+def test_encoder_holds_few_ids_as_objects():
+    e, most = token_ids.Encoder(PATH), []
+    ids_of = e._ids
+    e._ids = lambda texts: (most.append(sum(map(len, texts))), ids_of(texts))[1]
+    texts = [" ".join(f"é{i}" for i in range(40_000)), " ".join(f"n{i}" for i in range(40_000))]
+    ids, sizes = e(pa.array(texts))
+    assert ids.tolist() == [i for x in e.tokenizer.encode_batch(texts, add_special_tokens=False) for i in x.ids]
+    assert max(most) < 100_000 < sum(most)
